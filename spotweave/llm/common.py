@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only after its rows have been counted against this bound.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
