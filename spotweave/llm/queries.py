@@ -11,12 +11,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.quality import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spotweave.llm.ngram_join import ngram_jaccard_join
 
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op5_shard_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.sharding import shard_by_bytes
+
+    return shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 
