@@ -41,6 +41,18 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.warc import archive_and_index
+
+    return archive_and_index(table(spark, sf_dir, "pages"))
+
+
+def op10_pack_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 
