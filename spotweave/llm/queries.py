@@ -53,6 +53,24 @@ def op10_pack_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.nearest import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op6_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.token_counts import section_tokens
+
+    return section_tokens(table(spark, sf_dir, "documents"))
+
+
+def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.topk import top_products
+
+    return top_products(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 
