@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; longer texts are taken in pieces cut at white space.
-PIECE = 1 << 21
-SLICE = 6 << 20
+PIECE = 1 << 20
+SLICE = 1 << 20
 
 _rng = np.random.default_rng(20240607)
 CODES = _rng.integers(0, 2**64, 256, dtype=np.uint64)
