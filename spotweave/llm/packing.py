@@ -23,6 +23,7 @@ columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import deque
 
@@ -48,58 +49,66 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Closing punctuation after a letter or digit, before white space: the tokenizer's pattern always splits there.
+CLOSING = re.compile(rb"[.,;:!?#$%&*|](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,;:!?#$%&*|]*(?=[ \t-\r])")
+
+
 class WordTokenizer:
     """Whole texts to ids for tokenizers that treat words between white space apart.
 
-    Ids of words are kept in a bounded cache, for which A-Z may be lowered, as
-    the tokenizer lowers them itself, and closing punctuation is split off,
-    as its pattern never joins a letter or digit to it.
+    Ids of words are kept in a bounded cache.  To need fewer entries, A-Z are
+    lowered first, as the tokenizer lowers them itself, and closing
+    punctuation becomes a word of its own.  Texts with combining marks (which
+    compose with some capitals only) or with the opening of a special token's
+    string are left as they are.
     """
 
-    CLOSING = b".,;:!?#$%&*|"
-
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         size = self.tok.get_vocab_size()
-        self.sentence_end = np.zeros(size + 1, bool)
+        self.sentence_end, self.word_end = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
         for token, i in self.tok.get_vocab().items():
             self.sentence_end[i] = token.removesuffix("</w>")[-1:] in (".", "!", "?")
+            self.word_end[i] = token.endswith("</w>")
         self.words: dict[bytes, bytes] = {}
 
     def _learn(self, new: set[bytes]) -> None:
-        simple: dict[bytes, tuple[bytes, bytes]] = {}
-        parts: set[bytes] = set()
-        for w in new:
-            # b"<|" opens the strings of special tokens, which are taken before lowering;
-            # beyond ASCII, lowering before or after composition can differ.
-            low = w.lower() if w.isascii() and b"<|" not in w else w
-            base = low.rstrip(self.CLOSING)
-            if base and base[-1:].isalnum() and base != low:
-                simple[w] = (base, low[len(base) :])
-            else:
-                simple[w] = (low, b"")
-            parts.update(p for p in simple[w] if p)
-        parts -= self.words.keys()
-        todo = list(parts)
-        for w, e in zip(todo, self.tok.encode_batch_fast([w.decode() for w in todo], add_special_tokens=False), strict=True):
-            self.words[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.words
-        for w, (a, b) in simple.items():
-            get[w] = get[a] + (get[b] if b else b"")
+        todo = [w.decode() for w in new]
+        # A word of letters alone ends with the one id that closes it, so many can be encoded as one text.
+        letters = [w for w in todo if w.isalpha()]
+        texts = [letters[at : at + 256] for at in range(0, len(letters), 256)]
+        for words, e in zip(texts, self.tok.encode_batch_fast([" ".join(x) for x in texts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            stops = (np.flatnonzero(self.word_end[ids]) + 1) * 4
+            if len(stops) != len(words):
+                todo += words
+                continue
+            data, stops = ids.tobytes(), stops.tolist()
+            self.words.update((w.encode(), data[i:j]) for w, i, j in zip(words, [0, *stops], stops, strict=False))
+        todo = [w for w in todo if w.encode() not in self.words]
+        for w, e in zip(todo, self.tok.encode_batch_fast(todo, add_special_tokens=False), strict=True):
+            self.words[w.encode()] = np.array(e.ids, "<u4").tobytes()
+
+    def _split(self, text: bytes) -> list[bytes]:
+        if b"\xcc" in text or b"\xcd" in text or b"<|" in text:
+            return text.split()
+        return CLOSING.sub(rb" \g<0>", text.lower()).split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         out: list[bytes] = []
         for at in range(0, len(texts), 128):
-            split = [t.split() for t in texts[at : at + 128]]
-            new = set().union(*split).difference(self.words)
+            split = [self._split(t) for t in texts[at : at + 128]]
+            every = set().union(*split)
+            new = every.difference(self.words)
             if new:
-                if len(self.words) > CACHE:
-                    self.words.clear()
-                    new = set().union(*split)
+                if len(self.words) > CACHE:  # short words recur most
+                    kept = {w: v for w, v in self.words.items() if len(w) < 7}
+                    self.words = kept if len(kept) < CACHE // 2 else {}
+                    new = every.difference(self.words)
                 self._learn(new)
             get = self.words.__getitem__
             out += [b"".join(map(get, w)) for w in split]
