@@ -1,12 +1,17 @@
-"""Whitelists and barcode correction: a k-mer equi-join for candidates, edit distance, and the two least per barcode."""
+"""Whitelists and barcode correction: candidates that share a k-mer, edit distance, and the two least per barcode."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.functions import sequences as sq
 
+#: Entries of a whitelist that may be sent to every executor; a larger one is joined by k-mers instead.
+SENT_ENTRIES = 1_000_000
+
 
 def clean_whitelist(raw: DataFrame, column: str = "value") -> DataFrame:
     """(barcode, line): trimmed, cut at the first '-', blanks dropped; an empty whitelist is an error when it is used."""
@@ -46,6 +51,94 @@ def in_whitelist(calls: DataFrame, whitelist: DataFrame, column: str = "bc") ->
     return calls.join(whitelist.select(F.col("barcode").alias(column)).distinct(), column, "left_semi")
 
 
+def gram_codes(words: np.ndarray, k: int) -> np.ndarray:
+    """k-mers of equally long words (a byte matrix) as numbers, k being 8 at most."""
+    out = np.zeros((len(words), words.shape[1] - k + 1), np.uint64)
+    for i in range(k):
+        out = (out << np.uint64(8)) | words[:, i : words.shape[1] - k + 1 + i]
+    return out
+
+
+class KmerIndex:
+    """Inverted lists of k-mers over a whitelist, and bit-parallel edit distances to all candidates of a barcode at once."""
+
+    def __init__(self, words: list[str], times: list[int], k: int):
+        order = np.argsort(np.array(words))
+        self.k, self.words, self.times = k, [words[i] for i in order], np.array(times)[order]
+        self.bytes = np.frombuffer("".join(self.words).encode(), np.uint8).reshape(len(words), -1)
+        codes = gram_codes(self.bytes, k)
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), codes.shape[1])
+        by = np.argsort(codes.ravel(), kind="stable")
+        self.owner = owner[by]
+        self.codes, self.starts = np.unique(codes.ravel()[by], return_index=True)
+        self.starts = np.append(self.starts, len(by))
+
+    def candidates(self, q: np.ndarray) -> np.ndarray:
+        grams = np.unique(gram_codes(q[None, :], self.k))
+        at = np.searchsorted(self.codes, grams)
+        hit = at[(at < len(self.codes)) & (self.codes[np.minimum(at, len(self.codes) - 1)] == grams)]
+        lists = [self.owner[self.starts[i] : self.starts[i + 1]] for i in hit]
+        return np.unique(np.concatenate(lists)) if lists else np.zeros(0, np.int32)
+
+    def distances(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Levenshtein distances by Myers' recurrence, a column of all candidates a step."""
+        one, m = np.uint64(1), len(q)
+        masks = np.zeros(256, np.uint64)
+        for i, c in enumerate(q):
+            masks[c] |= one << np.uint64(i)
+        up, down = np.full(len(ids), ~np.uint64(0)), np.zeros(len(ids), np.uint64)
+        score, top = np.full(len(ids), m), np.uint64(m - 1)
+        for column in self.bytes[ids].T:
+            eq = masks[column]
+            v = eq | down
+            h = (((eq & up) + up) ^ up) | eq
+            plus, minus = down | ~(h | up), up & h
+            score += ((plus >> top) & one).astype(int)
+            score -= ((minus >> top) & one).astype(int)
+            plus, minus = (plus << one) | one, minus << one
+            up, down = minus | ~(v | plus), plus & v
+        return score
+
+    def slots(self, bc: str) -> list[dict]:
+        """The two least distances below the barcode's length: (d, least entry b, entries t)."""
+        q = np.frombuffer(bc.encode(), np.uint8)
+        ids = self.candidates(q)
+        d = self.distances(q, ids)
+        out = []
+        for v in np.unique(d[d < len(q)])[:2]:
+            own = ids[d == v]
+            out.append({"d": int(v), "b": self.words[own[0]], "t": int(self.times[own].sum())})
+        return out
+
+
+def _slots(rest: DataFrame, counted: DataFrame, k: int) -> DataFrame:
+    """(bc, s): for each barcode the distances to its candidates in order, each with its least entry and number of entries."""
+    shape = counted.agg(F.count("*").alias("n"), F.min(F.octet_length("barcode")).alias("lo"), F.max(F.octet_length("barcode")).alias("hi"), F.max(F.length("barcode")).alias("chars")).first()
+    if 0 < shape["n"] <= SENT_ENTRIES and shape["lo"] == shape["hi"] == shape["chars"] and k <= min(8, shape["lo"]) and shape["hi"] <= 64:
+        wl = counted.toPandas()
+        shared = rest.sparkSession.sparkContext.broadcast(KmerIndex(wl["barcode"].tolist(), wl["times"].tolist(), k))
+        width = shape["hi"]
+
+        def match(batches):
+            for batch in batches:
+                bcs = batch.column("bc").to_pylist()
+                for bc in bcs:
+                    if len(bc.encode()) != width:
+                        raise ValueError(f"barcode {bc} isn't as long as the whitelist's entries")
+                kind = pa.list_(pa.struct([("d", pa.int32()), ("b", pa.string()), ("t", pa.int64())]))
+                yield pa.RecordBatch.from_arrays([batch.column("bc"), pa.array([shared.value.slots(bc) for bc in bcs], kind)], ["bc", "s"])
+
+        # A number of parts is kept as it is: rows are few bytes but much work each.
+        parts = max(rest.sparkSession.sparkContext.defaultParallelism, int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return rest.repartition(parts, "bc").mapInArrow(match, "bc string, s array<struct<d:int,b:string,t:bigint>>").where("size(s) > 0")
+    grams = rest.select("bc", F.explode(F.array_distinct(sq.kmers("bc", k))).alias("gram"))
+    listed = counted.select("barcode", "times", F.explode(F.array_distinct(sq.kmers("barcode", k))).alias("gram"))
+    near = grams.join(listed, "gram").select("bc", "barcode", "times").distinct().withColumn("d", F.levenshtein("bc", "barcode")).where(F.col("d") < F.length("bc"))
+    # One slot a distance (at most as many as bases), then the slots of a barcode in order.
+    slots = near.groupBy("bc", "d").agg(F.min("barcode").alias("b"), F.sum("times").alias("t"))
+    return slots.groupBy("bc").agg(F.array_sort(F.collect_list(F.struct("d", "b", "t"))).alias("s"))
+
+
 def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_duplicates: bool = True) -> DataFrame:
     """(bc, corr, dist, margin, exact) for each distinct barcode.
 
@@ -63,20 +156,11 @@ def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_dup
     marked = bcs.join(counted.select(F.col("barcode").alias("hit")), F.col("bc") == F.col("hit"), "left")
     exact = marked.where("hit is not null").select("bc", F.col("bc").alias("corr"), F.lit(0).alias("dist"), F.lit(None).cast("int").alias("margin"), F.lit(True).alias("exact"))
     rest = marked.where("hit is null").select("bc")
-    grams = rest.select("bc", F.explode(F.array_distinct(sq.kmers("bc", k))).alias("gram"))
-    listed = counted.select("barcode", "times", F.explode(F.array_distinct(sq.kmers("barcode", k))).alias("gram"))
-    pairs = grams.join(listed, "gram").select("bc", "barcode", "times").distinct()
-    d = F.levenshtein("bc", "barcode")
-    near = pairs.withColumn("d", d).where(F.col("d") < F.length("bc"))
-    # The least candidate, and the two least distances; a set of distances has at most one entry a length.
-    first = near.groupBy("bc").agg(F.min(F.struct("d", "barcode", "times")).alias("m"))
-    other = near.groupBy("bc").agg(F.expr("slice(array_sort(collect_set(d)), 1, 2)").alias("ds"))
-    least = near.join(first.select("bc", F.col("m.d").alias("d1")), "bc").where("d = d1").groupBy("bc").agg(F.sum("times").alias("at_least"))
-    length = F.length("bc")
-    nxt = F.when(F.col("at_least") > 1, F.col("m.d")).otherwise(F.coalesce(F.element_at(F.filter("ds", lambda x: x > F.col("m.d")), 1), length))
-    fuzzy = first.join(other.select("bc", "ds"), "bc").join(least, "bc").select("bc", F.col("m.barcode").alias("corr"), F.col("m.d").alias("dist"), (nxt - F.col("m.d")).alias("margin"), F.lit(False).alias("exact"))
-    none = rest.join(first.select("bc"), "bc", "left_anti").select("bc", F.lit(None).cast("string").alias("corr"), length.alias("dist"), F.lit(0).alias("margin"), F.lit(False).alias("exact"))
-    return exact.unionByName(fuzzy).unionByName(none)
+    slots = _slots(rest, counted, k)
+    length, s0 = F.length("bc"), F.get("s", F.lit(0))
+    nxt = F.when(s0["t"] > 1, s0["d"]).otherwise(F.coalesce(F.get("s", F.lit(1))["d"], length))
+    fuzzy = rest.join(slots, "bc", "left").select("bc", s0["b"].alias("corr"), F.coalesce(s0["d"], length).alias("dist"), F.coalesce(nxt - s0["d"], F.lit(0)).alias("margin"), F.lit(False).alias("exact"))
+    return exact.unionByName(fuzzy)
 
 
 def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist: list[int] = (2,), min_margin: list[int] = (1,), concat: bool = False) -> DataFrame:

@@ -87,19 +87,23 @@ def _gamma(weight: float, total: float, logs: float, shape: float) -> tuple[floa
     return k, mean / k
 
 
+def _expectation(model: Model):
+    def expect(p: pd.DataFrame) -> pd.DataFrame:
+        x = _track(p)
+        total, post, steps = forward_backward(model, x)
+        sums = np.column_stack((post.sum(0), (post * x[:, None]).sum(0), (post * np.log(x)[:, None]).sum(0)))
+        return pd.DataFrame({"v": [[total, *sums.ravel(), *steps.ravel()]]})
+
+    return expect
+
+
 def fit(tracks: DataFrame, rounds: int = 50) -> Model:
     """Baum-Welch until the log likelihood gains less than STOP."""
     model, before = Model.initial(), -math.inf
     tracks = tracks.persist()
     for _ in range(rounds):
 
-        def expect(p, model=model):
-            x = _track(p)
-            total, post, steps = forward_backward(model, x)
-            sums = np.column_stack((post.sum(0), (post * x[:, None]).sum(0), (post * np.log(x)[:, None]).sum(0)))
-            return pd.DataFrame({"v": [[total, *sums.ravel(), *steps.ravel()]]})
-
-        got = tracks.groupBy("chrom", "strand").applyInPandas(expect, "v array<double>")
+        got = tracks.groupBy("chrom", "strand").applyInPandas(_expectation(model), "v array<double>")
         m = np.array(got.select(F.array(*[F.sum(F.col("v")[i]) for i in range(11)]).alias("s")).first()["s"] or [0.0] * 11, float)
         if not np.isfinite(m).all() or m[0] - before < STOP:
             break
