@@ -115,7 +115,8 @@ def classify_orientation(scanned: DataFrame, single: bool, n_adapter1: int = 1)
     if single:
         verdict = chosen(SINGLE_ONE if n_adapter1 == 1 else SINGLE_TWO, out("+", "hi", "n", "other"))
     else:
-        sums = {s: F.aggregate(F.filter(hits, lambda h, s=s: h["strand"] == s), F.lit(0), lambda acc, h: acc + h["score"]) for s in "+-"}
+        of = lambda s: F.aggregate(F.filter(hits, lambda h: h["strand"] == s), F.lit(0), lambda acc, h: acc + h["score"])
+        sums = {s: of(s) for s in "+-"}
         plus, minus = F.exists(hits, lambda h: h["strand"] == "+"), F.exists(hits, lambda h: h["strand"] == "-")
         by_score = F.when(sums["+"] > 1.1 * sums["-"], "+").when(sums["-"] > 1.1 * sums["+"], "-").otherwise("=")
         mixed = chosen({k: (by_score, "hi", "lo", lab) for k, lab in DOUBLE.items()}, out(by_score, "zero", "n", "other_ambiguous"))

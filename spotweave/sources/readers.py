@@ -220,7 +220,7 @@ def gtf(spark: SparkSession, path, feature: str = "all", seqname: str = "all", u
     if seqname != "all":
         rows = rows.where(F.col("seqname") == seqname)
     # The last of repeated keys, without a session setting: keep an entry unless its key comes again.
-    pairs = F.transform(F.filter(F.transform(F.split("a", ";"), F.trim), lambda x: x != ""), lambda x: F.struct(F.substring_index(x, " ", 1).alias("k"), F.replace(F.trim(F.substring(x, F.instr(x, " ") + 1, F.length(x))), F.lit('"'), F.lit("")).alias("v")))
+    pairs = F.transform(F.filter(F.transform(F.split("a", ";"), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.struct(F.substring_index(x, " ", 1).alias("k"), F.replace(F.trim(F.substring(x, F.instr(x, " ") + 1, F.length(x))), F.lit('"'), F.lit("")).alias("v")))
     rows = rows.withColumn("e", pairs)
     last = F.filter("e", lambda x, i: ~F.exists(F.slice("e", i + 2, F.size("e")), lambda y: y["k"] == x["k"]))
     out = rows.select(*fields, F.map_from_entries(last).alias("attributes"))
@@ -254,8 +254,11 @@ def rrna_records(records: DataFrame, keywords: list[str]) -> DataFrame:
 
 def mtx(spark: SparkSession, path) -> DataFrame:
     """(row, col, value), 0-based, of a MatrixMarket file."""
-    rows = _lines(spark, path).where("not startswith(value, '%') and trim(value) <> ''").withColumn("id", F.monotonically_increasing_id())
-    size = rows.where("block = 0").groupBy("file").agg(F.min("id").alias("first"))
+    lines = _lines(spark, path)
+    rows = lines.where("not startswith(value, '%') and trim(value) <> ''").withColumn("id", F.monotonically_increasing_id())
+    # Entries may be spread over files; the one with the banner has the line of sizes.
+    banner = lines.where("startswith(value, '%%MatrixMarket')").select("file").distinct()
+    size = rows.where("block = 0").join(F.broadcast(banner), "file").groupBy("file").agg(F.min("id").alias("first"))
     p = F.split(F.trim("value"), r"\s+")
     body = rows.join(F.broadcast(size), "file", "left").where("first is null or id <> first")
     return body.select((p[0].cast("int") - 1).alias("row"), (p[1].cast("int") - 1).alias("col"), p[2].cast("double").alias("value"))
