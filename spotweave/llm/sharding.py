@@ -66,19 +66,19 @@ def in_ranges(rows: DataFrame, splitters: list[tuple[int, int]]) -> DataFrame:
     """``rows`` with the number of splitters at or before each key."""
     shared = rows.sparkSession.sparkContext.broadcast(np.array(splitters, np.int64).reshape(-1, 2))
 
-    def place(batches):
+    def locate(batches):
         hs, ds = shared.value[:, 0], shared.value[:, 1]
         for batch in batches:
             h = batch.column("h").to_numpy()
             d = batch.column("doc_id").fill_null(LOWEST).to_numpy()
             lo, hi = np.searchsorted(hs, h, "left"), np.searchsorted(hs, h, "right")
-            tied = np.flatnonzero(hi > lo)
+            place, tied = lo.copy(), np.flatnonzero(hi > lo)
             for a in np.unique(lo[tied]):
                 own = tied[lo[tied] == a]
-                lo[own] = a + np.searchsorted(ds[a : hi[own[0]]], d[own], "right")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lo.astype(np.int32))], [*batch.schema.names, "range"])
+                place[own] = a + np.searchsorted(ds[a : hi[own[0]]], d[own], "right")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place.astype(np.int32))], [*batch.schema.names, "range"])
 
-    return rows.mapInArrow(place, "h long, doc_id long, size long, crc long, range int")
+    return rows.mapInArrow(locate, "h long, doc_id long, size long, crc long, range int")
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, sample: int = SAMPLE) -> DataFrame:
