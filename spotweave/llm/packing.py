@@ -33,11 +33,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from spotweave.llm.text import give_back
+
 CAPACITY, END_ID = 2048, 1
 #: Penalties in ids of padding; the grid's step, and the gap between cuts from which it is used.
 SENTENCE, INSIDE, GRID, GAP = 4.0, 24.0, 16, 48
 #: Ids solved at once, and entries of the word cache.
-STRETCH, CACHE = 1 << 19, 600_000
+STRETCH, CACHE = 1 << 19, 450_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 _open: dict[str, tuple] = {}
@@ -232,6 +234,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
                 rows = []
         if rows:
             yield emit(rows)
+        give_back()
 
     def emit(rows):
         cols = list(zip(*rows, strict=True))

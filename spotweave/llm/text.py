@@ -7,6 +7,7 @@ computed for all words of a slice at once from one running sum.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,15 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Batches cut into runs of rows with about ``max_bytes`` of text; nulls in ``column`` become ''."""
     for batch in batches:
@@ -59,6 +69,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int =
             end = max(at + 1, int(np.searchsorted(size, base + max_bytes, "right")))
             yield batch.slice(at, end - at)
             at = end
+    give_back()
 
 
 def raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
