@@ -47,7 +47,7 @@ with p as (select page_id, coalesce(html, '') as html, lower(coalesce(url, '-'))
 d as (select page_id, stamp, u, octet_length(encode(html)) as payload_bytes, list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
   cast(((cast(concat('0x', substr(sha1(html), cast(i // 4 * 5 + 1 as int), 5)) as bigint) >> cast(15 - i % 4 * 5 as bigint)) & 31) + 1 as int), 1)), 'string_agg', '') as payload_digest from p),
 g as (select *, max(page_id) over (partition by payload_digest) as best from d),
-k as (select *, concat(list_aggregate(list_reverse(string_split(regexp_extract(u, '^[a-z]+://([^/?#:]*)', 1), '.')), 'string_agg', ','), ')', case when regexp_extract(u, '^[a-z]+://[^/?#]*([^?#]*)', 1) = '' then '/' else regexp_extract(u, '^[a-z]+://[^/?#]*([^?#]*)', 1) end,
+k as (select *, concat(list_aggregate(list_reverse(string_split(regexp_extract(u, '^[a-z]+://([^/?#:]*)', 1), '.')), 'string_agg', ','), ')', case when regexp_extract(u, '^(?:[a-z]+://[^/?#]*)?([^?#]*)', 1) = '' then '/' else regexp_extract(u, '^(?:[a-z]+://[^/?#]*)?([^?#]*)', 1) end,
   case when regexp_extract(u, '\\?([^#]*)', 1) <> '' then concat('?', regexp_extract(u, '\\?([^#]*)', 1)) else '' end) as url_key from g)
 select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest, case when page_id = best then 'response' else 'revisit' end as record_type, case when page_id <> best then best end as refers_to,
 url_key, stamp, cast(row_number() over (order by url_key, stamp, page_id) - 1 as bigint) as position from k"""

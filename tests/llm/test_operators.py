@@ -1,0 +1,378 @@
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from spotweave.llm import mixing, nearest, oracles, packing, quality, secrets, sharding, token_counts, topk, warc
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, size string, h string, range string, record string"
+PAD = ("L", None, "R", None)
+
+
+def documents(spark, rows):
+    """(doc_id, text[, source]) with the columns of documents and some whose names the operators use themselves."""
+    full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or ""), *PAD) for r in rows]
+    return spark.createDataFrame(full, DOC).repartition(4)
+
+
+def prose(seed, n):
+    r = random.Random(seed)
+    words = ["the", "of", "and", "orange", "tion", "éau", "sentence", "Thor", "x1", "don't"]
+    return [" ".join(r.choices(words, k=r.choice([0, 1, 4, 30, 200]))) + r.choice(["", ".", "\nmore."]) for _ in range(n)]
+
+
+ODD = [(1000, None), (1001, ""), (1002, " \n"), (1003, "same"), (1004, "same"), (1004, "same"), (1005, "word " * 30_000), (None, "no id")]
+
+
+def sql_rows(docs, sql, name="documents"):
+    con = duckdb.connect()
+    frame = docs.toArrow()  # noqa: F841 (read by the view)
+    con.execute(f"create table {name} as select * from frame")
+    got = con.execute(sql)
+    names = [c[0] for c in got.description]
+    return [dict(zip(names, r, strict=True)) for r in got.fetchall()]
+
+
+def same(spark_df, want):
+    cols = sorted(spark_df.columns)
+    key = lambda rows: sorted([tuple(r[c] for c in cols) for r in rows], key=repr)
+    assert key(spark_df.collect()) == key(want)
+
+
+# Quality ------------------------------------------------------------------------
+
+
+def test_statistics_of_odd_texts():
+    import pyarrow as pa
+
+    x = quality.statistics(pa.array(["", "Abc abc abc.\n", "é!", "word " * 1000], pa.large_string()))
+    assert x.shape == (4, len(quality.NAMES)) and np.isfinite(x).all() and (x[0] == 0).all()
+    at = dict(zip(quality.NAMES, x[1], strict=True))
+    assert np.isclose(at["log_words"], np.log1p(3)) and np.isclose(at["distinct"], 2 / 3) and np.isclose(at["upper"], 1 / 13)
+
+
+def test_isotonic_against_brute_force():
+    r = np.random.default_rng(0)
+    y, w = r.random(60), r.integers(1, 9, 60).astype(float)
+    at, level = quality.isotonic(np.arange(60.0), w, y)
+    # Min-max formula of the isotonic fit.
+    fit = [max(min(np.average(y[a : b + 1], weights=w[a : b + 1]) for b in range(i, 60)) for a in range(i + 1)) for i in range(60)]
+    assert (np.diff(level) >= 0).all() and np.allclose(sorted(set(np.round(fit, 9))), sorted(set(np.round(level, 9))))
+    assert len(at) == len(level)
+
+
+def test_classifier_on_held_out_documents(spark):
+    r = random.Random(2)
+    good = ["the quick orange of and sentence".split(), "tion of the and".split()]
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 3 == 0
+        w = r.choices(r.choice(good), k=r.randrange(20, 80))
+        rows.append((i, " ".join(x + "###" for x in w) if bad else " ".join(w) + "."))
+        labels.append((i, 0 if bad else 1))
+    labels += [(0, None), (1, 7)]
+    got = quality.score_documents(documents(spark, rows + ODD), spark.createDataFrame(labels, "doc_id long, quality int")).toPandas()
+    assert len(got) == 600 + len(ODD) and got["score"].between(0, 1).all()
+    own = got[got["doc_id"].lt(600) & got["held_out"]]
+    assert len(own) > 60 and ((own["doc_id"] % 3 != 0) == (own["predicted"] == 1)).all()
+    assert all(h == (zlib.crc32(str(int(d)).encode()) % 5 == 0) for d, h in zip(got["doc_id"], got["held_out"], strict=True) if d == d)
+    kept = quality.keep_good(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert 380 <= kept.count() <= 420 and kept.columns == documents(spark, rows).columns
+
+
+def test_classifier_without_labels_or_rows(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r["score"] for r in quality.score_documents(documents(spark, ODD), none).collect()} == {0.5}
+    assert quality.score_documents(documents(spark, []), none).count() == 0
+
+
+# Mixing -----------------------------------------------------------------------------
+
+
+def test_mix_against_sql(spark):
+    rows = [(i, t, random.Random(i).choice(["a", "b", "ä", "Z", None, "a", "a"])) for i, t in enumerate(prose(1, 300))]
+    docs = documents(spark, rows + [(d, t, "odd") for d, t in ODD])
+    out = mixing.mix_sources(docs)
+    same(out, sql_rows(docs, oracles.MIX))
+    got = out.toPandas()
+    assert np.isclose(got.groupby("source", dropna=False)["target"].first().sum(), got["size"].sum())
+    assert (got["taken"] <= 3 * got["size"]).all()
+    for _, s in got.groupby("source", dropna=False):
+        assert abs(s["taken"].sum() - s["target"].iloc[0]) <= s["size"].max() / 2 + 1
+    assert mixing.mix_sources(documents(spark, [])).count() == 0
+
+
+def test_mixed_documents_are_repeated(spark):
+    docs = documents(spark, [(1, "a b c", "x"), (2, "d e", "y"), (3, None, "y")])
+    times = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mix_sources(docs).where("size > 0").collect()}
+    got = {r["doc_id"]: r["count"] for r in mixing.mixed_documents(docs).groupBy("doc_id").count().collect()}
+    assert got == {k: v for k, v in times.items() if v}
+
+
+# Sharding -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("ranges,sample", [(768, 24_576), (6, 40)])
+def test_shards_against_sql(spark, ranges, sample):
+    texts = prose(3, 400)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5000 + i, "a hot text " * 40) for i in range(200)] + [x for x in ODD if x[0]]
+    docs = documents(spark, rows)
+    out = sharding.shard_by_bytes(docs, ranges=ranges, sample=sample)
+    same(out, sql_rows(docs, oracles.SHARD))
+    got = out.toPandas()
+    assert all(sorted(g["slot"]) == list(range(len(g))) for _, g in got.groupby("shard"))
+
+
+def test_shards_of_nothing_and_files(spark, tmp_path):
+    assert sharding.shard_by_bytes(documents(spark, [])).count() == 0
+    docs = documents(spark, ODD)
+    sharding.write_shards(docs, str(tmp_path / "s"), 3)
+    assert spark.read.parquet(str(tmp_path / "s")).count() == len(ODD)
+
+
+# Nearest and top-k -----------------------------------------------------------------------
+
+BROKEN = [(7001, None), (7002, [0.0] * 8), (7003, [1.0] * 7 + [None]), (7004, [1.0] * 7 + [float("nan")]), (7005, [float("inf")] * 8), (7006, [1.0] * 3), (7007, [])]
+
+
+def vectors(spark, x, extra=()):
+    return spark.createDataFrame([(i, [float(v) for v in row], 1) for i, row in enumerate(x)] + [(i, v, 1) for i, v in extra], "vec_id long, embedding array<float>, score int").repartition(3)
+
+
+def test_nearest_recall_and_ties(spark):
+    r = np.random.default_rng(1)
+    x = r.normal(size=(1500, 8)).astype(np.float32)
+    x[1000:1400] = x[50]
+    got = nearest.nearest(vectors(spark, x, BROKEN)).toPandas()
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    hits = total = 0
+    for q in range(0, 1500, 50):
+        s = u @ u[q]
+        s[q] = -9
+        best = np.lexsort((np.arange(1500), -np.round(s, 12)))[:5]
+        own = got[got["query_id"] == q].sort_values("rank")
+        assert list(own["rank"]) == [1, 2, 3, 4, 5]
+        assert np.allclose(own["score"], s[own["vec_id"].to_numpy()], atol=1e-12)
+        hits += len(set(best) & set(own["vec_id"]))
+        total += 5
+    assert hits / total >= 0.9
+    assert list(got[got["query_id"] == 50].sort_values("rank")["vec_id"]) == [1000, 1001, 1002, 1003, 1004]
+
+
+def test_nearest_of_few(spark):
+    got = nearest.nearest(vectors(spark, np.eye(8)[:3], BROKEN)).toPandas()
+    assert list(got["vec_id"]) == [1, 2] and list(got["query_id"]) == [0, 0]
+    assert nearest.nearest(vectors(spark, [], BROKEN[:1])).count() == 0
+
+
+def test_multi_sequence_walks_in_order():
+    r = np.random.default_rng(3)
+    a, b = r.random(6), r.random(7)
+    got = nearest.multi_sequence(a, b, np.ones((6, 7), int), 42)
+    sums = [a[i] + b[j] for i, j in got]
+    assert sums == sorted(sums) and len(set(got)) == 42
+
+
+def test_top_products_against_brute_force(spark):
+    r = np.random.default_rng(2)
+    x = r.normal(size=(600, 40)).astype(np.float32)
+    x[300:330] = x[0]
+    got = topk.top_products(vectors(spark, x, [(7000, [0.0] * 40), (7001, None), (7002, [float("nan")] * 40), (7003, [1.0])])).toPandas()
+    q = np.vstack((np.floor(256 * x.astype(float)).astype(int), np.zeros((1, 40), int)))
+    ids = np.array([*range(600), 7000])
+    for i in np.flatnonzero(ids % 50 == 0):
+        s = (q @ q[i]).astype(float)
+        s[i] = -1e18
+        best = np.lexsort((ids, -s))[:5]
+        own = got[got["query_id"] == ids[i]].sort_values("rank")
+        assert list(own["vec_id"]) == list(ids[best]) and list(own["score"]) == [int(v) for v in s[best]]
+
+
+def test_top_products_of_huge_components():
+    x = topk.quantised(np.array([[2.0**30, 1.0], [2.0**30, -1.0], [1.0, 1.0]]))
+    got = topk.search_block(x[:1], np.array([0]), x.T, np.arange(3), 5)
+    assert got == [(0, 1, (2**38) ** 2 - 2**16), (0, 2, 2**46 + 2**16)]
+
+
+# Tokens -------------------------------------------------------------------------------------
+
+
+def test_sections_against_brute_force(spark):
+    rows = [(i, t + "\n\n  x" * (i % 3)) for i, t in enumerate(prose(5, 60))] + [x for x in ODD if x[0]]
+    enc, _ = token_counts.tokenizer(token_counts.default_tokenizer())
+    got = {}
+    for r in token_counts.section_tokens(documents(spark, rows)).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    for d, t in rows:
+        ids, at, want = enc.encode_ordinary(t or ""), 0, {}
+        data = (t or "").encode()
+        for i in ids:
+            line = data[:at].count(b"\n")
+            want[line] = want.get(line, 0) + 1
+            at += len(enc.decode_single_token_bytes(i))
+        for copy in range(0, len(got[d]), max(r["section"] for r in got[d]) + 1):
+            own = [r for r in got[d]][copy : copy + max(r["section"] for r in got[d]) + 1]
+            assert {r["section"]: r["tokens"] for r in own if r["tokens"]} == want and own[0]["doc_tokens"] == len(ids)
+
+
+def test_crossing_rules():
+    sizes, bounds = np.array([3, 4, 2]), np.array([0, 5, 9])
+    take = lambda rule: [x.tolist() for x in token_counts.attribute(sizes, bounds, rule)]
+    assert take("start") == [[2, 1], [1, 0]] and take("end") == [[1, 2], [1, 0]] and take("most") == [[2, 1], [1, 0]]
+
+
+# Secrets --------------------------------------------------------------------------------------
+
+
+def test_secrets_against_sql(spark):
+    key, weak = "AKIA" + "ABCD1234" * 2, "abcdEFGH0123" * 3 + "wxyz"
+    texts = [
+        'é password: "hunter22" and Token=abc', "api_key='abcdef123' APIKEY = zzzzzz", key + " " + key[:12], "0123456789abcdef" * 3 + " deadbeefdeadbeef", f"{key} then {weak} at https://s3.example.com/x",
+        f"{weak} alone https://s3.example.com", f"{key}" + " x" * 300 + weak, 'secret=token": "abcdefgh"', "secret_token=password=abcdefgh;", f"ASIA{'Q' * 16} secret: s3cr3t-value", "x" * 50_000 + f" {key} " + "y" * 50_000,
+    ]
+    docs = documents(spark, list(enumerate(texts)) + ODD)
+    out = secrets.find_secrets(docs)
+    same(out, sql_rows(docs, oracles.secret_sql()))
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert "weak_secret" in got[4]["spans"] and "endpoint" in got[4]["spans"]
+    assert not any(w in got[i]["spans"] for i in (5, 6) for w in ("weak", "endpoint"))
+    plan = secrets.base_spans(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_redaction(spark):
+    docs = documents(spark, [(1, 'a password="hunter22" b'), (2, "clean"), (3, None), (4, "token=deadbeefdeadbeefdeadbeef")])
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in secrets.redact(docs).collect()}
+    assert got == {1: ('a [secret]" b', 13), 2: ("clean", 5), 3: (None, 0), 4: ("[secret]", 8)}
+
+
+# WARC --------------------------------------------------------------------------------------------
+
+
+def test_archives_against_sql(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_RECORDS", 7)
+    html = ["<p>é</p>", "", "x\r\n\r\nWARC/1.1\r\n", "<p>é</p>", None, "end\r\n\r\n", "big " * 60_000]
+    rows = [(i, f"http://{'ABC'[i % 3]}.Example.org:80/p{i % 5}?q={i % 2}#f" if i % 9 else None, html[i % len(html)], "w") for i in range(80)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string").repartition(4)
+    out = warc.archive_and_index(pages)
+    same(out, sql_rows(pages, oracles.WARC, "pages"))
+    small = warc.archive_and_index(pages, least_bytes=1000).toPandas()
+    assert set(small[small["record_type"] == "revisit"]["payload_bytes"]) == {240_000}
+    assert warc.archive_and_index(pages.limit(0)).count() == 0
+
+
+def test_loser_tree():
+    r = random.Random(6)
+    for k in range(1, 9):
+        runs = [sorted(r.choices(range(50), k=r.randrange(0, 20))) for _ in range(k)]
+        assert list(warc.LoserTree(runs)) == sorted(sum(runs, []))
+    assert list(warc.LoserTree([])) == []
+
+
+def test_many_ranges_give_one_order(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 4}.org/{i % 3}", f"t{i % 11}") for i in range(300)]
+    path = warc.fresh_path(spark, "t")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), path)
+    got = warc.merged_index(warc.read_warc(spark, path), range_rows=20).orderBy("position").collect()
+    keys = [(r["url_key"], r["stamp"], r["page_id"]) for r in got]
+    assert keys == sorted(keys) and [r["position"] for r in got] == list(range(300))
+
+
+# Packing --------------------------------------------------------------------------------------------
+
+
+def test_tokens_equal_the_tokenizers(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    texts = [*prose(8, 80), "H̱e Á Thor,### <|ENDOFTEXT|> x.<|endoftext|>, y", "É. Él! it's, 12.5. a|b ΑΣ. ×. \x1c x\x1cy.\n\nA.\r\n", "İ. K. ﬁ. Ǆ. 2². ½.", "", "word " * 5000]
+    own = packing.tokenizer(packing.default_tokenizer())
+    for t, ids in zip(texts, own.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_pieces_are_an_exact_partition(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    rows = [(i, t) for i, t in enumerate(prose(9, 300))] + [x for x in ODD if x[0]] * 1
+    got = packing.pack_documents(documents(spark, rows), with_ids=True).toPandas()
+    texts = {}
+    for d, t in rows:
+        texts.setdefault(d, []).append(t)
+    for d, ts in texts.items():
+        own = got[got["doc_id"] == d]
+        ids = tok.encode(ts[0] or "", add_special_tokens=False).ids + [1]
+        assert (own["doc_tokens"] == len(ids)).all() and own["length"].sum() == len(ids) * len(ts)
+        for _, p in own.iterrows():
+            assert list(p["ids"]) == ids[p["start"] : p["start"] + p["length"]]
+            assert p["ids_crc32"] == zlib.crc32(np.array(p["ids"], "<u4").tobytes())
+    for _, s in got.groupby("sequence_id"):
+        s = s.sort_values("offset")
+        assert s["length"].sum() <= 2048 and (s["offset"].to_numpy() == np.concatenate(([0], s["length"].cumsum()[:-1]))).all()
+    assert packing.pack_documents(documents(spark, [])).count() == 0
+
+
+def test_cuts_against_brute_force():
+    r = np.random.default_rng(4)
+    for _ in range(30):
+        ids = r.integers(0, 3, r.integers(1, 60))
+        ends = np.unique(np.append(r.integers(1, len(ids) + 1, 3), len(ids)))
+        at, pen = packing.candidates(ids, ends, np.array([False, True, False, False]))
+        cost = {0: 0.0}
+        for j in range(1, len(at)):
+            cost[j] = min((cost[i] + pen[j] + 12 - (at[j] - at[i]) for i in range(j) if at[j] - at[i] <= 12 and i in cost), default=np.inf)
+        if not np.isfinite(cost[len(at) - 1]):
+            continue
+        cuts = packing.best_cuts(at, pen, 12)
+        own = sum(pen[np.searchsorted(at, c)] + 12 - (c - p) for p, c in zip([0, *cuts], cuts, strict=False))
+        assert np.isclose(own, cost[len(at) - 1]) and cuts[-1] == len(ids)
+
+
+def test_stretches_join_without_loss():
+    docs = [(i, np.arange(n, dtype=np.uint32)) for i, n in enumerate([5, 5000, 1, 1, 3000, 700])]
+    got = list(packing.pack_stream(iter(docs), np.zeros(10, bool), 256, 1024))
+    for d, ids in docs:
+        own = [g for g in got if g[0] == d]
+        assert np.concatenate([g[2] for g in own]).tolist() == ids.tolist() and all(g[1] == g[2][0] for g in own)
+    assert max(sum(len(g[2]) for g in got if g[4] == s) for s in {g[4] for g in got}) <= 256
+
+
+# Pipeline ----------------------------------------------------------------------------------------------
+
+
+def test_pipeline_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(3)
+    vocab = [f"w{i}" for i in range(500)]
+    rows, labels = [], []
+    for i in range(400):
+        w = r.choices(vocab, k=60)
+        if i % 8 == 1:
+            w = [x.removesuffix("%%%").removesuffix("token=abcdefgh1234") for x in rows[-1][1].split()[:59]] + ["other"]
+        bad = i % 5 == 4
+        rows.append((i, " ".join(x + "%%%" for x in w) if bad else " ".join(w) + (" token=abcdefgh1234" if i % 10 == 0 else "")))
+        labels.append((i, 0 if bad else 1))
+    d = str(tmp_path)
+    spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, d).cache()
+        seen[name] = docs
+        if name != "packing":
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    bad = {i for i, y in labels if not y}
+    assert not bad & {x["doc_id"] for x in seen["quality"].collect()}
+    from test_ngram_join import brute
+
+    kept = sorted((x["doc_id"], x["text"]) for x in seen["quality"].collect())
+    assert {x["doc_id"] for x in seen["near_duplicates"].collect()} == {c for _, _, c in brute(kept)}
+    assert not any(re.search("token=", x["text"]) for x in seen["secrets"].collect())
+    assert {x["doc_id"] for x in seen["packing"].collect()} == {x["doc_id"] for x in seen["mixing"].collect()}
