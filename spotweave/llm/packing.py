@@ -39,7 +39,7 @@ CAPACITY, END_ID = 2048, 1
 #: Penalties in ids of padding; the grid's step, and the gap between cuts from which it is used.
 SENTENCE, INSIDE, GRID, GAP = 4.0, 24.0, 16, 48
 #: Ids solved at once, and entries of the word cache.
-STRETCH, CACHE = 1 << 19, 450_000
+STRETCH, CACHE = 1 << 19, 600_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 _open: dict[str, tuple] = {}
@@ -108,7 +108,7 @@ class WordTokenizer:
             new = every.difference(self.words)
             if new:
                 if len(self.words) > CACHE:  # short words recur most
-                    kept = {w: v for w, v in self.words.items() if len(w) < 7}
+                    kept = {w: v for w, v in self.words.items() if len(w) < 9}
                     self.words = kept if len(kept) < CACHE // 2 else {}
                     new = every.difference(self.words)
                 self._learn(new)
