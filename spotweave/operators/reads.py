@@ -13,10 +13,8 @@ from spotweave.functions import alignment as al
 from spotweave.functions import sequences as sq
 
 
-def read_qc(reads: DataFrame, compat: bool = False) -> DataFrame:
-    """Length, composition, ends and longest homopolymer of each read."""
-    return reads.select(
-        F.col("read_id").alias("Read_ID"),
+def _qc_columns(compat: bool = False) -> list[Column]:
+    return [
         F.length("seq").alias("Read_Length"),
         sq.gc_pct("seq").alias("GC_Percent"),
         sq.purine_pct("seq").alias("Purine_Percent"),
@@ -24,21 +22,25 @@ def read_qc(reads: DataFrame, compat: bool = False) -> DataFrame:
         sq.last_base("seq").alias("Last_Base"),
         sq.homopolymer_max("seq").alias("Longest_Homopolymer"),
         sq.homopolymer_base("seq", compat).alias("Homopolymer_Base"),
-    )
+    ]
 
 
-def alignment_qc(alignments: DataFrame, tags: list[str] = ()) -> DataFrame:
-    """Read QC of alignments with flag bits and chosen tags; reads without sequence are dropped."""
-    flag = F.col("flag")
-    base = read_qc(alignments.where("length(seq) > 0").withColumnRenamed("qname", "read_id")).drop("Purine_Percent")
-    extra = alignments.where("length(seq) > 0").select(
+def read_qc(reads: DataFrame, compat: bool = False) -> DataFrame:
+    """Length, composition, ends and longest homopolymer of each read."""
+    return reads.select(F.col("read_id").alias("Read_ID"), *_qc_columns(compat))
+
+
+def alignment_qc(alignments: DataFrame, tags: list[str] = (), compat: bool = False) -> DataFrame:
+    """Read QC of each alignment with flag bits and chosen tags; alignments without sequence are dropped."""
+    bit = lambda n: F.getbit("flag", F.lit(n)).cast("boolean")
+    return alignments.where("length(seq) > 0").select(
         F.col("qname").alias("Read_ID"),
-        F.getbit(flag, F.lit(2)).cast("boolean").alias("is_unmapped"),
-        F.getbit(flag, F.lit(1)).cast("boolean").alias("is_proper_pair"),
-        F.getbit(flag, F.lit(8)).cast("boolean").alias("is_secondary"),
+        *_qc_columns(compat),
+        bit(2).alias("is_unmapped"),
+        bit(1).alias("is_proper_pair"),
+        bit(8).alias("is_secondary"),
         *[F.col("tags")[t]["value"].alias(t) for t in tags],
-    )
-    return base.join(extra, "Read_ID")
+    ).drop("Purine_Percent")
 
 
 # Orientation --------------------------------------------------------------

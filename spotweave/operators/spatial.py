@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotweave.sources.scratch import shared_folder
+
 
 def close_pairs(points: DataFrame, distance: float, key: str = "cell") -> DataFrame:
     """(a, b) with a distance below ``distance``, each point with itself too: an equi-join on 3 x 3 grid cells."""
@@ -23,8 +25,7 @@ def neighbour_counts(points: DataFrame, distance: float, key: str = "cell") -> D
 
 def drop_singlets(points: DataFrame, distance: float, more_than: int, rounds: int = 10, key: str = "cell") -> DataFrame:
     """Points with more than so many within ``distance`` (themselves included), again until none goes or after ``rounds``."""
-    if not points.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        points.sparkSession.sparkContext.setCheckpointDir(points.sparkSession.conf.get("spark.checkpoint.dir", "/tmp/spotweave-checkpoints"))
+    shared_folder(points.sparkSession)
     now = points.checkpoint()
     n = now.count()
     for _ in range(rounds):

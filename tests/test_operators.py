@@ -229,3 +229,13 @@ def test_recipe(spark):
     with pytest.raises(FileNotFoundError):
         config.check_samples([{"sampleID": "a", "recipe": "s", "fastq_R1": "x.fq.gz", "fastq_R2": "y.fq.gz", "BC_map": "m"}], {"s"}, exists=lambda f: False)
     assert config.whitelist_files("seeker_std", True, "ONT") == ["whitelist.txt"] and config.whitelist_files("x_matchLinker", False, "ILMN") == ["whitelist_uniq_1.txt", "whitelist_uniq_2.txt"]
+
+
+def test_alignment_qc_keeps_one_row_an_alignment(spark):
+    from spotweave.operators import tags as tg
+    from spotweave.operators.reads import alignment_qc
+
+    rows = [("r1", 0, "AACCCG"), ("r1", 256, "AACCCG"), ("r2", 4, "T"), ("r3", 0, "")]
+    df = tg.with_tag(spark.createDataFrame(rows, "qname string, flag int, seq string").withColumn("tags", F.expr(f"cast(map() as {tg.TAGS})")), "CB", F.col("qname"))
+    out = sorted(alignment_qc(df, ["CB"]).collect(), key=lambda r: (r["Read_ID"], r["is_secondary"]))
+    assert [(r["Read_ID"], r["is_secondary"], r["is_unmapped"], r["Longest_Homopolymer"], r["CB"]) for r in out] == [("r1", False, False, 3, "r1"), ("r1", True, False, 3, "r1"), ("r2", False, True, 1, "r2")]
