@@ -376,3 +376,13 @@ def test_pipeline_stages(spark, tmp_path):
     assert {x["doc_id"] for x in seen["near_duplicates"].collect()} == {c for _, _, c in brute(kept)}
     assert not any(re.search("token=", x["text"]) for x in seen["secrets"].collect())
     assert {x["doc_id"] for x in seen["packing"].collect()} == {x["doc_id"] for x in seen["mixing"].collect()}
+
+
+def test_secrets_in_a_text_of_many_blocks(spark):
+    import re
+
+    n = 3 * secrets.BLOCK + 7
+    text = "".join(f"é password=abcdef{i} https://x.y " for i in range(n))
+    want = ",".join(f"assign:{m.start()}:{m.end()}" for m in re.finditer(r"password=[a-z0-9]+", text))
+    row = secrets.find_secrets(documents(spark, [(1, text)])).first()
+    assert row["n_assign"] == n and row["spans"] == want
