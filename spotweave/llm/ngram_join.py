@@ -148,7 +148,10 @@ def choose_boundary(by_size, num: int, den: int) -> int:
 
 
 def postings(classes: DataFrame, boundary: int, num: int, den: int, total: np.ndarray) -> DataFrame:
-    """(key, part, cls, n, pos, k, cent): a row for each 2-subset of a light prefix and each token of a scanned one."""
+    """(key, part, parts, cls, n, pos, k, cent): a row for each 2-subset of a light prefix and each token of a scanned one.
+
+    A list is dealt over ``parts`` tasks; ``part`` is the one of the row.
+    """
     pairs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     lowest = need_own(boundary + 1, num, den)
     spark = classes.sparkSession
@@ -166,7 +169,7 @@ def postings(classes: DataFrame, boundary: int, num: int, den: int, total: np.nd
                 col = batch.column("keys")
                 off = col.offsets.to_numpy()
                 flat = col.values.to_numpy().view(np.uint64)
-                key, pos, k, row, part = [], [], [], [], []
+                key, pos, k, row, part, parts = [], [], [], [], [], []
                 for i in range(len(size)):
                     n, own = int(size[i]), flat[off[i] : off[i + 1]]
                     if n == 0:
@@ -180,15 +183,16 @@ def postings(classes: DataFrame, boundary: int, num: int, den: int, total: np.nd
                         k.append(np.full(len(a), 2))
                         row.append(np.full(len(a), i))
                         rows = total[(own & mask).astype(np.int64)]
-                        part.append(np.int64(cls[i] & 0x7FFFFFFF) % (np.minimum(rows[a], rows[b]) // LIST_ROWS + 1))
+                        parts.append(np.minimum(rows[a], rows[b]) // LIST_ROWS + 1)
+                        part.append(np.int64(cls[i] & 0x7FFFFFFF) % parts[-1])
                     if n > boundary or n >= lowest:
                         p = n - need_own(n, num, den) + 1
                         key.append(own[:p])
                         pos.append(np.arange(p))
                         k.append(np.ones(p, np.int64))
                         row.append(np.full(p, i))
-                        split = total[(own[:p] & mask).astype(np.int64)] // LIST_ROWS + 1
-                        part.append(np.int64(cls[i] & 0x7FFFFFFF) % split)
+                        parts.append(total[(own[:p] & mask).astype(np.int64)] // LIST_ROWS + 1)
+                        part.append(np.int64(cls[i] & 0x7FFFFFFF) % parts[-1])
                 if not key:
                     continue
                 row = np.concatenate(row)
@@ -196,17 +200,18 @@ def postings(classes: DataFrame, boundary: int, num: int, den: int, total: np.nd
                     [
                         pa.array(np.concatenate(key).view(np.int64)),
                         pa.array(np.concatenate(part).astype(np.int32)),
+                        pa.array(np.concatenate(parts).astype(np.int32)),
                         pa.array(cls[row]),
                         pa.array(size[row].astype(np.int32)),
                         pa.array(np.concatenate(pos).astype(np.int32)),
                         pa.array(np.concatenate(k).astype(np.int8)),
                         pa.array(cent[row].astype(np.float32)),
                     ],
-                    ["key", "part", "cls", "n", "pos", "k", "cent"],
+                    ["key", "part", "parts", "cls", "n", "pos", "k", "cent"],
                 )
 
     return classes.select("cls", "n", "cent", "keys").mapInArrow(
-        make, "key long, part int, cls long, n int, pos int, k byte, cent float"
+        make, "key long, part int, parts int, cls long, n int, pos int, k byte, cent float"
     )
 
 
@@ -306,7 +311,8 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     lists = (
         posts.withColumn("centre", F.first(member).over(near))
         .withColumn("others", F.coalesce(F.lag("cls").over(near), F.lead("cls").over(near)))
-        .where("others is not null or part > 0")
+        # A row alone in its part can still have partners in the list's other parts.
+        .where("others is not null or parts > 1")
         .drop("others", "cent")
     )
     lists = written(lists, "lists")

@@ -1,6 +1,7 @@
 import random
 import re
 
+from spotweave.llm import ngram_join
 from spotweave.llm import text as tx
 from spotweave.llm.ngram_join import ngram_jaccard_join, need
 
@@ -92,3 +93,14 @@ def test_long_texts_are_hashed_in_pieces(monkeypatch):
     monkeypatch.setattr(tx, "PIECE", 100)
     b = tx.word_hashes(data, off)
     assert (a[0] == b[0]).all() and (a[1] == b[1]).all() and len(set(a[0].tolist())) == 3
+
+
+def test_lists_dealt_over_parts_lose_no_one(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LIST_ROWS", 3)
+    rows = []
+    for g in range(30):
+        w = [f"g{g}x{i}" for i in range(60)]
+        rows += [(100 * g + i, " ".join(w)) for i in range(4)] + [(100 * g + 9, " ".join(w[:-1] + ["other"]))]
+    assert got(spark, rows) == brute(rows)
+    rows = corpus(2)
+    assert got(spark, rows) == brute(rows)
