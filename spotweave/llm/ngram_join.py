@@ -18,7 +18,9 @@ change a component is missed, and a group of near copies costs linear work.
 
 Edge cases: null or empty text has the empty set, links with nothing and is
 its own component; repeated rows are returned once each; 1 to n-1 words form
-one shingle; extra columns are ignored; an empty table gives no rows.
+one shingle; extra columns are ignored; an empty table gives no rows.  Rows
+without a doc_id link by their text as others do; a component is named by its
+least doc_id, and by null only where no row of it has one.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ SKETCH = 256
 MAX_LIGHT = 160
 #: Lists estimated longer than this are dealt over several tasks before they are scanned.
 LIST_ROWS = 50_000
+#: What identifies the text of a row without a doc_id.
+TID = "case when doc_id is null then xxhash64(text) end"
 
 
 def _sets(slices, n):
@@ -82,7 +86,10 @@ def histogram(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def shingle_classes(docs: DataFrame, n: int, num: int, den: int, total: np.ndarray) -> DataFrame:
-    """(doc_id, n, cls, cent, hot, keys, sketch): set size, class, mean token rank, estimated list length, ordered prefix for k = 2."""
+    """(doc_id, tid, n, cls, cent, hot, keys, sketch): set size, class, mean token rank, estimated list length, ordered prefix for k = 2.
+
+    ``tid`` is a hash of the text, which stands for the doc_id of a row that has none.
+    """
     spark = docs.sparkSession
     mask = np.uint64(len(total) - 1)
     rank = np.empty(len(total), np.uint16)
@@ -110,6 +117,7 @@ def shingle_classes(docs: DataFrame, n: int, num: int, den: int, total: np.ndarr
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    batch.column("tid"),
                     pa.array(sizes),
                     pa.array(np.array([_class_of(s) for s in sets], np.int64)),
                     pa.array(np.array(cent, np.float32)),
@@ -117,11 +125,11 @@ def shingle_classes(docs: DataFrame, n: int, num: int, den: int, total: np.ndarr
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     pa.array(sketch, pa.binary()),
                 ],
-                ["doc_id", "n", "cls", "cent", "hot", "keys", "sketch"],
+                ["doc_id", "tid", "n", "cls", "cent", "hot", "keys", "sketch"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        make, "doc_id long, n int, cls long, cent float, hot float, keys array<long>, sketch binary"
+    return docs.select("doc_id", "text", F.expr(TID).alias("tid")).mapInArrow(
+        make, "doc_id long, tid long, n int, cls long, cent float, hot float, keys array<long>, sketch binary"
     )
 
 
@@ -248,8 +256,9 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int,
 
     pairs = written(both.select("u", "v", "nu", "nv", "su", "sv").mapInArrow(prune, "u long, v long"), "pairs")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
-    wanted = written(wanted.join(reps.select("cls", "doc_id"), "cls"), "wanted")
-    few = wanted.select("doc_id").distinct()
+    wanted = written(wanted.join(reps.select("cls", "doc_id", "tid"), "cls"), "wanted")
+    few = wanted.where("doc_id is not null").select("doc_id").distinct()
+    bare = wanted.where("doc_id is null").select("tid").distinct()
 
     def make(batches):
         for batch, sets in _sets(tx.text_slices(batches, "text"), n):
@@ -261,11 +270,12 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int,
                 ["cls", "tokens"],
             )
 
-    sets = (
-        docs.select("doc_id", "text")
-        .join(bounded(few), "doc_id", "left_semi")
-        .mapInArrow(make, "cls long, tokens binary")
-    )
+    texts = docs.select("doc_id", "text").join(bounded(few), "doc_id", "left_semi")
+    if not bare.isEmpty():
+        # Equal texts without a doc_id can be many; one of each is enough.
+        unnamed = docs.where("doc_id is null").select("doc_id", "text", F.expr(TID).alias("tid")).join(bounded(bare), "tid", "left_semi")
+        texts = texts.union(unnamed.dropDuplicates(["tid"]).select("doc_id", "text"))
+    sets = texts.mapInArrow(make, "cls long, tokens binary")
 
     def verify(batches):
         for whole in batches:
@@ -297,13 +307,19 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     docs = docs.select("doc_id", "text")
     total = histogram(docs, n)
     meta = written(shingle_classes(docs, n, num, den, total), "classes")
-    reps = meta.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "n")).alias("r"), F.first("hot").alias("hot"), F.first("sketch").alias("sketch"))
-    reps = written(reps.select("cls", "r.doc_id", "r.n", "hot", "sketch"), "reps")
+    # A class is represented by a row with a doc_id where it has one.
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid", "n")
+    reps = meta.where("n > 0").groupBy("cls").agg(F.min(own).alias("r"), F.first("hot").alias("hot"), F.first("sketch").alias("sketch"))
+    reps = written(reps.select("cls", "r.doc_id", "r.tid", "r.n", "hot", "sketch"), "reps")
     by_size = (
         reps.groupBy(F.least("n", F.lit(MAX_LIGHT + 1)).alias("size")).agg(F.count("*").alias("c"), F.sum("hot").alias("h")).collect()
     )
     boundary = choose_boundary([(r["size"], r["c"], r["h"]) for r in by_size], num, den)
-    one = meta.join(reps.select("cls", "doc_id", "n"), ["cls", "doc_id", "n"], "left_semi").dropDuplicates(["cls", "doc_id"])
+    m, r = meta.alias("m"), reps.alias("r")
+    same = (F.col("m.cls") == F.col("r.cls")) & (F.col("m.n") == F.col("r.n"))
+    for c in ("doc_id", "tid"):
+        same &= F.col(f"m.{c}").eqNullSafe(F.col(f"r.{c}"))
+    one = m.join(r, same, "left_semi").dropDuplicates(["cls", "doc_id"])
     posts = postings(one, boundary, num, den, total)
 
     near = Window.partitionBy("key", "part").orderBy(F.desc("cent"), "cls")

@@ -104,3 +104,17 @@ def test_lists_dealt_over_parts_lose_no_one(spark, monkeypatch):
     assert got(spark, rows) == brute(rows)
     rows = corpus(2)
     assert got(spark, rows) == brute(rows)
+
+
+def test_rows_without_an_id_link_by_their_text(spark):
+    w = [f"v{i}" for i in range(60)]
+    text, near = " ".join(w), " ".join(w[:-1] + ["other"])
+    lone = [" ".join(f"{k}{i}" for i in range(60)) for k in "pq"]
+    rows = [(None, text), (7, text), (8, text), (9, near)]
+    rows += [(None, lone[0]), (None, lone[0]), (None, lone[0].upper()), (3, lone[0] + " more"), (None, lone[1]), (None, lone[1] + " more"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(map(tuple, ngram_jaccard_join(df).collect()), key=repr)
+    want = [(None, 56, 7), (7, 56, 7), (8, 56, 7), (9, 56, 7), (None, 56, 3), (None, 56, 3), (None, 56, 3), (3, 57, 3), (None, 56, None), (None, 57, None), (None, 0, None)]
+    assert found == sorted(want, key=repr)
+    kept = sorted(map(tuple, ngram_join.one_of_each(df).collect()), key=repr)
+    assert kept == sorted([r for r in rows if r[0] in (None, 3, 7)], key=repr)
