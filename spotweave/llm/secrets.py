@@ -1,9 +1,9 @@
 """Secret scans with multipart credential linking, in native expressions only.
 
 Base spans (kinds assign, access, hex) come from three patterns over whole
-texts.  In texts that have any, weaker parts are collected too: access
-identifiers of other forms, bare 40-character secrets, short hex strings and
-endpoints.  An interval join within scopes (SCOPE code points, by bins) then
+texts.  In texts that have any, or an access identifier of another form,
+weaker parts are collected too: those identifiers, bare 40-character secrets,
+short hex strings and endpoints.  An interval join within scopes (SCOPE code points, by bins) then
 reports a weak part only when its complement is near:
 
 * weak_access near a secret (assign, hex or weak_secret);
@@ -76,7 +76,7 @@ def _shown(col: F.Column) -> F.Column:
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with base and weak span arrays; weak ones only where there is a base span."""
+    """``docs`` (doc_id, text) with base and weak span arrays; weak ones only where a base span or a weak identifier can have them linked."""
     group2 = "length(regexp_extract({m}, '" + ASSIGN.replace("\\", "\\\\").replace("'", "\\'") + "', 2)) >= 6"
     none = F.expr(f"cast(array() as {SPAN})")
     t = F.col("text")
@@ -96,7 +96,8 @@ def base_spans(docs: DataFrame) -> DataFrame:
         _plain(spans("text", WEAK_HEX, "weak_hex")),
         _plain(spans("text", ENDPOINT, "endpoint")),
     )
-    return out.withColumn("weak", F.when(F.size("base") > 0, weak).otherwise(none))
+    # Every link needs a base span or a weak_access.
+    return out.withColumn("weak", F.when((F.size("base") > 0) | t.rlike(WEAK_ACCESS), weak).otherwise(none))
 
 
 KEY = ["doc_id", "tid", "start", "kind", "stop"]
@@ -176,7 +177,7 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[secret]", scope: int = SCOPE) -> DataFrame:
     """``docs`` with every found span replaced by ``mark`` (overlapping spans by one) and, where there, n_chars counted anew."""
-    hits = scan(docs, scope).where("size(base) > 0").select("doc_id", "tid", F.array_sort(F.concat("base", "linked")).alias("spans")).dropDuplicates(["doc_id", "tid"])
+    hits = scan(docs, scope).where("size(base) > 0 or size(linked) > 0").select("doc_id", "tid", F.array_sort(F.concat("base", "linked")).alias("spans")).dropDuplicates(["doc_id", "tid"])
     hits = bounded(written(hits, "hits")).alias("h")
     new = F.expr(
         f"""aggregate(h.spans, named_struct('at', 0, 'out', ''),

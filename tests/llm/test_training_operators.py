@@ -250,6 +250,14 @@ def test_redaction(spark):
     assert got == {1: ('a [secret]" b', 13), 2: ("clean", 5), 3: (None, 0), 4: ("[secret]", 8)}
 
 
+def test_weak_parts_link_without_a_base_span(spark):
+    key, bare = "ASIA" + "Q" * 16, "abcdEFGH0123" * 3 + "wxyz"
+    docs = documents(spark, [(1, f"id {key} then {bare} end"), (2, f"id {key} alone"), (3, f"{bare} alone https://s3.example.com"), (4, key + " x" * 300 + " " + bare), (5, f"{bare} {key}")])
+    got = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"], r["spans"]) for r in secrets.find_secrets(docs).collect()}
+    assert got == {1: (0, 0, 0, "weak_access:3:23"), 2: (0, 0, 0, ""), 3: (0, 0, 0, ""), 4: (0, 0, 0, ""), 5: (0, 0, 0, "weak_access:41:61")}
+    assert {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect() if "[secret]" in r["text"]} == {1: f"id [secret] then {bare} end", 5: f"{bare} [secret]"}
+
+
 # WARC --------------------------------------------------------------------------------------------
 
 
