@@ -3,27 +3,34 @@
 Documents are tokenised, ended by one id and laid end to end in the order in
 which a task reads them.  A sequence is a window of this stream of at most
 ``capacity`` ids.  Cuts may lie at document ends (no penalty), at sentence
-ends (a small one) and, where sentences are long, at a grid (a larger one).
-With dp[j] the least padding plus penalties of cutting at j,
+ends (a small one) and, where sentences are long, at a grid (a larger one).  A
+window of n ids has padding(n) = 0 where n is a power of two, else
+capacity - n, and costs WINDOW besides, so that short ones are not made for
+nothing.  With dp[j] the least cost of cutting at j,
 
-    dp[j] = penalty[j] + capacity - j + min(dp[i] + i : j - capacity <= i < j),
+    dp[j] = penalty[j] + WINDOW + min(dp[i] + padding(j - i) : j - capacity <= i < j).
 
-a sliding-window minimum kept in a monotone queue, so a cut costs O(1).  A
-task streams: it solves a stretch of the stream, keeps the windows but the
-last ones, and carries the rest over.  No shuffle is needed; sequence ids are
-the task's number and a counter.
+Over all i, capacity - j + (dp[i] + i) is a sliding-window minimum kept in a
+monotone queue, so a cut costs O(1); the few i at which j - i is a power of two
+are looked up in a table of positions.  A task streams: it solves a stretch of
+the stream, keeps the windows but the last ones, and carries the rest over.
+
+What is left at the end of a task, ``capacity`` ids at most, is not packed
+there: the tails of all tasks are laid end to end and packed in the same way
+by a few tasks, so padding doesn't grow with the number of partitions.
+Sequence ids are a pass, the task's number and a counter.
 
 A sequence is padded to ``capacity``, except when its length is a power of two.
 
 Edge cases: null or empty text is one id, the end; a document longer than
-``capacity`` spans sequences; repeated rows are packed once each; extra
-columns are ignored; an empty table gives no rows.
+``capacity`` spans sequences; repeated rows are packed once each; a null
+doc_id stays null; extra columns are ignored; an empty table gives no rows; a
+capacity below 1 is an error.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections import deque
 
@@ -32,17 +39,23 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from spotweave.llm.text import give_back
+from spotweave.llm.common import written
+from spotweave.llm.text import give_back, raw, text_slices
 
 CAPACITY, END_ID = 2048, 1
-#: Penalties in ids of padding; the grid's step, and the gap between cuts from which it is used.
-SENTENCE, INSIDE, GRID, GAP = 4.0, 24.0, 16, 48
-#: Ids solved at once, and entries of the word cache.
-STRETCH, CACHE = 1 << 19, 600_000
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Penalties in ids of padding; ids of which one sentence end is a candidate; the grid's step, and the gap between cuts from which it is used.
+SENTENCE, INSIDE, WINDOW, SPACING, GRID, GAP = 4.0, 24.0, 8.0, 16, 16, 48
+#: Ids solved at once, ids of tails that a task packs, bytes of text tokenised at once, entries of the word cache.
+STRETCH, TAIL_IDS, SLICE, CACHE = 1 << 18, 1 << 22, 1 << 22, 400_000
+PIECES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+TAIL = "struct<doc_id:array<bigint>,start:array<bigint>,length:array<bigint>,doc_tokens:array<bigint>,ids:binary>"
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
-_open: dict[str, tuple] = {}
+_open: dict[str, WordTokenizer] = {}
 
 
 def default_tokenizer() -> str:
@@ -52,17 +65,19 @@ def default_tokenizer() -> str:
 
 
 #: Closing punctuation after a letter or digit, before white space: the tokenizer's pattern always splits there.
-CLOSING = re.compile(rb"[.,;:!?#$%&*|](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,;:!?#$%&*|]*(?=[ \t-\r])")
+CLOSING = r"([a-z0-9À-ÖØ-öø-ÿ])([.,;:!?#$%&*|]+)([ \t-\r])"
+#: Combining marks, which compose with some capitals only, and the opening of a special token's string.
+AS_THEY_ARE = r"[\x{300}-\x{37f}]|<\|"
 
 
 class WordTokenizer:
     """Whole texts to ids for tokenizers that treat words between white space apart.
 
-    Ids of words are kept in a bounded cache.  To need fewer entries, A-Z are
-    lowered first, as the tokenizer lowers them itself, and closing
-    punctuation becomes a word of its own.  Texts with combining marks (which
-    compose with some capitals only) or with the opening of a special token's
-    string are left as they are.
+    A column of texts is split into words and dictionary-encoded by Arrow; ids
+    of the distinct words come from a bounded cache, and those of the texts are
+    gathered from them.  To need fewer entries, A-Z are lowered first, as the
+    tokenizer lowers them itself, and closing punctuation becomes a word of its
+    own.  Texts with AS_THEY_ARE are split at white space only.
     """
 
     def __init__(self, path: str):
@@ -94,54 +109,95 @@ class WordTokenizer:
         for w, e in zip(todo, self.tok.encode_batch_fast(todo, add_special_tokens=False), strict=True):
             self.words[w.encode()] = np.array(e.ids, "<u4").tobytes()
 
-    def _split(self, text: bytes) -> list[bytes]:
-        if b"\xcc" in text or b"\xcd" in text or b"<|" in text:
-            return text.split()
-        return CLOSING.sub(rb" \g<0>", text.lower()).split()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        out: list[bytes] = []
-        for at in range(0, len(texts), 128):
-            split = [self._split(t) for t in texts[at : at + 128]]
-            every = set().union(*split)
-            new = every.difference(self.words)
-            if new:
-                if len(self.words) > CACHE:  # short words recur most
-                    kept = {w: v for w, v in self.words.items() if len(w) < 9}
-                    self.words = kept if len(kept) < CACHE // 2 else {}
-                    new = every.difference(self.words)
-                self._learn(new)
-            get = self.words.__getitem__
-            out += [b"".join(map(get, w)) for w in split]
-        return out
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each of some distinct words."""
+        if len(self.words) > CACHE:  # short words recur most
+            kept = {w: v for w, v in self.words.items() if len(w) < 9}
+            self.words = kept if len(kept) < CACHE // 2 else {}
+        ids = list(map(self.words.get, words))
+        if None in ids:
+            self._learn({w for w, i in zip(words, ids, strict=True) if i is None})
+            ids = list(map(self.words.__getitem__, words))
+        return ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each) of a large_string column without nulls."""
+        # Arrays of their own, without an offset: lowering a slice in Arrow gives wrong bytes.
+        data, off = raw(texts)
+        whole = lambda x: pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(off), pa.py_buffer(x))
+        texts, low = whole(np.ascontiguousarray(data)), whole(LOWER[data])
+        split = pc.replace_substring_regex(low, CLOSING, r"\1 \2\3")
+        as_is = pc.match_substring_regex(texts, AS_THEY_ARE)
+        if pc.any(as_is).as_py():
+            split = pc.if_else(as_is, texts, split)
+        words = pc.ascii_split_whitespace(split)
+        off = words.offsets.to_numpy()
+        coded = words.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
+        ids = self._ids(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        own = size[word]
+        upto = np.concatenate(([0], np.cumsum(own)))
+        at = np.repeat(start[word] - upto[:-1], own)
+        at += np.arange(upto[-1])
+        return flat[at], np.diff(upto[off - off[0]])
 
 
 def tokenizer(path: str) -> WordTokenizer:
     if path not in _open:
-        _open[path] = (WordTokenizer(path),)
-    return _open[path][0]
+        _open[path] = WordTokenizer(path)
+    return _open[path]
 
 
-def candidates(ids: np.ndarray, ends: np.ndarray, sentence_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions where the stream may be cut, from 0 to its end, and their penalties."""
+def candidates(ids: np.ndarray, ends: np.ndarray, sentence_end: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
+    """Positions where the stream may be cut, from 0 to its end and never over ``capacity`` apart, and their penalties."""
     penalty = np.full(len(ids) + 1, np.inf)
-    penalty[1:][sentence_end[np.minimum(ids, len(sentence_end) - 1)]] = SENTENCE
+    sentences = np.flatnonzero(sentence_end[np.minimum(ids, len(sentence_end) - 1)]) + 1
+    # Of the sentence ends in a run of SPACING ids the first is enough to choose from.
+    penalty[sentences[np.diff(sentences // SPACING, prepend=-1) > 0]] = SENTENCE
     penalty[ends] = 0
     penalty[0] = penalty[-1] = 0
     at = np.flatnonzero(np.isfinite(penalty))
-    wide = np.flatnonzero(np.diff(at) > GAP)
-    grid = [np.arange(at[i] + GRID, at[i + 1], GRID) for i in wide]
+    wide = np.flatnonzero(np.diff(at) > min(GAP, capacity))
+    grid = [np.arange(at[i] + min(GRID, capacity), at[i + 1], min(GRID, capacity)) for i in wide]
     if grid:
         penalty[np.concatenate(grid)] = INSIDE
         at = np.flatnonzero(np.isfinite(penalty))
     return at, penalty[at]
 
 
-def best_cuts(at: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) -> list[int]:
-    """The cuts, from the first candidate to the last, of least padding plus penalties (all but the last window are padded to capacity)."""
-    pos, pen = at.tolist(), penalty.tolist()
-    n = len(pos)
+def exact_windows(at: np.ndarray, capacity: int) -> tuple[list[int], list[int]]:
+    """(j, i), by j, of candidates that are a power of two apart, less than ``capacity``."""
+    place = np.full(at[-1] + 1, -1, np.int32)
+    place[at] = np.arange(len(at))
+    js, is_ = [], []
+    size = 1
+    while size < capacity:
+        j = np.arange(np.searchsorted(at, at[0] + size), len(at))
+        i = place[at[j] - size]
+        js.append(j[i >= 0])
+        is_.append(i[i >= 0])
+        size *= 2
+    if not js:
+        return [], []
+    j, i = np.concatenate(js), np.concatenate(is_)
+    order = np.argsort(j, kind="stable")
+    return j[order].tolist(), i[order].tolist()
+
+
+def best_cuts(at: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY, open_end: bool = False) -> list[int]:
+    """The cuts, from the first candidate to the last, of least padding plus penalties.
+
+    With an ``open_end`` the stream goes on: the cuts lead to the candidate of least cost among those of the last
+    ``capacity`` positions (the first candidate, if there are no more positions), and the last one is none.
+    """
+    if capacity < 1:
+        raise ValueError("a sequence holds one id at least")
+    pos, pen = at.tolist(), (penalty + WINDOW).tolist()
+    exact_j, exact_i = exact_windows(at, capacity)
+    exact_j.append(-1)
+    n, e = len(pos), 0
     dp, back = [0.0] * n, [0] * n
     queue = deque([(0.0 + pos[0], 0)])  # rising dp[i] + i
     for j in range(1, n):
@@ -150,99 +206,158 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) ->
         while pos[queue[0][1]] < low:
             queue.popleft()
         least, i = queue[0]
-        v = dp[j] = pen[j] + capacity - p + least
+        least += capacity - p
+        while exact_j[e] == j:
+            if dp[exact_i[e]] < least:
+                i = exact_i[e]
+                least = dp[i]
+            e += 1
+        v = dp[j] = pen[j] + least
         back[j] = i
         v += p
         while queue and queue[-1][0] >= v:
             queue.pop()
         queue.append((v, j))
     cuts, j = [], n - 1
+    if open_end:
+        j = min(range(int(np.searchsorted(at, pos[-1] - capacity)), n - 1), key=dp.__getitem__, default=0)
     while j:
         cuts.append(pos[j])
         j = back[j]
     return cuts[::-1]
 
 
-def pack_stream(docs, sentence_end: np.ndarray, capacity: int = CAPACITY, stretch: int = STRETCH):
-    """From an iterator of (doc_id, ids) to rows (doc_id, start, ids of the piece, doc_tokens, sequence), in order."""
-    held: list[list] = []  # [doc_id, start of what is held, ids, doc_tokens]
-    have, sequence = 0, 0
-
-    def solve(last: bool):
-        nonlocal held, have, sequence
-        ids = np.concatenate([h[2] for h in held])
-        ends = np.cumsum([len(h[2]) for h in held])
-        cuts = best_cuts(*candidates(ids, ends, sentence_end), capacity)
-        if not last:
-            cuts = cuts[: max(1, len(cuts) - 8)]
-        d, begin = 0, 0
-        starts = ends - [len(h[2]) for h in held]
-        for cut in cuts:
-            while begin < cut:
-                h = held[d]
-                stop = min(cut, ends[d])
-                a, b = begin - starts[d], stop - starts[d]
-                yield h[0], h[1] + int(a), h[2][a:b], h[3], sequence
-                begin = stop
-                if stop == ends[d]:
-                    d += 1
-            sequence += 1
-        rest = []
-        for k in range(d, len(held)):
-            h = held[k]
-            skip = max(0, int(begin - starts[k]))
-            if skip < len(h[2]):
-                rest.append([h[0], h[1] + skip, h[2][skip:], h[3]])
-        held, have = rest, sum(len(h[2]) for h in rest)
-
-    for doc_id, ids in docs:
-        held.append([doc_id, 0, ids, len(ids)])
-        have += len(ids)
-        while have >= stretch:
-            yield from solve(False)
-    if held:
-        yield from solve(True)
+class Stream:
+    """Parts of documents laid end to end: their doc_id, start in the document, number of ids here and in the document, and the ids."""
+
+    def __init__(self, parts: list[tuple] = ()):
+        self.parts = list(parts)
+
+    def add(self, doc_id: pa.Array, start: np.ndarray, length: np.ndarray, doc_tokens: np.ndarray, ids: np.ndarray) -> None:
+        self.parts.append((doc_id, start, length, doc_tokens, ids))
+
+    def joined(self) -> tuple:
+        if len(self.parts) > 1:
+            cols = list(zip(*self.parts, strict=True))
+            self.parts = [(pa.concat_arrays(cols[0]), *map(np.concatenate, cols[1:]))]
+        return self.parts[0]
+
+    def __len__(self) -> int:
+        return sum(len(p[4]) for p in self.parts)
+
+    def taken(self, n: int) -> tuple:
+        """Cut the first ``n`` ids off; they are returned as such columns."""
+        doc_id, start, length, total, ids = self.joined()
+        ends = np.cumsum(length)
+        k = int(np.searchsorted(ends, n))  # the part in which the cut lies
+        over = int(ends[k] - n)
+        first = length[: k + 1].copy()
+        first[k] -= over
+        skip = k + (over == 0)
+        rest_start, rest_length = start[skip:].copy(), length[skip:].copy()
+        if over:
+            rest_start[0] += length[k] - over
+            rest_length[0] = over
+        self.parts = [(doc_id[skip:], rest_start, rest_length, total[skip:], ids[n:].copy())] if n < len(ids) else []
+        return doc_id[: k + 1], start[: k + 1], first, total[: k + 1], ids[:n]
+
+
+def pieces(stream: tuple, cuts: list[int], first: int):
+    """(doc_id, start, length, crc, doc_tokens, sequence, offset), and the bounds of each piece, of a stream cut into sequences from number ``first`` on."""
+    doc_id, start, length, total, ids = stream
+    ends = np.cumsum(length)
+    cut = np.array(cuts)
+    stop = np.union1d(ends, cut)
+    begin = np.concatenate(([0], stop[:-1]))
+    d, s = np.searchsorted(ends, begin, "right"), np.searchsorted(cut, begin, "right")
+    crc = np.fromiter((zlib.crc32(ids[a:b]) for a, b in zip(begin.tolist(), stop.tolist(), strict=True)), np.int64, len(stop))
+    opens = np.concatenate(([0], cut[:-1]))
+    return [doc_id.take(pa.array(d)), start[d] + begin - (ends - length)[d], stop - begin, crc, total[d], first + s, begin - opens[s]], begin, stop
+
+
+def pack_stream(parts, sentence_end: np.ndarray, capacity: int = CAPACITY, stretch: int = STRETCH, to_end: bool = False):
+    """From columns (doc_id, start, length, doc_tokens, ids) to (stream, cuts, number of the first sequence).
+
+    Last of all comes what is left, ``capacity`` ids at most and with no cuts, unless the stream is packed ``to_end``.
+    """
+    held, sequence, stretch = Stream(), 0, max(stretch, 4 * capacity)
+
+    def solved(n: int, open_end: bool):
+        nonlocal sequence
+        _, _, length, _, ids = held.joined()
+        ends = np.cumsum(length)
+        cuts = best_cuts(*candidates(ids[:n], ends[ends <= n], sentence_end, capacity), capacity, open_end)
+        if cuts:
+            yield held.taken(cuts[-1]), cuts, sequence
+            sequence += len(cuts)
+
+    for part in parts:
+        held.add(*part)
+        while len(held) > stretch:
+            yield from solved(stretch, True)
+    if len(held):
+        yield from solved(len(held), not to_end)
+    if len(held):
+        yield held.taken(len(held)), [], sequence
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row a piece: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids])."""
+    if capacity < 1:
+        raise ValueError("a sequence holds one id at least")
     path = path or default_tokenizer()
-    tail = np.array([end_id], "<u4").tobytes()
+    kinds = [pa.int64()] * len(PIECES)
+
+    def emit(stream, cuts, first, base):
+        cols, begin, stop = pieces(stream, cuts, first)
+        cols[5] = cols[5] + base
+        arrays = [pa.array(c, k) if isinstance(c, np.ndarray) else c for c, k in zip(cols, kinds, strict=True)]
+        if with_ids:
+            arrays.append(pa.ListArray.from_arrays(pa.array(np.append(begin, stop[-1]).astype(np.int32)), pa.array(stream[4].astype(np.int64))))
+        return arrays
+
+    names = PIECES + ["ids"] * with_ids
+    schema = ", ".join(f"{c} long" for c in PIECES) + ", ids array<long>" * with_ids
+
+    def tokenised(batches, tok):
+        for batch in text_slices(batches, "text", SLICE):
+            ids, size = tok.encode(batch.column("text"))
+            out = np.full(len(ids) + len(size), end_id, np.uint32)
+            out[np.arange(len(ids)) + np.repeat(np.arange(len(size)), size)] = ids
+            yield batch.column("doc_id"), np.zeros(len(size), np.int64), size + 1, size + 1, out
 
     def make(batches):
         tok = tokenizer(path)
         base = TaskContext.get().partitionId() << 33
-
-        def stream():
-            for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
-                    texts = [t or b"" for t in pc.fill_null(part.column("text").cast(pa.large_string()), "").cast(pa.large_binary()).to_pylist()]
-                    for d, e in zip(part.column("doc_id").to_pylist(), tok.encode(texts), strict=True):
-                        yield d, np.frombuffer(e + tail, "<u4")
-
-        rows: list[tuple] = []
-        now, offset = -1, 0
-        for d, start, ids, total, sequence in pack_stream(stream(), tok.sentence_end, capacity):
-            if sequence != now:
-                now, offset = sequence, 0
-            data = ids.tobytes()
-            rows.append((d, start, len(ids), zlib.crc32(data), total, base + sequence, offset, ids if with_ids else None))
-            offset += len(ids)
-            if len(rows) >= 20_000:
-                yield emit(rows)
-                rows = []
-        if rows:
-            yield emit(rows)
+        for stream, cuts, first in pack_stream(tokenised(batches, tok), tok.sentence_end, capacity):
+            tail = None
+            if cuts:
+                arrays = emit(stream, cuts, first, base)
+                tail = pa.nulls(len(arrays[0]), tail_kind)
+            else:
+                arrays = [pa.nulls(1, k) for k in kinds + [pa.list_(pa.int64())] * with_ids]
+                doc_id, start, length, total, ids = stream
+                tail = pa.array([{"doc_id": doc_id.to_pylist(), "start": start.tolist(), "length": length.tolist(), "doc_tokens": total.tolist(), "ids": ids.tobytes()}], tail_kind)
+            yield pa.RecordBatch.from_arrays([*arrays, tail], [*names, "tail"])
         give_back()
 
-    def emit(rows):
-        cols = list(zip(*rows, strict=True))
-        arrays = [pa.array(c, pa.int64()) for c in cols[:7]]
-        names = [x.split()[0] for x in SCHEMA.split(", ")]
-        if with_ids:
-            arrays.append(pa.array([c.astype(np.int64) for c in cols[7]], pa.list_(pa.int64())))
-            names.append("ids")
-        return pa.RecordBatch.from_arrays(arrays, names)
+    tail_kind = pa.struct([(c, pa.list_(pa.int64())) for c in ("doc_id", "start", "length", "doc_tokens")] + [("ids", pa.binary())])
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, f"{schema}, tail {TAIL}")
+    rows = written(rows, "packed")
+
+    def tails(batches):
+        for batch in batches:
+            for t in batch.column("tail"):
+                ids = np.frombuffer(t["ids"].as_buffer(), "<u4")
+                yield (t["doc_id"].values, *(t[c].values.to_numpy() for c in ("start", "length", "doc_tokens")), ids)
 
-    return docs.select("doc_id", "text").mapInArrow(make, SCHEMA + (", ids array<long>" if with_ids else ""))
+    def make_last(batches):
+        tok = tokenizer(path)
+        base = (1 << 62) + (TaskContext.get().partitionId() << 33)
+        for stream, cuts, first in pack_stream(tails(batches), tok.sentence_end, capacity, to_end=True):
+            yield pa.RecordBatch.from_arrays(emit(stream, cuts, first, base), names)
+
+    left = rows.where("tail is not null").select("tail")
+    many = left.agg(F.sum(F.octet_length("tail.ids"))).first()[0] or 0
+    last = left.repartition(max(1, -(-many // (4 * TAIL_IDS)))).mapInArrow(make_last, schema)
+    return rows.where("tail is null").drop("tail").unionByName(last)

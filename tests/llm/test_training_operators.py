@@ -4,6 +4,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,8 +48,6 @@ def same(spark_df, want):
 
 
 def test_statistics_of_odd_texts():
-    import pyarrow as pa
-
     x = quality.statistics(pa.array(["", "Abc abc abc.\n", "é!", "word " * 1000], pa.large_string()))
     assert x.shape == (4, len(quality.NAMES)) and np.isfinite(x).all() and (x[0] == 0).all()
     at = dict(zip(quality.NAMES, x[1], strict=True))
@@ -299,8 +298,11 @@ def test_tokens_equal_the_tokenizers(spark):
     tok = Tokenizer.from_file(packing.default_tokenizer())
     texts = [*prose(8, 80), "H̱e Á Thor,### <|ENDOFTEXT|> x.<|endoftext|>, y", "É. Él! it's, 12.5. a|b ΑΣ. ×. \x1c x\x1cy.\n\nA.\r\n", "İ. K. ﬁ. Ǆ. 2². ½.", "", "word " * 5000]
     own = packing.tokenizer(packing.default_tokenizer())
-    for t, ids in zip(texts, own.encode([t.encode() for t in texts]), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+    ids, size = own.encode(pa.array(["Before É. " * 50, *texts, "cut off"], pa.large_string()).slice(1, len(texts)))
+    ends = np.cumsum(size)
+    for t, n, end in zip(texts, size, ends, strict=True):
+        assert ids[end - n : end].tolist() == tok.encode(t, add_special_tokens=False).ids
+    assert ends[-1] == len(ids)
 
 
 def test_pieces_are_an_exact_partition(spark):
@@ -325,29 +327,64 @@ def test_pieces_are_an_exact_partition(spark):
     assert packing.pack_documents(documents(spark, [])).count() == 0
 
 
-def test_cuts_against_brute_force():
+def padding(n, capacity):
+    return 0 if n & (n - 1) == 0 else capacity - n
+
+
+@pytest.mark.parametrize("capacity", [1, 2, 4, 8, 12, 20])
+def test_cuts_against_brute_force(capacity):
     r = np.random.default_rng(4)
     for _ in range(30):
-        ids = r.integers(0, 3, r.integers(1, 60))
+        ids = r.integers(0, 3, r.integers(1, 90))
         ends = np.unique(np.append(r.integers(1, len(ids) + 1, 3), len(ids)))
-        at, pen = packing.candidates(ids, ends, np.array([False, True, False, False]))
+        at, pen = packing.candidates(ids, ends, np.array([False, True, False, False]), capacity)
+        assert np.diff(at).max() <= max(capacity, 1)
         cost = {0: 0.0}
         for j in range(1, len(at)):
-            cost[j] = min((cost[i] + pen[j] + 12 - (at[j] - at[i]) for i in range(j) if at[j] - at[i] <= 12 and i in cost), default=np.inf)
-        if not np.isfinite(cost[len(at) - 1]):
-            continue
-        cuts = packing.best_cuts(at, pen, 12)
-        own = sum(pen[np.searchsorted(at, c)] + 12 - (c - p) for p, c in zip([0, *cuts], cuts, strict=False))
-        assert np.isclose(own, cost[len(at) - 1]) and cuts[-1] == len(ids)
+            gaps = {i: int(at[j] - at[i]) for i in range(j) if at[j] - at[i] <= capacity}
+            cost[j] = min(cost[i] + pen[j] + packing.WINDOW + padding(n, capacity) for i, n in gaps.items())
+        cuts = packing.best_cuts(at, pen, capacity)
+        own = sum(pen[np.searchsorted(at, c)] + packing.WINDOW + padding(c - p, capacity) for p, c in zip([0, *cuts], cuts, strict=False))
+        assert np.isclose(own, cost[len(at) - 1]) and cuts[-1] == len(ids) and max(np.diff([0, *cuts])) <= capacity
+
+
+def test_capacity_is_checked(spark):
+    with pytest.raises(ValueError):
+        packing.pack_documents(documents(spark, [(1, "a")]), capacity=0)
+    with pytest.raises(ValueError):
+        packing.best_cuts(np.array([0, 1]), np.zeros(2), 0)
 
 
 def test_stretches_join_without_loss():
     docs = [(i, np.arange(n, dtype=np.uint32)) for i, n in enumerate([5, 5000, 1, 1, 3000, 700])]
-    got = list(packing.pack_stream(iter(docs), np.zeros(10, bool), 256, 1024))
+    parts = [(pa.array([d]), np.zeros(1, np.int64), np.array([len(x)]), np.array([len(x)]), x) for d, x in docs]
+    got, sequences, tails = {}, {}, 0
+    for stream, cuts, first in packing.pack_stream(iter(parts), np.zeros(10, bool), 256, 1024):
+        tails += not cuts
+        cols, begin, stop = packing.pieces(stream, cuts or [len(stream[4])], first)
+        for k in range(len(begin)):
+            ids = stream[4][begin[k] : stop[k]]
+            assert cols[1][k] == ids[0] and cols[2][k] == len(ids) and cols[3][k] == zlib.crc32(ids.tobytes()) and cols[6][k] == sequences.get(cols[5][k], 0)
+            got.setdefault(cols[0][k].as_py(), []).append(ids)
+            sequences[cols[5][k]] = sequences.get(cols[5][k], 0) + len(ids)
     for d, ids in docs:
-        own = [g for g in got if g[0] == d]
-        assert np.concatenate([g[2] for g in own]).tolist() == ids.tolist() and all(g[1] == g[2][0] for g in own)
-    assert max(sum(len(g[2]) for g in got if g[4] == s) for s in {g[4] for g in got}) <= 256
+        assert np.concatenate(got[d]).tolist() == ids.tolist()
+        assert cuts or tails == 1
+    assert tails == 1 and max(sequences.values()) <= 256 and sorted(sequences) == list(range(len(sequences)))
+
+
+def test_padding_does_not_grow_with_partitions(spark):
+    rows = [(i, t) for i, t in enumerate(prose(12, 4000))]
+    for parts in (1, 4, 211):
+        docs = spark.createDataFrame([(d, t) for d, t in rows], "doc_id long, text string").repartition(parts)
+        got = packing.pack_documents(docs).toPandas()
+        size = got.groupby("sequence_id")["length"].sum()
+        tokens = size.sum()
+        padded = sum(padding(int(n), 2048) for n in size)
+        assert tokens > 250_000 and padded < 0.02 * tokens, (parts, padded / tokens)
+        assert len(size) < 1.3 * tokens / 2048
+        per = got.groupby("doc_id").agg(n=("length", "sum"), total=("doc_tokens", "first"))
+        assert (per["n"] == per["total"]).all() and len(per) == len(rows)
 
 
 # Pipeline ----------------------------------------------------------------------------------------------
