@@ -11,6 +11,8 @@ from spotweave.functions import sequences as sq
 
 #: Entries of a whitelist that may be sent to every executor; a larger one is joined by k-mers instead.
 SENT_ENTRIES = 1_000_000
+#: Barcodes whose distances are computed at once.
+AT_ONCE = 256
 
 
 def clean_whitelist(raw: DataFrame, column: str = "value") -> DataFrame:
@@ -60,11 +62,11 @@ def gram_codes(words: np.ndarray, k: int) -> np.ndarray:
 
 
 class KmerIndex:
-    """Inverted lists of k-mers over a whitelist, and bit-parallel edit distances to all candidates of a barcode at once."""
+    """Inverted lists of k-mers over a whitelist, and bit-parallel edit distances of many barcodes to their candidates at once."""
 
     def __init__(self, words: list[str], times: list[int], k: int):
         order = np.argsort(np.array(words))
-        self.k, self.words, self.times = k, [words[i] for i in order], np.array(times)[order]
+        self.k, self.words, self.times = k, [words[i] for i in order], np.array(times, np.int64)[order]
         self.bytes = np.frombuffer("".join(self.words).encode(), np.uint8).reshape(len(words), -1)
         codes = gram_codes(self.bytes, k)
         owner = np.repeat(np.arange(len(words), dtype=np.int32), codes.shape[1])
@@ -73,70 +75,97 @@ class KmerIndex:
         self.codes, self.starts = np.unique(codes.ravel()[by], return_index=True)
         self.starts = np.append(self.starts, len(by))
 
-    def candidates(self, q: np.ndarray) -> np.ndarray:
-        grams = np.unique(gram_codes(q[None, :], self.k))
-        at = np.searchsorted(self.codes, grams)
-        hit = at[(at < len(self.codes)) & (self.codes[np.minimum(at, len(self.codes) - 1)] == grams)]
-        lists = [self.owner[self.starts[i] : self.starts[i + 1]] for i in hit]
-        return np.unique(np.concatenate(lists)) if lists else np.zeros(0, np.int32)
-
-    def distances(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Levenshtein distances by Myers' recurrence, a column of all candidates a step."""
-        one, m = np.uint64(1), len(q)
-        masks = np.zeros(256, np.uint64)
-        for i, c in enumerate(q):
-            masks[c] |= one << np.uint64(i)
-        up, down = np.full(len(ids), ~np.uint64(0)), np.zeros(len(ids), np.uint64)
-        score, top = np.full(len(ids), m), np.uint64(m - 1)
-        for column in self.bytes[ids].T:
-            eq = masks[column]
+    def candidates(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row of ``q``, entry) of all that share a k-mer, by row; an entry comes once for each k-mer shared."""
+        grams = gram_codes(q, self.k)
+        at = np.minimum(np.searchsorted(self.codes, grams), len(self.codes) - 1)
+        row, _ = hit = np.nonzero(self.codes[at] == grams)
+        lo, size = self.starts[at[hit]], self.starts[at[hit] + 1] - self.starts[at[hit]]
+        upto = np.cumsum(size)
+        place = np.repeat(lo - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+        return np.repeat(row, size), self.owner[place]
+
+    def distances(self, q: np.ndarray, row: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Levenshtein distances of q[row] and entries ids by Myers' recurrence, a column of all pairs a step, in words just wide enough."""
+        m = q.shape[1]
+        kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(t).bits >= m)
+        one, top = kind(1), kind(m - 1)
+        masks = np.zeros((len(q), 256), kind)
+        for i in range(m):
+            masks[np.arange(len(q)), q[:, i]] |= one << kind(i)
+        up, down = np.full(len(ids), ~kind(0)), np.zeros(len(ids), kind)
+        score = np.full(len(ids), m, np.int16)
+        for column in self.bytes.T:
+            eq = masks[row, column[ids]]
             v = eq | down
             h = (((eq & up) + up) ^ up) | eq
             plus, minus = down | ~(h | up), up & h
-            score += ((plus >> top) & one).astype(int)
-            score -= ((minus >> top) & one).astype(int)
+            score += ((plus >> top) & one).astype(np.int16)
+            score -= ((minus >> top) & one).astype(np.int16)
             plus, minus = (plus << one) | one, minus << one
             up, down = minus | ~(v | plus), plus & v
         return score
 
-    def slots(self, bc: str) -> list[dict]:
-        """The two least distances below the barcode's length: (d, least entry b, entries t)."""
-        q = np.frombuffer(bc.encode(), np.uint8)
-        ids = self.candidates(q)
-        d = self.distances(q, ids)
-        out = []
-        for v in np.unique(d[d < len(q)])[:2]:
-            own = ids[d == v]
-            out.append({"d": int(v), "b": self.words[own[0]], "t": int(self.times[own].sum())})
-        return out
+    def best(self, q: np.ndarray) -> list[tuple]:
+        """(d, least entry at d, entries at d, next distance or None) of each row of ``q``, None where no distance is below the length."""
+        row, ids = self.candidates(q)
+        d = self.distances(q, row, ids).astype(np.int64)
+        near = d < q.shape[1]
+        row, ids, d = row[near], ids[near], d[near]
+        none = np.iinfo(np.int64).max
+        first, second = np.full(len(q), none), np.full(len(q), none)
+        np.minimum.at(first, row, d)
+        np.minimum.at(second, row[d > first[row]], d[d > first[row]])
+        least = d == first[row]
+        tied = np.unique(row[least] * len(self.words) + ids[least])
+        who, entry = tied // len(self.words), tied % len(self.words)
+        opens = np.searchsorted(who, np.arange(len(q)))
+        times = np.bincount(who, self.times[entry], len(q)).astype(np.int64)
+        return [
+            (int(first[i]), self.words[entry[opens[i]]], int(times[i]), int(second[i]) if second[i] < none else None) if first[i] < none else None
+            for i in range(len(q))
+        ]
+
+
+SLOT = "bc string, d int, b string, t bigint, next int"
 
 
 def _slots(rest: DataFrame, counted: DataFrame, k: int) -> DataFrame:
-    """(bc, s): for each barcode the distances to its candidates in order, each with its least entry and number of entries."""
-    shape = counted.agg(F.count("*").alias("n"), F.min(F.octet_length("barcode")).alias("lo"), F.max(F.octet_length("barcode")).alias("hi"), F.max(F.length("barcode")).alias("chars")).first()
-    if 0 < shape["n"] <= SENT_ENTRIES and shape["lo"] == shape["hi"] == shape["chars"] and k <= min(8, shape["lo"]) and shape["hi"] <= 64:
+    """(bc, d, b, t, next): for each barcode the least distance to its candidates, its least entry and number of entries there, and the next distance.
+
+    A barcode that is as long as no entry of the whitelist is an error, whichever way its candidates are found.
+    """
+    shape = counted.agg(F.count("*").alias("n"), F.collect_set(F.length("barcode")).alias("lengths"), F.min(F.octet_length("barcode")).alias("lo"), F.max(F.octet_length("barcode")).alias("hi")).first()
+    lengths = sorted(shape["lengths"])
+    wrong = F.raise_error(F.concat(F.lit("barcode "), "bc", F.lit(f" is as long as no entry of the whitelist ({lengths})"))).cast("string")
+    rest = rest.select(F.when(F.length("bc").isin(lengths), F.col("bc")).otherwise(wrong if lengths else F.col("bc")).alias("bc"))
+    if 0 < shape["n"] <= SENT_ENTRIES and [shape["lo"]] == [shape["hi"]] == lengths and k <= min(8, shape["lo"]) and shape["hi"] <= 64:
         wl = counted.toPandas()
         shared = rest.sparkSession.sparkContext.broadcast(KmerIndex(wl["barcode"].tolist(), wl["times"].tolist(), k))
         width = shape["hi"]
 
         def match(batches):
             for batch in batches:
-                bcs = batch.column("bc").to_pylist()
-                for bc in bcs:
-                    if len(bc.encode()) != width:
-                        raise ValueError(f"barcode {bc} isn't as long as the whitelist's entries")
-                kind = pa.list_(pa.struct([("d", pa.int32()), ("b", pa.string()), ("t", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([batch.column("bc"), pa.array([shared.value.slots(bc) for bc in bcs], kind)], ["bc", "s"])
+                for at in range(0, batch.num_rows, AT_ONCE):
+                    bcs = batch.column("bc").slice(at, AT_ONCE)
+                    plain = [b.encode("latin-1", "replace") for b in bcs.to_pylist()]
+                    q = np.frombuffer(b"".join(plain), np.uint8).reshape(len(plain), width)
+                    found = [(b, *r) for b, r in zip(bcs.to_pylist(), shared.value.best(q), strict=True) if r]
+                    kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32()]
+                    cols = list(zip(*found, strict=True)) if found else [[]] * 5
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [x.split()[0] for x in SLOT.split(", ")])
 
         # A number of parts is kept as it is: rows are few bytes but much work each.
         parts = max(rest.sparkSession.sparkContext.defaultParallelism, int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        return rest.repartition(parts, "bc").mapInArrow(match, "bc string, s array<struct<d:int,b:string,t:bigint>>").where("size(s) > 0")
+        return rest.repartition(parts, "bc").mapInArrow(match, SLOT)
     grams = rest.select("bc", F.explode(F.array_distinct(sq.kmers("bc", k))).alias("gram"))
     listed = counted.select("barcode", "times", F.explode(F.array_distinct(sq.kmers("barcode", k))).alias("gram"))
     near = grams.join(listed, "gram").select("bc", "barcode", "times").distinct().withColumn("d", F.levenshtein("bc", "barcode")).where(F.col("d") < F.length("bc"))
     # One slot a distance (at most as many as bases), then the slots of a barcode in order.
     slots = near.groupBy("bc", "d").agg(F.min("barcode").alias("b"), F.sum("times").alias("t"))
-    return slots.groupBy("bc").agg(F.array_sort(F.collect_list(F.struct("d", "b", "t"))).alias("s"))
+    s = F.array_sort(F.collect_list(F.struct("d", "b", "t")))
+    slots = slots.groupBy("bc").agg(s.alias("s"))
+    return slots.select("bc", F.col("s")[0]["d"].alias("d"), F.col("s")[0]["b"].alias("b"), F.col("s")[0]["t"].alias("t"), F.get("s", F.lit(1))["d"].alias("next"))
 
 
 def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_duplicates: bool = True) -> DataFrame:
@@ -146,7 +175,8 @@ def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_dup
     barcode's length, margin what the next one is farther (the length stands
     in for missing ones); without a candidate corr is NULL, dist the length,
     margin 0.  An exact match has margin NULL.  Ties take the least entry.
-    Repeated whitelist entries tie with themselves unless dropped.
+    Repeated whitelist entries tie with themselves unless dropped.  A barcode
+    as long as no entry is an error; an empty whitelist corrects nothing.
     """
     wl = whitelist.select("barcode")
     if not keep_duplicates:
@@ -157,33 +187,56 @@ def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_dup
     exact = marked.where("hit is not null").select("bc", F.col("bc").alias("corr"), F.lit(0).alias("dist"), F.lit(None).cast("int").alias("margin"), F.lit(True).alias("exact"))
     rest = marked.where("hit is null").select("bc")
     slots = _slots(rest, counted, k)
-    length, s0 = F.length("bc"), F.get("s", F.lit(0))
-    nxt = F.when(s0["t"] > 1, s0["d"]).otherwise(F.coalesce(F.get("s", F.lit(1))["d"], length))
-    fuzzy = rest.join(slots, "bc", "left").select("bc", s0["b"].alias("corr"), F.coalesce(s0["d"], length).alias("dist"), F.coalesce(nxt - s0["d"], F.lit(0)).alias("margin"), F.lit(False).alias("exact"))
+    length = F.length("bc")
+    nxt = F.when(F.col("t") > 1, F.col("d")).otherwise(F.coalesce("next", length))
+    fuzzy = rest.join(slots, "bc", "left").select("bc", F.col("b").alias("corr"), F.coalesce("d", length).alias("dist"), F.coalesce(nxt - F.col("d"), F.lit(0)).alias("margin"), F.lit(False).alias("exact"))
     return exact.unionByName(fuzzy)
 
 
-def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist: list[int] = (2,), min_margin: list[int] = (1,), concat: bool = False) -> DataFrame:
-    """(read_id, parts): each part is (orig, corr before thresholds, dist, margin, exact, kept after thresholds).
-
-    Distinct barcodes are corrected once each and joined back to the reads.
+def check_correction(n_whitelists: int, k: int, max_dist: list[int], min_margin: list[int]) -> tuple[list[int], list[int]]:
+    """Thresholds for each whitelist, single ones replicated; wrong parameters are an error."""
+    if n_whitelists < 1:
+        raise ValueError("correction needs a whitelist")
+    if k < 1:
+        raise ValueError("k-mers have one base at least")
+    out = []
+    for name, values in (("max_dist", max_dist), ("min_margin", min_margin)):
+        values = list(values)
+        if len(values) == 1:
+            values *= n_whitelists
+        if len(values) != n_whitelists:
+            raise ValueError(f"{name} has {len(values)} values for {n_whitelists} whitelists")
+        if any(v < 0 for v in values):
+            raise ValueError(f"{name} isn't negative")
+        out.append(values)
+    return tuple(out)
+
+
+def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist: list[int] = (2,), min_margin: list[int] = (1,), concat: bool = False, keep: list[str] = ()) -> DataFrame:
+    """(read_id, *keep, parts): each part is (orig, corr before thresholds, dist, margin, exact, kept after thresholds).
+
+    Distinct barcodes are corrected once each and joined back to the reads;
+    reads without a barcode don't take part in the join.  ``keep`` names other
+    columns of ``calls`` to carry along, so that nothing has to be joined to
+    the reads again.
     """
-    n = len(whitelists)
-    max_dist, min_margin = (list(x) * n if len(x) == 1 else list(x) for x in (max_dist, min_margin))
-    out = calls.select("read_id", *[(F.array_join("bcs", "") if concat else F.col("bcs")[i]).alias(f"bc{i}") for i in range(n)])
-    for i, wl in enumerate(whitelists):
-        m = best_matches(out.select(F.col(f"bc{i}").alias("bc")), wl, k)
+    n = 1 if concat else len(whitelists)
+    max_dist, min_margin = check_correction(n, k, max_dist, min_margin)
+    out = calls.select("read_id", *keep, *[(F.array_join("bcs", "") if concat else F.get("bcs", F.lit(i))).alias(f"bc{i}") for i in range(n)])
+    for i in range(n):
+        m = best_matches(out.select(F.col(f"bc{i}").alias("bc")), whitelists[i], k)
         kept = F.when((F.col("dist") == 0) | ((F.col("dist") <= max_dist[i]) & (F.col("margin") >= min_margin[i])), F.col("corr"))
         m = m.select(F.col("bc").alias(f"bc{i}"), F.struct(F.col("bc").alias("orig"), "corr", "dist", "margin", "exact", kept.alias("kept")).alias(f"p{i}"))
-        out = out.join(m, f"bc{i}", "left")
-    return out.select("read_id", F.array(*[f"p{i}" for i in range(n)]).alias("parts"))
+        some, none = out.where(F.col(f"bc{i}").isNotNull()), out.where(F.col(f"bc{i}").isNull())
+        out = some.join(m, f"bc{i}", "left").unionByName(none, allowMissingColumns=True)
+    return out.select("read_id", *keep, F.array(*[f"p{i}" for i in range(n)]).alias("parts"))
 
 
 def slim(corrected: DataFrame, enforce_thresholds: bool = False) -> DataFrame:
-    """(read_id, cb): joined corrections; thresholds are ignored unless enforced, as the reference behaviour has it."""
+    """(read_id, cb, and what was kept beside): joined corrections; thresholds are ignored unless enforced."""
     field = "kept" if enforce_thresholds else "corr"
     values = F.transform("parts", lambda p: p[field])
-    return corrected.where(~F.exists(values, F.isnull)).select("read_id", F.array_join(values, "").alias("cb"))
+    return corrected.where(~F.exists(values, F.isnull)).select("read_id", F.array_join(values, "").alias("cb"), *[c for c in corrected.columns if c not in ("read_id", "parts")])
 
 
 def correction_summary(corrected: DataFrame) -> DataFrame:

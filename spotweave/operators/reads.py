@@ -215,11 +215,12 @@ class Element:
         return F.when(~short & (F.length(got) == self.length), got)
 
 
-def call_barcodes(reads: DataFrame, barcodes: list[Element], umis: list[Element] = (), compat: bool = False) -> DataFrame:
-    """(read_id, bcs, umis): arrays with NULL for what isn't found, for every read."""
+def call_barcodes(reads: DataFrame, barcodes: list[Element], umis: list[Element] = (), compat: bool = False, keep: list[str] = ()) -> DataFrame:
+    """(read_id, *keep, bcs, umis): arrays with NULL for what isn't found, for every read; ``keep`` names columns to carry along."""
     seq = F.col("seq")
     return reads.select(
         "read_id",
+        *keep,
         F.array(*[e.value(seq, compat) for e in barcodes]).alias("bcs"),
         (F.array(*[e.value(seq, compat) for e in umis]) if umis else F.expr("cast(array() as array<string>)")).alias("umis"),
     )

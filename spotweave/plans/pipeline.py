@@ -17,9 +17,8 @@ def barcodes_of(reads: DataFrame, recipe: Recipe, whitelists: list[DataFrame], e
     """(read_id, cb, umi) of reads whose barcodes were found and corrected."""
     if recipe.internal_adapter:
         reads = rd.internal_trim(reads, [recipe.internal_adapter])
-    calls = rd.drop_missing_calls(rd.call_barcodes(reads, recipe.barcodes, recipe.umis))
-    fixed = bc.slim(bc.correct(calls, whitelists, max_dist=recipe.max_dist, min_margin=recipe.min_margin, concat=recipe.concat), enforce_thresholds)
-    return fixed.join(calls.select("read_id", F.array_join("umis", "").alias("umi")), "read_id")
+    calls = rd.drop_missing_calls(rd.call_barcodes(reads, recipe.barcodes, recipe.umis)).withColumn("umi", F.array_join("umis", ""))
+    return bc.slim(bc.correct(calls, whitelists, max_dist=recipe.max_dist, min_margin=recipe.min_margin, concat=recipe.concat, keep=["umi"]), enforce_thresholds)
 
 
 def long_reads(reads: DataFrame, recipe: Recipe, adapter2: str, split: str = "TTTTTTTT") -> DataFrame:
