@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.sources.scratch import written
+
 # Window, log probabilities of leaving a state, shape of the background, stop of the fit.
 SIZE, LEAVE_OFF, LEAVE_ON, BACKGROUND, STOP = 50, -5.0, -200.0, 5.0, 0.1
 
@@ -48,33 +50,63 @@ def _track(p: pd.DataFrame) -> np.ndarray:
     return out
 
 
+def scan(start: np.ndarray, steps: np.ndarray, plus) -> np.ndarray:
+    """Vectors v[t] = v[t - 1] x steps[t], v[-1] = start, where x multiplies by + and adds by ``plus``.
+
+    The steps are cut into about sqrt(n) blocks: products within all blocks
+    at once, then from block to block, so few array operations do the work of
+    a loop over n.
+    """
+    n = len(steps)
+    size = max(1, math.isqrt(n))
+    blocks = -(-n // size)
+    one = np.array([[0.0, -np.inf], [-np.inf, 0.0]])
+    padded = np.broadcast_to(one, (blocks * size, 2, 2)).copy()
+    padded[:n] = steps
+    padded = padded.reshape(blocks, size, 2, 2)
+    products = np.empty((size, blocks, 2, 2))
+    now = np.broadcast_to(one, (blocks, 2, 2))
+    for k in range(size):
+        step = padded[:, k]
+        now = plus(now[:, :, 0, None] + step[:, None, 0, :], now[:, :, 1, None] + step[:, None, 1, :])
+        products[k] = now
+    begin = np.empty((blocks, 2))
+    v = start
+    for b in range(blocks):
+        begin[b] = v
+        v = plus(v[0] + now[b, 0], v[1] + now[b, 1])
+    out = plus(begin[None, :, 0, None] + products[:, :, 0], begin[None, :, 1, None] + products[:, :, 1])
+    return out.transpose(1, 0, 2).reshape(-1, 2)[:n]
+
+
 def forward_backward(model: Model, x: np.ndarray):
     """(log likelihood, posteriors, expected transitions)."""
     e = model.emissions(x)
     n = len(x)
-    f, b = np.empty((n, 2)), np.zeros((n, 2))
-    f[0] = model.start + e[0]
-    for t in range(1, n):
-        f[t] = np.logaddexp(f[t - 1, 0] + model.trans[0], f[t - 1, 1] + model.trans[1]) + e[t]
-    for t in range(n - 2, -1, -1):
-        b[t] = np.logaddexp(model.trans[:, 0] + e[t + 1, 0] + b[t + 1, 0], model.trans[:, 1] + e[t + 1, 1] + b[t + 1, 1])
+    steps = model.trans[None] + e[1:, None, :]
+    f = np.vstack(((model.start + e[0])[None], scan(model.start + e[0], steps, np.logaddexp)))
+    back = scan(np.zeros(2), steps[::-1].transpose(0, 2, 1), np.logaddexp)[::-1]
+    b = np.vstack((back, np.zeros((1, 2))))
     total = np.logaddexp(*f[-1])
-    steps = np.exp(f[:-1, :, None] + model.trans[None] + (e[1:] + b[1:])[:, None, :] - total).sum(0) if n > 1 else np.zeros((2, 2))
-    return total, np.exp(f + b - total), steps
+    moves = np.exp(f[:-1, :, None] + model.trans[None] + (e[1:] + b[1:])[:, None, :] - total).sum(0) if n > 1 else np.zeros((2, 2))
+    return total, np.exp(f + b - total), moves
 
 
 def viterbi(model: Model, x: np.ndarray) -> np.ndarray:
+    """The likeliest states; of equally likely ways the one through state 0."""
     e = model.emissions(x)
-    v, back = model.start + e[0], np.zeros((len(x), 2), np.int8)
-    for t in range(1, len(x)):
-        ways = v[:, None] + model.trans
-        back[t] = ways.argmax(0)
-        v = ways.max(0) + e[t]
+    v = np.vstack(((model.start + e[0])[None], scan(model.start + e[0], model.trans[None] + e[1:, None, :], np.maximum)))
+    back = (v[:-1, :, None] + model.trans[None]).argmax(1)  # [t, state at t + 1] = state at t
     path = np.zeros(len(x), np.int8)
-    path[-1] = v.argmax()
-    for t in range(len(x) - 1, 0, -1):
-        path[t - 1] = back[t, path[t]]
-    return path
+    path[-1] = v[-1].argmax()
+    fixed, swaps = back[:, 0] == back[:, 1], (back[:, 0] == 1) & (back[:, 1] == 0)
+    path[:-1][fixed] = back[fixed, 0]
+    # Everywhere else a state comes from itself: it is that of the next place that doesn't.
+    known = np.append(np.flatnonzero(fixed | swaps), len(x) - 1)
+    after = known[np.searchsorted(known, np.arange(len(x)))]
+    for t in np.flatnonzero(swaps)[::-1]:
+        path[t] = 1 - path[after[t + 1]]
+    return path[after]
 
 
 def _gamma(weight: float, total: float, logs: float, shape: float) -> tuple[float, float]:
@@ -100,7 +132,7 @@ def _expectation(model: Model):
 def fit(tracks: DataFrame, rounds: int = 50) -> Model:
     """Baum-Welch until the log likelihood gains less than STOP."""
     model, before = Model.initial(), -math.inf
-    tracks = tracks.persist()
+    tracks = written(tracks, "tracks")
     for _ in range(rounds):
 
         got = tracks.groupBy("chrom", "strand").applyInPandas(_expectation(model), "v array<double>")
@@ -114,7 +146,6 @@ def fit(tracks: DataFrame, rounds: int = 50) -> Model:
             rows = steps.sum(1, keepdims=True)
             trans = np.where(rows > 1e-9, np.log(np.maximum(steps / np.maximum(rows, 1e-300), 1e-300)), model.trans)
         model = Model(np.array([f[0] for f in fitted]), np.array([f[1] for f in fitted]), trans, model.start)
-    tracks.unpersist()
     return model
 
 

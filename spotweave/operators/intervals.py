@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Width of the bins that turn an overlap into an equi-join.
 BIN = 10_000
+#: Positions of a block that one task orders.
+BLOCK = 1 << 20
 
 
 def _binned(df: DataFrame, width: int, slack: int = 0) -> DataFrame:
@@ -56,22 +58,66 @@ def large_chromosomes(df: DataFrame, rows: int) -> DataFrame:
     return df.join(keep, "chrom", "left_semi")
 
 
-def merge_intervals(df: DataFrame, gap: int = 0) -> DataFrame:
-    """(chrom, strand, start, end, n): intervals of a strand merged when at most ``gap`` apart."""
-    w = Window.partitionBy("chrom", "strand").orderBy("start", "end")
-    reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    opened = df.withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach + gap), 1).otherwise(0))
-    group = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return opened.withColumn("_g", group).groupBy("chrom", "strand", "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("_g")
+def _carried(blocks: DataFrame, by: list[str], bin_: str = "_block") -> tuple:
+    """Windows over the few blocks of a group: those before one, and those after it."""
+    w = Window.partitionBy(*by).orderBy(bin_)
+    return w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
 
 
-def genome_coverage(df: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
-    """Runs (start, end, depth) of equal depth above 0: +1 at starts, -1 at ends, summed before the window."""
+def merge_intervals(df: DataFrame, gap: int = 0, block: int = BLOCK) -> DataFrame:
+    """(chrom, strand, start, end, n): intervals of a strand merged when at most ``gap`` apart.
+
+    A strand is cut into blocks of starts, each ordered by a task of its own;
+    how far earlier blocks reach, and the last interval opened in them, come
+    from one row a block.
+    """
+    by = ["chrom", "strand"]
+    cut = df.select(*by, "start", "end", F.floor(F.col("start") / block).alias("_block"))
+    before, _ = _carried(cut, by)
+    reaches = cut.groupBy(*by, "_block").agg(F.max("end").alias("_end")).withColumn("_in", F.max("_end").over(before)).drop("_end")
+    w = Window.partitionBy(*by, "_block").orderBy("start", "end")
+    # One join tells each row how far the blocks before its own reach.
+    rows = _with_blocks(cut, reaches, by)
+    reach = F.greatest(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), "_in")
+    opened = rows.withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach + gap), 1).otherwise(0))
+    numbered = opened.withColumn("_g", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = numbered.groupBy(*by, "_block", "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"))
+    # A part without a start of its own (_g = 0) goes on with the last one opened in an earlier block.
+    every = parts.groupBy(*by, "_block").agg(F.max(F.when(F.col("_g") > 0, F.col("_g"))).alias("_last"))
+    owner = F.last(F.when(F.col("_last").isNotNull(), F.struct(F.col("_block").alias("b"), F.col("_last").alias("g"))), True).over(before)
+    every = every.withColumn("_owner", owner).drop("_last")
+    own = F.when(F.col("_g") > 0, F.struct(F.col("_block").alias("b"), F.col("_g").alias("g"))).otherwise(F.col("_owner"))
+    owned = _with_blocks(parts, every, by).withColumn("_own", own)
+    return owned.groupBy(*by, "_own").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n")).drop("_own")
+
+
+def _with_blocks(rows: DataFrame, blocks: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` with the columns of their block; NULLs in ``by`` are equal."""
+    key = [*by, "_block"]
+    named = blocks.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(key)})
+    on = None
+    for i, c in enumerate(key):
+        same = F.col(c).eqNullSafe(F.col(f"_k{i}"))
+        on = same if on is None else on & same
+    return rows.join(named, on).drop(*[f"_k{i}" for i in range(len(key))])
+
+
+def genome_coverage(df: DataFrame, by: tuple[str, ...] = ("chrom",), block: int = BLOCK) -> DataFrame:
+    """Runs (start, end, depth) of equal depth above 0: +1 at starts, -1 at ends, summed before the window.
+
+    Positions are cut into blocks, each ordered by a task of its own; the depth
+    before a block and the next position after it come from one row a block.
+    """
     by = list(by)
     events = df.select(*by, F.col("start").alias("at"), F.lit(1).alias("d")).union(df.select(*by, F.col("end").alias("at"), F.lit(-1).alias("d")))
-    steps = events.groupBy(*by, "at").agg(F.sum("d").alias("d")).where("d <> 0")
-    w = Window.partitionBy(*by).orderBy("at")
-    runs = steps.select(*by, F.col("at").alias("start"), F.lead("at").over(w).alias("end"), F.sum("d").over(w).cast("long").alias("depth"))
+    steps = events.groupBy(*by, "at").agg(F.sum("d").alias("d")).where("d <> 0").withColumn("_block", F.floor(F.col("at") / block))
+    before, after = _carried(steps, by)
+    blocks = steps.groupBy(*by, "_block").agg(F.sum("d").alias("_sum"), F.min("at").alias("_min"))
+    blocks = blocks.select(*by, "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_in"), F.min("_min").over(after).alias("_next"))
+    w = Window.partitionBy(*by, "_block").orderBy("at")
+    runs = _with_blocks(steps, blocks, by).select(
+        *by, F.col("at").alias("start"), F.coalesce(F.lead("at").over(w), "_next").alias("end"), (F.sum("d").over(w) + F.col("_in")).cast("long").alias("depth")
+    )
     return runs.where("depth > 0 and end is not null")
 
 
@@ -100,13 +146,13 @@ def cigar_blocks(alignments: DataFrame) -> DataFrame:
     )
 
 
-def assign_features(blocks: DataFrame, features: DataFrame, feature: str = "gene", stranded: bool = True, largest: bool = False, min_length: int = 10, max_length: int = 10_000) -> DataFrame:
-    """(read_id, status, n_targets, targets): reads by overlap; several features are ambiguous, or with ``largest`` the largest overlap wins."""
+def assign_features(blocks: DataFrame, features: DataFrame, feature: str = "gene", stranded: bool = True, largest: bool = False, min_length: int = 10, max_length: int = 10_000, width: int = BIN) -> DataFrame:
+    """(read_id, status, n_targets, targets): reads by overlap; several features are ambiguous, or with ``largest`` the largest overlap wins, of equal ones the least name."""
     sized = blocks.groupBy("name").agg(F.sum(F.col("end") - F.col("start")).alias("len")).where(F.col("len").between(min_length, max_length)).select("name")
-    pairs = overlaps(blocks.join(sized, "name", "left_semi"), features, stranded)
+    pairs = overlaps(blocks.join(sized, "name", "left_semi"), features, stranded, width)
     per = pairs.groupBy(F.col("l.name").alias("read_id"), F.col(f"r.{feature}").alias("target")).agg(F.sum(overlap_length()).alias("bases"))
     if largest:
-        best = per.groupBy("read_id").agg(F.max_by("target", F.struct("bases", F.xxhash64("target"))).alias("targets")).withColumn("n_targets", F.lit(1).cast("long"))
+        best = per.groupBy("read_id").agg(F.min_by("target", F.struct(-F.col("bases"), "target")).alias("targets")).withColumn("n_targets", F.lit(1).cast("long"))
         found = best.withColumn("status", F.lit("Assigned"))
     else:
         found = per.groupBy("read_id").agg(F.count("*").alias("n_targets"), F.min("target").alias("t"))
@@ -115,7 +161,18 @@ def assign_features(blocks: DataFrame, features: DataFrame, feature: str = "gene
     return every.join(found, "read_id", "left").select("read_id", F.coalesce("status", F.lit("Unassigned_NoFeatures")).alias("status"), F.coalesce("n_targets", F.lit(0)).cast("long").alias("n_targets"), "targets")
 
 
-def active_regions(raw: DataFrame, blocks: DataFrame, annotation: DataFrame, gap: int = 500, least: int = 5) -> DataFrame:
+def active_regions(raw: DataFrame, blocks: DataFrame, annotation: DataFrame, gap: int = 500, least: int = 5, width: int = BIN) -> DataFrame:
     """Unannotated transcribed regions: merged, covered, filtered, annotated ones dropped, named."""
     merged = merge_intervals(raw, gap).withColumn("name", F.concat_ws("_", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "strand")).drop("n")
-    return not_overlapping(at_least(coverage(merged, blocks), least), annotation)
+    return not_overlapping(at_least(coverage(merged, blocks, width=width), least), annotation, width=width)
+
+
+def region_counts(blocks: DataFrame, regions: DataFrame, cells: DataFrame, width: int = BIN, **options) -> DataFrame:
+    """(cell, gene, n): distinct UMIs of each cell in each region, from blocks by read name and (name, cell, umi) of the reads.
+
+    Reads of more than one region, or of none, count for no region.
+    """
+    from spotweave.operators.umis import count_exact
+
+    found = assign_features(blocks, regions.withColumnRenamed("name", "gene"), width=width, **options).where("status = 'Assigned'")
+    return count_exact(found.select(F.col("read_id").alias("name"), F.col("targets").alias("gene")).join(cells, "name"))

@@ -7,15 +7,23 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotweave.sources.scratch import written
+
+def ranked(df: DataFrame, order: list[Column], column: str) -> DataFrame:
+    """``df`` in order with its place from 0 as ``column``: sorted ranges are numbered apart and offset, so no task sees all rows.
+
+    The sorted ranges are written once; a range sorted anew after a lost executor could be cut elsewhere.
+    """
+    cut = written(df.orderBy(*order).withColumn("_p", F.spark_partition_id()), "sorted")
+    sizes = cut.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    nth = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
+    return cut.withColumn("_nth", nth).join(F.broadcast(before), "_p").withColumn(column, F.col("_base") + F.col("_nth")).drop("_p", "_nth", "_base")
+
 
 def dense_index(names: DataFrame, column: str) -> DataFrame:
-    """(ix, name) from 0 in order, by sorted partitions and their sizes, so no task sees all names."""
-    sorted_ = names.select(F.col(column).alias("name")).distinct().orderBy("name").withColumn("_p", F.spark_partition_id())
-    sorted_ = sorted_.persist()
-    sizes = sorted_.groupBy("_p").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    nth = F.row_number().over(Window.partitionBy("_p").orderBy("name")) - 1
-    return sorted_.withColumn("nth", nth).join(F.broadcast(before), "_p").select((F.col("base") + F.col("nth")).cast("int").alias("ix"), "name")
+    """(ix, name) from 0 in order."""
+    return ranked(names.select(F.col(column).alias("name")).distinct(), [F.asc("name")], "ix").select(F.col("ix").cast("int").alias("ix"), "name")
 
 
 @dataclass
@@ -42,8 +50,10 @@ class Matrix:
         return out
 
     def transposed(self) -> Matrix:
+        """Cells and genes change places; ``obsm``, which belongs to cells, then goes by genes, and ``raw`` is turned too."""
         turn = lambda df: df.select(F.col("gene").alias("cell"), F.col("cell").alias("gene"), "n")
-        return Matrix(turn(self.x), self.var.withColumnRenamed("gene", "cell"), self.obs.withColumnRenamed("cell", "gene"), {k: turn(v) for k, v in self.layers.items()})
+        swap = lambda df: df.select(*[F.col(f"`{c}`").alias({"cell": "gene", "gene": "cell"}.get(c, c)) for c in df.columns])
+        return Matrix(turn(self.x), swap(self.var), swap(self.obs), {k: turn(v) for k, v in self.layers.items()}, {k: swap(v) for k, v in self.obsm.items()}, None if self.raw is None else turn(self.raw))
 
     def add_layer(self, name: str, layer: DataFrame, how: str = "intersect") -> Matrix:
         """``layer`` (cell, gene, n) aligned by names: keep common cells and genes, or all of both."""
@@ -105,13 +115,8 @@ def matrix_qc(x: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFrame:
 
 
 def knee_ranks(qc: DataFrame) -> DataFrame:
-    """``qc`` with ``rank`` by counts and genes, both falling, then name: ranges of the order are ranked apart and offset."""
-    order = [F.desc("n_counts"), F.desc("n_genes"), F.asc("cell")]
-    parts = qc.orderBy(*order).withColumn("_p", F.spark_partition_id()).persist()
-    sizes = parts.groupBy("_p").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    nth = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
-    return parts.withColumn("nth", nth).join(F.broadcast(before), "_p").withColumn("rank", (F.col("base") + F.col("nth")).cast("long")).drop("_p", "nth", "base")
+    """``qc`` with ``rank`` by counts and genes, both falling, then name."""
+    return ranked(qc, [F.desc("n_counts"), F.desc("n_genes"), F.asc("cell")], "rank").withColumn("rank", F.col("rank") + 1)
 
 
 def category_share(x: DataFrame, var: DataFrame, category: str, per_cent: bool = False) -> DataFrame:
@@ -159,3 +164,9 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> Dat
 def wide(top: DataFrame, group: str, name: str) -> DataFrame:
     """Ranks as rows, groups as columns."""
     return top.groupBy("rank").pivot(group).agg(F.first(name)).orderBy("rank")
+
+
+def long_top(top: DataFrame, group: str, name: str) -> DataFrame:
+    """Ranked results as rows (group, rank, name, and what else was ranked by)."""
+    others = [c for c in top.columns if c not in (group, "rank", name)]
+    return top.select(group, "rank", name, *others).orderBy(group, "rank")

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def count_exact(reads: DataFrame, keys: list[str] = ("cell", "gene"), umi: str = "umi") -> DataFrame:
     """Distinct UMIs of each group: distinct first, so a hot group is combined before the shuffle."""
     return reads.select(*keys, umi).where(F.col(umi).isNotNull()).distinct().groupBy(*keys).agg(F.count("*").alias("n"))
@@ -57,17 +56,30 @@ def count_directional(reads: DataFrame, keys: list[str] = ("cell", "gene"), umi:
     return counted.join(close, keys, "left_semi").groupBy(*keys).applyInPandas(cluster, schema).unionByName(alone)
 
 
-def dedup_positions(alignments: DataFrame, cell: str = "CB", umi: str = "UB") -> DataFrame:
-    """One alignment for each (chromosome, 5' position, strand, cell, UMI): the best mapping quality, then the least name."""
+def five_prime_position(compat: bool = False) -> tuple[Column, Column]:
+    """(unclipped 5' position, whether reversed) of an alignment: clipped bases count as if they were aligned.
+
+    With ``compat`` clips are left out, so alignments of one molecule that are clipped differently stay apart.
+    """
     reverse = F.col("flag").bitwiseAND(16) != 0
     covered = F.expr("aggregate(regexp_extract_all(cigar, '(\\\\d+)[MDN=X]', 1), 0L, (a, x) -> a + cast(x as long))")
-    five = F.when(reverse, F.col("pos") + covered).otherwise(F.col("pos"))
+    clip = lambda pattern: F.coalesce(F.expr(f"try_cast(regexp_extract(cigar, '{pattern}', 1) as long)"), F.lit(0)) if not compat else F.lit(0)
+    head, tail = clip("^(?:\\\\d+H)?(\\\\d+)S"), clip("(\\\\d+)S(?:\\\\d+H)?$")
+    return F.when(reverse, F.col("pos") + covered + tail).otherwise(F.col("pos") - head), reverse
+
+
+def _best(alignments: DataFrame, keys: list[Column]) -> DataFrame:
+    """One row of each group: the best mapping quality, then the least name."""
     row = F.struct(*alignments.columns)
-    best = alignments.groupBy("rname", five.alias("_five"), reverse.alias("_rev"), F.col("tags")[cell]["value"].alias("_cell"), F.col("tags")[umi]["value"].alias("_umi")).agg(F.max_by(row, F.struct("mapq", F.hash("qname"))).alias("_r"))
-    return best.select("_r.*")
+    return alignments.groupBy(*keys).agg(F.min_by(row, F.struct(-F.col("mapq"), "qname")).alias("_r")).select("_r.*")
+
+
+def dedup_positions(alignments: DataFrame, cell: str = "CB", umi: str = "UB", compat: bool = False) -> DataFrame:
+    """One alignment for each (chromosome, 5' position, strand, cell, UMI): the best mapping quality, then the least name."""
+    five, reverse = five_prime_position(compat)
+    return _best(alignments, ["rname", five.alias("_five"), reverse.alias("_rev"), F.col("tags")[cell]["value"].alias("_cell"), F.col("tags")[umi]["value"].alias("_umi")])
 
 
 def dedup_by_tag(alignments: DataFrame, tag: str = "XB") -> DataFrame:
-    """One alignment for each (transcript, combined tag)."""
-    row = F.struct(*alignments.columns)
-    return alignments.groupBy("rname", F.col("tags")[tag]["value"].alias("_t")).agg(F.max_by(row, F.struct("mapq", F.hash("qname"))).alias("_r")).select("_r.*")
+    """One alignment for each (transcript, combined tag): the best mapping quality, then the least name."""
+    return _best(alignments, ["rname", F.col("tags")[tag]["value"].alias("_t")])

@@ -5,16 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session, else its checkpoint folder, else (one machine) a temporary one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """``spark.checkpoint.dir`` of the session, else its checkpoint folder, else (a local master only) a temporary one."""
     context = spark.sparkContext
     known = context._jsc.sc().getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or (known.get() if known.isDefined() else None)
     if not path:
-        path = known.get() if known.isDefined() else "file://" + tempfile.mkdtemp(prefix="spotweave-")
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = "file://" + tempfile.mkdtemp(prefix="spotweave-")
     if not known.isDefined():
         context.setCheckpointDir(path)
     return path.rstrip("/")
@@ -22,3 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/spotweave-{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: evaluated once, so what it numbers stays the same when executors are lost."""
+    path = fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
