@@ -116,6 +116,32 @@ def check_samples(rows: list[dict[str, str]], recipes: set[str], exists=None) ->
     return warnings
 
 
+#: Chemistries whose long reads need a transcriptome, and whose recipes need lengths.
+SPATIAL = ["visium", "seeker", "stomics", "decoder", "miST"]
+
+
+def check_all(samples: list[dict[str, str]], recipes: list[dict[str, str]], whitelist_lengths: dict[str, int] | None = None, exists=None) -> list[str]:
+    """Every check at once: sheets, files, recipes against whitelists, and samples against recipes.
+
+    Returns the warnings; what can't be run (a transcriptome or lengths that are missing) is raised together.
+    """
+    known = {r["recipe"]: r for r in recipes}
+    warnings = check_recipes(recipes) + check_samples(samples, set(known), exists)
+    for name, length in (whitelist_lengths or {}).items():
+        if name in known:
+            warnings += check_compatible(Recipe.from_row(known[name]), length)
+    wrong = []
+    for r in samples:
+        short, long = cells(r.get("recipe", "")), cells(r.get("recipe_ONT", ""))
+        if not str(r.get("cdna_fa") or "").strip():
+            wrong += [f"{r['sampleID']}: rRNA-bwa needs cdna_fa"] * ("rRNA-bwa" in short)
+            wrong += [f"{r['sampleID']}: {x} for long reads needs cdna_fa" for x in long if x in SPATIAL]
+        wrong += [f"{r['sampleID']}: {x} has no {c}" for x in short if x in SPATIAL and x in known for c in ("BC_length", "UMI_length") if not str(known[x].get(c) or "").strip()]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    return warnings
+
+
 def duplicates(sheet: DataFrame, key: str) -> DataFrame:
     return sheet.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import struct
 import zlib
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,16 @@ def _lines(spark: SparkSession, paths) -> DataFrame:
     return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
+def numbered_lines(spark: SparkSession, paths) -> DataFrame:
+    """(line, value): lines of all files from 0, in order of file, block and line; blocks are numbered apart and offset."""
+    lines = _lines(spark, paths).withColumn("id", F.monotonically_increasing_id())
+    sizes = lines.groupBy("file", "block").agg(F.count("*").alias("n"))
+    w = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("base", F.coalesce(F.sum("n").over(w), F.lit(0))).drop("n")
+    nth = F.row_number().over(Window.partitionBy("file", "block").orderBy("id")) - 1
+    return lines.withColumn("nth", nth).join(sizes, ["file", "block"]).select((F.col("base") + F.col("nth")).alias("line"), "value")
+
+
 def _read_id(header: Column, full: bool) -> Column:
     name = F.regexp_replace(F.replace(header, F.lit("@"), F.lit("")), "\t", "_")
     return name if full else F.substring_index(name, " ", 1)
@@ -28,8 +40,8 @@ def fastq(spark: SparkSession, paths, full_header: bool = False, sample: str | N
     """Reads of 4-line FASTQ files (plain or compressed), with their file and ordinal.
 
     A first pass counts the lines of each block; knowing its first line's
-    number, a block assembles its own records, and only the few lines of
-    records cut by a block's edge are grouped.
+    number, a block assembles its own records, a batch of lines at a time, and
+    only the few lines of records cut by a block's edge are grouped.
     """
     lines = _lines(spark, paths)
     counts = lines.groupBy("file", "block").agg(F.count("*").alias("n"))
@@ -38,36 +50,39 @@ def fastq(spark: SparkSession, paths, full_header: bool = False, sample: str | N
     shared = spark.sparkContext.broadcast(first)
 
     def assemble(batches):
-        state: dict = {}
-
-        def flush(key, lines, number):
-            for i, line in enumerate(lines):
-                yield key[0], (number + i) // 4, (number + i) % 4, [line]
-
-        for p in batches:
-            out = []
-            for f, b, v in zip(p["file"], p["block"], p["value"], strict=True):
-                key = (f, b)
-                if state.get("key") != key:
-                    if "key" in state:
-                        out += flush(state["key"], state["held"], state["number"])
-                    state.update(key=key, held=[], number=shared.value[key])
-                held = state["held"]
-                held.append(v)
-                if state["number"] % 4 == 0:
-                    if len(held) == 4:
-                        out.append((f, state["number"] // 4, 0, list(held)))
-                        state["number"] += 4
-                        held.clear()
-                elif (state["number"] + len(held)) % 4 == 0:
-                    out += flush(key, held, state["number"])
-                    state["number"] += len(held)
-                    held.clear()
-            yield pd.DataFrame(out, columns=["file", "ord", "part", "lines"])
-        if state.get("held"):
-            yield pd.DataFrame(list(flush(state["key"], state["held"], state["number"])), columns=["file", "ord", "part", "lines"])
-
-    parts = lines.mapInPandas(assemble, "file string, ord long, part int, lines array<string>")
+        kind = pa.list_(pa.string())
+
+        def rows(key, number, lines, each):
+            """Runs of ``each`` lines as rows."""
+            n = len(lines) // each
+            at = (number + np.arange(n) * each) if each == 1 else number + np.arange(n) * 4
+            packed = pa.ListArray.from_arrays(pa.array(np.arange(0, len(lines) + 1, each, dtype=np.int32)), lines)
+            return pa.RecordBatch.from_arrays([pa.array([key[0]] * n, pa.string()), pa.array(at // 4), pa.array((at % 4).astype(np.int32)), packed.cast(kind)], ["file", "ord", "part", "lines"])
+
+        key, held, number = None, pa.array([], pa.string()), 0
+        for batch in batches:
+            files, blocks, values = (batch.column(c) for c in ("file", "block", "value"))
+            f, b = files.dictionary_encode().indices.to_numpy(), blocks.to_numpy()
+            edges = [0, *(np.flatnonzero((np.diff(f) != 0) | (np.diff(b) != 0)) + 1).tolist(), len(b)]
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                now = (files[lo].as_py(), int(b[lo]))
+                if now != key:
+                    if len(held):
+                        yield rows(key, number, held, 1)
+                    key, held, number = now, pa.array([], pa.string()), shared.value[now]
+                own = pa.concat_arrays([held, values.slice(lo, hi - lo).cast(pa.string())])
+                head = min(-number % 4, len(own))
+                if head:  # the rest of a record that began in another block
+                    yield rows(key, number, own.slice(0, head), 1)
+                whole = (len(own) - head) // 4 * 4
+                if whole:
+                    yield rows(key, number + head, pa.concat_arrays([own.slice(head, whole)]), 4)
+                number += head + whole
+                held = own.slice(head + whole)
+        if len(held):
+            yield rows(key, number, held, 1)
+
+    parts = lines.mapInArrow(assemble, "file string, ord long, part int, lines array<string>")
     whole = parts.where("size(lines) = 4").select("file", "ord", "lines")
     cut = parts.where("size(lines) = 1").groupBy("file", "ord").agg(F.array_sort(F.collect_list(F.struct("part", F.col("lines")[0].alias("line")))).alias("l"))
     cut = cut.where("size(l) = 4").select("file", "ord", F.transform("l", lambda x: x["line"]).alias("lines"))
@@ -90,6 +105,48 @@ def _tag_map(fields: Column) -> Column:
     return F.map_from_entries(F.filter(F.transform(fields, entry), lambda e: F.length(e["key"]) == 2))
 
 
+def reads_of(spark: SparkSession, paths: list[str], full_header: bool = False) -> DataFrame:
+    """(read_id, seq, qual) of the files of one sample, in any mix of FASTQ, SAM and BAM, by their suffixes.
+
+    Of alignments the primary ones are reads, turned back to the strand that was sequenced; CRAM is an error.
+    """
+    kinds: dict[str, list[str]] = {}
+    for path in paths:
+        name = path.rstrip("/").lower()
+        kind = next((k for k, ends in (("fastq", (".fq", ".fastq", ".fq.gz", ".fastq.gz")), ("sam", (".sam", ".sam.gz")), ("bam", (".bam",))) if name.endswith(ends)), None)
+        if kind is None:
+            raise ValueError(f"{path} is no FASTQ, SAM or BAM file")
+        kinds.setdefault(kind, []).append(path)
+    out = None
+    for kind, own in kinds.items():
+        if kind == "fastq":
+            rows = fastq(spark, own, full_header).select("read_id", "seq", "qual")
+        else:
+            rows = reads_from_alignments(sam(spark, own) if kind == "sam" else bam(spark, own))
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise ValueError("a sample needs files")
+    return out
+
+
+def reads_from_alignments(alignments: DataFrame) -> DataFrame:
+    """(read_id, seq, qual) of primary alignments, as they were sequenced."""
+    from spotweave.functions.sequences import revcomp
+
+    reverse = F.col("flag").bitwiseAND(16) != 0
+    seq = F.when(F.col("seq") == "*", "").otherwise(F.col("seq"))
+    qual = F.when(F.col("qual") == "*", F.repeat(F.lit("B"), F.length(seq))).otherwise(F.col("qual"))
+    return alignments.where(F.col("flag").bitwiseAND(0x900) == 0).select(
+        F.col("qname").alias("read_id"), F.when(reverse, revcomp(seq)).otherwise(seq).alias("seq"), F.when(reverse, F.reverse(qual)).otherwise(qual).alias("qual")
+    )
+
+
+def sam_references(spark: SparkSession, paths) -> DataFrame:
+    """(name, length) of the @SQ lines of text SAM files."""
+    field = lambda k: F.regexp_extract("value", rf"\t{k}:([^\t]*)", 1)
+    return spark.read.text(paths).where("startswith(value, '@SQ')").select(field("SN").alias("name"), field("LN").cast("long").alias("length")).distinct()
+
+
 def sam(spark: SparkSession, paths) -> DataFrame:
     """Alignments of text SAM files; tag values keep their colons."""
     p = F.split("value", "\t")
@@ -232,8 +289,8 @@ def attribute_keys(annotation: DataFrame) -> list[str]:
 
 
 def fasta(spark: SparkSession, path) -> DataFrame:
-    """(header, seq) of multi-line records."""
-    rec = spark.read.option("lineSep", ">").text(path).where("trim(value) <> ''")
+    """(header, seq) of multi-line records; a record begins with '>' at the start of a line, and its header may hold more."""
+    rec = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^\\s*>", "").alias("value")).where("trim(value) <> ''")
     p = F.split("value", "\n", 2)
     return rec.select(F.rtrim(p[0]).alias("header"), F.regexp_replace(F.coalesce(F.get(p, F.lit(1)), F.lit("")), r"\s", "").alias("seq"))
 
@@ -247,6 +304,29 @@ def fasta_fields(records: DataFrame) -> DataFrame:
     return records.withColumns({"id": fields[0], "biotype": biotype})
 
 
+def record_counts(records: DataFrame | None = None, annotation: DataFrame | None = None) -> DataFrame:
+    """(what, n): FASTA records and annotation rows by feature, as build logs report them."""
+    out = None
+    if records is not None:
+        out = records.agg(F.lit("records").alias("what"), F.count("*").alias("n"))
+    if annotation is not None:
+        rows = annotation.groupBy(F.col("feature").alias("what")).agg(F.count("*").alias("n"))
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise ValueError("nothing to count")
+    return out
+
+
+#: Features in the order in which parents come before what they hold.
+NESTING = ["gene", "transcript", "mRNA", "exon", "CDS", "start_codon", "stop_codon"]
+
+
+def sorted_annotation(annotation: DataFrame) -> DataFrame:
+    """Annotation rows by sequence and start; of those that begin together the longest first, then parents before children."""
+    rank = F.coalesce(F.array_position(F.array(*[F.lit(x) for x in NESTING]), F.col("feature")), F.lit(0))
+    return annotation.orderBy("seqname", F.col("start").cast("long"), F.col("end").cast("long").desc(), F.when(rank > 0, rank).otherwise(len(NESTING) + 1), "feature")
+
+
 def rrna_records(records: DataFrame, keywords: list[str]) -> DataFrame:
     """Records whose header contains a keyword."""
     return records.where(F.exists(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains("header", k)))
@@ -270,6 +350,31 @@ def counts_long(spark: SparkSession, path) -> DataFrame:
     return rows.toDF("gene", "cell", "n").withColumn("n", F.col("n").cast("double")).where("n <> 0")
 
 
+def counts_wide(spark: SparkSession, path, gene: str | None = None) -> DataFrame:
+    """(gene, cell, n) of a headed table with a gene column (the first, unless named) and one column a cell, zeros dropped."""
+    rows = spark.read.csv(path, sep="\t", header=True)
+    gene = gene or rows.columns[0]
+    cells = [c for c in rows.columns if c != gene]
+    return rows.unpivot([F.col(f"`{gene}`")], [F.col(f"`{c}`") for c in cells], "cell", "n").toDF("gene", "cell", "n").withColumn("n", F.col("n").cast("double")).where("n <> 0")
+
+
+def matrix_bundle(spark: SparkSession, folder: str):
+    """The Matrix that the writer of the same name has written."""
+    from spotweave.operators.matrix import Matrix
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def names(sub):
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{sub}")
+        fs = path.getFileSystem(conf)
+        return [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()] if fs.exists(path) else []
+
+    read = lambda sub: spark.read.parquet(f"{folder}/{sub}")
+    tables = names("")
+    return Matrix(read("x"), read("obs"), read("var"), {k: read(f"layers/{k}") for k in names("layers")}, {k: read(f"obsm/{k}") for k in names("obsm")}, read("raw") if "raw" in tables else None)
+
+
 def bed(spark: SparkSession, path) -> DataFrame:
     return spark.read.csv(path, sep="\t", comment="#", schema="chrom string, start long, end long, name string, score string, strand string")
 
@@ -283,15 +388,15 @@ def gene_lists(spark: SparkSession, path, names: DataFrame | None = None) -> Dat
     return out.select("list", "name")
 
 
-def report_lines(lines: DataFrame, order: str, value: str = "value") -> DataFrame:
-    """(section, key, value): section headings carried forward, values cleaned; ``lines`` is one small report."""
-    heading = F.regexp_extract(value, r"^>>>>>>> (.*)$", 1)
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    named = lines.withColumn("section", F.last(F.when(heading != "", F.trim(heading)), True).over(w)).where(F.col(value).contains(" = "))
+def report_lines(lines: DataFrame, order: str, value: str = "value", by: list[str] = ("file",)) -> DataFrame:
+    """(*by, section, key, value): section headings carried forward within a report, values cleaned; ``by`` tells reports apart."""
     from spotweave.functions.sequences import report_number
 
+    heading = F.when(F.col(value).startswith(">>>>>>> "), F.trim(F.substring(F.col(value), 9, 1 << 30)))
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    named = lines.withColumn("section", F.last(heading, True).over(w)).where(F.col(value).contains(" = "))
     p = F.split(value, " = ", 2)
-    return named.select("section", F.trim(p[0]).alias("key"), report_number(p[1]).alias("value"))
+    return named.select(*by, "section", F.trim(p[0]).alias("key"), report_number(p[1]).alias("value"))
 
 
 def qualimap(spark: SparkSession, path) -> DataFrame:
@@ -300,7 +405,7 @@ def qualimap(spark: SparkSession, path) -> DataFrame:
 
 def cutadapt_json(spark: SparkSession, paths) -> DataFrame:
     rows = spark.read.schema("read_counts struct<input:long,read1_with_adapter:long,read2_with_adapter:long,output:long>").json(paths, multiLine=True)
-    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("read_counts.input").alias("total_reads"), F.col("read_counts.read1_with_adapter").alias("reads_with_adapters"), F.col("read_counts.output").alias("reads_written"))
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("read_counts.input").alias("total_reads"), F.col("read_counts.read1_with_adapter").alias("reads_with_adapters"), F.col("read_counts.read2_with_adapter").alias("reads2_with_adapters"), F.col("read_counts.output").alias("reads_written"))
 
 
 def matrix_folder(spark: SparkSession, folder: str):
@@ -308,9 +413,7 @@ def matrix_folder(spark: SparkSession, folder: str):
     from spotweave.operators.matrix import Matrix
 
     def names(file, key):
-        w = Window.orderBy("block", "id")
-        rows = _lines(spark, f"{folder}/{file}").withColumn("id", F.monotonically_increasing_id())
-        return rows.select((F.row_number().over(w) - 1).alias("ix"), F.split("value", "\t")[0].alias(key))
+        return numbered_lines(spark, f"{folder}/{file}").select(F.col("line").alias("ix"), F.split("value", "\t")[0].alias(key))
 
     cells, genes = names("barcodes.tsv.gz", "cell"), names("features.tsv.gz", "gene")
     x = mtx(spark, f"{folder}/matrix.mtx.gz")
