@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotweave.functions import sequences as sq
@@ -18,6 +18,7 @@ from spotweave.operators import matrix as mx
 from spotweave.operators import reads as rd
 from spotweave.operators import tags as tg
 from spotweave.operators import umis as um
+from spotweave.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,14 +80,25 @@ def long_sequenced(spark: SparkSession, d: str) -> DataFrame:
     return r.select("read_id", "seq", F.repeat(F.lit("I"), F.length("seq")).alias("qual"))
 
 
+CHROMS = ["click", "error", "purchase", "signup", "view"]
+
+
 def derived_intervals(spark: SparkSession, d: str) -> DataFrame:
+    """One interval an event, spread along its chromosome by its id."""
     i = F.col("event_id")
-    start = i * 37 % 5000
+    start = i * 37
     return table(spark, d, "events").select(
         F.concat(F.lit("i"), i.cast("string")).alias("name"), F.col("event_type").alias("chrom"), start.alias("start"), (start + 50 + i % 100).alias("end"), F.when(i % 2 == 0, "+").otherwise("-").alias("strand")
     )
 
 
+def derived_features(spark: SparkSession, d: str) -> DataFrame:
+    """One feature an order, spread over the same chromosomes."""
+    k = F.col("o_orderkey")
+    chrom = F.element_at(F.array(*[F.lit(c) for c in CHROMS]), (k % 5 + 1).cast("int"))
+    return table(spark, d, "orders").select(F.concat(F.lit("g"), k.cast("string")).alias("gene"), chrom.alias("chrom"), (k * 9).alias("start"), (k * 9 + 40 + k % 60).alias("end"), F.when(k % 2 == 0, "+").otherwise("-").alias("strand"))
+
+
 def derived_counts(spark: SparkSession, d: str) -> DataFrame:
     """(cell, gene, n) from line items."""
     return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("cell"), F.col("l_partkey").alias("gene"), F.col("l_quantity").cast("double").alias("n"))
@@ -100,7 +112,8 @@ reads as (select event_id, concat('r',cast(event_id as varchar)) as read_id, eve
   case event_id % 6 when 0 then concat(substr(true_bc,1,p-1), translate(substr(true_bc,p,1),'ACGT','CGTA'), substr(true_bc,p+1))
   when 1 then concat(substr(true_bc,1,p-1), substr(true_bc,p+1), 'A') else true_bc end as bc, cdna from b),
 seqs as (select read_id, gene, concat(bc, umi, repeat('T',12), cdna) as seq from reads)"""
-IV = "iv as (select concat('i',cast(event_id as varchar)) as name, event_type as chrom, event_id*37%5000 as start, event_id*37%5000 + 50 + event_id%100 as stop, case when event_id%2=0 then '+' else '-' end as strand from events)"
+IV = "iv as (select concat('i',cast(event_id as varchar)) as name, event_type as chrom, event_id*37 as start, event_id*37 + 50 + event_id%100 as stop, case when event_id%2=0 then '+' else '-' end as strand from events)"
+FEATURES = f"feats as (select concat('g',cast(o_orderkey as varchar)) as gene, ({CHROMS})[cast(o_orderkey%5 as int)+1] as chrom, o_orderkey*9 as start, o_orderkey*9 + 40 + o_orderkey%60 as stop, case when o_orderkey%2=0 then '+' else '-' end as strand from orders)"
 MATCH = """km(bc, len) as (select bc, 16 from (select distinct bc from reads where bc not in (select barcode from wl))),
 qk as (select distinct bc, substr(bc, cast(i as int), 5) as g from km, range(1,13) t(i)),
 wk as (select distinct barcode, substr(barcode, cast(i as int), 5) as g from wl, range(1,13) t(i)),
@@ -201,10 +214,9 @@ def barcode_distance_histogram(spark, d):
 select cell, cast(n_counts as double) as n_counts, n_genes, row_number() over (order by n_counts desc, n_genes desc, cell) as rank from u""")
 def corrected_umi_knee(spark, d):
     """The flagship: extraction, whitelist correction, UMI counts, cells ranked for a knee plot."""
-    calls = rd.call_barcodes(sequenced(spark, d), *VISIUM)
-    fixed = bc.slim(bc.correct(calls, [derived_whitelist(spark, d)]))
-    umis = calls.select("read_id", F.col("umis")[0].alias("umi")).join(derived_reads(spark, d).select("read_id", "gene"), "read_id")
-    counts = um.count_exact(fixed.withColumnRenamed("cb", "cell").join(umis, "read_id"))
+    calls = rd.call_barcodes(sequenced(spark, d), *VISIUM, keep=["gene"]).withColumn("umi", F.col("umis")[0])
+    fixed = bc.slim(bc.correct(calls, [derived_whitelist(spark, d)], keep=["gene", "umi"]))
+    counts = um.count_exact(fixed.withColumnRenamed("cb", "cell"))
     return mx.knee_ranks(mx.cell_qc(counts)).select("cell", "n_counts", "n_genes", "rank")
 
 
@@ -258,20 +270,15 @@ def keyword_filter(spark, d):
     return mx.names_like(table(spark, d, "documents"), "text", ["that", "que"], ["token"]).select("doc_id")
 
 
-@query("""with l as (select doc_id, i, t[i] as line from (select doc_id, string_split(text, chr(10)) as t from documents), range(1, 4000) r(i) where i <= len(t)),
+@query("""with l as (select doc_id, unnest(range(1, len(t) + 1)) as i, unnest(t) as line from (select doc_id, string_split(text, chr(10)) as t from documents)),
 s as (select doc_id, i, case when i % 3 = 1 then concat('>>>>>>> ', substr(line,1,5)) else concat('k', cast(i as varchar), ' = ', cast(length(line) as varchar), ' (', cast(i as varchar), '%)') end as v from l),
 c as (select *, last_value(case when v like '>>>>>>> %' then trim(substr(v,9)) end ignore nulls) over (partition by doc_id order by i rows unbounded preceding) as section from s)
 select doc_id, section, split_part(v,' = ',1) as key, trim(regexp_replace(regexp_replace(split_part(v,' = ',2), '\\(.*?\\)', '', 'g'), '[%,]', '', 'g')) as value from c where contains(v, ' = ')""")
 def section_report_parse(spark, d):
+    """One report a document, of headings and key = value lines."""
     lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line")).withColumn("i", F.col("p") + 1)
     v = F.when(F.col("i") % 3 == 1, F.concat(F.lit(">>>>>>> "), F.substring("line", 1, 5))).otherwise(F.concat(F.lit("k"), F.col("i").cast("string"), F.lit(" = "), F.length("line").cast("string"), F.lit(" ("), F.col("i").cast("string"), F.lit("%)")))
-    lines = lines.select("doc_id", "i", v.alias("value"))
-    # One report a document: sections are carried forward within it.
-    w = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    heading = F.regexp_extract("value", r"^>>>>>>> (.*)$", 1)
-    named = lines.withColumn("section", F.last(F.when(F.col("value").startswith(">>>>>>> "), F.trim(heading)), True).over(w)).where(F.contains("value", F.lit(" = ")))
-    p = F.split("value", " = ", 2)
-    return named.select("doc_id", "section", F.trim(p[0]).alias("key"), sq.report_number(p[1]).alias("value"))
+    return readers.report_lines(lines.select("doc_id", "i", v.alias("value")), "i", by=["doc_id"])
 
 
 # Tags and joins ----------------------------------------------------------------
@@ -336,7 +343,11 @@ def cigar_blocks(spark, d):
     return intervals.cigar_blocks(_alignments(spark, d)).select("chrom", "start", "end", "name", "strand")
 
 
-@query()
+ALIGNED = f"""{READS}, al as (select read_id as qname, (event_id % 3)*8 as flag, concat('chr', cast(event_id % 12 as varchar)) as rname, event_id % 9000 as pos, event_id % 61 as mapq,
+  case when event_id % 3 = 2 then event_id % 9000 + 27 when event_id % 3 = 1 then event_id % 9000 - 5 else event_id % 9000 end as five, event_id % 3 = 2 as rev, case when event_id % 5 = 0 then '-' else true_bc end as cb, umi from reads)"""
+
+
+@query(f"with {ALIGNED}, k as (select *, row_number() over (partition by rname, five, rev, cb, umi order by mapq desc, qname) as n from al) select qname, rname, pos, cast(mapq as int) as mapq from k where n = 1")
 def dedup_alignments(spark, d):
     return um.dedup_positions(_alignments(spark, d), umi="UR").select("qname", "rname", "pos", "mapq")
 
@@ -349,9 +360,13 @@ def umi_count_exact(spark, d):
     return um.count_exact(derived_reads(spark, d).withColumnRenamed("true_bc", "cell"))
 
 
-@query()
+@query(f"""with recursive {READS}, n as (select true_bc as cell, gene, substr(umi, 1, 3) as u, count(*) as c from reads group by 1, 2, 3), o as (select *, row_number() over (partition by cell, gene order by c desc, u) as k from n),
+e as (select a.cell, a.gene, a.k as src, b.k as dst from o a join o b on a.cell = b.cell and a.gene = b.gene and hamming(a.u, b.u) = 1 and a.c >= 2 * b.c - 1),
+r as (select * from e union select r.cell, r.gene, r.src, e.dst from r join e on r.cell = e.cell and r.gene = e.gene and r.dst = e.src)
+select cell, gene, count(*) as n from o where not exists (select 1 from r where r.cell = o.cell and r.gene = o.gene and r.dst = o.k and r.src < o.k) group by 1, 2""")
 def umi_count_directional(spark, d):
-    return um.count_directional(derived_reads(spark, d).withColumnRenamed("true_bc", "cell"))
+    """UMIs of three bases, so that many are neighbours: one is a cluster of its own unless one that comes earlier leads to it."""
+    return um.count_directional(derived_reads(spark, d).withColumnRenamed("true_bc", "cell").withColumn("umi", F.substring("umi", 1, 3)))
 
 
 @query(f"""with {COUNTS} select cast(dense_rank() over (order by cell) - 1 as int) as cell_ix, cast(dense_rank() over (order by gene) - 1 as int) as gene_ix, n
@@ -400,14 +415,20 @@ def annotate_left_join(spark, d):
     return mx.annotate_genes(genes, table(spark, d, "part").select(F.col("p_partkey").alias("gene"), "p_name", "p_brand"))
 
 
-@query("""with a as (select distinct l_suppkey as cell from lineitem where l_suppkey % 3 <> 0), b as (select distinct l_suppkey as cell from lineitem where l_suppkey % 2 = 0)
-select coalesce(a.cell, b.cell) as cell, a.cell is not null as in_matrix, b.cell is not null as in_layer from a full join b on a.cell = b.cell""")
+@query(f"""with {COUNTS}, a as (select cell, gene, sum(n) as n from c where cell % 3 <> 0 group by 1, 2), b as (select cell, gene, sum(n) as n from c where cell % 2 = 0 group by 1, 2)
+select 'x' as part, cell, gene, n from a union all select 'layer', cell, gene, n from b union all (select 'obs', cell, null, null from a union select 'obs', cell, null, null from b) union all (select 'var', null, gene, null from a union select 'var', null, gene, null from b)""")
 def layer_union(spark, d):
+    """Counts, layer and both dimension tables of a union."""
     x = derived_counts(spark, d)
-    m = mx.from_long(x.where("cell % 3 <> 0"))
-    both = m.add_layer("other", x.where("cell % 2 = 0"), "union")
-    mine, theirs = m.obs.withColumn("in_matrix", F.lit(True)), both.layers["other"].select("cell").distinct().withColumn("in_layer", F.lit(True))
-    return both.obs.join(mine, "cell", "left").join(theirs, "cell", "left").fillna(False, ["in_matrix", "in_layer"]).select("cell", "in_matrix", "in_layer")
+    other = mx.from_long(x.where("cell % 2 = 0")).x
+    both = mx.from_long(x.where("cell % 3 <> 0")).add_layer("other", other, "union")
+    none = lambda kind: F.lit(None).cast(kind)
+    parts = [both.x.select(F.lit("x").alias("part"), "cell", "gene", "n"), both.layers["other"].select(F.lit("layer").alias("part"), "cell", "gene", "n")]
+    parts += [both.obs.select(F.lit("obs").alias("part"), "cell", none("long").alias("gene"), none("double").alias("n")), both.var.select(F.lit("var").alias("part"), none("long").alias("cell"), "gene", none("double").alias("n"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @query(f"""with {COUNTS}, a as (select * from c where cell % 3 <> 0), b as (select * from c where cell % 2 = 0)
@@ -430,34 +451,53 @@ def make_unique(spark, d):
 # Intervals -----------------------------------------------------------------------
 
 
-@query(f"with {IV} select a.name as left_name, b.name as right_name from iv a join (select * from iv where cast(substr(name,2) as bigint) % 20 = 0) b on a.chrom = b.chrom and a.start < b.stop and b.start < a.stop")
+@query(f"with {IV}, {FEATURES} select a.name as left_name, b.gene as right_name from iv a join feats b on a.chrom = b.chrom and a.start < b.stop and b.start < a.stop")
 def interval_overlap(spark, d):
-    iv = derived_intervals(spark, d)
-    some = iv.where(F.substring("name", F.lit(2), F.length("name")).cast("long") % 20 == 0)
-    return intervals.overlaps(iv, some, width=500).select(F.col("l.name").alias("left_name"), F.col("r.name").alias("right_name"))
+    return intervals.overlaps(derived_intervals(spark, d), derived_features(spark, d), width=500).select(F.col("l.name").alias("left_name"), F.col("r.gene").alias("right_name"))
 
 
-@query(f"with {IV}, t as (select * from iv where cast(substr(name,2) as bigint) % 20 = 0) select t.name, count(b.name) as n from t left join iv b on t.chrom = b.chrom and t.strand = b.strand and t.start < b.stop and b.start < t.stop group by 1")
+@query(f"with {IV}, {FEATURES} select t.gene, count(b.name) as n from feats t left join iv b on t.chrom = b.chrom and t.strand = b.strand and t.start < b.stop and b.start < t.stop group by 1")
 def interval_coverage(spark, d):
-    iv = derived_intervals(spark, d)
-    some = iv.where(F.substring("name", F.lit(2), F.length("name")).cast("long") % 20 == 0)
-    return intervals.coverage(some, iv, width=500).select("name", "n")
+    return intervals.coverage(derived_features(spark, d), derived_intervals(spark, d), key="gene", width=500).select("gene", "n")
 
 
-@query(f"with {IV}, p as (select * from iv where start % 700 < 40) select a.name from iv a where not exists (select 1 from p b where a.chrom = b.chrom and a.start < b.stop and b.start < a.stop)")
+@query(f"with {IV}, {FEATURES} select a.name from iv a where not exists (select 1 from feats b where a.chrom = b.chrom and a.start < b.stop and b.start < a.stop)")
 def interval_unannotated(spark, d):
-    iv = derived_intervals(spark, d)
-    return intervals.not_overlapping(iv, iv.where("start % 700 < 40"), width=500).select("name")
+    return intervals.not_overlapping(derived_intervals(spark, d), derived_features(spark, d), width=500).select("name")
 
 
-MERGED = """t as (select *, max(stop) over (partition by chrom, strand order by start, stop rows between unbounded preceding and 1 preceding) as reach from thin),
-g as (select *, sum(case when reach is null or start > reach + 5 then 1 else 0 end) over (partition by chrom, strand order by start, stop rows unbounded preceding) as grp from t)"""
+def merged_sql(gap: int) -> str:
+    return f"""t as (select *, max(stop) over (partition by chrom, strand order by start, stop rows between unbounded preceding and 1 preceding) as reach from iv),
+g as (select *, sum(case when reach is null or start > reach + {gap} then 1 else 0 end) over (partition by chrom, strand order by start, stop rows unbounded preceding) as grp from t),
+merged as (select chrom, strand, min(start) as start, max(stop) as stop, count(*) as n from g group by chrom, strand, grp)"""
 
 
-@query(f"with {IV}, thin as (select * from iv where cast(substr(name,2) as bigint) % 7 = 0 and start % 900 < 300), {MERGED} select chrom, strand, min(start) as start, max(stop) as \"end\", count(*) as n from g group by chrom, strand, grp")
+@query(f"with {IV}, {merged_sql(150)} select chrom, strand, start, stop as \"end\", n from merged")
 def interval_merge(spark, d):
+    return intervals.merge_intervals(derived_intervals(spark, d), 150)
+
+
+def region_sql(gap: int, least: int) -> str:
+    return f"""{IV}, {FEATURES}, {merged_sql(gap)},
+regions as (select m.chrom, m.strand, m.start, m.stop, concat_ws('_', m.chrom, cast(m.start as varchar), cast(m.stop as varchar), m.strand) as name from merged m join iv b on m.chrom = b.chrom and m.strand = b.strand and m.start < b.stop and b.start < m.stop
+  where not exists (select 1 from feats f where f.chrom = m.chrom and f.start < m.stop and m.start < f.stop) group by 1, 2, 3, 4, 5 having count(*) >= {least})"""
+
+
+def _active(spark, d):
     iv = derived_intervals(spark, d)
-    return intervals.merge_intervals(iv.where((F.substring("name", F.lit(2), F.length("name")).cast("long") % 7 == 0) & (F.col("start") % 900 < 300)), 5)
+    return intervals.active_regions(iv, iv, derived_features(spark, d), gap=150, least=2, width=500)
+
+
+@query(f"with {region_sql(150, 2)} select chrom, strand, start, stop as \"end\", name from regions")
+def active_regions(spark, d):
+    return _active(spark, d).select("chrom", "strand", "start", "end", "name")
+
+
+@query(f"""with {READS}, {region_sql(150, 2)}, hit as (select b.name, r.name as gene, count(*) over (partition by b.name) as n from iv b join regions r on b.chrom = r.chrom and b.strand = r.strand and b.start < r.stop and r.start < b.stop)
+select true_bc as cell, hit.gene, count(distinct umi) as n from hit join reads on concat('i', cast(event_id as varchar)) = name where hit.n = 1 group by 1, 2""")
+def active_region_counts(spark, d):
+    cells = derived_reads(spark, d).select(F.concat(F.lit("i"), F.col("event_id").cast("string")).alias("name"), F.col("true_bc").alias("cell"), "umi")
+    return intervals.region_counts(derived_intervals(spark, d), _active(spark, d), cells, width=500)
 
 
 @query(f"""with {IV}, e as (select chrom, start as loc, 1 as d from iv union all select chrom, stop, -1 from iv), s as (select chrom, loc, sum(d) as d from e group by 1,2 having sum(d) <> 0),
@@ -472,11 +512,18 @@ def five_prime_ends(spark, d):
     return derived_intervals(spark, d).select("name", s.alias("start"), e.alias("end"))
 
 
-@query()
+@query(f"""with {IV}, {FEATURES}, h as (select a.name, b.gene from iv a join feats b on a.chrom = b.chrom and a.strand = b.strand and a.start < b.stop and b.start < a.stop group by 1, 2),
+p as (select name, count(*) as n, min(gene) as gene from h group by 1)
+select iv.name as read_id, case when n is null then 'Unassigned_NoFeatures' when n = 1 then 'Assigned' else 'Unassigned_Ambiguity' end as status, coalesce(n, 0) as n_targets, case when n = 1 then gene end as targets from iv left join p on iv.name = p.name""")
 def feature_assignment(spark, d):
-    iv = derived_intervals(spark, d)
-    genes = iv.where(F.substring("name", F.lit(2), F.length("name")).cast("long") % 50 == 0).withColumnRenamed("name", "gene")
-    return intervals.assign_features(iv, genes)
+    return intervals.assign_features(derived_intervals(spark, d), derived_features(spark, d), width=500)
+
+
+@query(f"""with {IV}, {FEATURES}, h as (select a.name, b.gene, sum(least(a.stop, b.stop) - greatest(a.start, b.start)) as bases from iv a join feats b on a.chrom = b.chrom and a.start < b.stop and b.start < a.stop group by 1, 2),
+p as (select name, gene, row_number() over (partition by name order by bases desc, gene) as k from h)
+select iv.name as read_id, case when gene is null then 'Unassigned_NoFeatures' else 'Assigned' end as status, gene as targets from iv left join p on iv.name = p.name and k = 1""")
+def feature_assignment_largest(spark, d):
+    return intervals.assign_features(derived_intervals(spark, d), derived_features(spark, d), stranded=False, largest=True, width=500).drop("n_targets")
 
 
 @query()
@@ -500,7 +547,12 @@ def spatial_neighbors(spark, d):
     return spatial.neighbour_counts(_points(spark, d), 0.05)
 
 
-@query()
+def singlet_sql(rounds: int, distance: float, more_than: int) -> str:
+    steps = [f"p{k + 1} as materialized (select a.cell, a.x, a.y from p{k} a join p{k} b on a.x between b.x - {distance} and b.x + {distance} and sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) < {distance} group by all having count(*) > {more_than})" for k in range(rounds)]
+    return f"with {PTS}, p0 as (select * from pts), {', '.join(steps)} select * from p{rounds}"
+
+
+@query(singlet_sql(10, 0.05, 3))
 def spatial_singlet_filter(spark, d):
     return spatial.drop_singlets(_points(spark, d), 0.05, 3)
 

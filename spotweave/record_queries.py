@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from spotweave.functions import sequences as sq
@@ -95,11 +97,11 @@ def whitelist_zip(spark, d):
 # Alignments ----------------------------------------------------------------------
 
 
-@query(f"""with {READS}, a as (select *, (event_id % 3)*8 as flag from reads)
-select read_id as "Read_ID", 32 as "Read_Length", round_even(100.0::double*(32-length(translate(cdna,'GC','')))/32,2) as "GC_Percent", substr(cdna,1,1) as "First_Base", right(cdna,1) as "Last_Base",
+@query(f"""with {READS}, a as (select *, (event_id % 3)*8 as flag, list_transform(regexp_extract_all(cdna, '(A+|C+|G+|T+)'), lambda x: length(x)) as lens from reads)
+select read_id as "Read_ID", 32 as "Read_Length", cast(list_max(lens) as int) as "Longest_Homopolymer", substr(regexp_extract_all(cdna, '(A+|C+|G+|T+)')[list_position(lens, list_max(lens))], 1, 1) as "Homopolymer_Base", round_even(100.0::double*(32-length(translate(cdna,'GC','')))/32,2) as "GC_Percent", substr(cdna,1,1) as "First_Base", right(cdna,1) as "Last_Base",
 (flag & 4) > 0 as is_unmapped, (flag & 2) > 0 as is_proper_pair, (flag & 256) > 0 as is_secondary, umi as "UR" from a""")
 def alignment_qc(spark, d):
-    return rd.alignment_qc(_alignments(spark, d), ["UR"]).drop("Longest_Homopolymer", "Homopolymer_Base")
+    return rd.alignment_qc(_alignments(spark, d), ["UR"])
 
 
 @query(f"""with {READS} select read_id as qname, case when event_id % 12 = 0 then 'NA' else concat('chr', cast(event_id % 12 as varchar)) end as gn, bc as cr, umi as ur, 'UR' as kept from reads""")
@@ -140,11 +142,16 @@ def chromosome_version_order(spark, d):
     return names.join(ranked, "key").select("rname", (F.col("ix") + 1).cast("long").alias("place"))
 
 
-@query(f"with {READS} select concat('chr', cast(event_id % 12 as varchar)) as rname, count(*) as n, min(event_id % 9000) as first, max(event_id % 9000) as last from reads group by 1")
+@query(f"""with {READS}, m as (select event_id % 12 as c, event_id % 9000 as pos, row_number() over (order by event_id % 12, event_id % 9000) as line from reads)
+select line, concat('chr', cast(c as varchar)) as rname, pos from m""")
 def merge_alignment_files(spark, d):
+    """Two sets merged in order, written, and read with the numbers of their lines: the order itself is compared."""
+    path = fresh_folder(spark, "merged")
     a = _alignments(spark, d)
     merged = tg.merge([a.where("event_id % 2 = 0"), a.where("event_id % 2 = 1")])
-    return merged.groupBy("rname").agg(F.count("*").alias("n"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+    merged.select(F.concat_ws(":", "rname", F.col("pos").cast("string")).alias("value")).write.text(path)
+    p = F.split("value", ":")
+    return readers.numbered_lines(spark, path).select((F.col("line") + 1).alias("line"), p[0].alias("rname"), p[1].cast("long").alias("pos"))
 
 
 # Matrices and intervals ----------------------------------------------------------
@@ -163,6 +170,16 @@ def matrix_subset_transpose(spark, d):
     return m.x.groupBy("cell", "gene").agg(F.sum("n").alias("n"))
 
 
+@query(f"with {COUNTS}, s as (select cell, gene, sum(n) as n from c group by 1, 2) select 'raw' as part, gene as cell, cell as gene, n from s union all select 'basis', gene, null, null from s where cell % 2 = 0 group by gene")
+def matrix_raw_and_basis(spark, d):
+    """What a filtered, turned matrix keeps of the whole one, and its coordinates by the new cells."""
+    m = mx.from_long(derived_counts(spark, d)).keep_raw()
+    m = m.subset(cells=m.obs.where("cell % 2 = 0"))
+    turned = replace(m, obsm={"spatial": m.x.select("gene").distinct()}).transposed()
+    basis = turned.obsm["spatial"].select(F.lit("basis").alias("part"), "cell", F.lit(None).cast("long").alias("gene"), F.lit(None).cast("double").alias("n"))
+    return turned.raw.select(F.lit("raw").alias("part"), "cell", "gene", "n").unionByName(basis)
+
+
 @query("""with f as (select p_partkey, p_name, p_brand from part), m as (select p_name, arg_max(concat(p_brand, '/', p_name), p_partkey) as nm from f where p_partkey % 2 = 0 group by 1),
 r as (select p_partkey, coalesce(nm, p_name) as renamed from f left join m using (p_name)), k as (select *, row_number() over (partition by renamed order by p_partkey) - 1 as i from r)
 select p_partkey, renamed, case when i > 0 then concat(renamed, '-', cast(i as varchar)) else renamed end as unique_name from k""")
@@ -236,16 +253,16 @@ def interval_files(spark, d):
     return writers.gtf_to_bed(readers.gtf(spark, gtf_path, feature="gene"))
 
 
-@query("select p_partkey as id, cast(length(p_name) as int) as n_bases, p_brand as biotype from part where contains(p_brand, '#1')")
+@query("select p_partkey as id, cast(length(replace(p_name, ' ', '')) as int) as n_bases, concat(p_brand, ' >x A>G') as biotype from part where contains(p_brand, '#1')")
 def fasta_files(spark, d):
-    """FASTA with three lines a record, filtered by a keyword in the header."""
+    """FASTA with three lines a record and more '>' in headers and lines, filtered by a keyword in the header."""
     path = fresh_folder(spark, "fasta")
-    half = F.floor(F.length("p_name") / 2).cast("int")
-    name = F.translate("p_name", " >", "NN")
-    lines = F.concat_ws("\n", F.concat(F.lit(">"), F.col("p_partkey").cast("string"), F.lit("|gene|"), "p_brand", F.lit("|")), F.substring(name, F.lit(1), half), F.substring(name, half + 1, F.length(name)))
+    half = F.floor(F.length("p_name") / 2).cast("int") + 1
+    name = F.concat(F.lit("x"), "p_name")
+    lines = F.concat_ws("\n", F.concat(F.lit(">"), F.col("p_partkey").cast("string"), F.lit("|gene|"), "p_brand", F.lit(" >x A>G|")), F.substring(name, F.lit(1), half), F.substring(name, half + 1, F.length(name)))
     table(spark, d, "part").select(lines.alias("value")).write.text(path)
     r = readers.rrna_records(readers.fasta_fields(readers.fasta(spark, path)), ["Brand#1"])
-    return r.select(F.col("id").cast("long"), F.length("seq").alias("n_bases"), "biotype")
+    return r.select(F.col("id").cast("long"), (F.length("seq") - 1).alias("n_bases"), "biotype")
 
 
 @query("select event_type, count(*) as n, min(event_id) as lo, max(event_id) as hi from events group by 1")
