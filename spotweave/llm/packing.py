@@ -42,13 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.llm.common import written
-from spotweave.llm.text import give_back, raw, text_slices
+from spotweave.llm.text import give_back, hashes, raw, text_slices, word_bounds
 
 CAPACITY, END_ID = 2048, 1
 #: Penalties in ids of padding; ids of which one sentence end is a candidate; the grid's step, and the gap between cuts from which it is used.
 SENTENCE, INSIDE, WINDOW, SPACING, GRID, GAP = 4.0, 24.0, 8.0, 16, 16, 48
-#: Ids solved at once, ids of tails that a task packs, bytes of text tokenised at once, entries of the word cache.
-STRETCH, TAIL_IDS, SLICE, CACHE = 1 << 18, 1 << 22, 1 << 22, 400_000
+#: Ids solved at once, ids of tails that a task packs, bytes of text tokenised at once, slots of the table of words as a power of two.
+STRETCH, TAIL_IDS, SLICE, TABLE_BITS = 1 << 18, 1 << 22, 1 << 19, 20
 PIECES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 TAIL = "struct<doc_id:array<bigint>,start:array<bigint>,length:array<bigint>,doc_tokens:array<bigint>,ids:binary>"
 
@@ -64,20 +64,94 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: Closing punctuation after a letter or digit, before white space: the tokenizer's pattern always splits there.
-CLOSING = r"([a-z0-9À-ÖØ-öø-ÿ])([.,;:!?#$%&*|]+)([ \t-\r])"
-#: Combining marks, which compose with some capitals only, and the opening of a special token's string.
+#: Closing punctuation after a letter or digit, before white space, is a word of its own: the tokenizer's pattern always splits there.  Letters of two bytes are À to ÿ but × and ÷.
+CLOSING = np.zeros(256, bool)
+CLOSING[list(b".,;:!?#$%&*|")] = True
+LETTER = np.zeros(256, bool)
+LETTER[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
+LETTER_TAIL = np.zeros(256, bool)
+LETTER_TAIL[0x80:0xC0] = True
+LETTER_TAIL[[0x97, 0xB7]] = False
+#: Texts with combining marks, which compose with some capitals only, or the opening of a special token's string are encoded as they are.
 AS_THEY_ARE = r"[\x{300}-\x{37f}]|<\|"
+#: A second hash of words, independent of the first.
+CODES = np.random.default_rng(31).integers(0, 2**64, 256, dtype=np.uint64)
+
+
+def closing_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the words of lowered texts, closing punctuation apart."""
+    starts, ends = word_bounds(data, off)
+    if not len(starts):
+        return starts, ends
+    body = np.maximum.accumulate(np.where(CLOSING[data], -1, np.arange(len(data), dtype=np.int32)))[ends - 1]
+    before = data[np.maximum(body - 1, 0)]
+    letter = LETTER[data[body]] | (LETTER_TAIL[data[body]] & (before == 0xC3) & (body > starts))
+    final = np.zeros(len(data) + 1, bool)
+    final[off[1:]] = True
+    cut = np.flatnonzero((body >= starts) & (body < ends - 1) & letter & ~final[ends])
+    return np.insert(starts, cut + 1, body[cut] + 1), np.insert(ends, cut, body[cut] + 1)
+
+
+class WordTable:
+    """Ids of words by two hashes of each: open addressing in arrays, all look-ups of a call at once."""
+
+    def __init__(self, bits: int = TABLE_BITS):
+        self.bits, self.mask = bits, (1 << bits) - 1
+        self.hash, self.check = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64)
+        self.start, self.size, self.hits = (np.zeros(1 << bits, np.int32) for _ in range(3))
+        self.flat = np.zeros(0, np.uint32)
+        self.held = 0
+
+    def slots(self, one: np.ndarray) -> np.ndarray:
+        """The slot of each first hash, or the free one where it would go."""
+        slot = (one >> np.uint64(64 - self.bits)).astype(np.int64)
+        there = self.hash[slot]
+        lost = np.flatnonzero((there != one) & (there != 0))
+        while len(lost):
+            slot[lost] = (slot[lost] + 1) & self.mask
+            there = self.hash[slot[lost]]
+            lost = lost[(there != one[lost]) & (there != 0)]
+        return slot
+
+    def add(self, one: np.ndarray, two: np.ndarray, ids: list[np.ndarray]) -> None:
+        """Words whose first hashes differ; one that shares a first hash with an older word replaces it."""
+        if self.held + len(one) > self.mask // 2:
+            self._forget(self.mask // 4)
+        size = np.fromiter(map(len, ids), np.int32, len(ids))
+        start = (np.cumsum(size) - size + len(self.flat)).astype(np.int32)
+        self.flat = np.concatenate((self.flat, *ids))
+        self._place(one, two, start, size, np.zeros(len(one), np.int32))
+
+    def _place(self, one, two, start, size, hits) -> None:
+        left = np.arange(len(one))
+        while len(left):
+            slot = self.slots(one[left])
+            self.held += int(np.count_nonzero(self.hash[slot] == 0))
+            self.hash[slot] = one[left]  # of several that want a slot the last has it
+            won = self.hash[slot] == one[left]
+            at, own = slot[won], left[won]
+            self.check[at], self.start[at], self.size[at], self.hits[at] = two[own], start[own], size[own], hits[own]
+            left = left[~won]
+        self.held = int(np.count_nonzero(self.hash))
+
+    def _forget(self, keep: int) -> None:
+        """Keep the words that were met most."""
+        some = np.flatnonzero(self.hash)
+        some = some[np.argsort(-self.hits[some], kind="stable")[:keep]]
+        one, two, size, start, hits = self.hash[some], self.check[some], self.size[some], self.start[some], self.hits[some] // 2
+        upto = np.cumsum(size, dtype=np.int64)
+        self.flat = self.flat[np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)]
+        self.hash[:], self.held = 0, 0
+        self._place(one, two, (upto - size).astype(np.int32), size, hits)
 
 
 class WordTokenizer:
     """Whole texts to ids for tokenizers that treat words between white space apart.
 
-    A column of texts is split into words and dictionary-encoded by Arrow; ids
-    of the distinct words come from a bounded cache, and those of the texts are
-    gathered from them.  To need fewer entries, A-Z are lowered first, as the
-    tokenizer lowers them itself, and closing punctuation becomes a word of its
-    own.  Texts with AS_THEY_ARE are split at white space only.
+    Words are found and hashed for a column of texts at once.  Their ids are
+    kept in a bounded table by one hash, verified by a second one.  To need
+    fewer entries, A-Z are lowered first, as the tokenizer lowers them itself,
+    and closing punctuation becomes a word of its own.
     """
 
     def __init__(self, path: str):
@@ -90,58 +164,67 @@ class WordTokenizer:
         for token, i in self.tok.get_vocab().items():
             self.sentence_end[i] = token.removesuffix("</w>")[-1:] in (".", "!", "?")
             self.word_end[i] = token.endswith("</w>")
-        self.words: dict[bytes, bytes] = {}
+        self.table = WordTable()
 
-    def _learn(self, new: set[bytes]) -> None:
-        todo = [w.decode() for w in new]
+    def _encoded(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each word."""
+        out: list = [None] * len(words)
         # A word of letters alone ends with the one id that closes it, so many can be encoded as one text.
-        letters = [w for w in todo if w.isalpha()]
-        texts = [letters[at : at + 256] for at in range(0, len(letters), 256)]
-        for words, e in zip(texts, self.tok.encode_batch_fast([" ".join(x) for x in texts], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            stops = (np.flatnonzero(self.word_end[ids]) + 1) * 4
-            if len(stops) != len(words):
-                todo += words
-                continue
-            data, stops = ids.tobytes(), stops.tolist()
-            self.words.update((w.encode(), data[i:j]) for w, i, j in zip(words, [0, *stops], stops, strict=False))
-        todo = [w for w in todo if w.encode() not in self.words]
-        for w, e in zip(todo, self.tok.encode_batch_fast(todo, add_special_tokens=False), strict=True):
-            self.words[w.encode()] = np.array(e.ids, "<u4").tobytes()
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each of some distinct words."""
-        if len(self.words) > CACHE:  # short words recur most
-            kept = {w: v for w, v in self.words.items() if len(w) < 9}
-            self.words = kept if len(kept) < CACHE // 2 else {}
-        ids = list(map(self.words.get, words))
-        if None in ids:
-            self._learn({w for w, i in zip(words, ids, strict=True) if i is None})
-            ids = list(map(self.words.__getitem__, words))
-        return ids
+        letters = [i for i, w in enumerate(words) if w.isalpha()]
+        groups = [letters[at : at + 256] for at in range(0, len(letters), 256)]
+        for group, e in zip(groups, self.tok.encode_batch_fast([" ".join([words[i] for i in g]) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            stops = np.flatnonzero(self.word_end[ids]) + 1
+            if len(stops) == len(group):
+                for i, own in zip(group, np.split(ids, stops[:-1]), strict=True):
+                    out[i] = own
+        todo = [i for i in range(len(words)) if out[i] is None]
+        for i, e in zip(todo, self.tok.encode_batch_fast([words[i] for i in todo], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, np.uint32)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each) of a large_string column without nulls."""
-        # Arrays of their own, without an offset: lowering a slice in Arrow gives wrong bytes.
         data, off = raw(texts)
-        whole = lambda x: pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(off), pa.py_buffer(x))
-        texts, low = whole(np.ascontiguousarray(data)), whole(LOWER[data])
-        split = pc.replace_substring_regex(low, CLOSING, r"\1 \2\3")
-        as_is = pc.match_substring_regex(texts, AS_THEY_ARE)
-        if pc.any(as_is).as_py():
-            split = pc.if_else(as_is, texts, split)
-        words = pc.ascii_split_whitespace(split)
-        off = words.offsets.to_numpy()
-        coded = words.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
-        ids = self._ids(coded.dictionary.cast(pa.large_binary()).to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
-        word = coded.indices.to_numpy()
-        own = size[word]
+        as_is = pc.match_substring_regex(texts, AS_THEY_ARE).to_numpy(zero_copy_only=False) if len(texts) else np.zeros(0, bool)
+        data = LOWER[data]
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        if as_is.any():  # their words are left out here
+            for i in np.flatnonzero(as_is):
+                data[off[i] : off[i + 1]] = 32
+        starts, ends = closing_words(data, off)
+        one, two = hashes(data, starts, ends), hashes(data, starts, ends, CODES)
+        one[one == 0] = 1  # 0 marks a free slot
+        table = self.table
+        slot = table.slots(one)
+        new = np.flatnonzero((table.hash[slot] != one) | (table.check[slot] != two))
+        if len(new):
+            _, first = np.unique(one[new], return_index=True)
+            first = new[first]
+            whole = data.tobytes()
+            words = [whole[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+            table.add(one[first], two[first], self._encoded(words))
+            slot = table.slots(one)
+            if (table.hash[slot] != one).any() or (table.check[slot] != two).any():
+                return self._plain(texts)  # more words than the table takes, or two of one first hash
+        table.hits[slot] += 1  # once a call, however often a word is met in it
+        own = table.size[slot].astype(np.int64)
         upto = np.concatenate(([0], np.cumsum(own)))
-        at = np.repeat(start[word] - upto[:-1], own)
-        at += np.arange(upto[-1])
-        return flat[at], np.diff(upto[off - off[0]])
+        place = np.repeat(table.start[slot] - upto[:-1], own)
+        place += np.arange(upto[-1])
+        ids, size = table.flat[place], np.diff(upto[np.searchsorted(starts, off)])
+        if as_is.any():
+            ends = np.cumsum(size)
+            parts = [ids[e - n : e] for e, n in zip(ends, size, strict=True)]
+            for i in np.flatnonzero(as_is):
+                parts[i] = np.array(self.tok.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, np.uint32)
+            ids, size = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return ids, size
+
+    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        own = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        return np.concatenate(own), np.array([len(x) for x in own], np.int64)
 
 
 def tokenizer(path: str) -> WordTokenizer:

@@ -15,8 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; longer texts are taken in pieces cut at white space.
-PIECE = 1 << 20
-SLICE = 1 << 20
+PIECE = 1 << 18
+SLICE = 1 << 18
 
 _rng = np.random.default_rng(20240607)
 CODES = _rng.integers(0, 2**64, 256, dtype=np.uint64)
@@ -81,10 +81,8 @@ def raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each row and the total)."""
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte of each word, the byte after its last)."""
     gap = GAP[data]
     first = np.empty(len(data), bool)
     first[0] = True
@@ -95,8 +93,11 @@ def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     last[-1] = True
     last[:-1] = gap[1:]
     last[inner[inner > 0] - 1] = True
-    starts = np.flatnonzero(first & ~gap)
-    ends = np.flatnonzero(last & ~gap) + 1
+    return np.flatnonzero(first & ~gap), np.flatnonzero(last & ~gap) + 1
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = CODES) -> np.ndarray:
+    """The hash of each run of bytes, of runs in order that don't overlap."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
@@ -104,11 +105,19 @@ def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
         lo, hi = starts[at], ends[end - 1]
         up, down = _power(hi - lo + 1)
         total = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(CODES[data[lo:hi]] * up[: hi - lo], out=total[1:])
+        np.cumsum(codes[data[lo:hi]] * up[: hi - lo], out=total[1:])
         s, e = starts[at:end] - lo, ends[at:end] - lo
         out[at:end] = (total[e] - total[s]) * down[s]
         at = end
-    return mix(out), np.searchsorted(starts, off)
+    return mix(out)
+
+
+def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, first word of each row and the total)."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+    starts, ends = word_bounds(data, off)
+    return hashes(data, starts, ends), np.searchsorted(starts, off)
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
