@@ -10,19 +10,27 @@ from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only after its rows have been counted against this bound.
 BROADCAST_ROWS = 500_000
+#: Arrow batches for Python steps: Spark's default of 64 MB is held several times over in each task.  A session that sets it itself is left alone.
+BATCH, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where the setting is absent (tests, one machine) a temporary folder is made and set.
+    Where the setting is absent the checkpoint folder of the context serves, and on one machine (a local
+    master, as in tests) a temporary folder is made and set; on a cluster its lack is an error.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    known = context._jsc.sc().getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or (known.get() if known.isDefined() else None)
     if not path:
-        existing = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = existing.get() if existing.isDefined() else "file://" + tempfile.mkdtemp(prefix="spotweave-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(path)
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = "file://" + tempfile.mkdtemp(prefix="spotweave-")
+    if not known.isDefined():
+        context.setCheckpointDir(path)
+    if spark.conf.get(BATCH, None) == BATCH_DEFAULT:
+        spark.conf.set(BATCH, BATCH_BYTES)
     return path.rstrip("/")
 
 
@@ -38,15 +46,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(df: DataFrame) -> None:
-    """Delete the files behind a table made by :func:`written`, once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/spotweave-" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+def drop_written(*tables: DataFrame) -> None:
+    """Delete the files behind tables made by :func:`written`, once nothing reads them any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/spotweave-" in folder:
+                path = context._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name made from ``name`` that ``df`` doesn't have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    name = f"spotweave_{name}"
+    while name in taken:
+        name += "_"
+    return name
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

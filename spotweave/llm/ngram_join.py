@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.llm import text as tx
-from spotweave.llm.common import bounded, connected_components, written
+from spotweave.llm.common import bounded, connected_components, drop_written, unused, written
 
 #: Buckets of the document-frequency histogram: fixed, so what is broadcast is 2 bytes each.
 BUCKET_BITS = 18
@@ -42,7 +42,9 @@ SKETCH = 256
 #: Sizes above this are heavy in any case.
 MAX_LIGHT = 160
 #: Lists estimated longer than this are dealt over several tasks before they are scanned.
-LIST_ROWS = 50_000
+LIST_ROWS = 16_000
+#: Pairs of one class that share a copy of its sketch and set.
+DEAL = 512
 #: What identifies the text of a row without a doc_id.
 TID = "case when doc_id is null then xxhash64(text) end"
 
@@ -56,8 +58,14 @@ def _sets(slices, n):
         yield batch, [np.unique(sh[begin[i] : begin[i + 1]]) for i in range(batch.num_rows)]
 
 
-def _class_of(s: np.ndarray) -> int:
-    return int((tx.mix(s).sum(dtype=np.uint64) + np.uint64(len(s))).astype(np.uint64).view(np.int64)) if len(s) else 0
+def _class_of(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set."""
+    if not len(s):
+        return 0, 0
+    mixed = tx.mix(s)
+    one = mixed.sum(dtype=np.uint64) + np.uint64(len(s))
+    two = tx.mix(mixed + np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
+    return int(one.view(np.int64)), int(two.view(np.int64))
 
 
 def need(n: int, m: int, num: int, den: int) -> int:
@@ -85,8 +93,8 @@ def histogram(docs: DataFrame, n: int) -> np.ndarray:
     return total
 
 
-def shingle_classes(docs: DataFrame, n: int, num: int, den: int, total: np.ndarray) -> DataFrame:
-    """(doc_id, tid, n, cls, cent, hot, keys, sketch): set size, class, mean token rank, estimated list length, ordered prefix for k = 2.
+def shingle_classes(docs: DataFrame, n: int, num: int, den: int, total: np.ndarray, longer: np.ndarray, class_bits: int = 64) -> DataFrame:
+    """(doc_id, tid, n, cls, cls2, cent, hot, keys, sketch): set size, class by two hashes, mean token rank, estimated list length, ordered prefix for k = 2.
 
     ``tid`` is a hash of the text, which stands for the doc_id of a row that has none.
     """
@@ -94,8 +102,8 @@ def shingle_classes(docs: DataFrame, n: int, num: int, den: int, total: np.ndarr
     mask = np.uint64(len(total) - 1)
     rank = np.empty(len(total), np.uint16)
     rank[np.argsort(total, kind="stable")] = np.arange(len(total)) * 65536 // len(total)
-    noise = float(np.median(total))
-    shared = spark.sparkContext.broadcast((rank, np.maximum(total - 2 * noise - 8, 0).astype(np.float32)))
+    shared = spark.sparkContext.broadcast((rank, longer.astype(np.float32)))
+    drop = 64 - class_bits
 
     def make(batches):
         rank, extra = shared.value
@@ -112,24 +120,26 @@ def shingle_classes(docs: DataFrame, n: int, num: int, den: int, total: np.ndarr
                 counts = np.bincount((s >> np.uint64(40)).astype(np.int64) % SKETCH, minlength=SKETCH)
                 sketch.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
             sizes = np.array([len(s) for s in sets], np.int32)
+            cls = [_class_of(s) for s in sets]
             offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").cast(pa.int64()),
+                    batch.column("doc_id"),
                     batch.column("tid"),
                     pa.array(sizes),
-                    pa.array(np.array([_class_of(s) for s in sets], np.int64)),
+                    pa.array(np.array([c for c, _ in cls], np.int64) >> drop),
+                    pa.array(np.array([c for _, c in cls], np.int64)),
                     pa.array(np.array(cent, np.float32)),
                     pa.array(np.array(hot, np.float32)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     pa.array(sketch, pa.binary()),
                 ],
-                ["doc_id", "tid", "n", "cls", "cent", "hot", "keys", "sketch"],
+                ["doc_id", "tid", "n", "cls", "cls2", "cent", "hot", "keys", "sketch"],
             )
 
     return docs.select("doc_id", "text", F.expr(TID).alias("tid")).mapInArrow(
-        make, "doc_id long, tid long, n int, cls long, cent float, hot float, keys array<long>, sketch binary"
+        make, "doc_id long, tid long, n int, cls long, cls2 long, cent float, hot float, keys array<long>, sketch binary"
     )
 
 
@@ -155,90 +165,101 @@ def choose_boundary(by_size, num: int, den: int) -> int:
     return best[1]
 
 
-def postings(classes: DataFrame, boundary: int, num: int, den: int, total: np.ndarray) -> DataFrame:
-    """(key, part, parts, cls, n, pos, k, cent): a row for each 2-subset of a light prefix and each token of a scanned one.
+def postings(classes: DataFrame, boundary: int, num: int, den: int, longer: np.ndarray) -> DataFrame:
+    """(key, cls, info, deal, cent): a row for each 2-subset of a light prefix and each token of a scanned one.
 
-    A list is dealt over ``parts`` tasks; ``part`` is the one of the row.
+    ``info`` is size << 32 | position << 1 | (k - 1).  A list is dealt over several tasks where ``longer``,
+    the rows a bucket holds beyond what most buckets hold, says so: ``deal`` is parts << 32 | the row's part.
     """
     pairs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     lowest = need_own(boundary + 1, num, den)
     spark = classes.sparkSession
-    shared = spark.sparkContext.broadcast(total)
+    shared = spark.sparkContext.broadcast((longer // LIST_ROWS + 1).astype(np.int32))
 
     def make(batches):
-        total = shared.value
-        mask = np.uint64(len(total) - 1)
+        dealt = shared.value
+        mask = np.uint64(len(dealt) - 1)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
                 size = batch.column("n").to_numpy()
                 cls = batch.column("cls").to_numpy()
                 cent = batch.column("cent").to_numpy()
                 col = batch.column("keys")
                 off = col.offsets.to_numpy()
                 flat = col.values.to_numpy().view(np.uint64)
-                key, pos, k, row, part, parts = [], [], [], [], [], []
+                key, info, row, parts = [], [], [], []
                 for i in range(len(size)):
                     n, own = int(size[i]), flat[off[i] : off[i + 1]]
                     if n == 0:
                         continue
+                    rows = dealt[(own & mask).astype(np.int64)]
                     if 2 <= n <= boundary:
                         if len(own) not in pairs:
                             pairs[len(own)] = np.triu_indices(len(own), 1)
                         a, b = pairs[len(own)]
                         key.append(tx.mix(own[a] * np.uint64(3) + tx.mix(own[b])))
-                        pos.append(b)
-                        k.append(np.full(len(a), 2))
+                        info.append(n << 32 | b << 1 | 1)
                         row.append(np.full(len(a), i))
-                        rows = total[(own & mask).astype(np.int64)]
-                        parts.append(np.minimum(rows[a], rows[b]) // LIST_ROWS + 1)
-                        part.append(np.int64(cls[i] & 0x7FFFFFFF) % parts[-1])
+                        parts.append(np.minimum(rows[a], rows[b]))
                     if n > boundary or n >= lowest:
                         p = n - need_own(n, num, den) + 1
                         key.append(own[:p])
-                        pos.append(np.arange(p))
-                        k.append(np.ones(p, np.int64))
+                        info.append(n << 32 | np.arange(p) << 1)
                         row.append(np.full(p, i))
-                        parts.append(total[(own[:p] & mask).astype(np.int64)] // LIST_ROWS + 1)
-                        part.append(np.int64(cls[i] & 0x7FFFFFFF) % parts[-1])
+                        parts.append(rows[:p])
                 if not key:
                     continue
-                row = np.concatenate(row)
+                row, parts = np.concatenate(row), np.concatenate(parts).astype(np.int64)
+                part = (cls[row] & 0x7FFFFFFF) % parts
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(key).view(np.int64)),
-                        pa.array(np.concatenate(part).astype(np.int32)),
-                        pa.array(np.concatenate(parts).astype(np.int32)),
                         pa.array(cls[row]),
-                        pa.array(size[row].astype(np.int32)),
-                        pa.array(np.concatenate(pos).astype(np.int32)),
-                        pa.array(np.concatenate(k).astype(np.int8)),
+                        pa.array(np.concatenate(info).astype(np.int64)),
+                        pa.array(parts << 32 | part),
                         pa.array(cent[row].astype(np.float32)),
                     ],
-                    ["key", "part", "parts", "cls", "n", "pos", "k", "cent"],
+                    ["key", "cls", "info", "deal", "cent"],
                 )
+        tx.give_back()
 
-    return classes.select("cls", "n", "cent", "keys").mapInArrow(
-        make, "key long, part int, parts int, cls long, n int, pos int, k byte, cent float"
-    )
+    return classes.select("cls", "n", "cent", "keys").mapInArrow(make, "key long, cls long, info long, deal long, cent float")
 
 
 def _possible(a: str, b: str, num: int, den: int):
     """Whether postings a and b of one key can be the first shared ones of a linked pair."""
-    least = f"ceil({num} * ({a}.n + {b}.n) / {num + den}.0)"
+    n = lambda x: f"shiftright({x}.info, 32)"
+    pos = lambda x: f"shiftright({x}.info & 4294967295, 1)"
+    least = f"ceil({num} * ({n(a)} + {n(b)}) / {num + den}.0)"
     return F.expr(
-        f"{a}.n * {den} >= {b}.n * {num} and {b}.n * {den} >= {a}.n * {num}"
-        f" and {a}.pos <= {a}.n - {least} + {a}.k - 1 and {b}.pos <= {b}.n - {least} + {b}.k - 1"
+        f"{n(a)} * {den} >= {n(b)} * {num} and {n(b)} * {den} >= {n(a)} * {num}"
+        f" and {pos(a)} <= {n(a)} - {least} + ({a}.info & 1) and {pos(b)} <= {n(b)} - {least} + ({b}.info & 1)"
     )
 
 
-def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int, den: int, class_bits: int = 64) -> DataFrame:
     """Those rows (u, v) of ``pairs`` whose classes' whole shingle sets reach the threshold.
 
     Sketches, which never underestimate an intersection, sort out most others before whole sets are moved.
+    A class with more than DEAL pairs has a copy of its sketch and set for each DEAL of them, so its pairs
+    spread over as many keys.
     """
-    size = reps.select("cls", "n", "sketch")
-    both = pairs.join(size.toDF("u", "nu", "su"), "u").join(size.toDF("v", "nv", "sv"), "v")
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("cls"))
+    crowded = ends.groupBy("cls").agg(F.floor(F.count("*") / DEAL).cast("int").alias("more")).where("more > 0")
+    crowded = bounded(written(crowded, "crowded"))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("more", F.lit(0)))).alias("copy")
+
+    def dealt(rows: DataFrame, end: str, other: str) -> DataFrame:
+        more = crowded.select(F.col("cls").alias(end), F.col("more"))
+        at = F.pmod(F.xxhash64(F.lit(1), other), F.coalesce("more", F.lit(0)) + 1).cast("int")
+        return rows.join(more, end, "left").withColumn("copy", at).drop("more")
+
+    def copied(rows: DataFrame, end: str, *cols) -> DataFrame:
+        return rows.join(crowded, "cls", "left").select(F.col("cls").alias(end), copies, *cols)
+
+    both = dealt(pairs, "u", "v").join(copied(reps, "u", F.col("n").alias("nu"), F.col("sketch").alias("su")), ["u", "copy"]).drop("copy")
+    both = dealt(both, "v", "u").join(copied(reps, "v", F.col("n").alias("nv"), F.col("sketch").alias("sv")), ["v", "copy"]).drop("copy")
 
     def prune(batches):
         for batch in batches:
@@ -253,6 +274,7 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int,
             same = most.sum(axis=1, dtype=np.int64)
             keep = ~known | (den * same >= num * (total - same))
             yield batch.select(["u", "v"]).filter(pa.array(keep))
+        tx.give_back()
 
     pairs = written(both.select("u", "v", "nu", "nv", "su", "sv").mapInArrow(prune, "u long, v long"), "pairs")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
@@ -262,12 +284,16 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int,
 
     def make(batches):
         for batch, sets in _sets(tx.text_slices(batches, "text"), n):
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            cls = [_class_of(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.array([_class_of(s) for s in sets], np.int64)),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array(np.array([c for c, _ in cls], np.int64) >> (64 - class_bits)),
+                    pa.array(np.array([c for _, c in cls], np.int64)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
-                ["cls", "tokens"],
+                ["cls", "cls2", "tokens"],
             )
 
     texts = docs.select("doc_id", "text").join(bounded(few), "doc_id", "left_semi")
@@ -275,42 +301,47 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int,
         # Equal texts without a doc_id can be many; one of each is enough.
         unnamed = docs.where("doc_id is null").select("doc_id", "text", F.expr(TID).alias("tid")).join(bounded(bare), "tid", "left_semi")
         texts = texts.union(unnamed.dropDuplicates(["tid"]).select("doc_id", "text"))
-    sets = texts.mapInArrow(make, "cls long, tokens binary")
-
-    def verify(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                batch = whole.slice(at, 200)
-                keep = []
-                for a, b in zip(batch.column("ta"), batch.column("tb"), strict=True):
-                    a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                    both = np.concatenate((a, b))
-                    both.sort(kind="stable")
-                    same = int((both[1:] == both[:-1]).sum())
-                    keep.append(den * same >= num * (len(a) + len(b) - same))
-                yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(
-                    pa.array(keep, pa.bool_())
-                )
-        tx.give_back()
-
-    full = pairs.join(sets.select(F.col("cls").alias("v"), F.col("tokens").alias("tb")), "v").join(
-        sets.select(F.col("cls").alias("u"), F.col("tokens").alias("ta")), "u"
-    )
-    return written(full.mapInArrow(verify, "u long, v long").distinct(), "links")
-
-
-def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    sets = texts.select("text").mapInArrow(make, "cls long, cls2 long, tokens array<long>")
+    if "cls0" in reps.columns:
+        sets = sets.join(bounded(reps.select(F.col("cls0").alias("cls"), "cls2", F.col("cls").alias("own"))), ["cls", "cls2"]).select(F.col("own").alias("cls"), "tokens")
+    else:
+        sets = sets.drop("cls2")
+    full = dealt(pairs, "v", "u").join(copied(sets, "v", F.col("tokens").alias("tb")), ["v", "copy"]).drop("copy")
+    full = dealt(full, "u", "v").join(copied(sets, "u", F.col("tokens").alias("ta")), ["u", "copy"])
+    # Row by row in the JVM: a batch of whole sets for Python would have no bound but its rows.
+    same = F.size(F.array_intersect("ta", "tb")).cast("long")
+    enough = den * same >= num * (F.size("ta") + F.size("tb") - same)
+    links = written(full.where(enough).select("u", "v").distinct(), "links")
+    drop_written(crowded, pairs, wanted)
+    return links
+
+
+def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, class_bits: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs``; see the module's text.
 
     Two documents link when den * |intersection| >= num * |union| of their n-word shingle sets.
+    ``class_bits`` are those of a class's first hash that are used; fewer only make collisions, which a second hash tells apart.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = histogram(docs, n)
-    meta = written(shingle_classes(docs, n, num, den, total), "classes")
+    noise = float(np.median(total))
+    longer = np.maximum(total - 2 * noise - 8, 0)
+    meta = written(shingle_classes(docs, n, num, den, total, longer, class_bits), "classes")
     # A class is represented by a row with a doc_id where it has one.
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid", "n")
-    reps = meta.where("n > 0").groupBy("cls").agg(F.min(own).alias("r"), F.first("hot").alias("hot"), F.first("sketch").alias("sketch"))
-    reps = written(reps.select("cls", "r.doc_id", "r.tid", "r.n", "hot", "sketch"), "reps")
+
+    def represented(meta: DataFrame, *more: str) -> DataFrame:
+        reps = meta.where("n > 0").groupBy("cls").agg(
+            F.min(own).alias("r"), F.first("hot").alias("hot"), F.first("sketch").alias("sketch"), F.min("cls2").alias("cls2"), F.max("cls2").alias("hi"), *[F.first(c).alias(c) for c in more]
+        )
+        return written(reps.select("cls", "r.doc_id", "r.tid", "r.n", "hot", "sketch", "cls2", "hi", *more), "reps")
+
+    reps = represented(meta)
+    if not reps.where("cls2 <> hi").isEmpty():
+        # Different sets of one hash: classes get their number from both hashes.
+        meta = written(meta.withColumnRenamed("cls", "cls0").withColumn("cls", F.when(F.col("n") > 0, F.xxhash64("cls0", "cls2")).otherwise(F.col("cls0"))), "classes")
+        reps = represented(meta, "cls0")
+    reps = reps.drop("hi")
     by_size = (
         reps.groupBy(F.least("n", F.lit(MAX_LIGHT + 1)).alias("size")).agg(F.count("*").alias("c"), F.sum("hot").alias("h")).collect()
     )
@@ -320,24 +351,24 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     for c in ("doc_id", "tid"):
         same &= F.col(f"m.{c}").eqNullSafe(F.col(f"r.{c}"))
     one = m.join(r, same, "left_semi").dropDuplicates(["cls", "doc_id"])
-    posts = postings(one, boundary, num, den, total)
+    posts = postings(one, boundary, num, den, longer)
 
-    near = Window.partitionBy("key", "part").orderBy(F.desc("cent"), "cls")
-    member = F.struct("cls", "n", "pos", "k")
+    near = Window.partitionBy("key", "deal").orderBy(F.desc("cent"), "cls")
+    member = F.struct("cls", "info")
+    parts, part = F.shiftright("deal", 32), F.col("deal").bitwiseAND(0xFFFFFFFF)
     lists = (
         posts.withColumn("centre", F.first(member).over(near))
         .withColumn("others", F.coalesce(F.lag("cls").over(near), F.lead("cls").over(near)))
         # A row alone in its part can still have partners in the list's other parts.
-        .where("others is not null or parts > 1")
+        .where(F.col("others").isNotNull() | (parts > 1))
         .drop("others", "cent")
     )
     lists = written(lists, "lists")
     first = lists.select(member.alias("a"), F.col("centre").alias("b")).where("a.cls <> b.cls")
     # The centres of lists that were dealt over several tasks meet here.
-    heads = lists.where("cls = centre.cls").select("key", member.alias("b"), "part")
-    split = heads.where("part > 0").select("key").distinct()
+    heads = lists.where((F.col("cls") == F.col("centre.cls")) & (parts > 1)).select("key", member.alias("b"), part.alias("part"))
     zero = Window.partitionBy("key").orderBy("part")
-    heads = heads.join(split, "key", "left_semi").withColumn("a", F.lag("b").over(zero)).where("a is not null").select("a", "b")
+    heads = heads.withColumn("a", F.lag("b").over(zero)).where("a is not null").select("a", "b")
     pairs = (
         first.union(heads.select("a", "b"))
         .where(_possible("a", "b", num, den))
@@ -345,23 +376,34 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         .distinct()
     )
     pairs = written(pairs, "first-pairs")
-    links = linked(pairs, docs, reps, n, num, den)
+    links = linked(pairs, docs, reps, n, num, den, class_bits)
     comps = written(connected_components(links), "components")
 
-    known = lists.select("key", "cls", "n", "pos", "k").join(
+    known = lists.select("key", "deal", "cls", "info").join(
         comps.withColumnRenamed("node", "cls"), "cls", "left"
     ).withColumn("component", F.coalesce("component", "cls"))
     open_keys = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     rest = written(known.join(open_keys, "key"), "open")
-    a, b = rest.alias("a"), rest.alias("b")
+    drop_written(lists, links)
+    # A list's parts meet each other part by part: (lo, hi) is a pair of parts, and a key of its own.
+    every = rest.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    every = every.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "cls", "info", "component")
+    a, b = every.alias("a"), every.alias("b")
+    meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.lo") == F.col("b.lo")) & (F.col("a.hi") == F.col("b.hi"))
+    # Within a part every pair is made once; between two, from one to the other.
+    meet &= F.when(F.col("a.lo") == F.col("a.hi"), F.col("a.component") < F.col("b.component")).otherwise(
+        (F.col("a.part") == F.col("a.lo")) & (F.col("b.part") == F.col("a.hi")) & (F.col("a.component") != F.col("b.component"))
+    )
     across = (
-        a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & _possible("a", "b", num, den))
+        a.join(b, meet & _possible("a", "b", num, den))
         .select(F.least("a.cls", "b.cls").alias("u"), F.greatest("a.cls", "b.cls").alias("v"))
         .distinct()
     )
-    more = linked(across.join(pairs, ["u", "v"], "left_anti"), docs, reps, n, num, den)
+    left = written(across.join(pairs, ["u", "v"], "left_anti"), "second-pairs")
+    more = linked(left, docs, reps, n, num, den, class_bits)
     # The first pass's components are stars already; only new links are added to them.
-    comps = connected_components(more.union(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    stars, comps = comps, connected_components(more.union(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    drop_written(rest, pairs, left, more, stars)
 
     lowest = (
         reps.select("cls", "doc_id")
@@ -369,7 +411,7 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     )
     of_component = lowest.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = lowest.join(of_component, "component").select("cls", "component_id")
-    return (
+    out = (
         meta.select("doc_id", "n", "cls")
         .join(reps.select("cls", F.col("doc_id").alias("own")), "cls", "left")
         .join(named, "cls", "left")
@@ -379,6 +421,7 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
             F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component_id", "own")).alias("component_id"),
         )
     )
+    return out
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -388,10 +431,11 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> D
     text stays; rows without a doc_id stay.
     """
     found = ngram_jaccard_join(docs, n, num, den)
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    rows = unused(docs, "rows")
+    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias(rows))
     kept = bounded(written(kept, "kept"))
-    joined = docs.join(kept, "doc_id", "left").where("_rows is not null or doc_id is null")
-    once = joined.where("doc_id is null or _rows = 1").select(docs.columns)
+    joined = docs.join(kept, "doc_id", "left").where(F.col(rows).isNotNull() | F.col("doc_id").isNull())
+    once = joined.where(F.col("doc_id").isNull() | (F.col(rows) == 1)).select([F.col(f"`{c}`") for c in docs.columns])
     others = [c for c in docs.columns if c != "doc_id"]
-    least = joined.where("_rows > 1").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in others if c != "text"])).alias("_r"))
-    return once.unionByName(least.select("doc_id", *[F.col(f"_r.`{c}`").alias(c) for c in others]))
+    least = joined.where(F.col(rows) > 1).groupBy("doc_id").agg(F.min(F.struct("text", *[F.col(f"`{c}`") for c in others if c != "text"])).alias(rows))
+    return once.unionByName(least.select("doc_id", *[F.col(f"`{rows}`.`{c}`").alias(c) for c in others]))

@@ -106,6 +106,24 @@ def test_lists_dealt_over_parts_lose_no_one(spark, monkeypatch):
     assert got(spark, rows) == brute(rows)
 
 
+def test_classes_of_one_hash_stay_apart(spark):
+    rows = corpus(5, groups=12)
+    assert got(spark, rows, class_bits=3) == brute(rows)
+
+
+def test_crowded_classes_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "DEAL", 4)
+    r = random.Random(7)
+    base = [f"c{i}" for i in range(90)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 60):
+        w = list(base)
+        w[r.randrange(len(w))] = f"y{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + d, t) for d, t in corpus(6, groups=6)]
+    assert got(spark, rows) == brute(rows)
+
+
 def test_rows_without_an_id_link_by_their_text(spark):
     w = [f"v{i}" for i in range(60)]
     text, near = " ".join(w), " ".join(w[:-1] + ["other"])
