@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 HIT = "score int, start int, end int"
 #: Cells of a padded batch of reads, at most.
-CELLS = 4_000_000
+CELLS = 1_000_000
 _CODE = np.full(256, 9, np.uint8)
 for _i, _b in enumerate(b"ACGT"):
     _CODE[_b] = _i
@@ -32,26 +32,34 @@ def _padded(reads: list[bytes]) -> np.ndarray:
     return out
 
 
-def _scores(reads: np.ndarray, base: int, match: int, mismatch: int) -> np.ndarray:
+def _scores(reads: np.ndarray, base: int, match: int, mismatch: int, kind=np.int32) -> np.ndarray:
     """Per position; bases outside ACGT score 0, padding can't be reached."""
-    s = np.where(reads == base, match, mismatch).astype(np.int32)
+    s = np.where(reads == base, kind(match), kind(mismatch))
     s[(reads == 9) | (base == 9)] = 0
-    s[reads == 8] = -10_000
+    s[reads == 8] = np.iinfo(kind).min // 2
     return s
 
 
-def ungapped(reads: np.ndarray, adapter: bytes, match: int = 1, mismatch: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """(best score, smallest last position reaching it)."""
-    n = reads.shape[1]
-    h = np.zeros((len(reads), n + 1), np.int32)
-    best = np.zeros((len(reads), n), np.int32)
+def _tables(reads: np.ndarray, match: int, mismatch: int, longest: int) -> dict[int, np.ndarray]:
+    """Scores of a batch for each base, in the smallest numbers that hold an adapter's."""
+    kind = next(k for k in (np.int8, np.int16, np.int32) if longest * max(match, -mismatch) < np.iinfo(k).max // 2)
+    return {base: _scores(reads, base, match, mismatch, kind) for base in (0, 1, 2, 3, 9)}
+
+
+def ungapped(tables: dict[int, np.ndarray], adapter: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(best score, smallest last position reaching it) by the batch's scores for each base."""
+    rows, n = tables[0].shape
+    if not n:
+        return np.zeros(rows, np.int32), np.full(rows, -1)
+    kind = tables[0].dtype
+    h, best = np.zeros((rows, n + 1), kind), np.zeros((rows, n), kind)
     for base in _CODE[np.frombuffer(adapter, np.uint8)]:
-        h[:, 1:] = np.maximum(h[:, :-1], 0) + _scores(reads, base, match, mismatch)
-        h[:, 0] = 0
+        # Column 0 stays 0; what is below 0 starts anew.
+        h[:, 1:] = h[:, :-1] + tables[int(base)]
         np.maximum(best, h[:, 1:], out=best)
-    if not n:
-        return np.zeros(len(reads), np.int32), np.full(len(reads), -1)
-    return best.max(1), best.argmax(1)
+        np.maximum(h, 0, out=h)
+    at = best.argmax(1)
+    return best[np.arange(rows), at].astype(np.int32), at
 
 
 def gapped(reads: np.ndarray, adapter: bytes, match: int, mismatch: int, opening: int, extend: int) -> tuple[np.ndarray, np.ndarray]:
@@ -78,13 +86,16 @@ def gapped(reads: np.ndarray, adapter: bytes, match: int, mismatch: int, opening
     return best, at
 
 
-def locate(reads: pd.Series, adapter: str, least: int, match: int = 1, mismatch: int = -1, opening: int = 10, extend: int = 1) -> pd.DataFrame:
-    """score, start, end of the best hit of ``adapter`` in each read, or nulls below ``least``; start is end - len(adapter)."""
+def locate(reads: pd.Series, adapters: list[tuple[str, int]], match: int = 1, mismatch: int = -1, opening: int = 10, extend: int = 1) -> list[pd.DataFrame]:
+    """For each (adapter, least): score, start, end of its best hit in each read, or nulls below ``least``; start is end - len(adapter).
+
+    A batch of reads is coded once for all adapters.
+    """
     n = len(reads)
-    score, end = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+    score, end = np.zeros((len(adapters), n), np.int64), np.full((len(adapters), n), -1, np.int64)
     data = [(r or "").encode() for r in reads]
     order = np.argsort([len(d) for d in data], kind="stable")
-    ungapped_only = mismatch < 0 and match * len(adapter) - opening < least
+    longest = max((len(a) for a, _ in adapters), default=0)
     at = 0
     while at < n:
         stop = at + 1
@@ -92,12 +103,19 @@ def locate(reads: pd.Series, adapter: str, least: int, match: int = 1, mismatch:
             stop += 1
         own = order[at:stop]
         block = _padded([data[i] for i in own])
-        kernel = ungapped(block, adapter.encode(), match, mismatch) if ungapped_only else gapped(block, adapter.encode(), match, mismatch, opening, extend)
-        score[own], end[own] = kernel
+        tables = None
+        for k, (adapter, least) in enumerate(adapters):
+            if mismatch < 0 and match * len(adapter) - opening < least:
+                tables = tables or _tables(block, match, mismatch, longest)
+                score[k, own], end[k, own] = ungapped(tables, adapter.encode())
+            else:
+                score[k, own], end[k, own] = gapped(block, adapter.encode(), match, mismatch, opening, extend)
         at = stop
-    ok = (score >= least) & (end >= 0)
-    out = pd.DataFrame({"score": score, "start": end - len(adapter) + 1, "end": end + 1}).astype("Int32")
-    out[~ok] = pd.NA
+    out = []
+    for k, (adapter, least) in enumerate(adapters):
+        found = pd.DataFrame({"score": score[k], "start": end[k] - len(adapter) + 1, "end": end[k] + 1}).astype("Int32")
+        found[(score[k] < least) | (end[k] < 0)] = pd.NA
+        out.append(found)
     return out
 
 
@@ -110,19 +128,29 @@ def adapter_hit(read, adapter: str, min_match: float = 0.7) -> Column:
 
     @F.pandas_udf(HIT)
     def hit(reads: pd.Series) -> pd.DataFrame:
-        return locate(reads, adapter, least)
+        return locate(reads, [(adapter, least)])[0]
 
     return hit(F.col(read) if isinstance(read, str) else read)
 
 
+def adapter_hits(read, adapters: list[str], min_match: float = 0.7) -> Column:
+    """Best local hits of several adapters in one pass: a struct with score0, start0, end0, score1 and so on."""
+    asked = [(a, threshold(a, min_match)) for a in adapters]
+
+    @F.pandas_udf(", ".join(f"score{i} int, start{i} int, end{i} int" for i in range(len(asked))))
+    def hits(reads: pd.Series) -> pd.DataFrame:
+        return pd.concat([h.add_suffix(str(i)) for i, h in enumerate(locate(reads, asked))], axis=1)
+
+    return hits(F.col(read) if isinstance(read, str) else read)
+
+
 def internal_hit(read, adapters: list[str], least: int) -> Column:
     """Best hit over several internal adapters with match 4, mismatch 1 and gaps of 6; the first one wins a tie."""
 
     @F.pandas_udf(HIT)
     def hit(reads: pd.Series) -> pd.DataFrame:
         best = None
-        for a in dict.fromkeys(adapters):
-            found = locate(reads, a, least, 4, 1, 6, 6)
+        for found in locate(reads, [(a, least) for a in dict.fromkeys(adapters)], 4, 1, 6, 6):
             if best is None:
                 best = found
             else:

@@ -84,15 +84,19 @@ def single_ended(adapter1: list[str], adapter2: list[str]) -> bool:
 def scan_hits(reads: DataFrame, adapter1: list[str], adapter2: list[str] = (), min_match: float = 0.7) -> DataFrame:
     """``reads`` with ``hits``: array of (start, end, name, strand, score) by start, of every adapter forward and reversed."""
     flip = str.maketrans(sq.IUPAC, sq.COMPLEMENTS)
-    hits = []
+    asked = []
     for label, adapters in (("adapter1", adapter1), ("adapter2", [] if single_ended(adapter1, adapter2) else adapter2)):
         for i, a in enumerate(adapters):
             for way, s in (("f", a), ("r", a[::-1].translate(flip))):
                 strand = "+" if (label == "adapter1") == (way == "f") else "-"
-                h = al.adapter_hit("seq", s, min_match)
-                hits.append(F.struct(h["start"].alias("start"), h["end"].alias("end"), F.lit(f"{label}_{i}_{way}").alias("name"), F.lit(strand).alias("strand"), h["score"].alias("score")))
+                asked.append((s, f"{label}_{i}_{way}", strand))
+    every = al.adapter_hits("seq", [s for s, _, _ in asked], min_match)
+    hits = [
+        F.struct(F.col(f"hits.start{k}").alias("start"), F.col(f"hits.end{k}").alias("end"), F.lit(name).alias("name"), F.lit(strand).alias("strand"), F.col(f"hits.score{k}").alias("score"))
+        for k, (_, name, strand) in enumerate(asked)
+    ]
     found = F.filter(F.array(*hits), lambda h: h["score"].isNotNull())
-    return reads.withColumn("hits", F.array_sort(found))
+    return reads.withColumn("hits", every).withColumn("hits", F.array_sort(found))
 
 
 def classify_orientation(scanned: DataFrame, single: bool, n_adapter1: int = 1) -> DataFrame:

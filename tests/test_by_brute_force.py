@@ -138,7 +138,7 @@ def test_internal_trim_of_every_read(spark):
     adapter, want = "TCTTCAGCGTTCCCGAGA", {}
     for r in queries.derived_reads(spark, SMALL).collect():
         seq = r["bc"][:8] + adapter + r["bc"][8:14] + r["umi"][:7]
-        hit = local_hit(seq, adapter, 58, 4, -1, 6, 6)
+        hit = local_hit(seq, adapter, 58, 4, 1, 6, 6)
         if not hit:
             want[r["read_id"]] = ("N", "!", "missing")
             continue

@@ -74,7 +74,7 @@ def test_hits_against_the_recurrence(scores, least):
             a[r.randrange(n)] = r.choice("ACGT")
             reads[i] = (reads[i][:10] + "".join(a)[r.choice([0, 0, 3]) :] + reads[i][10:])[:70]
         want = round(least * n)
-        got = al.locate(pd.Series(reads), adapter, want, *scores)
+        got = al.locate(pd.Series(reads), [(adapter, want)], *scores)[0]
         for read, (_, row) in zip(reads, got.iterrows(), strict=True):
             score, end = smith_waterman(read, adapter, *scores)
             if score >= want and end >= 0:
