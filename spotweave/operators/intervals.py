@@ -19,7 +19,9 @@ def _binned(df: DataFrame, width: int, slack: int = 0) -> DataFrame:
 def overlaps(left: DataFrame, right: DataFrame, stranded: bool = False, width: int = BIN, slack: int = 0) -> DataFrame:
     """Pairs (l, r structs) of half-open intervals that overlap, or lie within ``slack``, on a chromosome.
 
-    A pair is made only in the first bin both share, so nothing has to be made distinct.
+    A pair is made only in the first bin both share, so nothing has to be made
+    distinct.  A crowded bin is left to adaptive skew joins; a smaller ``width``
+    makes bins finer.
     """
     a = _binned(left.select(F.struct(*left.columns).alias("l"), "chrom", "start", "end", *(["strand"] if stranded else [])), width, slack)
     b = _binned(right.select(F.struct(*right.columns).alias("r"), "chrom", "start", "end", *(["strand"] if stranded else [])), width)
@@ -42,10 +44,45 @@ def not_overlapping(left: DataFrame, right: DataFrame, key: str = "name", width:
     return left.join(hit, key, "left_anti")
 
 
-def coverage(targets: DataFrame, blocks: DataFrame, key: str = "name", stranded: bool = True, width: int = BIN) -> DataFrame:
-    """``targets`` with ``n``, the number of overlapping blocks, 0 included."""
-    n = overlaps(targets, blocks, stranded, width).groupBy(F.col(f"l.{key}").alias(key)).agg(F.count("*").alias("n"))
-    return targets.join(n, key, "left").fillna(0, ["n"])
+def coverage(targets: DataFrame, blocks: DataFrame, stranded: bool = True, block: int = BLOCK) -> DataFrame:
+    """``targets`` with ``n``, the number of overlapping blocks, 0 included.
+
+    No pair is made: what overlaps [start, end) are the blocks that start
+    before its end, less those that end by its start (empty blocks are counted
+    by themselves, inside of it).  These are running counts over positions,
+    which are cut into blocks of positions, each ordered by a task of its own,
+    with the counts of earlier ones from one row a block.
+    """
+    by = ["chrom", "strand"] if stranded else ["chrom"]
+    counts = ["_starts", "_ends", "_empty"]
+    none = F.lit(0).cast("long")
+    known = blocks.where(" and ".join(f"{c} is not null" for c in by))
+    full, empty = known.where("start < end"), known.where("start >= end")
+
+    def points(rows: DataFrame, at: str, kind: str) -> DataFrame:
+        n = rows.groupBy(*by, F.col(at).alias("_at")).agg(F.count("*").alias("_n"))
+        return n.select(*by, "_at", F.lit(1).alias("_turn"), *[(F.col("_n") if c == kind else none).alias(c) for c in counts], none.alias("_lo"), none.alias("_hi"))
+
+    def asked(at: str, turn: int) -> DataFrame:
+        rows = targets.select(*by, "start", "end").distinct()
+        return rows.select(*by, F.col(at).alias("_at"), F.lit(turn).alias("_turn"), *[none.alias(c) for c in counts], F.col("start").alias("_lo"), F.col("end").alias("_hi"))
+
+    # Of equal positions: the end of a target, then starts and ends of blocks, then the start of a target.
+    line = points(full, "start", "_starts").unionByName(points(full, "end", "_ends")).unionByName(points(empty, "start", "_empty")).unionByName(asked("end", 0)).unionByName(asked("start", 2))
+    line = line.withColumn("_block", F.floor(F.col("_at") / block))
+    before, _ = _carried(line, by)
+    sums = line.groupBy(*by, "_block").agg(*[F.sum(c).alias(f"{c}_in") for c in counts])
+    sums = sums.select(*by, "_block", *[F.coalesce(F.sum(f"{c}_in").over(before), none).alias(f"{c}_in") for c in counts])
+    w = Window.partitionBy(*by, "_block").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    run = _with_blocks(line, sums, by).select(*by, "_turn", "_lo", "_hi", *[(F.col(f"{c}_in") + F.sum(c).over(w)).alias(c) for c in counts])
+    at = lambda turn, c: F.sum(F.when(F.col("_turn") == turn, F.col(c)))
+    n = at(0, "_starts") - at(2, "_ends") + F.greatest(at(0, "_empty") - at(2, "_empty"), none)
+    n = run.where("_turn <> 1").groupBy(*by, "_lo", "_hi").agg(n.alias("_n"))
+    t, c = targets.alias("t"), n.alias("c")
+    on = (F.col("t.start") == F.col("c._lo")) & (F.col("t.end") == F.col("c._hi"))
+    for k in by:
+        on &= F.col(f"t.{k}").eqNullSafe(F.col(f"c.{k}"))
+    return t.join(c, on, "left").select("t.*", F.coalesce("c._n", none).alias("n"))
 
 
 def at_least(covered: DataFrame, n: int = 5) -> DataFrame:
@@ -164,7 +201,7 @@ def assign_features(blocks: DataFrame, features: DataFrame, feature: str = "gene
 def active_regions(raw: DataFrame, blocks: DataFrame, annotation: DataFrame, gap: int = 500, least: int = 5, width: int = BIN) -> DataFrame:
     """Unannotated transcribed regions: merged, covered, filtered, annotated ones dropped, named."""
     merged = merge_intervals(raw, gap).withColumn("name", F.concat_ws("_", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "strand")).drop("n")
-    return not_overlapping(at_least(coverage(merged, blocks, width=width), least), annotation, width=width)
+    return not_overlapping(at_least(coverage(merged, blocks), least), annotation, width=width)
 
 
 def region_counts(blocks: DataFrame, regions: DataFrame, cells: DataFrame, width: int = BIN, **options) -> DataFrame:

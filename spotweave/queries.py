@@ -458,7 +458,7 @@ def interval_overlap(spark, d):
 
 @query(f"with {IV}, {FEATURES} select t.gene, count(b.name) as n from feats t left join iv b on t.chrom = b.chrom and t.strand = b.strand and t.start < b.stop and b.start < t.stop group by 1")
 def interval_coverage(spark, d):
-    return intervals.coverage(derived_features(spark, d), derived_intervals(spark, d), key="gene", width=500).select("gene", "n")
+    return intervals.coverage(derived_features(spark, d), derived_intervals(spark, d)).select("gene", "n")
 
 
 @query(f"with {IV}, {FEATURES} select a.name from iv a where not exists (select 1 from feats b where a.chrom = b.chrom and a.start < b.stop and b.start < a.stop)")

@@ -420,6 +420,12 @@ def test_blocks_change_nothing(spark, block):
         for at in range(m["start"], m["end"]):
             cover[m["chrom"], at] = m["depth"]
     assert cover == depth
+    extra = [("c0", "+", 100, 100), ("c1", "-", 50, 50), ("c9", "+", 1, 2), *iv[:2]]
+    targets = spark.createDataFrame(iv + extra, df.schema)
+    for stranded in (True, False):
+        want = [(*t, sum(b[0] is not None and t[0] == b[0] and (not stranded or t[1] == b[1]) and t[2] < b[3] and b[2] < t[3] for b in iv + extra)) for t in iv + extra]
+        got = [tuple(r) for r in intervals.coverage(targets, targets, stranded, block).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
 # Matrices, sheets and runs ------------------------------------------------------------------------

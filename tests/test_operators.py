@@ -168,7 +168,7 @@ def test_overlaps_against_nested_loops(spark):
     plan = intervals.overlaps(df, b, width=100)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     hit = {a for a, _ in want}
-    assert {r["name"] for r in intervals.coverage(df, b, width=100).where("n > 0").collect()} == hit
+    assert {r["name"] for r in intervals.coverage(df, b).where("n > 0").collect()} == hit
 
 
 def test_merge_gap(spark):
