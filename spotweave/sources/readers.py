@@ -358,21 +358,51 @@ def counts_wide(spark: SparkSession, path, gene: str | None = None) -> DataFrame
     return rows.unpivot([F.col(f"`{gene}`")], [F.col(f"`{c}`") for c in cells], "cell", "n").toDF("gene", "cell", "n").withColumn("n", F.col("n").cast("double")).where("n <> 0")
 
 
+def listed(spark: SparkSession, folder: str) -> dict[str, bool]:
+    """The names in a folder of any store, with whether they are folders; nothing for one that isn't there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName(): f.isDirectory() for f in fs.listStatus(path)} if fs.exists(path) else {}
+
+
 def matrix_bundle(spark: SparkSession, folder: str):
     """The Matrix that the writer of the same name has written."""
     from spotweave.operators.matrix import Matrix
 
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    read = lambda sub: spark.read.parquet(f"{folder}/{sub}")
+    some = lambda sub: {k: read(f"{sub}/{k}") for k, inner in listed(spark, f"{folder}/{sub}").items() if inner}
+    return Matrix(read("x"), read("obs"), read("var"), some("layers"), some("obsm"), read("raw") if "raw" in listed(spark, folder) else None)
+
 
-    def names(sub):
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{sub}")
-        fs = path.getFileSystem(conf)
-        return [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()] if fs.exists(path) else []
+def spots_folder(spark: SparkSession, folder: str, scale: float = 0.25):
+    """A Matrix of the spots of an array, by parts of file names: counts, positions and, where there is one, an annotation.
 
-    read = lambda sub: spark.read.parquet(f"{folder}/{sub}")
-    tables = names("")
-    return Matrix(read("x"), read("obs"), read("var"), {k: read(f"layers/{k}") for k in names("layers")}, {k: read(f"obsm/{k}") for k in names("obsm")}, read("raw") if "raw" in tables else None)
+    Counts are a folder of MatrixMarket files named like raw_feature_bc_matrix
+    (an .h5 file is an error), positions a headed CSV in a folder named like
+    spatial, of which the last two columns are pixel row and column, here
+    scaled as the image is; only spots with a position stay.  The image itself
+    isn't read.
+    """
+    from dataclasses import replace
+
+    from spotweave.operators.matrix import place_in_space
+
+    names = listed(spark, folder)
+    one = lambda part, inner, of: next((n for n, is_folder in sorted(of.items()) if part in n and is_folder == inner), None)
+    counts, spatial, notes = one("raw_feature_bc_matrix", True, names), one("spatial", True, names), one("annotation", False, names)
+    if counts is None:
+        raise ValueError(f"{folder} has no folder of MatrixMarket files for raw_feature_bc_matrix; .h5 files aren't read")
+    positions = spatial and one("tissue_positions", False, listed(spark, f"{folder}/{spatial}"))
+    if not positions:
+        raise ValueError(f"{folder} has no tissue_positions")
+    at = spark.read.csv(f"{folder}/{spatial}/{positions}", header=True)
+    barcode, row, col = at.columns[0], at.columns[-2], at.columns[-1]
+    place = lambda c: (F.col(f"`{c}`").cast("double") * scale)
+    m = place_in_space(matrix_folder(spark, f"{folder}/{counts}"), at.select(F.col(f"`{barcode}`").alias("barcode"), place(col).alias("x"), place(row).alias("y")))
+    if notes:
+        note = spark.read.csv(f"{folder}/{notes}", header=True)
+        m = replace(m, obs=m.obs.join(note.withColumnRenamed(note.columns[0], "cell"), "cell", "left"))
+    return m
 
 
 def bed(spark: SparkSession, path) -> DataFrame:

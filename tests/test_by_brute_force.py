@@ -391,6 +391,22 @@ def test_fastq_over_many_blocks(spark, tmp_path):
     assert sorted(got) == sorted(2 * [(f"r{i}", "ACGT" * (i % 9), "I" * 4 * (i % 9), i) for i in range(n)])
 
 
+def test_a_folder_of_spots(spark, tmp_path):
+    x = spark.createDataFrame([("g1", "AAA-1", 2.0), ("g2", "AAA-1", 3.0), ("g1", "CCC-1", 4.0), ("g2", "lost", 9.0)], "gene string, cell string, n double")
+    folder = tmp_path / "array"
+    (folder / "spatial").mkdir(parents=True)
+    with pytest.raises(ValueError, match="h5"):
+        readers.spots_folder(spark, str(folder))
+    writers.matrix_market(*mx.long_to_coo(x), str(folder / "x_raw_feature_bc_matrix"))
+    with pytest.raises(ValueError, match="tissue_positions"):
+        readers.spots_folder(spark, str(folder))
+    (folder / "spatial" / "tissue_positions.csv").write_text("barcode,in_tissue,pxl_row,pxl_col\nAAA-1,1,40,80\nCCC-1,0,8,4\nGGG-1,0,1,1\n")
+    (folder / "annotation.csv").write_text("spot,region\nAAA-1,cortex\n")
+    m = readers.spots_folder(spark, str(folder))
+    assert sorted(map(tuple, m.obs.select("cell", "x", "y", "region").collect())) == [("AAA-1", 20.0, 10.0, "cortex"), ("CCC-1", 1.0, 2.0, None)]
+    assert sorted(map(tuple, m.x.select("cell", "gene", "n").collect())) == [("AAA-1", "g1", 2.0), ("AAA-1", "g2", 3.0), ("CCC-1", "g1", 4.0)]
+
+
 # Intervals ---------------------------------------------------------------------------------------
 
 
