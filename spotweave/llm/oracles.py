@@ -36,20 +36,20 @@ s as (select o.*, cast(least(23, floor(coalesce(2 * g_start + g_bytes, 2 * start
 select doc_id, size, crc as text_crc32, 'bytes' as law, shard, cast(place - min(place) over (partition by shard) as bigint) as slot, cast(null as int) as grown_shard from s"""
 
 TOP = """
-with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
-  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint) as score from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
-r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from s)
+with v as (select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.rid as qid, q.vec_id as query_id, c.rid, c.vec_id, cast(coalesce(list_sum(list_transform(range(1, least(len(q.e), len(c.e)) + 1), lambda i: q.e[i] * c.e[i])), 0) as bigint) as score from v q join v c on q.vec_id % 50 = 0 and q.rid <> c.rid),
+r as (select *, cast(row_number() over (partition by qid order by score desc, vec_id, rid) as int) as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 5"""
 
 WARC = """
-with p as (select page_id, coalesce(html, '') as html, lower(coalesce(url, '-')) as u, strftime(to_timestamp(1700000000 + coalesce(page_id, 0)) at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ') as stamp from pages),
+with p as (select page_id, coalesce(html, '') as html, lower(coalesce(url, '-')) as u, strftime(to_timestamp(1700000000 + (coalesce(page_id, 0) % 1000000000 + 1000000000) % 1000000000) at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ') as stamp from pages),
 d as (select page_id, stamp, u, octet_length(encode(html)) as payload_bytes, list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
   cast(((cast(concat('0x', substr(sha1(html), cast(i // 4 * 5 + 1 as int), 5)) as bigint) >> cast(15 - i % 4 * 5 as bigint)) & 31) + 1 as int), 1)), 'string_agg', '') as payload_digest from p),
 g as (select *, max(page_id) over (partition by payload_digest) as best from d),
 k as (select *, concat(list_aggregate(list_reverse(string_split(regexp_extract(u, '^[a-z]+://([^/?#:]*)', 1), '.')), 'string_agg', ','), ')', case when regexp_extract(u, '^(?:[a-z]+://[^/?#]*)?([^?#]*)', 1) = '' then '/' else regexp_extract(u, '^(?:[a-z]+://[^/?#]*)?([^?#]*)', 1) end,
   case when regexp_extract(u, '\\?([^#]*)', 1) <> '' then concat('?', regexp_extract(u, '\\?([^#]*)', 1)) else '' end) as url_key from g)
-select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest, case when page_id = best then 'response' else 'revisit' end as record_type, case when page_id <> best then best end as refers_to,
+select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest, case when best is null or page_id is not distinct from best then 'response' else 'revisit' end as record_type, case when page_id is distinct from best then best end as refers_to,
 url_key, stamp, cast(row_number() over (order by url_key, stamp, page_id) - 1 as bigint) as position from k"""
 
 
@@ -76,7 +76,7 @@ def secret_sql() -> str:
     return f"""
 with t as (select doc_id, coalesce(text, '') as text, row_number() over () as tid from documents),
 base as ({base}), weak0 as ({weak}),
-weak as (select * from weak0 w where tid in (select tid from base) and not exists (select 1 from base b where b.tid = w.tid and b.start < w.stop and w.start < b.stop)),
+weak as (select * from weak0 w where not exists (select 1 from base b where b.tid = w.tid and b.start < w.stop and w.start < b.stop)),
 strong as (select tid, start, stop, kind = 1 as id from base union all select tid, start, stop, false from weak where kind = 4),
 near as (select w.doc_id, w.tid, w.kind, w.start, w.stop, bool_or(s.id) as id, bool_or(not s.id) as secret from weak w join strong s on w.tid = s.tid and s.start <= w.stop + {n} and w.start <= s.stop + {n} and (s.stop <= w.start or w.stop <= s.start) group by all),
 linked as (select doc_id, tid, kind, start, stop from near where (kind = 3 and secret) or (kind in (4, 5) and id) or (kind = 6 and id and secret)),

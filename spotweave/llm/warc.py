@@ -6,20 +6,26 @@ payload.  A record is one string, so Spark's text writer, with the blank lines
 that end a record as its line separator, writes real gzip WARC files to any
 shared store.  Files hold a bounded number of records.
 
-Reading: each archive is parsed by Content-Length and its payloads are hashed
-again.  Each archive gives a run of captures sorted by (URL key, timestamp,
-page_id); sampled splitters cut all runs alike, and each range merges its
-pieces of the runs with a loser tree into globally ordered capture histories.
+Reading: each archive is inflated as a stream, of one gzip member or of many
+(a member a record is usual elsewhere), parsed by Content-Length, and its
+payloads are hashed again.  Each archive gives a run of captures sorted by
+(URL key, timestamp, page_id) and numbered in that order; sampled splitters
+cut all runs alike, and each range merges its pieces of the runs with a loser
+tree into globally ordered capture histories.
 
 Edge cases: null html is an empty payload (equal payloads of 0 bytes are
 revisited too, down to ``least_bytes``); a null url becomes '-'; a null
-page_id is written as -1 and comes back null; repeated rows of a page_id share
-its role as response; extra columns are ignored; an empty table gives no rows.
+page_id is written as 'none', comes back null, comes after all others and is
+no one's response unless its group has no page_id at all; repeated rows of a
+page_id share its role as response; extra columns are ignored, but for one
+named as ``captured`` (where that is null or no time, as without it); an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -27,6 +33,7 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +47,11 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_RECORDS = 1000
 #: Captures a range merges in one task, about; sampled keys to cut ranges by.
 RANGE_ROWS, SAMPLE = 50_000, 20_000
-#: Captures are dated from here, one second a page_id, unless the pages have a timestamp column.
-FIRST_CAPTURE = 1_700_000_000
+#: Captures are dated from here, one second a page_id modulo CYCLE, unless a column says when.
+FIRST_CAPTURE, CYCLE = 1_700_000_000, 1_000_000_000
+NO_PAGE = "none"
+#: Bytes inflated at once.
+INFLATE = 1 << 20
 
 
 def base32_sha1(data: F.Column) -> F.Column:
@@ -51,11 +61,13 @@ def base32_sha1(data: F.Column) -> F.Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def records(pages: DataFrame, least_bytes: int = 0, captured: str | None = None) -> DataFrame:
     """(record string) of each page."""
-    stamp = F.col("timestamp").cast("timestamp") if "timestamp" in pages.columns else F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.coalesce("page_id", F.lit(0)))
+    stamp = F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(CYCLE)))
+    if captured is not None:
+        stamp = F.coalesce(F.expr(f"try_cast(`{captured}` as timestamp)"), stamp)
     base = pages.select(
-        F.coalesce(F.col("page_id").cast("long"), F.lit(-1)).alias("page_id"),
+        F.col("page_id").cast("long").alias("page_id"),
         F.coalesce(F.regexp_replace("url", r"[\r\n]", ""), F.lit("-")).alias("url"),
         F.coalesce("html", F.lit("")).alias("html"),
         F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
@@ -64,11 +76,11 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     # Groups of one page need no look-up; sums are combined before the shuffle.
     groups = base.where(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("to"), F.count("*").alias("n")).where("n > 1").drop("n")
     groups = bounded(written(groups, "payload-groups"))
-    rows = base.join(groups, "digest", "left").withColumn("revisit", F.coalesce(F.col("to") != F.col("page_id"), F.lit(False)))
+    rows = base.join(groups, "digest", "left").withColumn("revisit", F.col("to").isNotNull() & ~F.col("to").eqNullSafe(F.col("page_id")))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
     body = F.when(F.col("revisit"), http).otherwise(F.concat(http, F.col("html")))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    id_ = lambda c: F.concat(F.lit("<urn:page:"), F.col(c).cast("string"), F.lit(">"))
+    id_ = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit(NO_PAGE)), F.lit(">"))
     head = F.concat(
         F.lit(VERSION + "\r\n"),
         line("WARC-Type", F.when(F.col("revisit"), "revisit").otherwise("response")),
@@ -83,25 +95,55 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return rows.select(F.concat(head, F.lit("\r\n"), body).alias("record"))
 
 
-def write_warc(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    records(pages, least_bytes).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
-
-
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int]]:
-    """(headers, block, offset) of each record of an uncompressed archive."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode().split("\r\n")
+def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, captured: str | None = None) -> None:
+    records(pages, least_bytes, captured).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+
+
+def inflated(data) -> Iterator[bytes]:
+    """The bytes of all members of a gzip file, piece by piece."""
+    left = memoryview(data)
+    while len(left):
+        member, at = zlib.decompressobj(31), 0
+        while not member.eof:
+            more = member.unconsumed_tail or left[at : at + INFLATE]
+            if not len(more):
+                raise ValueError("a gzip member is cut off")
+            at += 0 if member.unconsumed_tail else len(more)
+            yield member.decompress(more, INFLATE)
+        left = left[at - len(member.unused_data) :]
+
+
+def parse(chunks) -> Iterator[tuple[dict[str, str], bytes, int]]:
+    """(headers, block, offset) of each record of an uncompressed archive, given whole or in pieces."""
+    chunks = iter([chunks] if isinstance(chunks, bytes) else chunks)
+    held, at = bytearray(), 0
+
+    def fill(n: int) -> bool:
+        while len(held) < n:
+            more = next(chunks, None)
+            if more is None:
+                return False
+            held.extend(more)
+        return True
+
+    while fill(1):
+        stop, seen = held.find(b"\r\n\r\n"), 0
+        while stop < 0:
+            seen = max(0, len(held) - 3)
+            if not fill(len(held) + 1):
+                raise ValueError(f"the record at {at} has no end of its headers")
+            stop = held.find(b"\r\n\r\n", seen)
+        lines = held[:stop].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no WARC record at {at}")
         head = dict(x.split(": ", 1) for x in lines[1:])
         begin = stop + 4
         end = begin + int(head["Content-Length"])
-        yield head, data[begin:end], at
-        if data[end : end + 4] != b"\r\n\r\n":
+        if not fill(end + 4) or held[end : end + 4] != b"\r\n\r\n":
             raise ValueError(f"record at {at} isn't ended by a blank line")
-        at = end + 4
+        yield head, bytes(held[begin:end]), at
+        del held[: end + 4]
+        at += end + 4
 
 
 def url_key(url: str) -> str:
@@ -114,35 +156,46 @@ def url_key(url: str) -> str:
     return ",".join(reversed(host.split("."))) + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
 
 
-CAPTURE = "url_key string, stamp string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long"
+CAPTURE = "url_key string, stamp string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, nth long"
+NAMES = [x.split()[0] for x in CAPTURE.split(", ")]
+KINDS = {"string": pa.string(), "long": pa.int64()}
+SCHEMA = pa.schema([(n, KINDS[k]) for n, k in (x.split() for x in CAPTURE.split(", "))])
+
+
+def order_key(url_key: str, stamp: str, page_id: int | None) -> tuple:
+    return url_key, stamp, page_id is None, page_id or 0
+
+
+def _page(urn: str) -> int | None:
+    said = urn[len("<urn:page:") : -1]
+    return None if said == NO_PAGE else int(said)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row a record; each archive's rows come sorted by (url_key, stamp, page_id)."""
+    """One row a record; each archive's rows come sorted by (url_key, stamp, page_id), ``nth`` of their run."""
 
     def load(batches):
         for batch in batches:
             for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                data = zlib.decompress(content.as_buffer(), 31) if content.is_valid and len(content.as_buffer()) else b""
                 run = []
-                for head, block, offset in parse(data):
+                for head, block, offset in parse(inflated(content.as_buffer() if content.is_valid else b"")):
                     cut = block.index(b"\r\n\r\n") + 4
                     said = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                    page = int(head["WARC-Record-ID"][len("<urn:page:") : -1])
+                    page = _page(head["WARC-Record-ID"])
                     if head["WARC-Type"] == "response":
                         size, to = len(block) - cut, None
-                        digest = base64.b32encode(hashlib.sha1(block[cut:]).digest()).decode()
+                        digest = base64.b32encode(hashlib.sha1(memoryview(block)[cut:]).digest()).decode()
                         if digest != said:
                             raise ValueError(f"payload of page {page} doesn't have its digest")
                     else:
-                        digest, to = said, int(head["WARC-Refers-To"][len("<urn:page:") : -1])
+                        digest, to = said, _page(head["WARC-Refers-To"])
                         size = int(dict(x.split(": ", 1) for x in block[: cut - 4].decode().split("\r\n")[1:])["Content-Length"])
                     run.append((url_key(head["WARC-Target-URI"]), head["WARC-Date"], page, size, digest, head["WARC-Type"], to, name.as_py().rsplit("/", 1)[-1], offset))
-                run.sort(key=lambda r: r[:3])
+                run.sort(key=lambda r: (order_key(*r[:3]), r[8]))
                 for at in range(0, len(run), 5000):
-                    cols = list(zip(*run[at : at + 5000], strict=True))
-                    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [x.split()[0] for x in CAPTURE.split(", ")])
+                    cols = [*zip(*run[at : at + 5000], strict=True)]
+                    cols.append(range(at, at + len(cols[0])))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, SCHEMA, strict=True)], schema=SCHEMA)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
     return files.select("path", "content").mapInArrow(load, CAPTURE)
@@ -190,44 +243,40 @@ def merged_index(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame
     n = captures.count()
     u = F.pmod(F.xxhash64("url_key", "page_id", "offset"), F.lit(1 << 30)) / float(1 << 30)
     some = captures.where(u < SAMPLE / max(n, 1)).select("url_key", "stamp", "page_id")
-    sample = sorted(map(tuple, some.toLocalIterator()))
+    sample = sorted(order_key(*r) for r in some.toLocalIterator())
     parts = max(1, -(-n // range_rows))
     cuts = sorted({sample[i * len(sample) // parts] for i in range(1, parts)}) if sample else []
     shared = spark.sparkContext.broadcast(cuts)
 
     def cut(batches):
-        import bisect
-
-        for p in batches:
-            keys = zip(p["url_key"], p["stamp"], p["page_id"], strict=True)
-            yield p.assign(range=np.fromiter((bisect.bisect_right(shared.value, k) for k in keys), np.int32, len(p)))
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("url_key", "stamp", "page_id")), strict=True)
+            at = [bisect.bisect_right(shared.value, order_key(*k)) for k in keys]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int32())], [*NAMES, "range"])
 
-    ranged = captures.mapInPandas(cut, CAPTURE + ", range int")
+    ranged = captures.mapInArrow(cut, CAPTURE + ", range int")
     counts = {r["range"]: r["count"] for r in ranged.groupBy("range").count().collect()}
     start, at = {}, 0
     for r in sorted(counts):
         start[r], at = at, at + counts[r]
-    names = [x.split()[0] for x in CAPTURE.split(", ")]
 
-    def merge(p):
-        runs = []
-        for _, run in p.groupby("archive", sort=True):
-            rows = list(zip(run["url_key"], run["stamp"], run["page_id"], run["offset"], run.index, strict=True))
-            rows.sort()  # a shuffle may have mixed a run's pieces
-            runs.append(rows)
-        order = [row[4] for row in LoserTree(runs)]
-        out = p.loc[order, names].copy()
-        out["position"] = np.arange(len(out)) + start[int(p["range"].iloc[0])]
-        return out
+    def merge(p: pa.Table) -> pa.Table:
+        # A shuffle may mix the pieces of runs; each run's own numbers give its order back.
+        p = p.take(pc.sort_indices(p, [("archive", "ascending"), ("nth", "ascending")]))
+        keys = [order_key(*k) for k in zip(*(p.column(c).to_pylist() for c in ("url_key", "stamp", "page_id")), strict=True)]
+        archives = p.column("archive").to_pylist()
+        edges = [0, *(i for i in range(1, len(archives)) if archives[i] != archives[i - 1]), len(archives)]
+        runs = [[(keys[i], i) for i in range(a, b)] for a, b in zip(edges, edges[1:], strict=False)]
+        out = p.select(NAMES).take(pa.array([i for _, i in LoserTree(runs)], pa.int64()))
+        return out.append_column("position", pa.array(np.arange(out.num_rows) + start[p.column("range")[0].as_py()]))
 
-    return ranged.groupBy("range").applyInPandas(merge, CAPTURE + ", position long")
+    return ranged.groupBy("range").applyInArrow(merge, CAPTURE + ", position long")
 
 
-def archive_and_index(pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> DataFrame:
+def archive_and_index(pages: DataFrame, path: str | None = None, least_bytes: int = 0, captured: str | None = None) -> DataFrame:
     """Write ``pages`` to archives and read them back: (page_id, payload_bytes, payload_digest, record_type, refers_to, url_key, stamp, position)."""
     spark = pages.sparkSession
     path = path or fresh_path(spark, "warc")
-    write_warc(pages, path, least_bytes)
+    write_warc(pages, path, least_bytes, captured)
     captures = written(read_warc(spark, path), "captures")
-    real = lambda c: F.when(F.col(c) != -1, F.col(c)).alias(c)
-    return merged_index(captures).select(real("page_id"), "payload_bytes", "payload_digest", "record_type", real("refers_to"), "url_key", "stamp", "position")
+    return merged_index(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "stamp", "position")
