@@ -5,15 +5,19 @@ codebook, fitted on a bounded, documented sample.  Every row is indexed under
 its pair of centroids.  A query walks the pairs in order of summed distance
 with a heap (the multi-sequence algorithm) until the visited cells hold enough
 rows, and all entries of those cells are reranked by the exact cosine of the
-original vectors in double precision.
+original vectors in double precision.  How many rows are enough is measured on
+the table itself: the part of the sample that has to be visited to find nearly
+all neighbours within the sample.
 
 Rows of a first-half centroid meet the queries that visit it in groups of at
 most GROUP_ROWS rows and GROUP_QUERIES queries, so neither a crowded cell nor
 a popular query lands in one task.
 
 Edge cases: see ``vectors.valid`` for rows that take no part; fewer than k
-candidates are all returned; ties go to the smaller vec_id; an empty table, or
-one without queries, gives no rows; extra columns are ignored.
+candidates are all returned; ties go to the smaller vec_id; of rows that share
+a vec_id each is a candidate, and a query where the id says so, with ranks of
+its own; an empty table, or one without queries, gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -29,12 +33,12 @@ from pyspark.sql import functions as F
 from spotweave.llm.common import written
 from spotweave.llm.vectors import matrix, valid
 
-#: Centroids of a half, rows that train them, rounds of k-means.
-CENTROIDS, TRAIN_ROWS, ROUNDS = 24, 20_000, 8
-#: Part of all rows that a query's cells must hold; random directions need many for a recall of 0.9.
-PROBE = 0.6
+#: Rows of a cell, about, which give the number of centroids of a half, within bounds; rows that train them at most, rounds of k-means.
+CELL_ROWS, FEWEST, MOST, TRAIN_ROWS, ROUNDS = 64, 4, 512, 20_000, 8
+#: Neighbours within the sample that the visited part must hold, and the sampled queries that measure it.
+RECALL, MEASURED = 0.94, 400
 LEAST_CANDIDATES = 200
-GROUP_ROWS, GROUP_QUERIES = 8192, 2048
+GROUP_ROWS, GROUP_QUERIES = 8192, 16_384
 
 
 def kmeans(x: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -80,33 +84,71 @@ def exact_cosine(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.clip((unit(v) * unit(q[None, :])).sum(1), -1, 1)
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probe: float = PROBE) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each vec_id divisible by ``every``, its k nearest others by cosine."""
+def cell_counts(c1: np.ndarray, c2: np.ndarray, size: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(size, np.int64)
+    np.add.at(out, (c1, c2), 1)
+    return out
+
+
+def measured_probe(u: np.ndarray, left: np.ndarray, right: np.ndarray, k: int, recall: float = RECALL) -> float:
+    """The part of the sample ``u`` (unit rows) that queries must visit, cell by cell, to hold ``recall`` of their k nearest others."""
+    half = left.shape[1]
+    d1, d2 = distances(u[:, :half], left), distances(u[:, half:], right)
+    c1, c2 = d1.argmin(1), d2.argmin(1)
+    counts = cell_counts(c1, c2, (len(left), len(right)))
+    seen = []
+    for i in range(0, len(u), max(1, len(u) // MEASURED)):
+        s = u @ u[i]
+        s[i] = -2
+        held, upto = 0, {}
+        for cell in multi_sequence(d1[i], d2[i], counts, len(u)):
+            held += counts[cell]
+            upto[cell] = held
+        seen += [upto[c1[j], c2[j]] for j in np.argpartition(-s, min(k, len(u) - 1))[:k]]
+    return float(np.quantile(seen, recall)) / len(u) if len(u) > k else 1.0
+
+
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probe: float | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by ``every``, its k nearest others by cosine.
+
+    ``probe`` is the part of all rows that a query's cells must hold; by default it is measured.
+    """
     spark = vectors.sparkSession
-    rows = written(valid(vectors, zero=False), "vectors")
+    rows = valid(vectors, zero=False)
     n = rows.count()
     share = min(1.0, TRAIN_ROWS / max(n, 1))
-    sample = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) <= int(share * (1 << 30))).select("vec_id", "v").orderBy("vec_id").toPandas()
+    sample = rows.where(F.pmod(F.xxhash64("row", "vec_id"), F.lit(1 << 30)) <= int(share * (1 << 30))).select("vec_id", "row", "v").orderBy("vec_id", "row").toPandas()
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     x = unit(matrix(sample["v"]))
-    half = x.shape[1] // 2
-    books = spark.sparkContext.broadcast((kmeans(x[:, :half], CENTROIDS, 1), kmeans(x[:, half:], CENTROIDS, 2)))
+    half = max(1, x.shape[1] // 2)
+    if x.shape[1] == 1:
+        x = np.column_stack((x, np.zeros(len(x))))
+    many = int(min(MOST, max(FEWEST, (n / CELL_ROWS) ** 0.5)))
+    left, right = kmeans(x[:, :half], many, 1), kmeans(x[:, half:], many, 2)
+    if probe is None:
+        probe = measured_probe(x, left, right, k)
+    books = spark.sparkContext.broadcast((left, right))
+
+    def halves(col):
+        u = unit(matrix(col))
+        return (u[:, :half], u[:, half:]) if u.shape[1] > 1 else (u, np.zeros((len(u), 1)))
 
     def quantise(batches):
         left, right = books.value
         for batch in batches:
             if batch.num_rows:
-                u = unit(matrix(batch.column("v")))
-                c1, c2 = distances(u[:, :half], left).argmin(1), distances(u[:, half:], right).argmin(1)
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(c1.astype(np.int32)), pa.array(c2.astype(np.int32))], ["vec_id", "v", "c1", "c2"])
+                a, b = halves(batch.column("v"))
+                c1, c2 = distances(a, left).argmin(1), distances(b, right).argmin(1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(c1.astype(np.int32)), pa.array(c2.astype(np.int32))], [*batch.schema.names, "c1", "c2"])
 
-    index = written(rows.mapInArrow(quantise, "vec_id long, v binary, c1 int, c2 int"), "index")
-    counts = np.zeros((CENTROIDS, CENTROIDS), np.int64)
+    index = written(rows.mapInArrow(quantise, "row long, vec_id long, v binary, c1 int, c2 int"), "index")
+    counts = np.zeros((len(left), len(right)), np.int64)
     for r in index.groupBy("c1", "c2").count().collect():
         counts[r["c1"], r["c2"]] = r["count"]
     parts = [int(-(-s // GROUP_ROWS)) or 1 for s in counts.sum(1)]
-    n_queries = index.where(F.col("vec_id") % every == 0).count()
+    queries = index.where(F.col("vec_id") % every == 0)
+    n_queries = queries.count()
     blocks = max(1, -(-n_queries // GROUP_QUERIES))
     want = max(int(probe * n), LEAST_CANDIDATES, k + 1)
     cells = spark.sparkContext.broadcast(counts)
@@ -116,35 +158,44 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probe: float = PROB
         for batch in batches:
             if not batch.num_rows:
                 continue
-            u = unit(matrix(batch.column("v")))
-            d1, d2 = distances(u[:, :half], left), distances(u[:, half:], right)
-            ids, out = batch.column("vec_id").to_pylist(), []
-            for i, q in enumerate(ids):
+            a, b = halves(batch.column("v"))
+            d1, d2 = distances(a, left), distances(b, right)
+            rows_, ids = batch.column("row").to_pylist(), batch.column("vec_id").to_pylist()
+            out = []
+
+            def emit(out):
+                r, q, v, c, visit = zip(*out, strict=True)
+                return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(q, pa.int64()), pa.array(v, pa.binary()), pa.array(c, pa.int32()), pa.array(visit, pa.list_(pa.int32()))], ["q_row", "query_id", "q", "c1", "visit"])
+
+            for i in range(batch.num_rows):
                 visit: dict[int, list[int]] = {}
-                for a, b in multi_sequence(d1[i], d2[i], cells.value, want):
-                    visit.setdefault(a, []).append(b)
-                out += [(q, batch.column("v")[i].as_py(), a, b) for a, b in visit.items()]
-            for at in range(0, len(out), 4000):
-                q, v, a, b = zip(*out[at : at + 4000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.binary()), pa.array(a, pa.int32()), pa.array(b, pa.list_(pa.int32()))], ["query_id", "q", "c1", "visit"])
+                for one, two in multi_sequence(d1[i], d2[i], cells.value, want):
+                    visit.setdefault(one, []).append(two)
+                v = batch.column("v")[i].as_py()
+                out += [(rows_[i], ids[i], v, one, twos) for one, twos in visit.items()]
+                if len(out) >= 2000:
+                    yield emit(out)
+                    out = []
+            if out:
+                yield emit(out)
 
     split = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("c1") + 1)
     walks = (
-        index.where(F.col("vec_id") % every == 0).repartition("vec_id").mapInArrow(walk, "query_id long, q binary, c1 int, visit array<int>")
+        queries.select("row", "vec_id", "v").repartition("row").mapInArrow(walk, "q_row long, query_id long, q binary, c1 int, visit array<int>")
         .withColumn("part", F.explode(F.sequence(F.lit(0), split - 1)))
-        .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("q_row"), F.lit(blocks)).cast("int"))
     )
-    entries = index.withColumn("part", F.pmod(F.xxhash64("vec_id"), split).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    entries = index.withColumn("part", F.pmod(F.xxhash64("row"), split).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def rerank(queries, own):
         found = []
         if len(queries) and len(own):
-            own = own.sort_values("vec_id", kind="stable")
-            v, ids, c2 = matrix(own["v"]), own["vec_id"].to_numpy(), own["c2"].to_numpy()
+            own = own.sort_values(["vec_id", "row"], kind="stable")
+            v, rows_, ids, c2 = matrix(own["v"]), own["row"].to_numpy(), own["vec_id"].to_numpy(), own["c2"].to_numpy()
             u = unit(v)
             q = matrix(queries["q"])
             uq = unit(q)
-            member = np.zeros((len(q), CENTROIDS), bool)
+            member = np.zeros((len(q), len(counts[0])), bool)
             for i, cs in enumerate(queries["visit"]):
                 member[i, list(cs)] = True
             best: list[list] = [[] for _ in range(len(q))]
@@ -159,14 +210,14 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probe: float = PROB
             for i, lists in enumerate(best):
                 if lists:
                     at = np.sort(np.concatenate(lists))
-                    query = queries["query_id"].iloc[i]
-                    at = at[ids[at] != query]
+                    query = queries["q_row"].iloc[i]
+                    at = at[rows_[at] != query]
                     s = exact_cosine(q[i], v[at])
                     top = np.argsort(-s, kind="stable")[:k]
-                    found += [(query, ids[at[j]], s[j]) for j in top]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+                    found += [(query, queries["query_id"].iloc[i], rows_[at[j]], ids[at[j]], s[j]) for j in top]
+        return pd.DataFrame(found, columns=["q_row", "query_id", "row", "vec_id", "score"])
 
     key = ["c1", "part", "block"]
-    near = walks.groupBy(*key).cogroup(entries.groupBy(*key)).applyInPandas(rerank, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    near = walks.groupBy(*key).cogroup(entries.groupBy(*key)).applyInPandas(rerank, "q_row long, query_id long, row long, vec_id long, score double")
+    order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id", "row")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,15 +2,18 @@
 
 Rows become blocks in vertical layout (one run of values a dimension), without
 a shuffle; the stated queries become blocks too, and each block of rows meets
-each block of queries.  For a query, partial products are accumulated one
+each block of queries.  Blocks are dealt over groups whose number follows the
+number of rows.  For a query, partial products are accumulated one
 block of dimensions at a time.  By Cauchy-Schwarz on the remaining dimensions
 every candidate's product lies within partial +- |q_rest| |x_rest|; candidates
 whose upper bound is below the k-th best lower bound are compacted away.
 Arithmetic is in integers, so results are exact.
 
 Edge cases: see ``vectors.valid`` (zero vectors do take part); fewer than k
-candidates are all returned; ties go to the smaller vec_id; an empty table, or
-one without queries, gives no rows; extra columns are ignored.  Scores have to
+candidates are all returned; ties go to the smaller vec_id; of rows that share
+a vec_id each is a candidate, and a query where the id says so, with ranks of
+its own; an empty table, or one without queries, gives no rows; extra columns
+are ignored.  Scores have to
 fit a long: components beyond about 2**27 in size are computed in unbounded
 integers and a score that doesn't fit raises an error.
 """
@@ -26,6 +29,8 @@ from spotweave.llm.vectors import matrix, valid
 
 SCALE = 256
 BLOCK_ROWS, BLOCK_QUERIES, BLOCK_DIMS = 4096, 512, 16
+#: Rows of a group at most, about: its blocks meet the blocks of queries one after another.
+GROUP_ROWS = 64 * BLOCK_ROWS
 
 
 def quantised(v: np.ndarray) -> np.ndarray:
@@ -35,23 +40,26 @@ def quantised(v: np.ndarray) -> np.ndarray:
     return np.array([[int(c) for c in row] for row in x], dtype=object).reshape(x.shape)
 
 
-def search_block(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
-    """(query_id, vec_id, score) of each query's k best in a block; x is vertical (dimension first), ids ascend."""
+def search_block(q: np.ndarray, q_rows: np.ndarray, x: np.ndarray, rows: np.ndarray, k: int):
+    """(query, place, score) of each query's k best in a block; x is vertical (dimension first) and its order breaks ties.
+
+    Queries and candidates are told apart by their row numbers.
+    """
     out = []
     if q.dtype == object or x.dtype == object:
-        for i, query in enumerate(q_ids):
-            s = [(-sum(int(a) * int(b) for a, b in zip(q[i], x[:, j], strict=True)), int(ids[j])) for j in range(len(ids)) if ids[j] != query]
-            out += [(int(query), v, -s_) for s_, v in sorted(s)[:k]]
+        for i, query in enumerate(q_rows):
+            s = [(-sum(int(a) * int(b) for a, b in zip(q[i], x[:, j], strict=True)), j) for j in range(len(rows)) if rows[j] != query]
+            out += [(i, j, -s_) for s_, j in sorted(s)[:k]]
         return out
     dims = len(x)
     cuts = list(range(0, dims, BLOCK_DIMS)) + [dims]
     # Norms of what remains from each cut on; a little larger than exact.
     rest_x = [np.sqrt((x[c:].astype(np.float64) ** 2).sum(0)) * (1 + 1e-12) for c in cuts]
-    for i, query in enumerate(q_ids):
-        alive = np.flatnonzero(ids != query)
+    for i, query in enumerate(q_rows):
+        alive = np.flatnonzero(rows != query)
         partial = np.zeros(len(alive), np.int64)
         for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            part = x[lo:hi] if len(alive) == len(ids) else x[lo:hi, alive]
+            part = x[lo:hi] if len(alive) == len(rows) else x[lo:hi, alive]
             partial = partial + q[i, lo:hi] @ part
             if hi < dims and len(alive) > k:
                 slack = np.sqrt((q[i, hi:].astype(np.float64) ** 2).sum()) * rest_x[b + 1][alive] * (1 + 1e-12) + 1e-6
@@ -59,45 +67,52 @@ def search_block(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarra
                 keep = partial + slack >= floor
                 alive, partial = alive[keep], partial[keep]
         top = np.argsort(-partial, kind="stable")[:k]
-        out += [(int(query), int(ids[alive[j]]), int(partial[j])) for j in top]
+        out += [(i, int(alive[j]), int(partial[j])) for j in top]
     return out
 
 
-def top_products(vectors: DataFrame, every: int = 50, k: int = 5, groups: int = 48) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each vec_id divisible by ``every``, its k largest products with others."""
+def blocks(rows: DataFrame, size: int) -> DataFrame:
+    """(first, rows, ids, data): runs of ``size`` rows sorted by (vec_id, row), with vertical data."""
+
+    def make(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                ids, row = part.column("vec_id").to_numpy(), part.column("row").to_numpy()
+                order = np.lexsort((row, ids))
+                v = matrix(part.column("v"))[order]
+                data = [row[order].astype(np.int64).tobytes(), ids[order].astype(np.int64).tobytes(), np.ascontiguousarray(v.T).tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([int(row[0])], pa.int64()), *[pa.array([x], pa.binary()) for x in data]], ["first", "rows", "ids", "data"])
+
+    return rows.mapInArrow(make, "first long, rows binary, ids binary, data binary")
+
+
+def top_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
+    """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by ``every``, its k largest products with others."""
     rows = valid(vectors, zero=True)
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    n = rows.count()
+    size = int(min(BLOCK_ROWS, max(256, n // (8 * tasks))))
+    groups = int(max(min(2 * tasks, -(-n // size)), -(-n // GROUP_ROWS), 1))
     queries = rows.where(F.col("vec_id") % every == 0)
-
-    def blocks(size):
-        def make(batches):
-            for batch in batches:
-                for at in range(0, batch.num_rows, size):
-                    part = batch.slice(at, size)
-                    ids = part.column("vec_id").to_numpy()
-                    order = np.argsort(ids, kind="stable")
-                    v = matrix(part.column("v"))[order]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(ids[order[0]])], pa.int64()), pa.array([ids[order].astype(np.int64).tobytes()], pa.binary()), pa.array([np.ascontiguousarray(v.T).tobytes()], pa.binary())],
-                        ["first", "ids", "data"],
-                    )
-
-        return make
-
-    kind = "first long, ids binary, data binary"
-    left = queries.coalesce(8).mapInArrow(blocks(BLOCK_QUERIES), kind).select(F.col("ids").alias("q_ids"), F.col("data").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
-    right = rows.mapInArrow(blocks(BLOCK_ROWS), kind).select("ids", "data", F.pmod(F.xxhash64("first"), F.lit(groups)).cast("int").alias("g"))
+    n_queries = queries.count()
+    left = blocks(queries.repartition(max(1, -(-n_queries // BLOCK_QUERIES))), BLOCK_QUERIES)
+    left = left.select(F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("data").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
+    right = blocks(rows, size).select("rows", "ids", "data", F.pmod(F.xxhash64("first"), F.lit(groups)).cast("int").alias("g"))
 
     def search(batches):
         for batch in batches:
-            found = []
-            for q_ids, q, ids, data in zip(*(batch.column(c) for c in ("q_ids", "q", "ids", "data")), strict=True):
-                qi, xi = np.frombuffer(q_ids.as_buffer(), np.int64), np.frombuffer(ids.as_buffer(), np.int64)
-                qv = quantised(np.frombuffer(q.as_buffer()).reshape(-1, len(qi)).T)
-                xv = quantised(np.frombuffer(data.as_buffer()).reshape(-1, len(xi)))
-                found += search_block(qv, qi, xv, xi, k)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["query_id", "vec_id", "score"])
-
-    best = left.join(right, "g").select("q_ids", "q", "ids", "data").mapInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            for at in range(batch.num_rows):
+                q_rows, q_ids, q, own, ids, data = (batch.column(c)[at].as_buffer() for c in ("q_rows", "q_ids", "q", "rows", "ids", "data"))
+                qr, qi, xr, xi = (np.frombuffer(x, np.int64) for x in (q_rows, q_ids, own, ids))
+                qv = quantised(np.frombuffer(q).reshape(-1, len(qi)).T)
+                xv = quantised(np.frombuffer(data).reshape(-1, len(xi)))
+                found = search_block(qv, qr, xv, xr, k)
+                if found:
+                    i, j, score = zip(*found, strict=True)
+                    i, j = list(i), list(j)
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in (qr[i], qi[i], xr[j], xi[j])], pa.array(score, pa.int64())], ["q_row", "query_id", "row", "vec_id", "score"])
+
+    best = left.join(right, "g").drop("g").mapInArrow(search, "q_row long, query_id long, row long, vec_id long, score long")
+    order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id", "row")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

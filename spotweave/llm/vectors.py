@@ -7,31 +7,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.llm.common import written
+
 
 def valid(vectors: DataFrame, zero: bool) -> DataFrame:
-    """(vec_id, v binary of doubles) of the vectors that take part, once for each vec_id.
+    """(row, vec_id, v binary of doubles) of the rows that take part, written once; ``row`` tells rows of one vec_id apart.
 
-    Out: null ids and vectors, empty ones, those with null or non-finite
-    components, zero vectors unless ``zero``, and vectors whose length isn't
-    the most frequent one.  Of several rows of a vec_id the least stays.
+    Out: null ids and vectors, those with null or non-finite components, and
+    unless ``zero`` those without a component other than 0.  Vectors may differ
+    in length: components that one lacks count as 0.
     """
     e = F.col("embedding")
-    fine = e.isNotNull() & (F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    fine = e.isNotNull() & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<double>").alias("e"))
     if not zero:
         rows = rows.where(F.exists("e", lambda x: x != 0))
-    lengths = rows.groupBy(F.size("e").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if lengths:
-        rows = rows.where(F.size("e") == lengths[0]["d"])
+    width = max(1, rows.agg(F.max(F.size("e"))).first()[0] or 0)
 
     def pack(batches):
         for batch in batches:
             col = batch.column("e")
-            x = col.flatten().to_numpy(zero_copy_only=False)
-            rows = x.reshape(batch.num_rows, -1) if batch.num_rows else x
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array([r.tobytes() for r in rows], pa.binary())], ["vec_id", "v"])
-
-    return rows.mapInArrow(pack, "vec_id long, v binary").groupBy("vec_id").agg(F.min("v").alias("v"))
+            flat, size = col.flatten().to_numpy(zero_copy_only=False), np.diff(col.offsets.to_numpy())
+            x = np.zeros((batch.num_rows, width))
+            x[np.arange(width) < size[:, None]] = flat
+            data = pa.py_buffer(np.ascontiguousarray(x))
+            ends = pa.py_buffer(np.arange(0, 8 * width * (batch.num_rows + 1), 8 * width, dtype=np.int32))
+            v = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, ends, data])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("vec_id"), v], ["row", "vec_id", "v"])
+
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    return written(numbered.mapInArrow(pack, "row long, vec_id long, v binary"), "vectors")
 
 
 def matrix(col) -> np.ndarray:
