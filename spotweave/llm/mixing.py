@@ -5,9 +5,10 @@ small keys first is weighted sampling without replacement.  A source whose
 target is k whole sizes and a rest takes k complete epochs, then documents in
 key order while the running sum of words stays nearest the rest.
 
-Keys are spread over fixed buckets; sums for each (source, bucket) find the
-one bucket in which a source's rest ends, and only that bucket is sorted.  So
-a source with a third of all rows is never sorted in one task.
+Keys are spread over buckets, the more the more rows there are; sums for each
+(source, bucket) find the one bucket in which a source's rest ends, and only
+that bucket is sorted.  So a source with a third of all rows is never sorted
+in one task.  The sources themselves, one row each, are ordered in one task.
 
 Edge cases: null or empty text has size 0 and takes 0; a null source is a
 source of its own, ordered last; repeated rows are separate documents with
@@ -16,24 +17,24 @@ equal keys; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.llm import text as tx
-from spotweave.llm.common import bounded, written
+from spotweave.llm.common import bounded, unused, written
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-BUCKETS = 4096
+#: Rows of all sources that a bucket holds, about, and the fewest and most buckets.
+BUCKET_ROWS, FEWEST, MOST = 4096, 4096, 1 << 20
 #: Characters a word that make a document's quality weight 1; it falls with the distance.
 WORD_CHARS = 6.0
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, chars) with the number of words and of code points of each whole text."""
+    """(doc_id, source, tid, size, chars) with the number of words and of code points of each whole text; tid is a hash of it."""
 
     def make(batches):
         for batch in tx.text_slices(batches, "text"):
@@ -45,12 +46,12 @@ def sizes(docs: DataFrame) -> DataFrame:
             words = np.concatenate(([0], np.cumsum(begin & ~gap)))
             chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("source"), pa.array(words[off[1:]] - words[off[:-1]]), pa.array(chars[off[1:]] - chars[off[:-1]])],
-                ["doc_id", "source", "size", "chars"],
+                [batch.column("doc_id"), batch.column("source"), batch.column("tid"), pa.array(words[off[1:]] - words[off[:-1]]), pa.array(chars[off[1:]] - chars[off[:-1]])],
+                ["doc_id", "source", "tid", "size", "chars"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text").mapInArrow(
-        make, "doc_id long, source string, size long, chars long"
+    return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64("text").alias("tid"), "text").mapInArrow(
+        make, "doc_id long, source string, tid long, size long, chars long"
     )
 
 
@@ -86,16 +87,21 @@ def unit(*cols, seed: int) -> F.Column:
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, seed: int = 11) -> DataFrame:
     """(doc_id, size, source_size, target, taken, source) for each row of ``docs``."""
+    return _mix(docs, weights, most, seed).drop("tid")
+
+
+def _mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, seed: int = 11) -> DataFrame:
     quality = 1 / (1 + F.abs(F.col("chars") / F.greatest(F.col("size"), F.lit(1)) - WORD_CHARS) / 4)
     key = -F.log(unit("doc_id", "size", seed=seed)) / F.col("weight")
     rows = (
         sizes(docs)
         .withColumn("weight", F.greatest(quality, F.lit(0.05)))
         .withColumn("key", key)
-        .withColumn("bucket", F.floor(BUCKETS * (1 - F.exp(-F.col("key") * 0.8))).cast("int"))
         .drop("chars", "weight")
     )
     rows = written(rows, "sizes")
+    buckets = min(MOST, max(FEWEST, rows.count() // BUCKET_ROWS))
+    rows = rows.withColumn("bucket", F.floor(buckets * (1 - F.exp(-F.col("key") * 0.8))).cast("int"))
     sums = written(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "bucket-sums")
     targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     plan = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
@@ -110,7 +116,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, seed:
     )
     plan = written(
         plan.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").select(
-            F.col("source").alias("s"), "source_size", "target", "epochs", "rest", F.coalesce("last.bucket", F.lit(BUCKETS + 1)).alias("last"), F.coalesce("last.before", F.lit(0)).alias("before")
+            F.col("source").alias("s"), "source_size", "target", "epochs", "rest", F.coalesce("last.bucket", F.lit(buckets + 1)).alias("last"), F.coalesce("last.before", F.lit(0)).alias("before")
         ),
         "plan",
     )
@@ -120,20 +126,17 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, seed:
     inside = inside.withColumn("more", F.col("at") <= F.col("rest")).drop("at")
     outside = told.where("bucket <> last").withColumn("more", F.col("bucket") < F.col("last"))
     taken = F.col("size") * (F.col("epochs") + F.when(F.col("more") & (F.col("epochs") < most), 1).otherwise(0))
-    return outside.unionByName(inside).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source")
+    return outside.unionByName(inside).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source", "tid")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as many times as the mix takes it, with the columns of ``docs``.
 
-    Rows are told apart by (doc_id, source, number of words); repeated rows are taken equally often.
+    Rows with equal doc_id, source and text are taken equally often, the mean of their times rounded.
     """
-    times = mix_sources(docs, **options).where("taken > 0").groupBy("doc_id", "source").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    mean = F.round(F.avg(F.col("taken") / F.col("size"))).cast("int")
+    times = _mix(docs, **options).where("size > 0").groupBy("doc_id", "source", "tid").agg(mean.alias("times")).where("times > 0")
     a, b = docs.alias("a"), bounded(written(times, "times")).alias("b")
-    return (
-        a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & F.col("a.source").eqNullSafe(F.col("b.source")))
-        .select("a.*", F.explode(F.sequence(F.lit(1), F.col("b._times"))).alias("_copy"))
-        .drop("_copy")
-    )
-
-
+    copy = unused(docs, "copy")
+    on = F.col("a.doc_id").cast("long").eqNullSafe(F.col("b.doc_id")) & F.col("a.source").cast("string").eqNullSafe(F.col("b.source")) & (F.xxhash64("a.text") == F.col("b.tid"))
+    return a.join(b, on).select("a.*", F.explode(F.sequence(F.lit(1), F.col("b.times"))).alias(copy)).drop(copy)
