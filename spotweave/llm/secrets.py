@@ -17,10 +17,10 @@ whole; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import bounded, written
+from spotweave.llm.common import bounded, unused, written
 
 #: Code points between two parts of one credential, at most.
 SCOPE = 200
@@ -175,24 +175,40 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     )
 
 
+#: Code points of the blocks that a text is cut into before spans are taken out, so that no cut walks a long text from its start.
+CHUNK = 4096
+
+
+def _between(a: str, b: str) -> str:
+    """SQL for the text from a to b, from the array ``chunks`` of its blocks."""
+    return f"""if({a} >= {b}, '', array_join(transform(sequence(cast({a} div {CHUNK} as int), cast(({b} - 1) div {CHUNK} as int)), k ->
+        substring(get(chunks, k), cast(greatest({a} - k * {CHUNK}, 0) as int) + 1, cast(least({b} - k * {CHUNK}, {CHUNK}) - greatest({a} - k * {CHUNK}, 0) as int))), ''))"""
+
+
 def redact(docs: DataFrame, mark: str = "[secret]", scope: int = SCOPE) -> DataFrame:
-    """``docs`` with every found span replaced by ``mark`` (overlapping spans by one) and, where there, n_chars counted anew."""
-    hits = scan(docs, scope).where("size(base) > 0 or size(linked) > 0").select("doc_id", "tid", F.array_sort(F.concat("base", "linked")).alias("spans")).dropDuplicates(["doc_id", "tid"])
-    hits = bounded(written(hits, "hits")).alias("h")
-    new = F.expr(
-        f"""aggregate(h.spans, named_struct('at', 0, 'out', ''),
-              (acc, s) -> named_struct('at', greatest(acc.at, s.stop),
-                'out', if(s.start < acc.at, acc.out, concat(acc.out, substring(d.text, acc.at + 1, s.start - acc.at), '{mark}'))),
-              acc -> concat(acc.out, substring(d.text, acc.at + 1, length(d.text))))"""
-    )
+    """``docs`` with every found span replaced by ``mark`` (overlapping spans by one) and, where there, n_chars counted anew.
+
+    What stays of a text lies between spans that reach farther than all before them; it is cut from blocks of the text.
+    """
+    hits = scan(docs, scope).where("size(base) > 0 or size(linked) > 0").dropDuplicates(["doc_id", "tid"])
+    spans_ = hits.select("doc_id", "tid", F.explode(F.concat("base", "linked")).alias("s")).select("doc_id", "tid", "s.start", "s.stop")
+    before = Window.partitionBy("doc_id", "tid").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    reach = spans_.withColumn("from", F.coalesce(F.max("stop").over(before), F.lit(0)))
+    kept = F.when(F.col("start") >= F.col("from"), F.struct("from", F.col("start").alias("to")))
+    cuts = reach.groupBy("doc_id", "tid").agg(F.array_sort(F.collect_list(kept)).alias("kept"), F.max("stop").alias("rest"))
+    cuts = bounded(written(cuts.select(F.col("doc_id").alias("cut_id"), "tid", "kept", "rest"), "cuts")).alias("h")
     d = docs.alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.xxhash64("d.text") == F.col("h.tid"))
-    text = F.when(F.col("h.tid").isNotNull(), new).otherwise(F.col("d.text"))
-    joined = d.join(hits, on, "left").withColumn("_text", text)
+    on = F.col("d.doc_id").cast("long").eqNullSafe(F.col("h.cut_id")) & (F.xxhash64("d.text") == F.col("h.tid"))
+    new = unused(docs, "text")
+    joined = d.join(cuts, on, "left").select("d.*", F.col("h.kept").alias(f"{new}_kept"), F.col("h.rest").alias(f"{new}_rest"))
+    said = mark.replace("\\", "\\\\").replace("'", "\\'")
+    blocks = f"transform(array(regexp_extract_all(text, '(?s).{{1,{CHUNK}}}', 0)), chunks -> array_join(concat(transform({new}_kept, p -> {_between('p.from', 'p.to')}), array({_between(f'{new}_rest', 'length(text)')})), '{said}'))[0]"
+    text = F.when(F.col(f"{new}_kept").isNotNull(), F.expr(blocks)).otherwise(F.col("text"))
+    joined = joined.withColumn(new, text)
     cols = [
-        F.col("_text").alias("text") if c == "text"
-        else F.when(F.col("h.tid").isNotNull(), F.length("_text").cast("long")).otherwise(F.col("d.n_chars")).alias(c) if c == "n_chars"
-        else F.col(f"d.`{c}`")
+        F.col(new).alias(c) if c == "text"
+        else F.when(F.col(f"{new}_kept").isNotNull(), F.length(new).cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars"
+        else F.col(f"`{c}`")
         for c in docs.columns
     ]
     return joined.select(*cols)
