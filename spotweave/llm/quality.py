@@ -8,7 +8,8 @@ adjacent violators over a fixed grid of score bins.
 Edge cases: null and empty texts have all-zero statistics and get the model's
 score for them; labels other than 0 and 1, and rows without a label, take no
 part in training; without both classes every document scores 0.5; an empty
-table gives no rows; repeated rows get equal scores; extra columns are ignored.
+table gives no rows; repeated rows get equal scores; of several labels of a
+doc_id the least counts; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -155,6 +156,7 @@ def fit(rows: DataFrame, seed: int = 7) -> QualityModel:
     model = QualityModel(
         np.zeros(d), np.ones(d), rng.normal(0, 1 / (WIDTH * np.sqrt(d)), (d, FEATURES)), rng.uniform(0, 2 * np.pi, FEATURES), np.zeros(FEATURES + 1), np.zeros(0), np.zeros(0)
     )
+    # ``rows`` are a written table of TRAIN_ROWS at most: few tasks read them, and few sums are moved.
     train = rows.where("part < 4").coalesce(SUM_TASKS)
 
     def moments(batches):
@@ -218,7 +220,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, reject_below: float = RE
     n = rows.count()
     if n > TRAIN_ROWS:
         rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * TRAIN_ROWS / n))
-    model = fit(rows.select("stats", "y", "part"))
+    model = fit(written(rows.select("stats", "y", "part"), "training"))
 
     def predict(batches):
         for batch in batches:
@@ -239,4 +241,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, reject_below: float = RE
 def keep_good(docs: DataFrame, labels: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
     """``docs`` without the documents that the classifier rejects; rows with a null doc_id are kept."""
     bad = score_documents(docs, labels, reject_below).where("predicted = 0").select("doc_id").distinct()
-    return docs.join(bounded(written(bad, "rejected")), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(bounded(written(bad, "rejected")), "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
