@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,12 +48,16 @@ def count_directional(reads: DataFrame, keys: list[str] = ("cell", "gene"), umi:
     close = masks.groupBy(*keys, "m").agg(F.count("*").alias("n")).where("n > 1").select(*keys).distinct()
     alone = counted.join(close, keys, "left_anti").groupBy(*keys).agg(F.count("*").alias("n"))
     schema = ", ".join(f"`{k}` {t}" for k, t in counted.select(*keys).dtypes) + ", n long"
+    # A group's distinct UMIs are one row, as the clustering needs them together anyway.
+    groups = counted.join(close, keys, "left_semi").groupBy(*keys).agg(F.collect_list(F.struct("u", "c")).alias("_umis"))
 
-    def cluster(p: pd.DataFrame) -> pd.DataFrame:
-        row = {k: [p[k].iloc[0]] for k in keys}
-        return pd.DataFrame(row | {"n": [directional_groups(p["u"].tolist(), p["c"].tolist())]})
+    def cluster(batches):
+        for batch in batches:
+            own = batch.column(len(keys)).to_pylist()
+            n = [directional_groups([x["u"] for x in g], [x["c"] for x in g]) for g in own]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*batch.schema.names[:-1], "n"])
 
-    return counted.join(close, keys, "left_semi").groupBy(*keys).applyInPandas(cluster, schema).unionByName(alone)
+    return groups.mapInArrow(cluster, schema).unionByName(alone)
 
 
 def five_prime_position(compat: bool = False) -> tuple[Column, Column]:
