@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import bounded, written
+from spotweave.llm.common import bounded, unused, written
 
 SHARDS = 24
 #: Ranges to begin with, and sampled keys; both bound what reaches the driver.
 RANGES, SAMPLE = 768, 24_576
+#: Bytes of text that a range stands for where there are more, and the most ranges (with 32 sampled keys each).
+RANGE_BYTES, MOST_RANGES = 1 << 30, 1 << 15
 #: A group is kept whole up to this part of a shard.
 WHOLE = 8
 LOWEST = -(2**63)
@@ -86,16 +88,21 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES,
     spark = docs.sparkSession
     rows = written(keys(docs), "keys")
     total = rows.agg(F.sum("size")).first()[0] or 0
+    ranges = min(MOST_RANGES, max(ranges, total // RANGE_BYTES))
+    sample = max(sample, 32 * ranges)
     splitters = quantiles(_sample(rows, total, sample), ranges)
-    for _ in range(4):
+    while True:
         ranged = in_ranges(rows, splitters)
         sums = {r["range"]: (r["bytes"], r["n"]) for r in ranged.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()}
         full = [r for r, (b, n) in sums.items() if b > 3 * total / ranges and n > 100]
         if not full:
             break
+        before = len(splitters)
         over = sum(sums[r][0] for r in full)
         more = _sample(ranged.where(F.col("range").isin(full)), over, sample)
         splitters = sorted({*splitters, *quantiles(more, max(2, int(2 * over * ranges / max(total, 1))))})
+        if len(splitters) == before:  # what is left are rows equal in text and doc_id
+            break
     base, at_byte, at_row = [], 0, 0
     for r in sorted(sums):
         base.append((r, at_byte, at_row))
@@ -122,12 +129,17 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES,
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write the documents themselves, partitioned by shard and sorted by slot; rows are matched by doc_id and text."""
-    plan = shard_by_bytes(docs, shards).select(F.col("doc_id").alias("_id"), "shard", "slot", "text_crc32")
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    nth = Window.partitionBy("doc_id", "_crc").orderBy("doc_id")
-    other = Window.partitionBy("_id", "text_crc32").orderBy("shard", "slot")
-    left = docs.withColumn("_crc", crc).withColumn("_nth", F.row_number().over(nth))
-    right = plan.withColumn("_nth2", F.row_number().over(other))
-    joined = left.join(right, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_crc") == F.col("text_crc32")) & (F.col("_nth") == F.col("_nth2")))
-    joined.select(*docs.columns, "shard", "slot").repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write the documents themselves, partitioned by shard and sorted by slot; rows are matched by doc_id and text.
+
+    ``docs`` may not have columns named shard or slot, which the files get.
+    """
+    if {"shard", "slot"} & {c.lower() for c in docs.columns}:
+        raise ValueError("columns named shard and slot are those of the files")
+    plan = shard_by_bytes(docs, shards).select("doc_id", "shard", "slot", "text_crc32")
+    crc, nth = unused(docs, "crc"), unused(docs, "nth")
+    left = docs.withColumn(crc, F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    left = left.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id", crc).orderBy("doc_id"))).alias("d")
+    right = plan.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "text_crc32").orderBy("shard", "slot"))).alias("p")
+    on = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col(f"d.{crc}") == F.col("p.text_crc32")) & (F.col(f"d.{nth}") == F.col("p.nth"))
+    joined = left.join(right, on).select(*[F.col(f"d.`{c}`") for c in docs.columns], "p.shard", "p.slot")
+    joined.repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

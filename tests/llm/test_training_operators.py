@@ -83,6 +83,32 @@ def test_classifier_on_held_out_documents(spark):
     assert 380 <= kept.count() <= 420 and kept.columns == documents(spark, rows).columns
 
 
+def test_scores_against_a_dense_fit(spark):
+    """Normal equations summed over tasks, ridge and calibration against numpy on all rows at once."""
+    r = np.random.default_rng(8)
+    d = len(quality.NAMES)
+    stats = r.normal(size=(3000, d)).astype(np.float32)
+    y = (stats[:, 0] + 0.3 * r.normal(size=3000) > 0).astype(float)
+    part = r.integers(1, 5, 3000)
+    rows = spark.createDataFrame([([float(v) for v in x], float(a), int(p)) for x, a, p in zip(stats, y, part, strict=True)], "stats array<float>, y double, part int").repartition(7)
+    model = quality.fit(rows)
+    x, own = stats[part < 4].astype(float), y[part < 4]
+    assert np.allclose(model.centre, x.mean(0), atol=1e-6) and np.allclose(model.scale, x.std(0), atol=1e-5)
+    z = np.column_stack((np.sqrt(2 / quality.FEATURES) * np.cos(np.clip((x - x.mean(0)) / (x.std(0) + 1e-6), -6, 6) @ model.omega + model.phase), np.ones(len(x))))
+    penalty = np.eye(quality.FEATURES + 1) * quality.RIDGE * len(x)
+    penalty[-1, -1] = 1e-9
+    weights = np.linalg.solve(z.T @ z + penalty, z.T @ own)
+    assert np.allclose(z @ weights, model.raw(x), atol=1e-6)
+    held = stats[part == 4].astype(float)
+    bins = np.round(model.raw(held) * quality.BINS / 3).astype(int)
+    at = np.unique(bins)
+    n = np.array([(bins == b).sum() for b in at], float)
+    knots, levels = quality.isotonic(at * 3 / quality.BINS, n, np.array([y[part == 4][bins == b].mean() for b in at]))
+    assert np.allclose(knots, model.knots) and np.allclose(levels, model.levels)
+    scores = model.score(held)
+    assert ((scores > 0.5) == (y[part == 4] == 1)).mean() > 0.7 and scores.min() >= 0 and scores.max() <= 1
+
+
 def test_classifier_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in quality.score_documents(documents(spark, ODD), none).collect()} == {0.5}
@@ -105,6 +131,17 @@ def test_mix_against_sql(spark):
     assert mixing.mix_sources(documents(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_are_taken_by_their_text(spark):
+    docs = documents(spark, [(1, "a b c", "x"), (1, "d " * 900, "x"), (1, None, "x"), (2, "e f", "y"), (2, "e f", "y")])
+    times = {}
+    for r in mixing._mix(docs).where("size > 0").collect():
+        times.setdefault((r["doc_id"], r["size"]), []).append(r["taken"] // r["size"])
+    got = {}
+    for r in mixing.mixed_documents(docs).collect():
+        got[r["doc_id"], len(r["text"].split())] = got.get((r["doc_id"], len(r["text"].split())), 0) + 1
+    assert got == {k: round(sum(v) / len(v) + 1e-9) * len(v) for k, v in times.items() if round(sum(v) / len(v) + 1e-9)}
+
+
 def test_mixed_documents_are_repeated(spark):
     docs = documents(spark, [(1, "a b c", "x"), (2, "d e", "y"), (3, None, "y")])
     times = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mix_sources(docs).where("size > 0").collect()}
@@ -135,7 +172,7 @@ def test_shards_of_nothing_and_files(spark, tmp_path):
 
 # Nearest and top-k -----------------------------------------------------------------------
 
-BROKEN = [(7001, None), (7002, [0.0] * 8), (7003, [1.0] * 7 + [None]), (7004, [1.0] * 7 + [float("nan")]), (7005, [float("inf")] * 8), (7006, [1.0] * 3), (7007, [])]
+BROKEN = [(7001, None), (7002, [0.0] * 8), (7003, [1.0] * 7 + [None]), (7004, [1.0] * 7 + [float("nan")]), (7005, [float("inf")] * 8), (None, [1.0] * 8), (7007, [])]
 
 
 def vectors(spark, x, extra=()):
@@ -168,6 +205,35 @@ def test_nearest_of_few(spark):
     assert nearest.nearest(vectors(spark, [], BROKEN[:1])).count() == 0
 
 
+def test_vectors_of_other_lengths_and_repeated_ids(spark):
+    x = [[1.0, 0.0, 0.0], [0.9, 0.1, 0.0], [0.0, 0.0, 1.0]]
+    extra = [(50, [1.0]), (50, [0.0, 1.0]), (50, [1.0]), (4, [0.5, 0.5, 0.5, 0.5])]
+    rows = [*enumerate(x), *extra]
+    wide = np.zeros((len(rows), 4))
+    for i, (_, v) in enumerate(rows):
+        wide[i, : len(v)] = np.float32(v)
+    unit = wide / np.linalg.norm(wide, axis=1)[:, None]
+    for got, score in (
+        (nearest.nearest(vectors(spark, x, extra)), unit @ unit.T),
+        (topk.top_products(vectors(spark, x, extra)), np.floor(256 * wide) @ np.floor(256 * wide).T),
+    ):
+        want = []
+        for i, (q, _) in enumerate(rows):
+            if q % 50 == 0:
+                others = sorted((-round(score[i, j], 9), rows[j][0]) for j in range(len(rows)) if j != i)[:5]
+                want += [(q, k + 1, v, -s) for k, (s, v) in enumerate(others)]
+        own = [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got.collect()]
+        assert sorted(own) == sorted(want)
+
+
+def test_probe_is_measured_on_the_table():
+    r = np.random.default_rng(5)
+    spread = nearest.unit(r.normal(size=(2000, 32)))
+    close = nearest.unit(np.repeat(r.normal(size=(40, 32)), 50, axis=0) + 0.05 * r.normal(size=(2000, 32)))
+    books = lambda x: (nearest.kmeans(x[:, :16], 12, 1), nearest.kmeans(x[:, 16:], 12, 2))
+    assert nearest.measured_probe(close, *books(close), 5) < 0.2 < nearest.measured_probe(spread, *books(spread), 5) <= 1
+
+
 def test_multi_sequence_walks_in_order():
     r = np.random.default_rng(3)
     a, b = r.random(6), r.random(7)
@@ -180,7 +246,9 @@ def test_top_products_against_brute_force(spark):
     r = np.random.default_rng(2)
     x = r.normal(size=(600, 40)).astype(np.float32)
     x[300:330] = x[0]
-    got = topk.top_products(vectors(spark, x, [(7000, [0.0] * 40), (7001, None), (7002, [float("nan")] * 40), (7003, [1.0])])).toPandas()
+    table = vectors(spark, x, [(7000, [0.0] * 40), (7001, None), (7002, [float("nan")] * 40)])
+    same(topk.top_products(table), sql_rows(table, oracles.TOP, "embeddings"))
+    got = topk.top_products(table).toPandas()
     q = np.vstack((np.floor(256 * x.astype(float)).astype(int), np.zeros((1, 40), int)))
     ids = np.array([*range(600), 7000])
     for i in np.flatnonzero(ids % 50 == 0):
@@ -197,6 +265,11 @@ def test_top_products_of_huge_components():
     assert got == [(0, 1, (2**38) ** 2 - 2**16), (0, 2, 2**46 + 2**16)]
 
 
+def test_top_products_of_nothing(spark):
+    assert topk.top_products(vectors(spark, [], BROKEN[:1])).count() == 0
+    assert [tuple(r) for r in topk.top_products(vectors(spark, [], [(50, []), (1, [])])).collect()] == [(50, 1, 1, 0)]
+
+
 # Tokens -------------------------------------------------------------------------------------
 
 
@@ -249,10 +322,28 @@ def test_redaction(spark):
     assert got == {1: ('a [secret]" b', 13), 2: ("clean", 5), 3: (None, 0), 4: ("[secret]", 8)}
 
 
+def test_redaction_against_brute_force(spark):
+    r = random.Random(4)
+    parts = ['é password="hunter22x" ', "token=deadbeefdeadbeefdeadbeef1234 ", "AKIA" + "Q7" * 10 + " ", "plain wörds ", "0123456789abcdef" * 2 + " ", "x" * 700 + " ", "ASIA" + "Z" * 16 + " "]
+    texts = ["".join(r.choices(parts, k=k)) for k in (1, 3, 10, 60, 400)] + ["token=" + "a" * 9000, "", None]
+    docs = documents(spark, list(enumerate(texts)))
+    spans = {s["doc_id"]: s["spans"] for s in secrets.find_secrets(docs).collect()}
+    got = {x["doc_id"]: x["text"] for x in secrets.redact(docs, mark="<it's \\ gone>").collect()}
+    for i, t in enumerate(texts):
+        cuts = sorted((int(a), int(b)) for a, b in (s.split(":")[1:] for s in spans[i].split(",") if s))
+        out, at = "", 0
+        for a, b in cuts:
+            if a >= at:
+                out += t[at:a] + "<it's \\ gone>"
+            at = max(at, b)
+        assert got[i] == (out + t[at:] if t is not None else None)
+
+
 def test_weak_parts_link_without_a_base_span(spark):
     key, bare = "ASIA" + "Q" * 16, "abcdEFGH0123" * 3 + "wxyz"
     docs = documents(spark, [(1, f"id {key} then {bare} end"), (2, f"id {key} alone"), (3, f"{bare} alone https://s3.example.com"), (4, key + " x" * 300 + " " + bare), (5, f"{bare} {key}")])
     got = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"], r["spans"]) for r in secrets.find_secrets(docs).collect()}
+    same(secrets.find_secrets(docs), sql_rows(docs, oracles.secret_sql()))
     assert got == {1: (0, 0, 0, "weak_access:3:23"), 2: (0, 0, 0, ""), 3: (0, 0, 0, ""), 4: (0, 0, 0, ""), 5: (0, 0, 0, "weak_access:41:61")}
     assert {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect() if "[secret]" in r["text"]} == {1: f"id [secret] then {bare} end", 5: f"{bare} [secret]"}
 
@@ -272,6 +363,32 @@ def test_archives_against_sql(spark, monkeypatch):
     assert warc.archive_and_index(pages.limit(0)).count() == 0
 
 
+def test_pages_of_odd_ids_and_columns(spark):
+    rows = [(-1, "http://a.org", "x", "noon", "k"), (2**62, "http://a.org", "x", None, "k"), (None, "http://b.org", "x", "2020-01-02 03:04:05", "k"), (None, None, "alone", None, "k"), (-7, "u", "alone", None, "k")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, timestamp string, range string")
+    out = warc.archive_and_index(pages)
+    same(out, sql_rows(pages, oracles.WARC, "pages"))
+    got = {(r["page_id"], r["payload_bytes"]): (r["record_type"], r["refers_to"]) for r in out.collect()}
+    assert got == {(-1, 1): ("revisit", 2**62), (2**62, 1): ("response", None), (None, 1): ("revisit", 2**62), (None, 5): ("revisit", -7), (-7, 5): ("response", None)}
+    dated = {r["stamp"] for r in warc.archive_and_index(pages, captured="timestamp").collect()}
+    assert "2020-01-02T03:04:05Z" in dated and len(dated) == 5
+
+
+def test_archives_of_one_member_a_record(spark, tmp_path):
+    import gzip
+
+    pages = spark.createDataFrame([(i, f"http://h{i % 3}.org", "é" * (i * 1000)) for i in range(40)], "page_id long, url string, html string")
+    whole = [r["record"] + warc.END for r in warc.records(pages).collect()]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(x.encode()) for x in whole[:25]))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress("".join(whole[25:]).encode()))
+    got = warc.read_warc(spark, str(tmp_path)).collect()
+    assert sorted(r["page_id"] for r in got) == list(range(40)) and {r["payload_bytes"] for r in got} == {2000 * i for i in range(40)}
+    own = [r["offset"] for r in sorted(got, key=lambda r: r["offset"]) if r["archive"] == "a.warc.gz"]
+    assert own == [sum(len(x.encode()) for x in whole[:i]) for i in range(25)]
+    with pytest.raises(ValueError):
+        list(warc.inflated(gzip.compress(b"x" * 5000)[:-9]))
+
+
 def test_loser_tree():
     r = random.Random(6)
     for k in range(1, 9):
@@ -387,6 +504,26 @@ def test_padding_does_not_grow_with_partitions(spark):
         assert (per["n"] == per["total"]).all() and len(per) == len(rows)
 
 
+# Columns that clash ------------------------------------------------------------------------------------
+
+
+def test_columns_that_clash_stay(spark):
+    from spotweave.llm.ngram_join import one_of_each
+
+    extra = ["_rows", "_text", "_copy", "timestamp", "Shard_", "spotweave_rows", "spotweave_text", "spotweave_copy", "spotweave_crc", "tid", "kept", "a.b"]
+    rows = [(1, "one two three token=abcdefgh", "s", 5, *["x"] * len(extra)), (2, "four five six", "s", 5, *["y"] * len(extra)), (2, "four five six", "s", 5, *["z"] * len(extra)), (None, None, None, None, *["n"] * len(extra))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra))
+    for stage in (one_of_each, secrets.redact, mixing.mixed_documents):
+        out = stage(docs)
+        assert out.columns == docs.columns, stage
+        assert {r["_rows"] for r in out.collect()} <= {"x", "y", "z", "n"}
+    assert secrets.redact(docs).where("doc_id = 1").first()["text"] == "one two three [secret]"
+    assert packing.pack_documents(docs).count() == 4
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.keep_good(docs, labels).count() == 4
+    sharding.write_shards(docs, warc.fresh_path(spark, "clash"), 2)
+
+
 # Pipeline ----------------------------------------------------------------------------------------------
 
 
@@ -407,8 +544,9 @@ def test_pipeline_stages(spark, tmp_path):
     spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    seen = {}
+    seen, given = {}, {}
     for name, stage in corpus_pipeline.STAGES:
+        given[name] = docs
         docs = stage(spark, docs, d).cache()
         seen[name] = docs
         if name != "packing":
@@ -420,7 +558,26 @@ def test_pipeline_stages(spark, tmp_path):
     kept = sorted((x["doc_id"], x["text"]) for x in seen["quality"].collect())
     assert {x["doc_id"] for x in seen["near_duplicates"].collect()} == {c for _, _, c in brute(kept)}
     assert not any(re.search("token=", x["text"]) for x in seen["secrets"].collect())
-    assert {x["doc_id"] for x in seen["packing"].collect()} == {x["doc_id"] for x in seen["mixing"].collect()}
+    # Each stage against what it was given, by plain Python or the operator's own decisions.
+    table = lambda x: sorted((r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in x.collect())
+    scores = {r["doc_id"]: r["predicted"] for r in quality.score_documents(given["quality"], spark.read.parquet(f"{d}/labels.parquet")).collect()}
+    assert table(seen["quality"]) == [r for r in table(given["quality"]) if scores[r[0]]]
+    mark = lambda t: re.sub(r"token=[a-z0-9]{6,}", "[secret]", t)
+    assert table(seen["secrets"]) == [(i, mark(t), a, b, len(mark(t))) for i, t, a, b, _ in table(given["secrets"])]
+    times = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mix_sources(given["mixing"]).collect()}
+    assert table(seen["mixing"]) == sorted(r for r in table(given["mixing"]) for _ in range(times[r[0]]))
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    want, got = {}, {}
+    for i, t, *_ in table(given["packing"]):
+        want.setdefault(i, []).append(len(tok.encode(t, add_special_tokens=False).ids) + 1)
+    for p in seen["packing"].collect():
+        got.setdefault(p["doc_id"], []).append(p)
+    assert set(got) == set(want)
+    for i, n in want.items():
+        covered = sorted(x for p in got[i] for x in range(p["start"], p["start"] + p["length"]))
+        assert covered == sorted(x for k in n for x in range(k)) and {p["doc_tokens"] for p in got[i]} == set(n)
 
 
 def test_secrets_in_a_text_of_many_blocks(spark):
@@ -431,3 +588,22 @@ def test_secrets_in_a_text_of_many_blocks(spark):
     want = ",".join(f"assign:{m.start()}:{m.end()}" for m in re.finditer(r"password=[a-z0-9]+", text))
     row = secrets.find_secrets(documents(spark, [(1, text)])).first()
     assert row["n_assign"] == n and row["spans"] == want
+
+
+def test_the_table_of_words_forgets_and_finds():
+    r = np.random.default_rng(6)
+    table = packing.WordTable(10)
+    seen = {}
+    for _ in range(40):
+        one = np.unique(r.integers(1, 2**64, 90, dtype=np.uint64))
+        one[: len(one) // 2] &= np.uint64((1 << 54) - 1)  # many want the same slots
+        one = np.unique(one)
+        two, ids = one * np.uint64(3), [np.arange(int(h % np.uint64(5)), dtype=np.uint32) + np.uint32(h % np.uint64(1000)) for h in one]
+        table.add(one, two, ids)
+        seen |= {int(h): x.tolist() for h, x in zip(one, ids, strict=True)}
+        at = table.slots(one)
+        assert (table.hash[at] == one).all() and (table.check[at] == two).all() and table.held == np.count_nonzero(table.hash) <= 512
+        held = np.flatnonzero(table.hash)
+        assert len(set(table.hash[held].tolist())) == len(held) and (table.slots(table.hash[held]) == held).all()
+        for s in held:
+            assert table.flat[table.start[s] : table.start[s] + table.size[s]].tolist() == seen[int(table.hash[s])]
