@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only after its rows have been counted against this bound.
 BROADCAST_ROWS = 500_000
+#: Edges of a graph in one partition, about.
+EDGES = 500_000
 #: Arrow batches for Python steps: Spark's default of 64 MB is held several times over in each task.  A session that sets it itself is left alone.
 BATCH, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
 
@@ -38,11 +40,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/spotweave-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: evaluated once, lineage cut, safe against lost executors."""
+def written(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, of ``parts`` files at most if given: evaluated once, lineage cut, safe against lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    (df if parts is None else df.coalesce(parts)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -75,21 +77,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps; each step is two grouped
     minima (combined before the shuffle) and joins on slim rows, and its
-    result is checkpointed.  Nodes without an edge do not appear.
+    result is checkpointed, in as many files as its rows need.  Nodes without
+    an edge do not appear.
     """
     shared_dir(edges.sparkSession)
-    e = (
-        edges.where("u <> v")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct()
-        .checkpoint()
-    )
+    edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
+    parts = edges.count() // EDGES + 1
+    e = edges.distinct().coalesce(parts).checkpoint()
     before = None
     while True:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = large.distinct().checkpoint()
+        large = large.distinct().coalesce(parts).checkpoint()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         e = (
@@ -97,6 +97,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v")))
             .distinct()
+            .coalesce(parts)
             .checkpoint()
         )
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -43,6 +43,8 @@ SKETCH = 256
 MAX_LIGHT = 160
 #: Lists estimated longer than this are dealt over several tasks before they are scanned.
 LIST_ROWS = 16_000
+#: Pairs that a task verifies, about.
+PAIRS = 4096
 #: Pairs of one class that share a copy of its sketch and set.
 DEAL = 512
 #: What identifies the text of a row without a doc_id.
@@ -245,9 +247,10 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int,
     A class with more than DEAL pairs has a copy of its sketch and set for each DEAL of them, so its pairs
     spread over as many keys.
     """
+    parts = pairs.count() // PAIRS + 1
     ends = pairs.select(F.explode(F.array("u", "v")).alias("cls"))
     crowded = ends.groupBy("cls").agg(F.floor(F.count("*") / DEAL).cast("int").alias("more")).where("more > 0")
-    crowded = bounded(written(crowded, "crowded"))
+    crowded = bounded(written(crowded, "crowded", parts))
     copies = F.explode(F.sequence(F.lit(0), F.coalesce("more", F.lit(0)))).alias("copy")
 
     def dealt(rows: DataFrame, end: str, other: str) -> DataFrame:
@@ -276,9 +279,9 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int,
             yield batch.select(["u", "v"]).filter(pa.array(keep))
         tx.give_back()
 
-    pairs = written(both.select("u", "v", "nu", "nv", "su", "sv").mapInArrow(prune, "u long, v long"), "pairs")
+    pairs = written(both.select("u", "v", "nu", "nv", "su", "sv").mapInArrow(prune, "u long, v long"), "pairs", parts)
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
-    wanted = written(wanted.join(reps.select("cls", "doc_id", "tid"), "cls"), "wanted")
+    wanted = written(wanted.join(reps.select("cls", "doc_id", "tid"), "cls"), "wanted", parts)
     few = wanted.where("doc_id is not null").select("doc_id").distinct()
     bare = wanted.where("doc_id is null").select("tid").distinct()
 
@@ -311,7 +314,7 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int,
     # Row by row in the JVM: a batch of whole sets for Python would have no bound but its rows.
     same = F.size(F.array_intersect("ta", "tb")).cast("long")
     enough = den * same >= num * (F.size("ta") + F.size("tb") - same)
-    links = written(full.where(enough).select("u", "v").distinct(), "links")
+    links = written(full.where(enough).select("u", "v").distinct(), "links", parts)
     drop_written(crowded, pairs, wanted)
     return links
 
