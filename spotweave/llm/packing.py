@@ -45,10 +45,10 @@ from spotweave.llm.common import written
 from spotweave.llm.text import give_back, hashes, raw, text_slices, word_bounds
 
 CAPACITY, END_ID = 2048, 1
-#: Penalties in ids of padding; ids of which one sentence end is a candidate; the grid's step, and the gap between cuts from which it is used.
-SENTENCE, INSIDE, WINDOW, SPACING, GRID, GAP = 4.0, 24.0, 8.0, 16, 16, 48
+#: Penalties in ids of padding (of a cut at the end of a sentence, of one inside, of every window); ids of which one sentence end is a candidate; the grid's step, and the gap between cuts from which it is used.
+SENTENCE, INSIDE, WINDOW, SPACING, GRID, GAP = 4.0, 24.0, 48.0, 16, 16, 48
 #: Ids solved at once, ids of tails that a task packs, bytes of text tokenised at once, slots of the table of words as a power of two.
-STRETCH, TAIL_IDS, SLICE, TABLE_BITS = 1 << 18, 1 << 22, 1 << 19, 20
+STRETCH, TAIL_IDS, SLICE, TABLE_BITS = 1 << 18, 1 << 22, 1 << 18, 20
 PIECES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 TAIL = "struct<doc_id:array<bigint>,start:array<bigint>,length:array<bigint>,doc_tokens:array<bigint>,ids:binary>"
 
