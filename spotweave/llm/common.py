@@ -13,7 +13,7 @@ BROADCAST_ROWS = 500_000
 #: Edges of a graph in one partition, about.
 EDGES = 500_000
 #: Arrow batches for Python steps: Spark's default of 64 MB is held several times over in each task.  A session that sets it itself is left alone.
-BATCH, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+BATCH, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "2m"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -104,6 +104,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
+    drop_written(edges)
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v"), F.col("v")).distinct()
     )
