@@ -74,15 +74,25 @@ def search_block(q: np.ndarray, q_rows: np.ndarray, x: np.ndarray, rows: np.ndar
 def blocks(rows: DataFrame, size: int) -> DataFrame:
     """(first, rows, ids, data): runs of ``size`` rows sorted by (vec_id, row), with vertical data."""
 
+    def block(part):
+        ids, row, v = (np.concatenate(x) for x in zip(*part, strict=True))
+        order = np.lexsort((row, ids))
+        data = [row[order].astype(np.int64).tobytes(), ids[order].astype(np.int64).tobytes(), np.ascontiguousarray(v[order].T).tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array([int(row[0])], pa.int64()), *[pa.array([x], pa.binary()) for x in data]], ["first", "rows", "ids", "data"])
+
     def make(batches):
+        held, n = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, size):
-                part = batch.slice(at, size)
-                ids, row = part.column("vec_id").to_numpy(), part.column("row").to_numpy()
-                order = np.lexsort((row, ids))
-                v = matrix(part.column("v"))[order]
-                data = [row[order].astype(np.int64).tobytes(), ids[order].astype(np.int64).tobytes(), np.ascontiguousarray(v.T).tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([int(row[0])], pa.int64()), *[pa.array([x], pa.binary()) for x in data]], ["first", "rows", "ids", "data"])
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, size - n)
+                held.append((part.column("vec_id").to_numpy(), part.column("row").to_numpy(), matrix(part.column("v"))))
+                at, n = at + part.num_rows, n + part.num_rows
+                if n == size:
+                    yield block(held)
+                    held, n = [], 0
+        if held:
+            yield block(held)
 
     return rows.mapInArrow(make, "first long, rows binary, ids binary, data binary")
 
