@@ -29,6 +29,8 @@ WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 #: Rows of all sources that a bucket holds, about, and the fewest and most buckets.
 BUCKET_ROWS, FEWEST, MOST = 4096, 4096, 1 << 20
+#: Rows of the whole table for which a file of the sums, which have a row a source and bucket at most, is written.
+PART_ROWS = 1_000_000
 #: Characters a word that make a document's quality weight 1; it falls with the distance.
 WORD_CHARS = 6.0
 
@@ -100,12 +102,13 @@ def _mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, seed: int =
         .drop("chars", "weight")
     )
     rows = written(rows, "sizes")
-    buckets = min(MOST, max(FEWEST, rows.count() // BUCKET_ROWS))
+    n = rows.count()
+    buckets = min(MOST, max(FEWEST, n // BUCKET_ROWS))
     rows = rows.withColumn("bucket", F.floor(buckets * (1 - F.exp(-F.col("key") * 0.8))).cast("int"))
-    sums = written(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "bucket-sums")
+    sums = written(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "bucket-sums", n // PART_ROWS + 1)
     targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     plan = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
-    plan = written(plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "targets")
+    plan = written(plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "targets", n // PART_ROWS + 1)
     run = Window.partitionBy("source").orderBy("bucket")
     ends = (
         sums.withColumn("end", F.sum("words").over(run))
@@ -119,6 +122,7 @@ def _mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, seed: int =
             F.col("source").alias("s"), "source_size", "target", "epochs", "rest", F.coalesce("last.bucket", F.lit(buckets + 1)).alias("last"), F.coalesce("last.before", F.lit(0)).alias("before")
         ),
         "plan",
+        n // PART_ROWS + 1,
     )
     told = rows.join(bounded(plan), F.col("source").eqNullSafe(F.col("s")))
     edge = Window.partitionBy("source").orderBy("key", "doc_id", "size")
