@@ -52,6 +52,16 @@ k as (select *, concat(list_aggregate(list_reverse(string_split(regexp_extract(u
 select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest, case when best is null or page_id is not distinct from best then 'response' else 'revisit' end as record_type, case when page_id is distinct from best then best end as refers_to,
 url_key, stamp, cast(row_number() over (order by url_key, stamp, page_id) - 1 as bigint) as position from k"""
 
+FIM = r"""
+with t as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u, sha256(concat('1:', coalesce(cast(doc_id as varchar), ''))) as x from documents),
+c as (select *, len(u) as n, cast(concat('0x', x[1:8]) as bigint) % (len(u) + 1) as i, cast(concat('0x', x[9:16]) as bigint) % (len(u) + 1) as j,
+  cast(concat('0x', x[17:24]) as bigint) % 100 as r, cast(concat('0x', x[25:32]) as bigint) % 100 as s from t),
+l as (select *, coalesce(list_sum(list_transform(u[1:least(i, j)], lambda w: length(w))), 0) as p, coalesce(list_sum(list_transform(u[least(i, j) + 1:greatest(i, j)], lambda w: length(w))), 0) as m,
+  case when text = '' or regexp_matches(text, '<[PSM]>') or r >= 90 then 'plain' when s < 20 then 'spm' else 'psm' end as form from c),
+o as (select *, substr(text, 1, cast(p as bigint)) as a, substr(text, cast(p as bigint) + 1, cast(m as bigint)) as b, substr(text, cast(p + m as bigint) + 1) as z from l)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then cast(p as bigint) end as prefix_chars, case when form <> 'plain' then cast(m as bigint) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || a || '<S>' || z || '<M>' || b else '<S>' || z || '<P>' || a || '<M>' || b end) as output_sha256, sha256(text) as restored_sha256 from o"""
+
 
 def _spans(kind: str, pattern: str, keep: str = "true") -> str:
     p = "'" + pattern.replace("'", "''") + "'"
@@ -86,4 +96,4 @@ select t.doc_id, coalesce(b.a, 0) as n_assign, coalesce(b.k, 0) as n_access, coa
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_mix_sources": MIX, "op5_shard_splitters": SHARD, "op7_secret_scan": secret_sql(), "op8_top_products": TOP, "op9_warc_index": WARC}
+    return {"op2_mix_sources": MIX, "op5_shard_splitters": SHARD, "op7_secret_scan": secret_sql(), "op8_top_products": TOP, "op9_warc_index": WARC, "op11_fill_in_middle": FIM}

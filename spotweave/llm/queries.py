@@ -71,6 +71,12 @@ def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(table(spark, sf_dir, "embeddings"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spotweave.llm.fill_in_middle import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 
