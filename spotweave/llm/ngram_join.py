@@ -47,8 +47,8 @@ LIST_ROWS = 16_000
 PAIRS = 4096
 #: Pairs of one class that share a copy of its sketch and set.
 DEAL = 512
-#: What identifies the text of a row without a doc_id.
-TID = "case when doc_id is null then xxhash64(text) end"
+#: What tells rows of one doc_id, or without one, apart.
+TID = "xxhash64(text)"
 
 
 def _sets(slices, n):
@@ -98,7 +98,7 @@ def histogram(docs: DataFrame, n: int) -> np.ndarray:
 def shingle_classes(docs: DataFrame, n: int, num: int, den: int, total: np.ndarray, longer: np.ndarray, class_bits: int = 64) -> DataFrame:
     """(doc_id, tid, n, cls, cls2, cent, hot, keys, sketch): set size, class by two hashes, mean token rank, estimated list length, ordered prefix for k = 2.
 
-    ``tid`` is a hash of the text, which stands for the doc_id of a row that has none.
+    ``tid`` is a hash of the text, which tells rows of one doc_id apart and stands for the doc_id of a row that has none.
     """
     spark = docs.sparkSession
     mask = np.uint64(len(total) - 1)
@@ -319,10 +319,9 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, n: int, num: int,
     return links
 
 
-def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, class_bits: int = 64) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of ``docs``; see the module's text.
+def classes_and_components(docs: DataFrame, n: int, num: int, den: int, class_bits: int = 64) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three tables: each row's class (doc_id, tid, n, cls), the classes with a row that stands for each (cls, doc_id), and the components of linked classes (node, component).
 
-    Two documents link when den * |intersection| >= num * |union| of their n-word shingle sets.
     ``class_bits`` are those of a class's first hash that are used; fewer only make collisions, which a second hash tells apart.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -407,14 +406,19 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     # The first pass's components are stars already; only new links are added to them.
     stars, comps = comps, connected_components(more.union(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     drop_written(rest, pairs, left, more, stars)
+    return meta, reps, comps
 
-    lowest = (
-        reps.select("cls", "doc_id")
-        .join(comps.withColumnRenamed("node", "cls"), "cls")
-    )
+
+def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, class_bits: int = 64) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of ``docs``; see the module's text.
+
+    Two documents link when den * |intersection| >= num * |union| of their n-word shingle sets.
+    """
+    meta, reps, comps = classes_and_components(docs, n, num, den, class_bits)
+    lowest = reps.select("cls", "doc_id").join(comps.withColumnRenamed("node", "cls"), "cls")
     of_component = lowest.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = lowest.join(of_component, "component").select("cls", "component_id")
-    out = (
+    return (
         meta.select("doc_id", "n", "cls")
         .join(reps.select("cls", F.col("doc_id").alias("own")), "cls", "left")
         .join(named, "cls", "left")
@@ -424,21 +428,29 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
             F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component_id", "own")).alias("component_id"),
         )
     )
-    return out
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id.
+    """``docs`` with one row of each component: the one with the smallest doc_id, a row without a doc_id only where none has one.
 
-    Rows that share a doc_id are one document, of which the row with the least
-    text stays; rows without a doc_id stay.
+    Rows are told apart by doc_id and text, so rows of one doc_id stay or go each by its own component; of rows of one doc_id
+    in one component, the one with the least hash of its text stays.  Of rows with the same doc_id and the same text one stays,
+    the least by its other columns.  A text without words is linked with nothing, so it stays.
     """
-    found = ngram_jaccard_join(docs, n, num, den)
+    meta, _, comps = classes_and_components(docs, n, num, den)
     rows = unused(docs, "rows")
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias(rows))
-    kept = bounded(written(kept, "kept"))
-    joined = docs.join(kept, "doc_id", "left").where(F.col(rows).isNotNull() | F.col("doc_id").isNull())
-    once = joined.where(F.col("doc_id").isNull() | (F.col(rows) == 1)).select([F.col(f"`{c}`") for c in docs.columns])
-    others = [c for c in docs.columns if c != "doc_id"]
-    least = joined.where(F.col(rows) > 1).groupBy("doc_id").agg(F.min(F.struct("text", *[F.col(f"`{c}`") for c in others if c != "text"])).alias(rows))
-    return once.unionByName(least.select("doc_id", *[F.col(f"`{rows}`.`{c}`").alias(c) for c in others]))
+    counted = meta.groupBy("cls", (F.col("n") > 0).alias("some"), F.col("doc_id").isNull().alias("none"), "doc_id", "tid").agg(F.count("*").alias(rows))
+    grouped = counted.where("some").join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    first = grouped.groupBy("component").agg(F.min(F.struct("none", "doc_id", "tid", rows)).alias("r")).select("r.doc_id", "r.tid", f"r.{rows}")
+    kept = first.unionByName(counted.where("not some").select("doc_id", "tid", rows))
+    own, tid = unused(docs, "id"), unused(docs, "tid")
+    kept = bounded(written(kept.select(F.col("doc_id").alias(own), F.col("tid").alias(tid), rows), "kept"))
+    d, k = docs.alias("d"), kept.alias("k")
+    on = F.col("d.doc_id").cast("long").eqNullSafe(F.col(f"k.{own}")) & (F.xxhash64(F.col("d.text").cast("string")) == F.col(f"k.{tid}"))
+    joined = d.join(k, on).select("d.*", own, tid, rows)
+    once = joined.where(F.col(rows) == 1).select([F.col(f"`{c}`") for c in docs.columns])
+    # Columns that can't be put in order, such as maps, follow the least text of those that can.
+    order = [F.col(f"`{f.name}`") for f in docs.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant", "interval"))]
+    every = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    least = joined.where(F.col(rows) > 1).groupBy(own, tid).agg(F.min_by(every, F.struct(*order)).alias(rows))
+    return once.unionByName(least.select(*[F.col(f"`{rows}`.c{i}").alias(c) for i, c in enumerate(docs.columns)]))

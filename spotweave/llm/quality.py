@@ -93,7 +93,7 @@ def statistics(col: pa.Array) -> np.ndarray:
 
 
 def document_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, stats array<float>) for each row."""
+    """(doc_id, tid, stats array<float>) for each row; ``tid`` is a hash of the text, which tells rows of one doc_id apart."""
 
     def make(batches):
         for batch in tx.text_slices(batches, "text"):
@@ -101,9 +101,9 @@ def document_statistics(docs: DataFrame) -> DataFrame:
             stats = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, x.size + 1, len(NAMES), dtype=np.int32)), pa.array(x.ravel())
             )
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), stats], ["doc_id", "stats"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("tid"), stats], ["doc_id", "tid", "stats"])
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, stats array<float>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("tid")).mapInArrow(make, "doc_id long, tid long, stats array<float>")
 
 
 @dataclass
@@ -212,8 +212,8 @@ def remainder(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5, F.lit(1)).cast("int")
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row of ``docs``; learns only from rows that aren't held out."""
+def _scored(docs: DataFrame, labels: DataFrame, reject_below: float) -> DataFrame:
+    """(doc_id, tid, held_out, score, predicted) for each row of ``docs``."""
     stats = written(document_statistics(docs), "statistics")
     y = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("double").alias("y"))
     rows = stats.join(y, "doc_id").withColumn("part", remainder(F.col("doc_id"))).where("part <> 0")
@@ -227,18 +227,28 @@ def score_documents(docs: DataFrame, labels: DataFrame, reject_below: float = RE
             stats = batch.column("stats")
             x = stats.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(NAMES))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(model.score(x))], ["doc_id", "held_out", "score"]
+                [*(batch.column(c) for c in ("doc_id", "tid", "held_out")), pa.array(model.score(x))], ["doc_id", "tid", "held_out", "score"]
             )
 
     return (
         stats.withColumn("held_out", remainder(F.col("doc_id")) == 0)
-        .select("doc_id", "held_out", "stats")
-        .mapInArrow(predict, "doc_id long, held_out boolean, score double")
+        .select("doc_id", "tid", "held_out", "stats")
+        .mapInArrow(predict, "doc_id long, tid long, held_out boolean, score double")
         .withColumn("predicted", (F.col("score") >= reject_below).cast("int"))
     )
 
 
+def score_documents(docs: DataFrame, labels: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for each row of ``docs``; learns only from rows that aren't held out."""
+    return _scored(docs, labels, reject_below).drop("tid")
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
-    """``docs`` without the documents that the classifier rejects; rows with a null doc_id are kept."""
-    bad = score_documents(docs, labels, reject_below).where("predicted = 0").select("doc_id").distinct()
-    return docs.join(bounded(written(bad, "rejected")), "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rows that the classifier rejects.
+
+    Rows are told apart by doc_id and text: each goes or stays by its own text, whatever others share its doc_id or lack one.
+    """
+    bad = _scored(docs, labels, reject_below).where("predicted = 0").select(F.col("doc_id").alias("bad_id"), F.col("tid").alias("bad_tid")).distinct()
+    d, b = docs.alias("d"), bounded(written(bad, "rejected")).alias("b")
+    on = F.col("d.doc_id").cast("long").eqNullSafe(F.col("b.bad_id")) & (F.xxhash64("d.text") == F.col("b.bad_tid"))
+    return d.join(b, on, "left_anti").select([F.col(f"d.`{c}`") for c in docs.columns])

@@ -135,4 +135,38 @@ def test_rows_without_an_id_link_by_their_text(spark):
     want = [(None, 56, 7), (7, 56, 7), (8, 56, 7), (9, 56, 7), (None, 56, 3), (None, 56, 3), (None, 56, 3), (3, 57, 3), (None, 56, None), (None, 57, None), (None, 0, None)]
     assert found == sorted(want, key=repr)
     kept = sorted(map(tuple, ngram_join.one_of_each(df).collect()), key=repr)
-    assert kept == sorted([r for r in rows if r[0] in (None, 3, 7)], key=repr)
+    least = [[r for r in kept if r[0] is None and r[1]]]
+    assert len(least[0]) == 1 and least[0][0][1] in (lone[1], lone[1] + " more")
+    assert kept == sorted([(7, text), (3, lone[0] + " more"), (None, None), *least[0]], key=repr)
+
+
+def test_rows_of_one_id_stay_by_their_own_text(spark):
+    a, b = (" ".join(f"{k}{i}" for i in range(60)) for k in "ab")
+    rows = [(3, b, "x"), (5, a, "x"), (5, b + " more", "x"), (6, "c d e f g h", "z"), (6, "c d e f g h", "y"), (6, "other words stand in here", "x"), (7, "", "x"), (7, "", "x"), (7, None, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `_rows` string").repartition(3)
+    want = [rows[0], rows[1], rows[4], rows[5], rows[6], rows[8]]
+    assert sorted(map(tuple, ngram_join.one_of_each(df).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_stage_against_brute_force(spark):
+    rows = corpus(11)
+    r = random.Random(2)
+    rows = [(r.choice([d, d // 3, None]), t) for d, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = list(map(tuple, ngram_join.one_of_each(df).collect()))
+    # With ids of their own, the rows' components are those of their texts.
+    texts = sorted({t for _, t in rows if t is not None})
+    group = {texts[i]: c for i, _, c in brute(list(enumerate(texts)))}
+    empty = lambda t: not (t or "").split()
+    want_groups = {}
+    for d, t in rows:
+        if not empty(t):
+            want_groups.setdefault(group[t], []).append(d)
+    got_groups = {}
+    for d, t in kept:
+        if not empty(t):
+            assert (d, t) in rows
+            got_groups.setdefault(group[t], []).append(d)
+    least = {g: min((d for d in ids if d is not None), default=None) for g, ids in want_groups.items()}
+    assert got_groups == {g: [d] for g, d in least.items()}
+    assert sorted([x for x in kept if empty(x[1])], key=repr) == sorted({x for x in rows if empty(x[1])}, key=repr)

@@ -109,6 +109,22 @@ def test_scores_against_a_dense_fit(spark):
     assert ((scores > 0.5) == (y[part == 4] == 1)).mean() > 0.7 and scores.min() >= 0 and scores.max() <= 1
 
 
+def test_rows_of_one_id_go_by_their_own_text(spark):
+    r = random.Random(2)
+    rows, labels = [], []
+    for i in range(300):
+        w = r.choices("the quick orange of and sentence tion".split(), k=40)
+        rows.append((i, " ".join(x + "###" for x in w) if i % 3 == 0 else " ".join(w) + "."))
+        labels.append((i, int(i % 3 != 0)))
+    good, bad = rows[1][1], rows[0][1]
+    shared = [(900, good), (900, bad), (None, good), (None, bad), (901, bad), (901, bad)]
+    docs, marks = documents(spark, rows + shared), spark.createDataFrame(labels, "doc_id long, quality int")
+    left = quality.keep_good(docs, marks)
+    kept = {(x["doc_id"], x["text"]) for x in left.collect()}
+    assert {x for x in kept if x[0] in (900, 901, None)} == {(900, good), (None, good)}
+    assert left.columns == docs.columns and kept == {x for x in rows if x[0] % 3} | {(900, good), (None, good)}
+
+
 def test_classifier_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in quality.score_documents(documents(spark, ODD), none).collect()} == {0.5}
@@ -260,11 +276,41 @@ def test_top_products_against_brute_force(spark):
 
 
 def test_top_products_of_huge_components():
-    x = topk.quantised(np.array([[2.0**30, 1.0], [2.0**30, -1.0], [1.0, 1.0]]))
+    x = topk.whole(np.floor(256 * np.array([[2.0**30, 1.0], [2.0**30, -1.0], [1.0, 1.0]])))
     got = topk.search_block(x[:1], np.array([0]), x.T, np.arange(3), 5)
     assert got == [(0, 1, (2**38) ** 2 - 2**16), (0, 2, 2**46 + 2**16)]
 
 
+@pytest.mark.parametrize("dims", [512, 1024])
+def test_products_of_many_large_components(spark, dims):
+    r = np.random.default_rng(dims)
+    x = r.uniform(-30_000, 30_000, (120, dims)).astype(np.float32)
+    got = {(g["query_id"], g["rank"]): (g["vec_id"], g["score"]) for g in topk.top_products(vectors(spark, x, [])).collect()}
+    q = [[int(np.floor(256 * float(c))) for c in row] for row in x]
+    for i in (0, 50, 100):
+        scores = sorted((-sum(a * b for a, b in zip(q[i], q[j], strict=True)), j) for j in range(120) if j != i)[:5]
+        assert [got[i, n + 1] for n in range(5)] == [(j, -s) for s, j in scores]
+
+
+def test_a_score_that_fits_no_long_is_an_error(spark):
+    with pytest.raises(Exception, match="(?i)overflow|out of bounds|too large|too big"):
+        topk.top_products(vectors(spark, np.full((2, 1024), 500_000.0), [])).collect()
+
+
+def test_best_scores_go_from_block_to_block():
+    r = np.random.default_rng(4)
+    x = r.integers(-300, 300, (900, 48))
+    q, rows = x[:7], np.arange(900)
+    best = np.full((7, 5), -np.inf)
+    found = [[] for _ in range(7)]
+    for at in range(0, 900, 100):
+        for i, j, s in topk.search_block(q, rows[:7], np.ascontiguousarray(x[at : at + 100].T), rows[at : at + 100], 5, best):
+            found[i].append((-s, at + j))
+    for i in range(7):
+        want = sorted((-int(q[i] @ x[j]), j) for j in range(900) if j != i)[:5]
+        assert sorted(found[i])[:5] == want
+
+
 def test_top_products_of_nothing(spark):
     assert topk.top_products(vectors(spark, [], BROKEN[:1])).count() == 0
     assert [tuple(r) for r in topk.top_products(vectors(spark, [], [(50, []), (1, [])])).collect()] == [(50, 1, 1, 0)]
