@@ -22,6 +22,8 @@ _MARKS = [c for c in range(33, 127) if not chr(c).isalnum()]
 CLASSES[_MARKS] = np.arange(31, 31 + len(_MARKS))
 N_CLASSES = 31 + len(_MARKS)
 NEVER = -1e4
+#: Numbers that stand for a class.
+DEPTH = 8
 
 
 def classes(text: str) -> np.ndarray:
@@ -35,14 +37,15 @@ def _squash(x: np.ndarray) -> np.ndarray:
 
 
 class Tagger:
-    """Weights: ``table`` (direction, class, 4 gates of ``hidden``), ``loop``, ``out``, ``bias`` and ``trans`` (from, to)."""
+    """Weights: ``chars`` (class, DEPTH), ``inp`` (direction, DEPTH and a constant, 4 gates of ``hidden``), ``loop``, ``out``, ``bias`` and ``trans`` (from, to)."""
 
     def __init__(self, kinds: int, hidden: int = 8, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.kinds, self.hidden, self.tags = kinds, hidden, 2 * kinds + 1
         f = np.float32
-        self.table = (rng.normal(size=(2, N_CLASSES, 4 * hidden)) * 0.5).astype(f)
-        self.table[:, :, hidden : 2 * hidden] += 1  # states last at first
+        self.chars = rng.normal(size=(N_CLASSES, DEPTH)).astype(f)
+        self.inp = (rng.normal(size=(2, DEPTH + 1, 4 * hidden)) / np.sqrt(DEPTH)).astype(f)
+        self.inp[:, DEPTH, hidden : 2 * hidden] += 1  # states last at first
         self.loop = (rng.normal(size=(2, hidden, 4 * hidden)) / np.sqrt(hidden)).astype(f)
         self.out = (rng.normal(size=(2, hidden, self.tags)) / np.sqrt(hidden)).astype(f)
         self.bias = np.zeros(self.tags, f)
@@ -53,46 +56,58 @@ class Tagger:
             self.allowed[[2 * k + 1, 2 * k + 2], 2 * k + 2] = True
 
     def weights(self) -> list[np.ndarray]:
-        return [self.table, self.loop, self.out, self.bias, self.trans]
+        return [self.chars, self.inp, self.loop, self.out, self.bias, self.trans]
 
     def moves(self) -> np.ndarray:
         return np.where(self.allowed, self.trans, np.float32(NEVER))
 
+    def _inputs(self, x: np.ndarray) -> np.ndarray:
+        """(position, DEPTH and two, window): the numbers of each class, a constant, and a mark of padding."""
+        every = np.zeros((N_CLASSES, DEPTH + 2), np.float32)
+        every[:, :DEPTH], every[:, DEPTH] = self.chars, 1
+        every[PAD] = np.arange(DEPTH + 2) == DEPTH + 1
+        return np.ascontiguousarray(every[x.T].transpose(0, 2, 1))
+
+    def _mixed(self) -> np.ndarray:
+        """(direction, 4 gates, inputs and hidden states).  Padding shuts the gates of input and memory: behind it a direction starts anew, however long it is."""
+        shut = np.zeros((2, 1, 4 * self.hidden), np.float32)
+        shut[:, :, : 2 * self.hidden] = -1e30
+        return np.ascontiguousarray(np.concatenate((self.inp, shut, self.loop), 1).transpose(0, 2, 1))
+
     def states(self, x: np.ndarray, keep: bool = False):
         """Hidden states (direction, position, hidden, window), each direction in its own order; ``keep`` adds gates and cells."""
         n, length = x.shape
         h = self.hidden
-        both = np.ascontiguousarray(np.stack((x, x[:, ::-1])).transpose(0, 2, 1)).astype(np.intp)
-        table = np.ascontiguousarray(self.table.transpose(0, 2, 1))
-        loop = np.ascontiguousarray(self.loop.transpose(0, 2, 1))
+        inputs, mixed = self._inputs(x), self._mixed()
         all_h = np.empty((2, length, h, n), np.float32)
-        hid = np.zeros((2, h, n), np.float32)
+        both = np.zeros((2, DEPTH + 2 + h, n), np.float32)
+        hid = both[:, DEPTH + 2 :]
         cell = np.zeros((2, h, n), np.float32)
-        gates, size, own = (np.empty((2, 4 * h, n), np.float32) for _ in range(3))
+        gates, size = np.empty((2, 4 * h, n), np.float32), np.empty((2, 4 * h, n), np.float32)
         flat, more = np.empty((2, h, n), np.float32), np.empty((2, h, n), np.float32)
         kept = [] if keep else None
         for t in range(length):
-            np.matmul(loop, hid, out=gates)
-            for k in range(2):
-                np.take(table[k], both[k, t], 1, out=own[k], mode="clip")
-            gates += own
+            both[0, : DEPTH + 2], both[1, : DEPTH + 2] = inputs[t], inputs[length - 1 - t]
+            np.matmul(mixed, both, out=gates)
             np.abs(gates, out=size)
             size += 1
             gates /= size
-            part = gates[:, : 3 * h]
-            part *= 0.5
-            part += 0.5
+            # The gates are (1 + y) / 2 of these y; the halves are taken once, on the products.
+            gates[:, : 3 * h] += 1
             if keep:
                 kept.append([gates.copy(), cell.copy()])
             cell *= gates[:, h : 2 * h]
             np.multiply(gates[:, :h], gates[:, 3 * h :], out=more)
             cell += more
+            cell *= 0.5
             np.abs(cell, out=flat)
             flat += 1
             np.divide(cell, flat, out=flat)
             np.multiply(gates[:, 2 * h : 3 * h], flat, out=hid)
+            hid *= 0.5
             all_h[:, t] = hid
             if keep:
+                kept[-1][0][:, : 3 * h] *= 0.5
                 kept[-1].append(flat.copy())
         return (all_h, kept) if keep else all_h
 
@@ -244,13 +259,16 @@ class Tagger:
             next_c = d_cell * gates[:, h : 2 * h]
             next_h = self.loop @ d
         d_loop = np.stack([np.matmul(all_h[k, :-1], d_gates[1:, k].transpose(0, 2, 1)).sum(0) for k in range(2)])
-        d_table = np.zeros_like(self.table)
-        for k, own in enumerate((x, x[:, ::-1])):
-            flat = d_gates[:, k].transpose(0, 2, 1).reshape(-1, 4 * h)
-            order = np.argsort(own.T.reshape(-1), kind="stable")
-            which, first = np.unique(own.T.reshape(-1)[order], return_index=True)
-            d_table[k, which] = np.add.reduceat(flat[order], first)
-        return float(total - gold) / n, [d_table, d_loop, d_out, de.sum((0, 2)), d_trans.astype(np.float32)]
+        inputs = self._inputs(x)
+        d_inp = np.stack([np.matmul(own[:, : DEPTH + 1], d_gates[:, k].transpose(0, 2, 1)).sum(0) for k, own in enumerate((inputs, inputs[::-1]))])
+        d_chars = np.zeros_like(self.chars)
+        own = (self.inp[0, :DEPTH] @ d_gates[:, 0] + (self.inp[1, :DEPTH] @ d_gates[:, 1])[::-1]).transpose(0, 2, 1).reshape(-1, DEPTH)
+        at = x.T.reshape(-1)
+        order = np.argsort(at, kind="stable")
+        which, first = np.unique(at[order], return_index=True)
+        d_chars[which] = np.add.reduceat(own[order], first)
+        d_chars[PAD] = 0
+        return float(total - gold) / n, [d_chars, d_inp, d_loop, d_out, de.sum((0, 2)), d_trans.astype(np.float32)]
 
 
 def train(model: Tagger, x: np.ndarray, y: np.ndarray, steps: int, batch: int, rate: float = 0.02, seed: int = 3) -> Tagger:
