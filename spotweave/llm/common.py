@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 #: Edges of a graph in one partition, about.
 EDGES = 500_000
+#: Neighbours of a node from which its smallest one is broadcast, not shuffled to all its edges in one task.
+HUB = 1_000_000
 #: Arrow batches for Python steps: Spark's default of 64 MB is held several times over in each task.  A session that sets it itself is left alone.
 BATCH, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "2m"
 
@@ -72,6 +74,17 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def _beside_smallest(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """Edges (u, v) with ``m``, the smallest neighbour of u; those of hubs stay where they are, as the hubs, at most edges / HUB of them, are sent to them."""
+    hubs = written(low.where(F.col("n") >= HUB).select("u", F.col("m").alias("hub")), "hubs", 1)
+    if hubs.isEmpty():
+        drop_written(hubs)
+        return edges.join(low.drop("n"), "u")
+    known = edges.join(bounded(hubs), "u", "left")
+    rest = known.where("hub is null").drop("hub").join(low.drop("n"), "u")
+    return known.where("hub is not null").withColumnRenamed("hub", "m").unionByName(rest)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph given as rows (u, v): returns (node, component), the smallest node of each.
 
@@ -82,13 +95,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     shared_dir(edges.sparkSession)
     edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
-    parts = edges.count() // EDGES + 1
+    count = edges.count()
+    parts = count // EDGES + 1
     e = edges.distinct().coalesce(parts).checkpoint()
     before = None
     while True:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        up = both.where("v > u")
+        # No step makes more edges, so where there are fewer than a hub's there is none.
+        met = up.join(low.drop("n"), "u") if count < HUB else _beside_smallest(up, low)
+        large = met.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         large = large.distinct().coalesce(parts).checkpoint()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import written
+from spotweave.llm.common import bounded, written
 from spotweave.llm.vectors import matrix, valid
 
 #: Rows of a cell, about, which give the number of centroids of a half, within bounds; rows that train them at most, rounds of k-means.
@@ -106,6 +106,28 @@ def measured_probe(u: np.ndarray, left: np.ndarray, right: np.ndarray, k: int, r
     return float(np.quantile(seen, recall)) / len(u) if len(u) > k else 1.0
 
 
+def query_blocks(queries: DataFrame, blocks: int):
+    """The block of each query: those of one first half, or of neighbouring numbers of it, lie together, GROUP_QUERIES in a block, about."""
+    if blocks == 1:
+        return F.lit(0)
+    counts = {r["c1"]: r["count"] for r in queries.groupBy("c1").count().collect()}
+    many = np.array([counts.get(c, 0) for c in range(max(counts) + 1)])
+    start = np.cumsum(many) - many
+    at = lambda x: F.element_at(F.array(*[F.lit(int(v)) for v in x]), F.col("c1") + 1)
+    # A crowded first half reaches over several blocks; which one is drawn by a hash.
+    u = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) / float(1 << 20)
+    return F.least(F.floor((at(start) + u * at(many)) * blocks / int(many.sum())), F.lit(blocks - 1)).cast("int")
+
+
+def entries_by_block(index: DataFrame, walks: DataFrame | None, split) -> DataFrame:
+    """``index`` with ``part`` and ``block``: each entry once for every block of queries that visits its first half; without ``walks`` there is one block."""
+    own = index.withColumn("part", F.pmod(F.xxhash64("row"), split).cast("int"))
+    if walks is None:
+        return own.withColumn("block", F.lit(0))
+    visited = written(walks.select("c1", "block").distinct(), "visited")
+    return own.join(bounded(visited), "c1").select(*own.columns, "block")
+
+
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probe: float | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by ``every``, its k nearest others by cosine.
 
@@ -158,19 +180,19 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probe: float | None
                 continue
             a, b = halves(batch.column("v"))
             d1, d2 = distances(a, left), distances(b, right)
-            rows_, ids = batch.column("row").to_pylist(), batch.column("vec_id").to_pylist()
+            rows_, ids, block = (batch.column(c).to_pylist() for c in ("row", "vec_id", "block"))
             out = []
 
             def emit(out):
-                r, q, v, c, visit = zip(*out, strict=True)
-                return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(q, pa.int64()), pa.array(v, pa.binary()), pa.array(c, pa.int32()), pa.array(visit, pa.list_(pa.int32()))], ["q_row", "query_id", "q", "c1", "visit"])
+                r, q, v, block, c, visit = zip(*out, strict=True)
+                return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(q, pa.int64()), pa.array(v, pa.binary()), pa.array(block, pa.int32()), pa.array(c, pa.int32()), pa.array(visit, pa.list_(pa.int32()))], ["q_row", "query_id", "q", "block", "c1", "visit"])
 
             for i in range(batch.num_rows):
                 visit: dict[int, list[int]] = {}
                 for one, two in multi_sequence(d1[i], d2[i], cells.value, want):
                     visit.setdefault(one, []).append(two)
                 v = batch.column("v")[i].as_py()
-                out += [(rows_[i], ids[i], v, one, twos) for one, twos in visit.items()]
+                out += [(rows_[i], ids[i], v, block[i], one, twos) for one, twos in visit.items()]
                 if len(out) >= 2000:
                     yield emit(out)
                     out = []
@@ -179,11 +201,14 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probe: float | None
 
     split = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("c1") + 1)
     walks = (
-        queries.select("row", "vec_id", "v").repartition("row").mapInArrow(walk, "q_row long, query_id long, q binary, c1 int, visit array<int>")
+        queries.withColumn("block", query_blocks(queries, blocks)).select("row", "vec_id", "v", "block").repartition("row")
+        .mapInArrow(walk, "q_row long, query_id long, q binary, block int, c1 int, visit array<int>")
         .withColumn("part", F.explode(F.sequence(F.lit(0), split - 1)))
-        .withColumn("block", F.pmod(F.xxhash64("q_row"), F.lit(blocks)).cast("int"))
     )
-    entries = index.withColumn("part", F.pmod(F.xxhash64("row"), split).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    if blocks > 1:
+        # Walked once: which first halves a block of queries visits is needed before entries go to it.
+        walks = written(walks, "walks")
+    entries = entries_by_block(index, walks if blocks > 1 else None, split)
 
     def rerank(queries, own):
         found = []

@@ -41,8 +41,8 @@ BUCKET_BITS = 18
 SKETCH = 256
 #: Sizes above this are heavy in any case.
 MAX_LIGHT = 160
-#: Lists estimated longer than this are dealt over several tasks before they are scanned.
-LIST_ROWS = 16_000
+#: Lists estimated longer than this are dealt over several tasks before they are scanned; of so many classes one is looked at for the estimate.
+LIST_ROWS, SEEN = 16_000, 64
 #: Pairs that a task verifies, about.
 PAIRS = 4096
 #: Pairs of one class that share a copy of its sketch and set.
@@ -167,20 +167,15 @@ def choose_boundary(by_size, num: int, den: int) -> int:
     return best[1]
 
 
-def postings(classes: DataFrame, boundary: int, num: int, den: int, longer: np.ndarray) -> DataFrame:
-    """(key, cls, info, deal, cent): a row for each 2-subset of a light prefix and each token of a scanned one.
+def postings(classes: DataFrame, boundary: int, num: int, den: int) -> DataFrame:
+    """(key, cls, info, cent): a row for each 2-subset of a light prefix and each token of a scanned one.
 
-    ``info`` is size << 32 | position << 1 | (k - 1).  A list is dealt over several tasks where ``longer``,
-    the rows a bucket holds beyond what most buckets hold, says so: ``deal`` is parts << 32 | the row's part.
+    ``info`` is size << 32 | position << 1 | (k - 1).
     """
     pairs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     lowest = need_own(boundary + 1, num, den)
-    spark = classes.sparkSession
-    shared = spark.sparkContext.broadcast((longer // LIST_ROWS + 1).astype(np.int32))
 
     def make(batches):
-        dealt = shared.value
-        mask = np.uint64(len(dealt) - 1)
         for whole in batches:
             for at in range(0, whole.num_rows, 200):
                 batch = whole.slice(at, 200)
@@ -190,12 +185,11 @@ def postings(classes: DataFrame, boundary: int, num: int, den: int, longer: np.n
                 col = batch.column("keys")
                 off = col.offsets.to_numpy()
                 flat = col.values.to_numpy().view(np.uint64)
-                key, info, row, parts = [], [], [], []
+                key, info, row = [], [], []
                 for i in range(len(size)):
                     n, own = int(size[i]), flat[off[i] : off[i + 1]]
                     if n == 0:
                         continue
-                    rows = dealt[(own & mask).astype(np.int64)]
                     if 2 <= n <= boundary:
                         if len(own) not in pairs:
                             pairs[len(own)] = np.triu_indices(len(own), 1)
@@ -203,30 +197,41 @@ def postings(classes: DataFrame, boundary: int, num: int, den: int, longer: np.n
                         key.append(tx.mix(own[a] * np.uint64(3) + tx.mix(own[b])))
                         info.append(n << 32 | b << 1 | 1)
                         row.append(np.full(len(a), i))
-                        parts.append(np.minimum(rows[a], rows[b]))
                     if n > boundary or n >= lowest:
                         p = n - need_own(n, num, den) + 1
                         key.append(own[:p])
                         info.append(n << 32 | np.arange(p) << 1)
                         row.append(np.full(p, i))
-                        parts.append(rows[:p])
                 if not key:
                     continue
-                row, parts = np.concatenate(row), np.concatenate(parts).astype(np.int64)
-                part = (cls[row] & 0x7FFFFFFF) % parts
+                row = np.concatenate(row)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(key).view(np.int64)),
-                        pa.array(cls[row]),
-                        pa.array(np.concatenate(info).astype(np.int64)),
-                        pa.array(parts << 32 | part),
-                        pa.array(cent[row].astype(np.float32)),
-                    ],
-                    ["key", "cls", "info", "deal", "cent"],
+                    [pa.array(np.concatenate(key).view(np.int64)), pa.array(cls[row]), pa.array(np.concatenate(info).astype(np.int64)), pa.array(cent[row].astype(np.float32))],
+                    ["key", "cls", "info", "cent"],
                 )
         tx.give_back()
 
-    return classes.select("cls", "n", "cent", "keys").mapInArrow(make, "key long, cls long, info long, deal long, cent float")
+    return classes.select("cls", "n", "cent", "keys").mapInArrow(make, "key long, cls long, info long, cent float")
+
+
+def dealt_postings(classes: DataFrame, many: int, boundary: int, num: int, den: int) -> DataFrame:
+    """:func:`postings` with ``deal``: a list of more than about LIST_ROWS rows is dealt over several tasks; ``deal`` is parts << 32 | the row's part.
+
+    Which lists are that long is seen in one of SEEN classes, by a hash: a list of LIST_ROWS rows is missed with a chance far below one
+    in a million, whatever the corpus holds, and missing one costs time alone.  There are at most rows / LIST_ROWS of them, about.
+    """
+    whole = F.lit(1 << 32).cast("long")
+    if many <= LIST_ROWS:  # no list is longer than the ``many`` classes
+        return postings(classes, boundary, num, den).withColumn("deal", whole)
+    seen = postings(classes.where(F.pmod(F.xxhash64("cls"), F.lit(SEEN)) == 0), boundary, num, den)
+    long = seen.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") * SEEN > LIST_ROWS / 2)
+    long = written(long.select("key", (F.floor(F.col("n") * SEEN / LIST_ROWS) + 1).alias("parts")).where("parts > 1"), "long-lists", 1)
+    posts = postings(classes, boundary, num, den)
+    if long.isEmpty():
+        return posts.withColumn("deal", whole)
+    parts = F.coalesce("parts", F.lit(1)).cast("long")
+    part = F.pmod(F.col("cls").bitwiseAND(0x7FFFFFFF), parts)
+    return posts.join(bounded(long), "key", "left").withColumn("deal", F.shiftleft(parts, 32).bitwiseOR(part)).drop("parts")
 
 
 def _possible(a: str, b: str, num: int, den: int):
@@ -353,7 +358,7 @@ def classes_and_components(docs: DataFrame, n: int, num: int, den: int, class_bi
     for c in ("doc_id", "tid"):
         same &= F.col(f"m.{c}").eqNullSafe(F.col(f"r.{c}"))
     one = m.join(r, same, "left_semi").dropDuplicates(["cls", "doc_id"])
-    posts = postings(one, boundary, num, den, longer)
+    posts = dealt_postings(one, sum(r["c"] for r in by_size), boundary, num, den)
 
     near = Window.partitionBy("key", "deal").orderBy(F.desc("cent"), "cls")
     member = F.struct("cls", "info")

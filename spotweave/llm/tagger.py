@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Tags: 0 is outside; kind k begins with 2k + 1 and goes on with 2k + 2.
+#: Tags: 0 is outside; kind k begins with 2k + 1, after a place outside, and goes on with 2k + 2.
 OUTSIDE = 0
 #: Letters apart from case, one class each for digits, other letters, line ends, other gaps and the padding; other ASCII by itself.
 PAD, OTHER = 0, 1
@@ -53,6 +53,7 @@ class Tagger:
         self.allowed = np.ones((self.tags, self.tags), bool)
         for k in range(kinds):
             self.allowed[:, 2 * k + 2] = False
+            self.allowed[1:, 2 * k + 1] = False
             self.allowed[[2 * k + 1, 2 * k + 2], 2 * k + 2] = True
 
     def weights(self) -> list[np.ndarray]:
@@ -127,15 +128,15 @@ class Tagger:
     def _open(self, e: np.ndarray, moves: np.ndarray) -> np.ndarray:
         """(position, window): places that a best path may tag.
 
-        On a best path no span can gain by staying outside instead, whatever its neighbours are.  So only places
-        in some span count, of any one kind, that is worth more than that with the best neighbours it could have.
+        On a best path no span can gain by staying outside instead.  So only places in some span count, of any
+        one kind, that is worth more than that.
         """
         begin = np.arange(1, self.tags, 2)
         out = e[:, OUTSIDE][:, None]
-        enter = (moves[:, begin] - moves[:, [OUTSIDE]]).max(0)
-        on = np.maximum(moves[begin, begin + 1], moves[begin + 1, begin + 1]) - moves[OUTSIDE, OUTSIDE]
-        after = [OUTSIDE, *begin]
-        leave = np.maximum((moves[begin][:, after] - moves[OUTSIDE, after]).max(1), (moves[begin + 1][:, after] - moves[OUTSIDE, after]).max(1))
+        stay = moves[OUTSIDE, OUTSIDE]
+        enter = moves[OUTSIDE, begin] - stay
+        on = np.maximum(moves[begin, begin + 1], moves[begin + 1, begin + 1]) - stay
+        leave = np.maximum(moves[begin, OUTSIDE], moves[begin + 1, OUTSIDE]) - stay
         first = e[:, begin] - out + enter[:, None]
         more = e[:, begin + 1] - out + on[:, None]
         # A window may start inside a span.

@@ -47,6 +47,17 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def keep_freed() -> None:
+    """Have the allocator keep freed arrays for the next ones: returned to the system, each would be mapped and cleared anew.  Up to :func:`give_back`."""
+    try:
+        libc = ctypes.CDLL(None)
+        # Fixed numbers of the two thresholds: above which memory is mapped, and returned.
+        libc.mallopt(-3, 1 << 30)
+        libc.mallopt(-1, 1 << 30)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def give_back() -> None:
     """Return freed memory to the system: Python workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

@@ -4,14 +4,18 @@ Writing: one WARC/1.1 record a page.  Pages with equal payloads (SHA-1) form a
 group; its largest page_id is a response, the others are revisits without
 payload.  A record is one string, so Spark's text writer, with the blank lines
 that end a record as its line separator, writes real gzip WARC files to any
-shared store.  Files hold a bounded number of records.
+shared store.  Files hold a bounded number of records, fewer where pages are long.
 
 Reading: each archive is inflated as a stream, of one gzip member or of many
-(a member a record is usual elsewhere), parsed by Content-Length, and its
-payloads are hashed again.  Each archive gives a run of captures sorted by
-(URL key, timestamp, page_id) and numbered in that order; sampled splitters
-cut all runs alike, and each range merges its pieces of the runs with a loser
-tree into globally ordered capture histories.
+(a member a record is usual elsewhere) or of none, parsed by Content-Length,
+and its payloads are hashed again.  Archives made elsewhere are read too: only
+responses and revisits are captures, names of headers are taken in any case,
+digests that are absent are computed, and ids and references of another form
+than this module's are null.  The archives that a task reads give runs of up to RUN_ROWS
+captures, sorted by (URL key, timestamp, page_id), then archive and offset, and numbered in
+that order; sampled splitters cut all runs alike, equal keys among them, and
+each range merges its pieces of the runs with a loser tree into globally
+ordered capture histories.
 
 Edge cases: null html is an empty payload (equal payloads of 0 bytes are
 revisited too, down to ``least_bytes``); a null url becomes '-'; a null
@@ -27,6 +31,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -43,10 +48,10 @@ from spotweave.llm.common import bounded, fresh_path, written
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Records of an archive, at most.
-FILE_RECORDS = 1000
-#: Captures a range merges in one task, about; sampled keys to cut ranges by.
-RANGE_ROWS, SAMPLE = 50_000, 20_000
+#: Records of an archive, at most, and its bytes before compression, about.
+FILE_RECORDS, FILE_BYTES = 1000, 64 << 20
+#: Captures of a run, about, and those that a range merges in one task; keys sampled to cut ranges by, at least and for each range.
+RUN_ROWS, RANGE_ROWS, SAMPLE, PER_RANGE = 20_000, 50_000, 20_000, 8
 #: Captures are dated from here, one second a page_id modulo CYCLE, unless a column says when.
 FIRST_CAPTURE, CYCLE = 1_700_000_000, 1_000_000_000
 NO_PAGE = "none"
@@ -96,12 +101,18 @@ def records(pages: DataFrame, least_bytes: int = 0, captured: str | None = None)
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, captured: str | None = None) -> None:
-    records(pages, least_bytes, captured).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    mean = pages.agg(F.avg(F.octet_length("html"))).first()[0] or 0
+    most = int(max(1, min(FILE_RECORDS, FILE_BYTES // (mean + 500))))
+    records(pages, least_bytes, captured).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
 
 
 def inflated(data) -> Iterator[bytes]:
-    """The bytes of all members of a gzip file, piece by piece."""
+    """The bytes of all members of a gzip file, or of one that isn't compressed, piece by piece."""
     left = memoryview(data)
+    if bytes(left[:2]) != b"\x1f\x8b":
+        for at in range(0, len(left), INFLATE):
+            yield bytes(left[at : at + INFLATE])
+        return
     while len(left):
         member, at = zlib.decompressobj(31), 0
         while not member.eof:
@@ -113,8 +124,14 @@ def inflated(data) -> Iterator[bytes]:
         left = left[at - len(member.unused_data) :]
 
 
+def headers(text: str) -> dict[str, str]:
+    """Values by names in lower case; a line that begins with a gap goes on with the one before."""
+    pairs = [line.partition(":") for line in re.sub(r"\r\n[ \t]+", " ", text).split("\r\n")]
+    return {name.strip().lower(): value.strip() for name, sign, value in pairs if sign}
+
+
 def parse(chunks) -> Iterator[tuple[dict[str, str], bytes, int]]:
-    """(headers, block, offset) of each record of an uncompressed archive, given whole or in pieces."""
+    """(headers with names in lower case, block, offset) of each record of an uncompressed archive, given whole or in pieces."""
     chunks = iter([chunks] if isinstance(chunks, bytes) else chunks)
     held, at = bytearray(), 0
 
@@ -133,12 +150,12 @@ def parse(chunks) -> Iterator[tuple[dict[str, str], bytes, int]]:
             if not fill(len(held) + 1):
                 raise ValueError(f"the record at {at} has no end of its headers")
             stop = held.find(b"\r\n\r\n", seen)
-        lines = held[:stop].decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
+        first, _, rest = held[:stop].decode(errors="replace").partition("\r\n")
+        if not first.startswith("WARC/"):
             raise ValueError(f"no WARC record at {at}")
-        head = dict(x.split(": ", 1) for x in lines[1:])
+        head = headers(rest)
         begin = stop + 4
-        end = begin + int(head["Content-Length"])
+        end = begin + int(head["content-length"])
         if not fill(end + 4) or held[end : end + 4] != b"\r\n\r\n":
             raise ValueError(f"record at {at} isn't ended by a blank line")
         yield head, bytes(held[begin:end]), at
@@ -156,48 +173,80 @@ def url_key(url: str) -> str:
     return ",".join(reversed(host.split("."))) + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
 
 
-CAPTURE = "url_key string, stamp string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, nth long"
+CAPTURE = "url_key string, stamp string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, run string, nth long"
 NAMES = [x.split()[0] for x in CAPTURE.split(", ")]
 KINDS = {"string": pa.string(), "long": pa.int64()}
 SCHEMA = pa.schema([(n, KINDS[k]) for n, k in (x.split() for x in CAPTURE.split(", "))])
 
 
-def order_key(url_key: str, stamp: str, page_id: int | None) -> tuple:
-    return url_key, stamp, page_id is None, page_id or 0
+#: The order of captures, without two alike.
+ORDER = ["url_key", "stamp", "page_id", "archive", "offset"]
+
+
+def order_key(url_key: str, stamp: str, page_id: int | None, archive: str = "", offset: int = 0) -> tuple:
+    return url_key, stamp, page_id is None, page_id or 0, archive, offset
+
 
+def _page(urn: str | None) -> int | None:
+    said = re.fullmatch(r"<?urn:page:(-?[0-9]{1,19})>?", urn or "")
+    return int(said[1]) if said else None
 
-def _page(urn: str) -> int | None:
-    said = urn[len("<urn:page:") : -1]
-    return None if said == NO_PAGE else int(said)
+
+def capture(head: dict[str, str], block: bytes, archive: str, offset: int) -> tuple | None:
+    """The capture that a record describes, None for records of other kinds."""
+    kind = head.get("warc-type", "").lower()
+    if kind not in ("response", "revisit"):
+        return None
+    stop = block.find(b"\r\n\r\n")
+    # Some responses, as those of name servers, have no headers of their own.
+    http = headers(block[:stop].decode(errors="replace")) if stop >= 0 and block.startswith(b"HTTP/") else {}
+    cut = stop + 4 if stop >= 0 and block.startswith(b"HTTP/") else 0
+    said = head.get("warc-payload-digest", "")
+    known = said[5:].upper() if re.fullmatch("(?i)sha1:[A-Z2-7]{32}", said) else None
+    page = _page(head.get("warc-record-id"))
+    if kind == "response":
+        size, to = len(block) - cut, None
+        digest = base64.b32encode(hashlib.sha1(memoryview(block)[cut:]).digest()).decode()
+        if known is not None and digest != known:
+            raise ValueError(f"the payload of the record at {offset} of {archive} doesn't have its digest")
+    else:
+        digest, to = known, _page(head.get("warc-refers-to"))
+        length = http.get("content-length", "")
+        size = int(length) if length.isdecimal() else None
+    url = head.get("warc-target-uri", "-").removeprefix("<").removesuffix(">")
+    return url_key(url), head.get("warc-date", ""), page, size, digest, kind, to, archive, offset
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row a record; each archive's rows come sorted by (url_key, stamp, page_id), ``nth`` of their run."""
+    """One row a capture; those of the archives that a task reads come in runs sorted by ORDER, ``nth`` of their run.
+
+    Archives are the files that end in .gz or .warc.  Types of records other than response and revisit are passed over; of a
+    revisit without HTTP headers the size is null.  A run is named by its first archive.
+    """
+
+    def emit(run: list[tuple]) -> Iterator[pa.RecordBatch]:
+        name = run[0][7]
+        run.sort(key=lambda r: order_key(*r[:3], *r[7:9]))
+        for at in range(0, len(run), 5000):
+            cols = [*zip(*run[at : at + 5000], strict=True)]
+            n = len(cols[0])
+            cols += [[name] * n, range(at, at + n)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, SCHEMA, strict=True)], schema=SCHEMA)
 
     def load(batches):
+        run: list[tuple] = []
         for batch in batches:
             for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                run = []
-                for head, block, offset in parse(inflated(content.as_buffer() if content.is_valid else b"")):
-                    cut = block.index(b"\r\n\r\n") + 4
-                    said = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                    page = _page(head["WARC-Record-ID"])
-                    if head["WARC-Type"] == "response":
-                        size, to = len(block) - cut, None
-                        digest = base64.b32encode(hashlib.sha1(memoryview(block)[cut:]).digest()).decode()
-                        if digest != said:
-                            raise ValueError(f"payload of page {page} doesn't have its digest")
-                    else:
-                        digest, to = said, _page(head["WARC-Refers-To"])
-                        size = int(dict(x.split(": ", 1) for x in block[: cut - 4].decode().split("\r\n")[1:])["Content-Length"])
-                    run.append((url_key(head["WARC-Target-URI"]), head["WARC-Date"], page, size, digest, head["WARC-Type"], to, name.as_py().rsplit("/", 1)[-1], offset))
-                run.sort(key=lambda r: (order_key(*r[:3]), r[8]))
-                for at in range(0, len(run), 5000):
-                    cols = [*zip(*run[at : at + 5000], strict=True)]
-                    cols.append(range(at, at + len(cols[0])))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, SCHEMA, strict=True)], schema=SCHEMA)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+                archive = name.as_py().rsplit("/", 1)[-1]
+                found = (capture(*x[:2], archive, x[2]) for x in parse(inflated(content.as_buffer() if content.is_valid else b"")))
+                run += [x for x in found if x is not None]
+                if len(run) >= RUN_ROWS:
+                    yield from emit(run)
+                    run = []
+        if run:
+            yield from emit(run)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{gz,warc}").load(path)
     return files.select("path", "content").mapInArrow(load, CAPTURE)
 
 
@@ -238,19 +287,19 @@ class LoserTree:
 
 
 def merged_index(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """``captures`` with ``position``, their place in the global order by (url_key, stamp, page_id), by merging the archives' runs."""
+    """``captures`` with ``position``, their place in the global order by (url_key, stamp, page_id), then archive and offset, by merging the runs."""
     spark = captures.sparkSession
     n = captures.count()
-    u = F.pmod(F.xxhash64("url_key", "page_id", "offset"), F.lit(1 << 30)) / float(1 << 30)
-    some = captures.where(u < SAMPLE / max(n, 1)).select("url_key", "stamp", "page_id")
-    sample = sorted(order_key(*r) for r in some.toLocalIterator())
     parts = max(1, -(-n // range_rows))
+    u = F.pmod(F.xxhash64("archive", "offset"), F.lit(1 << 30)) / float(1 << 30)
+    some = captures.where(u < max(SAMPLE, PER_RANGE * parts) / max(n, 1)).select(*ORDER)
+    sample = sorted(order_key(*r) for r in some.toLocalIterator())
     cuts = sorted({sample[i * len(sample) // parts] for i in range(1, parts)}) if sample else []
     shared = spark.sparkContext.broadcast(cuts)
 
     def cut(batches):
         for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in ("url_key", "stamp", "page_id")), strict=True)
+            keys = zip(*(batch.column(c).to_pylist() for c in ORDER), strict=True)
             at = [bisect.bisect_right(shared.value, order_key(*k)) for k in keys]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int32())], [*NAMES, "range"])
 
@@ -262,10 +311,11 @@ def merged_index(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame
 
     def merge(p: pa.Table) -> pa.Table:
         # A shuffle may mix the pieces of runs; each run's own numbers give its order back.
-        p = p.take(pc.sort_indices(p, [("archive", "ascending"), ("nth", "ascending")]))
-        keys = [order_key(*k) for k in zip(*(p.column(c).to_pylist() for c in ("url_key", "stamp", "page_id")), strict=True)]
-        archives = p.column("archive").to_pylist()
-        edges = [0, *(i for i in range(1, len(archives)) if archives[i] != archives[i - 1]), len(archives)]
+        p = p.take(pc.sort_indices(p, [("run", "ascending"), ("nth", "ascending")]))
+        keys = [order_key(*k) for k in zip(*(p.column(c).to_pylist() for c in ORDER), strict=True)]
+        names = p.column("run").to_pylist()
+        # Archives of one name in two folders make runs of one name; a run ends where the order does.
+        edges = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1] or keys[i] < keys[i - 1]), len(names)] if names else [0]
         runs = [[(keys[i], i) for i in range(a, b)] for a, b in zip(edges, edges[1:], strict=False)]
         out = p.select(NAMES).take(pa.array([i for _, i in LoserTree(runs)], pa.int64()))
         return out.append_column("position", pa.array(np.arange(out.num_rows) + start[p.column("range")[0].as_py()]))

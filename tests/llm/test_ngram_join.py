@@ -1,7 +1,7 @@
 import random
 import re
 
-from spotweave.llm import ngram_join
+from spotweave.llm import common, ngram_join
 from spotweave.llm import text as tx
 from spotweave.llm.ngram_join import ngram_jaccard_join, need
 
@@ -97,15 +97,36 @@ def test_long_texts_are_hashed_in_pieces(monkeypatch):
 
 def test_lists_dealt_over_parts_lose_no_one(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "LIST_ROWS", 3)
+    monkeypatch.setattr(ngram_join, "SEEN", 1)
+    seen, made = [], ngram_join.dealt_postings
+    monkeypatch.setattr(ngram_join, "dealt_postings", lambda *a: seen.append(made(*a)) or seen[-1])
     rows = []
     for g in range(30):
         w = [f"g{g}x{i}" for i in range(60)]
         rows += [(100 * g + i, " ".join(w)) for i in range(4)] + [(100 * g + 9, " ".join(w[:-1] + ["other"]))]
     assert got(spark, rows) == brute(rows)
+    longest = seen[0].groupBy("key", "deal").count().agg({"count": "max"}).first()[0]
+    assert seen[0].where("shiftright(deal, 32) > 1").count() and longest < seen[0].groupBy("key").count().agg({"count": "max"}).first()[0]
     rows = corpus(2)
     assert got(spark, rows) == brute(rows)
 
 
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr(common, "HUB", 20)
+    r = random.Random(4)
+    edges = [(7, i) for i in range(100, 400)] + [(399, 500), (500, 3), (1000, 1001)] + [(r.randrange(2000, 2200), r.randrange(2000, 2200)) for _ in range(150)]
+    got = {x["node"]: x["component"] for x in common.connected_components(spark.createDataFrame(edges, "u long, v long").repartition(3)).collect()}
+    low = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in range(len(low)):
+        before = dict(low)
+        for a, b in edges:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+        if low == before:
+            break
+    assert got == low and low[100] == 3
+
+
 def test_classes_of_one_hash_stay_apart(spark):
     rows = corpus(5, groups=12)
     assert got(spark, rows, class_bits=3) == brute(rows)

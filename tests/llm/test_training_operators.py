@@ -215,6 +215,28 @@ def test_nearest_recall_and_ties(spark):
     assert list(got[got["query_id"] == 50].sort_values("rank")["vec_id"]) == [1000, 1001, 1002, 1003, 1004]
 
 
+def test_entries_go_to_the_blocks_that_visit_them(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(30, 8)) * 5
+    x = (centres[np.arange(3000) % 30] + r.normal(size=(3000, 8)) * 0.05).astype(np.float32)
+    table = vectors(spark, x, [])
+    want = {tuple(g) for g in nearest.nearest(table, every=10).collect()}
+    seen = []
+    made = nearest.entries_by_block
+    monkeypatch.setattr(nearest, "entries_by_block", lambda *a: seen.append(made(*a).cache()) or seen[-1])
+    monkeypatch.setattr(nearest, "GROUP_QUERIES", 30)
+    monkeypatch.setattr(nearest, "LEAST_CANDIDATES", 20)
+    got = nearest.nearest(table, every=10).collect()
+    # Ten blocks of queries: without knowing which visit a first half, every entry would go to each.
+    copies = seen[0].count()
+    assert copies < 0.4 * 10 * 3000 and seen[0].select("row").distinct().count() <= 3000
+    near = lambda rows: {(g[0], g[2]) for g in rows}
+    assert len(near(want) & near(got)) >= 0.9 * len(near(want)) and len(got) == 300 * 5
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    exact = {(q, int(j)) for q in range(0, 3000, 10) for j in [j for j in np.argsort(-(u @ u[q]))[:6] if j != q][:5]}
+    assert len(exact & near(got)) >= 0.9 * len(exact)
+
+
 def test_nearest_of_few(spark):
     got = nearest.nearest(vectors(spark, np.eye(8)[:3], BROKEN)).toPandas()
     assert list(got["vec_id"]) == [1, 2] and list(got["query_id"]) == [0, 0]
@@ -435,6 +457,67 @@ def test_archives_of_one_member_a_record(spark, tmp_path):
         list(warc.inflated(gzip.compress(b"x" * 5000)[:-9]))
 
 
+FOREIGN = (
+    ("warcinfo", {"Content-Type": "application/warc-fields"}, b"software: other\r\n"),
+    ("request", {"WARC-Target-URI": "http://Q.example.org/a"}, b"GET /a HTTP/1.1\r\n\r\n"),
+    ("response", {"WARC-Target-URI": "<http://Q.example.org/a>"}, b"HTTP/1.1 200 OK\r\ncontent-length: 5\r\n\r\nhello"),
+    ("metadata", {}, b""),
+    ("response", {"WARC-Target-URI": "dns:example.org", "WARC-Payload-Digest": "md5:abc"}, b"20200101 example.org. A 1.2.3.4\r\n\r\nmore"),
+    ("revisit", {"WARC-Target-URI": "http://q.example.org/a", "WARC-Refers-To": "<urn:uuid:1>", "WARC-Payload-Digest": "sha1:VL2MMHO4YXUKFWV63YHTWSBM3GXKSQ2N"}, b"HTTP/1.1 304 Not\r\n Modified\r\nContent-Length: 5\r\n\r\n"),
+    ("revisit", {"WARC-Target-URI": "http://z.example.org/"}, b""),
+)
+
+
+def foreign_archive(lower):
+    out = b""
+    for i, (kind, head, block) in enumerate(FOREIGN):
+        every = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{i}>", "WARC-Date": f"2020-01-0{i + 1}T00:00:00Z", **head, "Content-Length": str(len(block))}
+        lines = [f"{k.lower()}:{v}" if lower else f"{k}: {v}" for k, v in every.items()]
+        out += "\r\n".join(["WARC/1.0", *lines]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return out
+
+
+@pytest.mark.parametrize("lower", [False, True])
+def test_archives_made_elsewhere(spark, tmp_path, lower):
+    import gzip
+
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(foreign_archive(lower)))
+    (tmp_path / "b.warc").write_bytes(foreign_archive(lower))
+    (tmp_path / "notes.txt").write_text("no archive")
+    got = warc.merged_index(warc.read_warc(spark, str(tmp_path))).orderBy("position").collect()
+    hello = "VL2MMHO4YXUKFWV63YHTWSBM3GXKSQ2N"
+    want = [
+        (")example.org", "2020-01-05T00:00:00Z", None, 39, "response"), ("org,example,q)/a", "2020-01-03T00:00:00Z", None, 5, "response"),
+        ("org,example,q)/a", "2020-01-06T00:00:00Z", None, 5, "revisit"), ("org,example,z)/", "2020-01-07T00:00:00Z", None, None, "revisit"),
+    ]
+    assert [(r["url_key"], r["stamp"], r["page_id"], r["payload_bytes"], r["record_type"]) for r in got] == [w for w in want for _ in range(2)]
+    assert [r["payload_digest"] for r in got[2:6]] == [hello] * 4 and got[6]["payload_digest"] is None and [r["archive"] for r in got[:2]] == ["a.warc.gz", "b.warc"]
+
+
+def test_equal_captures_are_dealt_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SAMPLE", 40)
+    monkeypatch.setattr(warc, "RUN_ROWS", 300)
+    rows = [(None, None, "same")] * 2000 + [(i, f"http://h{i % 4}.org/{i % 3}", f"t{i % 11}") for i in range(300)]
+    path = warc.fresh_path(spark, "t")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7), path)
+    out = warc.merged_index(warc.read_warc(spark, path), range_rows=200)
+    sizes = [r["count"] for r in out.withColumn("part", F.spark_partition_id()).groupBy("part").count().collect()]
+    got = out.orderBy("position").collect()
+    keys = [warc.order_key(*(r[c] for c in warc.ORDER)) for r in got]
+    assert keys == sorted(keys) and len(set(keys)) == 2300 and [r["position"] for r in got] == list(range(2300))
+    assert sum(sizes) == 2300 and max(sizes) < 1500
+    runs = {}
+    for r in got:
+        runs.setdefault(r["run"], []).append(r["nth"])
+    assert all(sorted(x) == list(range(len(x))) for x in runs.values()) and max(map(len, runs.values())) > 250
+
+
+def test_archives_of_long_pages_hold_fewer(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "FILE_BYTES", 50_000)
+    warc.write_warc(spark.createDataFrame([(i, "u", "x" * 9500) for i in range(20)], "page_id long, url string, html string").coalesce(1), f"{tmp_path}/out")
+    assert len(list((tmp_path / "out").glob("*.gz"))) == 4
+
+
 def test_loser_tree():
     r = random.Random(6)
     for k in range(1, 9):
