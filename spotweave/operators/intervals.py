@@ -104,12 +104,15 @@ def _carried(blocks: DataFrame, by: list[str], bin_: str = "_block") -> tuple:
 def merge_intervals(df: DataFrame, gap: int = 0, block: int = BLOCK) -> DataFrame:
     """(chrom, strand, start, end, n): intervals of a strand merged when at most ``gap`` apart.
 
-    A strand is cut into blocks of starts, each ordered by a task of its own;
-    how far earlier blocks reach, and the last interval opened in them, come
-    from one row a block.
+    Intervals that start together are combined first, before any shuffle of
+    rows, so a block holds as many rows as it has positions at most.  A strand
+    is cut into blocks of starts, each ordered by a task of its own; how far
+    earlier blocks reach, and the last interval opened in them, come from one
+    row a block.
     """
     by = ["chrom", "strand"]
-    cut = df.select(*by, "start", "end", F.floor(F.col("start") / block).alias("_block"))
+    together = df.groupBy(*by, "start").agg(F.max("end").alias("end"), F.count("*").alias("n"))
+    cut = together.withColumn("_block", F.floor(F.col("start") / block))
     before, _ = _carried(cut, by)
     reaches = cut.groupBy(*by, "_block").agg(F.max("end").alias("_end")).withColumn("_in", F.max("_end").over(before)).drop("_end")
     w = Window.partitionBy(*by, "_block").orderBy("start", "end")
@@ -118,7 +121,7 @@ def merge_intervals(df: DataFrame, gap: int = 0, block: int = BLOCK) -> DataFram
     reach = F.greatest(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), "_in")
     opened = rows.withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach + gap), 1).otherwise(0))
     numbered = opened.withColumn("_g", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    parts = numbered.groupBy(*by, "_block", "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"))
+    parts = numbered.groupBy(*by, "_block", "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
     # A part without a start of its own (_g = 0) goes on with the last one opened in an earlier block.
     every = parts.groupBy(*by, "_block").agg(F.max(F.when(F.col("_g") > 0, F.col("_g"))).alias("_last"))
     owner = F.last(F.when(F.col("_last").isNotNull(), F.struct(F.col("_block").alias("b"), F.col("_last").alias("g"))), True).over(before)
@@ -164,23 +167,35 @@ def signed_track(cov: DataFrame, strand: str, log: bool = False) -> DataFrame:
     return cov.withColumn("value", -v if strand == "-" else v)
 
 
-def cigar_blocks(alignments: DataFrame) -> DataFrame:
-    """One row a block of a spliced alignment, 0-based half-open: N cuts blocks, M, =, X and D extend them."""
+def with_blocks(alignments: DataFrame) -> DataFrame:
+    """Alignments with ``blocks``, an array of 0-based half-open (start, end): N cuts blocks, M, =, X and D extend them."""
     step = """aggregate(
         arrays_zip(transform(regexp_extract_all(cigar, '(\\\\d+)([MIDNSHP=X])', 1), x -> cast(x as long)), regexp_extract_all(cigar, '(\\\\d+)([MIDNSHP=X])', 2)),
-        named_struct('at', pos - 1, 'from', pos - 1, 'out', cast(array() as array<struct<start:bigint,end:bigint>>)),
+        named_struct('at', cast(pos as bigint) - 1, 'from', cast(pos as bigint) - 1, 'out', cast(array() as array<struct<start:bigint,end:bigint>>)),
         (acc, op) -> case
             when op['1'] in ('M', '=', 'X', 'D') then named_struct('at', acc.at + op['0'], 'from', acc.from, 'out', acc.out)
             when op['1'] = 'N' then named_struct('at', acc.at + op['0'], 'from', acc.at + op['0'],
                 'out', if(acc.at > acc.from, concat(acc.out, array(named_struct('start', acc.from, 'end', acc.at))), acc.out))
             else acc end,
         acc -> if(acc.at > acc.from, concat(acc.out, array(named_struct('start', acc.from, 'end', acc.at))), acc.out))"""
-    strand = F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+")
-    return (
-        alignments.where("cigar <> '*'")
-        .withColumn("b", F.explode(F.expr(step)))
-        .select(F.col("rname").alias("chrom"), "b.start", "b.end", F.col("qname").alias("name"), F.col("mapq").cast("string").alias("score"), strand.alias("strand"))
-    )
+    return alignments.where("cigar <> '*'").withColumn("blocks", F.expr(step))
+
+
+def _placed(alignments: DataFrame) -> list[Column]:
+    return [F.col("rname").alias("chrom"), F.col("qname").alias("name"), F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand")]
+
+
+def cigar_blocks(alignments: DataFrame) -> DataFrame:
+    """One row a block of a spliced alignment, 0-based half-open."""
+    chrom, name, strand = _placed(alignments)
+    return with_blocks(alignments).withColumn("b", F.explode("blocks")).select(chrom, "b.start", "b.end", name, F.col("mapq").cast("string").alias("score"), strand)
+
+
+def spans(alignments: DataFrame) -> DataFrame:
+    """(name, chrom, strand, start, end, blocks): one row an alignment that covers anything."""
+    chrom, name, strand = _placed(alignments)
+    found = with_blocks(alignments).where("size(blocks) > 0")
+    return found.select(name, chrom, strand, F.col("blocks")[0]["start"].alias("start"), F.element_at("blocks", -1)["end"].alias("end"), "blocks")
 
 
 def assign_features(blocks: DataFrame, features: DataFrame, feature: str = "gene", stranded: bool = True, largest: bool = False, min_length: int = 10, max_length: int = 10_000, width: int = BIN) -> DataFrame:

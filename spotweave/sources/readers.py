@@ -155,86 +155,86 @@ def sam(spark: SparkSession, paths) -> DataFrame:
     return rows.select(*[F.col("p")[i].cast(t).alias(n) for i, (n, t) in enumerate(names)], _tag_map(F.slice("p", F.lit(12), F.greatest(F.size("p") - 11, F.lit(0)))).alias("tags"))
 
 
-def inflate_blocks(data: bytes) -> bytes:
-    """All members of a blocked gzip file."""
-    out = []
-    while data:
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(data))
-        data = d.unused_data
-    return b"".join(out)
-
-
 # Fixed values of the BAM format: bases of 4-bit codes, operations, value formats of tag types.
 _BASES = "=ACMGRSVTWYHKDBN"
 _OPS = "MIDNSHP=X"
+_PAIRS = [_BASES[b >> 4] + _BASES[b & 15] for b in range(256)]
+_PRINTED = bytes((b + 33) % 256 for b in range(256))
 _KINDS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 
 
-def decode_bam(data: bytes):
-    """Alignment rows (with a dict of tags) of an inflated BAM file."""
-    if data[:4] != b"BAM\1":
+def bam_references(data, at: int = 0) -> tuple[list[str], int]:
+    """The names of the reference sequences and the place of the first alignment, of the head of an inflated BAM file; IndexError where it is cut."""
+    if bytes(data[at : at + 4]) != b"BAM\1":
         raise ValueError("not a BAM file")
-    at = 8 + struct.unpack_from("<i", data, 4)[0]
-    n = struct.unpack_from("<i", data, at)[0]
-    at += 4
-    names = []
+    whole = len(data)
+
+    def number(p: int) -> int:
+        if p + 4 > whole:
+            raise IndexError("the header goes on")
+        return struct.unpack_from("<i", data, p)[0]
+
+    at += 8 + number(at + 4)
+    n, at, names = number(at), at + 4, []
     for _ in range(n):
-        size = struct.unpack_from("<i", data, at)[0]
-        names.append(data[at + 4 : at + 3 + size].decode())
+        size = number(at)
+        if at + 8 + size > whole:
+            raise IndexError("the header goes on")
+        names.append(bytes(data[at + 4 : at + 3 + size]).decode())
         at += 8 + size
+    return names, at
+
+
+def alignment(data, at: int, names: list[str]) -> tuple:
+    """The row (with a dict of tags) of the alignment at a place of inflated BAM data."""
     ref = lambda i: names[i] if i >= 0 else "*"
-    while at < len(data):
-        size = struct.unpack_from("<i", data, at)[0]
-        end = at + 4 + size
-        rid, pos, l_name, mapq, _, n_cigar, flag, l_seq, nrid, npos, tlen = struct.unpack_from("<iiBBHHHiiii", data, at + 4)
-        p = at + 36
-        name = data[p : p + l_name - 1].decode()
-        p += l_name
-        cigar = "".join(f"{v >> 4}{_OPS[v & 15]}" for v in struct.unpack_from(f"<{n_cigar}I", data, p)) or "*"
-        p += 4 * n_cigar
-        packed = data[p : p + (l_seq + 1) // 2]
-        seq = "".join(_BASES[b >> 4] + _BASES[b & 15] for b in packed)[:l_seq] or "*"
-        p += (l_seq + 1) // 2
-        q = data[p : p + l_seq]
-        qual = "*" if not q or q[0] == 255 else "".join(chr(c + 33) for c in q)
-        p += l_seq
-        tags = {}
-        while p < end:
-            key, kind = data[p : p + 2].decode(), chr(data[p + 2])
-            p += 3
-            if kind == "A":
-                v, p = chr(data[p]), p + 1
-            elif kind in "ZH":
-                stop = data.index(0, p)
-                v, p = data[p:stop].decode(), stop + 1
-            elif kind == "B":
-                sub, count = chr(data[p]), struct.unpack_from("<i", data, p + 1)[0]
-                form = f"<{count}{_KINDS[sub]}"
-                v = ",".join([sub, *map(str, struct.unpack_from(form, data, p + 5))])
-                p += 5 + struct.calcsize(form)
-            else:
-                form = "<" + _KINDS[kind]
-                v = str(struct.unpack_from(form, data, p)[0])
-                p, kind = p + struct.calcsize(form), "f" if kind == "f" else "i"
-            tags[key] = {"type": kind, "value": v}
-        nxt = "=" if nrid >= 0 and nrid == rid else ref(nrid)
-        yield name, flag, ref(rid), pos + 1, mapq, cigar, nxt, npos + 1, tlen, seq, qual, tags
-        at = end
-
-
-def bam(spark: SparkSession, paths) -> DataFrame:
-    """Alignments of BAM files, a file a task."""
-    names = [x.split()[0] for x in ALIGNMENT.split(", ")] + ["tags"]
-
-    def load(batches):
-        for p in batches:
-            for content in p["content"]:
-                rows = decode_bam(inflate_blocks(content))
-                while some := [r for _, r in zip(range(20_000), rows, strict=False)]:
-                    yield pd.DataFrame(some, columns=names)
-
-    return spark.read.format("binaryFile").load(paths).select("content").mapInPandas(load, f"{ALIGNMENT}, tags {TAGS}")
+    size = struct.unpack_from("<i", data, at)[0]
+    end = at + 4 + size
+    rid, pos, l_name, mapq, _, n_cigar, flag, l_seq, nrid, npos, tlen = struct.unpack_from("<iiBBHHHiiii", data, at + 4)
+    p = at + 36
+    name = data[p : p + l_name - 1].decode()
+    p += l_name
+    cigar = "".join(f"{v >> 4}{_OPS[v & 15]}" for v in struct.unpack_from(f"<{n_cigar}I", data, p)) or "*"
+    p += 4 * n_cigar
+    packed = data[p : p + (l_seq + 1) // 2]
+    # Two bases a byte, and qualities shifted to print, by tables.
+    seq = "".join(map(_PAIRS.__getitem__, packed))[:l_seq] or "*"
+    p += (l_seq + 1) // 2
+    q = data[p : p + l_seq]
+    qual = "*" if not q or q[0] == 255 else q.translate(_PRINTED).decode("latin-1")
+    p += l_seq
+    tags = {}
+    while p < end:
+        key, kind = data[p : p + 2].decode(), chr(data[p + 2])
+        p += 3
+        if kind == "A":
+            v, p = chr(data[p]), p + 1
+        elif kind in "ZH":
+            stop = data.index(0, p)
+            v, p = data[p:stop].decode(), stop + 1
+        elif kind == "B":
+            sub, count = chr(data[p]), struct.unpack_from("<i", data, p + 1)[0]
+            form = f"<{count}{_KINDS[sub]}"
+            v = ",".join([sub, *map(str, struct.unpack_from(form, data, p + 5))])
+            p += 5 + struct.calcsize(form)
+        else:
+            form = "<" + _KINDS[kind]
+            v = str(struct.unpack_from(form, data, p)[0])
+            p, kind = p + struct.calcsize(form), "f" if kind == "f" else "i"
+        tags[key] = {"type": kind, "value": v}
+    nxt = "=" if nrid >= 0 and nrid == rid else ref(nrid)
+    return name, flag, ref(rid), pos + 1, mapq, cigar, nxt, npos + 1, tlen, seq, qual, tags
+
+
+def bam(spark: SparkSession, paths, split_bytes: int | None = None) -> DataFrame:
+    """Alignments of BAM files or folders of them, a task for each ``split_bytes`` of a file; see :mod:`spotweave.sources.bam`."""
+    from spotweave.sources.bam import read_bam
+
+    out = None
+    for path in [paths] if isinstance(paths, str) else paths:
+        rows = read_bam(spark, path, split_bytes)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def tsv(spark: SparkSession, path, columns: list[str], positions: list[int] | None = None) -> DataFrame:
@@ -269,9 +269,10 @@ def bc_map(spark: SparkSession, path) -> DataFrame:
 
 def gtf(spark: SparkSession, path, feature: str = "all", seqname: str = "all", unwrap: list[str] | None = None) -> DataFrame:
     """Annotation rows with attributes as a map (of repeated keys the last wins); ``unwrap`` makes columns of some."""
+    # A filter on what comes out may be tried on lines that the one on '#' leaves out, so a field that isn't there is null.
     p = F.split("value", "\t")
     fields = ["seqname", "source", "feature", "start", "end", "score", "strand", "frame"]
-    rows = spark.read.text(path).where("not startswith(value, '#') and value <> ''").select(*[p[i].alias(n) for i, n in enumerate(fields)], p[8].alias("a"))
+    rows = spark.read.text(path).where("not startswith(value, '#') and value <> ''").select(*[F.get(p, F.lit(i)).alias(n) for i, n in enumerate(fields)], F.get(p, F.lit(8)).alias("a"))
     if feature != "all":
         rows = rows.where(F.col("feature") == feature)
     if seqname != "all":

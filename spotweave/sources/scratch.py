@@ -31,3 +31,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete the files behind tables made by :func:`written`, once nothing reads them any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/spotweave-" in folder:
+                path = context._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

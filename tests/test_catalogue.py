@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from spotweave import plan_queries, queries, record_queries
+from spotweave import plan_queries, quant_queries, queries, record_queries
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -36,7 +36,7 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, duck, name):
-    assert record_queries and plan_queries
+    assert record_queries and plan_queries and quant_queries
     got = queries.QUERIES[name](spark, SMALL).toPandas()
     want = duck.execute(queries.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
