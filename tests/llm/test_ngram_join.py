@@ -103,7 +103,7 @@ def test_lists_dealt_over_parts_lose_no_one(spark, monkeypatch):
     rows = []
     for g in range(30):
         w = [f"g{g}x{i}" for i in range(60)]
-        rows += [(100 * g + i, " ".join(w)) for i in range(4)] + [(100 * g + 9, " ".join(w[:-1] + ["other"]))]
+        rows += [(100 * g + i, " ".join(w)) for i in range(4)] + [(100 * g + 9 + i, " ".join(w[:-1] + [f"other{i}"])) for i in range(6)]
     assert got(spark, rows) == brute(rows)
     longest = seen[0].groupBy("key", "deal").count().agg({"count": "max"}).first()[0]
     assert seen[0].where("shiftright(deal, 32) > 1").count() and longest < seen[0].groupBy("key").count().agg({"count": "max"}).first()[0]
