@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotweave.operators.graphs import components
 from spotweave.sources.scratch import shared_folder
 
 
@@ -62,6 +63,18 @@ def segment_tissues(points: DataFrame, threshold: float | None = None, tissues:
     return points.groupBy(*([section] if section else [])).applyInPandas(one, schema)
 
 
+def tissue_components(points: DataFrame, distance: float, key: str = "cell", section: str | None = None) -> DataFrame:
+    """``points`` with ``tissue``: the least key of those that are linked to a point by steps shorter than ``distance``, within its section.
+
+    Neighbours are found on a grid and linked as components of a graph, so no image has to fit a task.
+    """
+    by = F.lit(0) if section is None else F.col(section)
+    named = points.withColumn("_p", F.struct(by.alias("s"), F.col(key).alias("k")))
+    pairs = close_pairs(named.select("_p", "x", "y"), distance, "_p").where("a < b and a.s <=> b.s")
+    linked = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return named.join(linked, F.col("_p") == F.col("node"), "left").select(*[F.col(f"`{c}`") for c in points.columns], F.coalesce("component.k", "_p.k").alias("tissue"))
+
+
 def in_polygon(points: DataFrame, polygon: list[tuple[float, float]], column: str = "roi") -> DataFrame:
     """``points`` with whether they lie inside: crossings of a ray, summed over a constant array of edges."""
     edges = [F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), (*a, *b), strict=True)]) for a, b in zip(polygon, polygon[1:] + polygon[:1], strict=True)]

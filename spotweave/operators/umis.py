@@ -2,62 +2,50 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.operators.graphs import components
+from spotweave.operators.quantify import one_mismatch
+from spotweave.sources.scratch import written
+
 
 def count_exact(reads: DataFrame, keys: list[str] = ("cell", "gene"), umi: str = "umi") -> DataFrame:
     """Distinct UMIs of each group: distinct first, so a hot group is combined before the shuffle."""
     return reads.select(*keys, umi).where(F.col(umi).isNotNull()).distinct().groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-def directional_groups(umis: list[str], counts: list[int]) -> int:
-    """Number of clusters: u absorbs v when they differ in one base and n(u) >= 2 n(v) - 1, followed from the most counted."""
-    order = sorted(range(len(umis)), key=lambda i: (-counts[i], umis[i]))
-    at = {u: i for i, u in enumerate(umis)}
-    seen, groups = set(), 0
-    for i in order:
-        if i in seen:
-            continue
-        groups += 1
-        seen.add(i)
-        queue = [i]
-        while queue:
-            a = queue.pop()
-            u = umis[a]
-            for p in range(len(u)):
-                for b in "ACGTN":
-                    c = at.get(u[:p] + b + u[p + 1 :]) if b != u[p] else None
-                    if c is not None and c not in seen and counts[a] >= 2 * counts[c] - 1:
-                        seen.add(c)
-                        queue.append(c)
-    return groups
-
-
 def count_directional(reads: DataFrame, keys: list[str] = ("cell", "gene"), umi: str = "umi") -> DataFrame:
-    """Clusters of UMIs of each group.
+    """Clusters of UMIs of each group: from the most counted on, a UMI takes in those that differ from it in one base and have n(u) >= 2 n(v) - 1, and what they take in.
 
-    Reads are counted per UMI first.  Groups without any neighbours (found by
-    an equi-join on deletions of one position) keep their number of UMIs; only
-    the others are clustered in Python, on their distinct UMIs.
+    No group is brought together.  Reads are counted per UMI first, and pairs
+    that differ in one base are found by an equi-join on UMIs with one base hidden.  A UMI of
+    more than one read can only be taken in by one with more reads, so it
+    leads a cluster if no such pair says otherwise.  UMIs of one read can take each other
+    in: a connected component of them has one leader, unless a UMI of more reads takes one of its members in.
     """
     keys = list(keys)
-    counted = reads.where(F.col(umi).isNotNull()).groupBy(*keys, F.col(umi).alias("u")).agg(F.count("*").alias("c"))
-    masks = counted.withColumn("m", F.explode(F.transform(F.sequence(F.lit(1), F.length("u")), lambda i: F.concat_ws("*", i.cast("string"), F.substring("u", F.lit(1), i - 1), F.substring("u", i + 1, F.length("u"))))))
-    close = masks.groupBy(*keys, "m").agg(F.count("*").alias("n")).where("n > 1").select(*keys).distinct()
-    alone = counted.join(close, keys, "left_anti").groupBy(*keys).agg(F.count("*").alias("n"))
-    schema = ", ".join(f"`{k}` {t}" for k, t in counted.select(*keys).dtypes) + ", n long"
-    # A group's distinct UMIs are one row, as the clustering needs them together anyway.
-    groups = counted.join(close, keys, "left_semi").groupBy(*keys).agg(F.collect_list(F.struct("u", "c")).alias("_umis"))
-
-    def cluster(batches):
-        for batch in batches:
-            own = batch.column(len(keys)).to_pylist()
-            n = [directional_groups([x["u"] for x in g], [x["c"] for x in g]) for g in own]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*batch.schema.names[:-1], "n"])
-
-    return groups.mapInArrow(cluster, schema).unionByName(alone)
+    counted = written(reads.where(F.col(umi).isNotNull()).groupBy(*keys, F.col(umi).alias("u")).agg(F.count("*").alias("c")), "umis")
+    # NULLs in the keys are one group.
+    key = F.struct(*[F.struct(F.col(k).isNull().alias("none"), F.col(k).alias("k")) for k in keys])
+    key = F.to_json(key)
+    own = counted.select(F.sha2(key, 256).alias("g"), "u", "c")
+    pairs = one_mismatch(own, own.select("g", F.col("u").alias("v")), "u", "v", ["g"])
+    pairs = pairs.join(own, ["g", "u"]).join(own.select("g", F.col("u").alias("v"), F.col("c").alias("d")), ["g", "v"])
+    taking = written(pairs.where(F.col("c") >= 2 * F.col("d") - 1).select("g", "u", "v", "c", "d"), "pairs")
+    taken = taking.where("c > 1").select("g", F.col("v").alias("u")).distinct()
+    single = taking.where("c = 1 and d = 1").select(F.struct("g", "u").alias("u"), F.struct("g", F.col("v").alias("v")).alias("v"))
+    lead = own.join(taken, ["g", "u"], "left_anti")
+    if not single.isEmpty():
+        member = components(single.select("u", F.struct(F.col("v.g").alias("g"), F.col("v.v").alias("u")).alias("v")))
+        member = member.select(F.col("node.g").alias("g"), F.col("node.u").alias("u"), F.col("component.u").alias("first"))
+        # Of a component nobody leads where a member was taken in, else its first member does.
+        lost = member.join(taken, ["g", "u"], "left_semi").select("g", "first").distinct()
+        followers = member.where("u <> first").select("g", "u").union(member.join(lost, ["g", "first"], "left_semi").select("g", "u"))
+        lead = lead.join(followers.distinct(), ["g", "u"], "left_anti")
+    per = lead.groupBy("g").agg(F.count("*").alias("n"))
+    groups = counted.select(*keys).distinct().withColumn("g", F.sha2(key, 256))
+    return groups.join(per, "g").select(*keys, "n")
 
 
 def five_prime_position(compat: bool = False) -> tuple[Column, Column]:

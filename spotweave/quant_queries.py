@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from spotweave.operators import quantify as qt
 from spotweave.operators import transcripts as tr
-from spotweave.queries import CHROMS, READS, WL, derived_reads, derived_whitelist, query, table
+from spotweave.operators import spatial, trimming
+from spotweave.queries import ADAPTER1, CHROMS, READS, WL, _points, derived_reads, derived_whitelist, query, table
 from spotweave.sources import bus, readers, writers
 from spotweave.sources.scratch import fresh_folder
 
@@ -151,6 +152,37 @@ def velocity_layers(spark, d):
     return qt.velocity_counts(qt.splice_verdicts(reads, tr.assemble(derived_annotation(spark, d)), width=1000), cells)
 
 
+# Adapters with gaps ------------------------------------------------------------------
+
+TSO = "AAGCAGTGGTATCAACGCAGAGT"
+TRIMMED = [trimming.Adapter("read_end", ADAPTER1, 3, 0.15, 5), trimming.Adapter("switch", TSO, 5, 0.15, 5)]
+
+
+def adapter_reads(spark: SparkSession, d: str) -> DataFrame:
+    """Reads whose 3' adapter is whole, lacks a base, has one more or is cut off by the read's end, a third of them behind a 5' adapter without its first bases."""
+    i, a = F.col("event_id"), F.lit(ADAPTER1)
+    at = (i % 20 + 2).cast("int")
+    begin, rest = F.substring(a, F.lit(1), at), F.substring(a, at + 2, F.length(a))
+    tail = F.concat(F.substring(a, at + 1, F.lit(1)), rest, F.substring("cdna", 1, 8))
+    three = F.when(i % 4 == 0, F.concat(begin, tail)).when(i % 4 == 1, F.concat(begin, rest, F.substring("cdna", 1, 8))).when(i % 4 == 2, F.concat(begin, F.lit("A"), tail)).otherwise(begin)
+    five = F.when(i % 3 == 0, F.substring(F.lit(TSO), (i % 5 + 1).cast("int"), F.lit(len(TSO)))).otherwise("")
+    r = derived_reads(spark, d).withColumn("seq", F.concat(five, "cdna", three))
+    return r.select("read_id", "seq", F.concat(F.repeat(F.lit("I"), F.length("seq") - 2), F.when(i % 7 == 0, "#!").otherwise("I5")).alias("qual"))
+
+
+@query()
+def trim_with_gaps(spark, d):
+    return trimming.trim(adapter_reads(spark, d), TRIMMED, quality=20, rounds=2, trim_n=True).withColumn("cut", F.array_join("cut", ","))
+
+
+# Tissues ------------------------------------------------------------------------------
+
+
+@query()
+def tissue_components(spark, d):
+    return spatial.tissue_components(_points(spark, d).withColumn("section", F.col("cell") % 8), 0.05, section="section")
+
+
 # BUS files --------------------------------------------------------------------------
 
 RECORDS = f"{WL}, {READS}, w as (select distinct barcode from wl), raw as (select bc, umi, cast(event_id % 25 as int) as ec from reads where not contains(bc, 'N'))"

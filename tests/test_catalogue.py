@@ -43,8 +43,8 @@ def test_query_equals_its_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-#: Queries that SQL can't express: test_by_brute_force compares each of them with plain Python, row by row.
-WITHOUT_SQL = {"adapter_scan_classify", "split_long_reads", "barcode_extract_adapter", "internal_adapter_trim", "trim_adapters", "tissue_segments", "transcribed_regions"}
+#: Queries that SQL can't express: test_by_brute_force, test_trimming and test_graphs compare each of them with plain Python, row by row.
+WITHOUT_SQL = {"adapter_scan_classify", "split_long_reads", "barcode_extract_adapter", "internal_adapter_trim", "trim_adapters", "trim_with_gaps", "tissue_components", "tissue_segments", "transcribed_regions"}
 
 
 def test_all_other_queries_have_sql():
