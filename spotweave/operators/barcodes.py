@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -12,7 +15,12 @@ from spotweave.functions import sequences as sq
 #: Entries of a whitelist that may be sent to every executor; a larger one is joined by k-mers instead.
 SENT_ENTRIES = 1_000_000
 #: Barcodes whose distances are computed at once.
-AT_ONCE = 256
+AT_ONCE = 1024
+#: Pairs of a barcode and an entry whose distances are computed at once.
+PAIRS = 1 << 17
+#: Edits within which entries are found without k-mers, and buckets (a prime) of each of the tables for them.
+NEAR, BUCKETS = 3, 524_287
+NONE = np.iinfo(np.int64).max
 
 
 def clean_whitelist(raw: DataFrame, column: str = "value") -> DataFrame:
@@ -53,85 +61,250 @@ def in_whitelist(calls: DataFrame, whitelist: DataFrame, column: str = "bc") ->
     return calls.join(whitelist.select(F.col("barcode").alias(column)).distinct(), column, "left_semi")
 
 
-def gram_codes(words: np.ndarray, k: int) -> np.ndarray:
-    """k-mers of equally long words (a byte matrix) as numbers, k being 8 at most."""
+def gram_codes(words: np.ndarray, k: int, base: int = 256) -> np.ndarray:
+    """k-mers of equally long words (a matrix of digits below ``base``) as numbers, k being 8 at most."""
     out = np.zeros((len(words), words.shape[1] - k + 1), np.uint64)
     for i in range(k):
-        out = (out << np.uint64(8)) | words[:, i : words.shape[1] - k + 1 + i]
+        out = out * np.uint64(base) + words[:, i : words.shape[1] - k + 1 + i]
+    return out
+
+
+def near_seeds(length: int) -> list[tuple[list[int], list[list[int]]]]:
+    """For each choice of half the pieces of a word: their places in an entry, and the places where a barcode at most ``NEAR`` edits away may show the same bases.
+
+    A word is cut into 2 * NEAR pieces.  An edit breaks one piece at most (an insertion between two pieces counts for either), so as many pieces as
+    ``NEAR`` stay whole.  Of equally long words 3 edits hold at most one insertion with its deletion: whole pieces that lie between these two are moved by
+    one place, one way or the other, all others aren't.
+    """
+    ends = np.linspace(0, length, 2 * NEAR + 1).astype(int).tolist()
+    pieces = list(zip(ends, ends[1:], strict=False))
+    out = []
+    for whole in combinations(range(2 * NEAR), NEAR):
+        broken = [i for i in range(2 * NEAR) if i not in whole]
+        moved = {frozenset(i for i in whole if a < i < b) for a, b in combinations(broken, 2)} | {frozenset()}
+        shown = {tuple(c + (by if i in m else 0) for i in whole for c in range(*pieces[i])) for m in moved for by in (-1, 1)}
+        out.append(([c for i in whole for c in range(*pieces[i])], [list(x) for x in sorted(shown)]))
     return out
 
 
 class KmerIndex:
-    """Inverted lists of k-mers over a whitelist, and bit-parallel edit distances of many barcodes to their candidates at once."""
-
-    def __init__(self, words: list[str], times: list[int], k: int):
-        order = np.argsort(np.array(words))
-        self.k, self.words, self.times = k, [words[i] for i in order], np.array(times, np.int64)[order]
-        self.bytes = np.frombuffer("".join(self.words).encode(), np.uint8).reshape(len(words), -1)
-        codes = gram_codes(self.bytes, k)
-        owner = np.repeat(np.arange(len(words), dtype=np.int32), codes.shape[1])
-        by = np.argsort(codes.ravel(), kind="stable")
-        self.owner = owner[by]
-        self.codes, self.starts = np.unique(codes.ravel()[by], return_index=True)
-        self.starts = np.append(self.starts, len(by))
-
-    def candidates(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row of ``q``, entry) of all that share a k-mer, by row; an entry comes once for each k-mer shared."""
-        grams = gram_codes(q, self.k)
-        at = np.minimum(np.searchsorted(self.codes, grams), len(self.codes) - 1)
-        row, _ = hit = np.nonzero(self.codes[at] == grams)
-        lo, size = self.starts[at[hit]], self.starts[at[hit] + 1] - self.starts[at[hit]]
-        upto = np.cumsum(size)
-        place = np.repeat(lo - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
-        return np.repeat(row, size), self.owner[place]
+    """A whitelist of equally long words by what they show at chosen places and by k-mers, and bit-parallel edit distances of many barcodes to many entries.
+
+    Only words and times are sent; the tables are made where they are used, once a process.
+    """
+
+    def __init__(self, words: list[str] | np.ndarray, times: list[int] | np.ndarray, k: int):
+        data = words if isinstance(words, np.ndarray) else np.frombuffer("".join(words).encode(), np.uint8).reshape(len(words), -1)
+        order = np.argsort(np.ascontiguousarray(data).view(f"S{data.shape[1]}").ravel(), kind="stable")
+        self.k, self.bytes, self.times = k, data[order], np.asarray(times)[order]
+        self.times = self.times.astype(np.min_scalar_type(self.times.max()))
+        self.alphabet = np.unique(self.bytes)
+
+    def digits(self, q: np.ndarray) -> np.ndarray:
+        """Bytes as digits; those in no entry share the one after the last."""
+        code = np.full(256, len(self.alphabet), np.uint8)
+        code[self.alphabet] = np.arange(len(self.alphabet))
+        return code[q]
+
+    @cached_property
+    def entries(self) -> np.ndarray:
+        return self.digits(self.bytes)
+
+    @cached_property
+    def text(self) -> pa.Array:
+        n, m = self.bytes.shape
+        return pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(np.arange(0, n * m + 1, m, dtype=np.int64)), pa.py_buffer(np.ascontiguousarray(self.bytes))])
+
+    # Entries a few edits away
+
+    def bucket(self, words: np.ndarray, places: list[int]) -> np.ndarray:
+        """Numbers below BUCKETS: equal bases have equal ones, and some others, which distances tell apart."""
+        out = np.zeros(len(words), np.uint64)
+        for c in places:
+            out = out * np.uint64(max(2, len(self.alphabet))) + words[:, c]
+        return (out % np.uint64(BUCKETS)).astype(np.int64)
+
+    @cached_property
+    def near_tables(self) -> list[tuple]:
+        """(ids by bucket, where each bucket begins, places to look at in a barcode) of each seed."""
+        out = []
+        for places, shown in near_seeds(self.bytes.shape[1]):
+            at = self.bucket(self.entries, places)
+            starts = np.zeros(BUCKETS + 1, np.int32)
+            np.cumsum(np.bincount(at, minlength=BUCKETS), out=starts[1:])
+            out.append((np.argsort(at.astype(np.int32), kind="stable").astype(np.int32), starts, shown))
+        return out
+
+    def share_kmer(self, q: np.ndarray, row: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        base = len(self.alphabet) + 1
+        a, b = gram_codes(q, self.k, base), gram_codes(np.take(self.entries, ids, axis=0), self.k, base)
+        out = np.zeros(len(ids), bool)
+        for i in range(a.shape[1]):
+            out |= (a[row, i][:, None] == b).any(axis=1)
+        return out
+
+    def near(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of ``q``, entry, distance) of all that share a k-mer and are at most NEAR edits apart, each once, by row."""
+        kept = []
+        for ids, starts, shown in self.near_tables:
+            at = np.concatenate([self.bucket(q, places) for places in shown])
+            lo, size = starts[at].astype(np.int64), (starts[at + 1] - starts[at]).astype(np.int64)
+            rows = np.tile(np.arange(len(q)), len(shown))
+            for a, b in runs(size, PAIRS):
+                row, entry = np.repeat(rows[a:b], size[a:b]), ids[spread(lo[a:b], size[a:b])]
+                d = self.distances(q, row, entry)
+                close = d <= NEAR
+                kept.append((row[close] * len(self.bytes) + entry[close], d[close]))
+        pair, first = np.unique(np.concatenate([p for p, _ in kept]), return_index=True)
+        d = np.concatenate([d for _, d in kept])[first]
+        row, ids = pair // len(self.bytes), pair % len(self.bytes)
+        # d edits leave d + 1 whole stretches, one of them as long as their mean at least.
+        unsure = np.ceil((q.shape[1] - d) / (d + 1)) < self.k
+        ok = ~unsure
+        ok[unsure] = self.share_kmer(q, row[unsure], ids[unsure])
+        return row[ok], ids[ok], d[ok].astype(np.int64)
+
+    # Entries that share a k-mer
+
+    @cached_property
+    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(k-mers, keys, where each begins, owners): entries by place and number of their k-mer."""
+        codes = gram_codes(self.entries, self.k, len(self.alphabet) + 1)
+        known = np.unique(np.concatenate([np.unique(c) for c in codes.T]))
+        keys, starts, owner = [], [], np.empty(codes.size, np.int32)
+        for j, column in enumerate(codes.T):
+            rank = np.searchsorted(known, column).astype(np.int32)
+            by = np.argsort(rank, kind="stable")
+            owner[j * len(by) : (j + 1) * len(by)] = by
+            key, start = np.unique(rank[by], return_index=True)
+            keys.append(j * len(known) + key.astype(np.int64))
+            starts.append(j * len(by) + start)
+        return known, np.concatenate(keys), np.append(np.concatenate(starts), codes.size), owner
+
+    def listed(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where they begin, how many) among owners, of the entries with each k-mer of each row at each place."""
+        known, keys, starts, _ = self.grams
+        grams = gram_codes(q, self.k, len(self.alphabet) + 1)
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        key = (at[:, :, None] + len(known) * np.arange(grams.shape[1])).reshape(len(q), -1)
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        found = (keys[place] == key) & np.repeat(known[at] == grams, grams.shape[1], axis=1)
+        return starts[place], np.where(found, starts[place + 1] - starts[place], 0)
 
     def distances(self, q: np.ndarray, row: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Levenshtein distances of q[row] and entries ids by Myers' recurrence, a column of all pairs a step, in words just wide enough."""
-        m = q.shape[1]
+        m, base = q.shape[1], len(self.alphabet) + 1
         kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(t).bits >= m)
-        one, top = kind(1), kind(m - 1)
-        masks = np.zeros((len(q), 256), kind)
+        one, top = kind(1), kind(1 << (m - 1))
+        masks = np.zeros((base, len(q)), kind)
         for i in range(m):
-            masks[np.arange(len(q)), q[:, i]] |= one << kind(i)
+            masks[q[:, i], np.arange(len(q))] |= kind(1 << i)
+        masks, at = masks.ravel(), row.astype(np.int32)
+        places = np.multiply(np.take(self.entries, ids, axis=0).T, np.int32(len(q)), dtype=np.int32, order="C")
         up, down = np.full(len(ids), ~kind(0)), np.zeros(len(ids), kind)
-        score = np.full(len(ids), m, np.int16)
-        for column in self.bytes.T:
-            eq = masks[row, column[ids]]
-            v = eq | down
-            h = (((eq & up) + up) ^ up) | eq
-            plus, minus = down | ~(h | up), up & h
-            score += ((plus >> top) & one).astype(np.int16)
-            score -= ((minus >> top) & one).astype(np.int16)
-            plus, minus = (plus << one) | one, minus << one
-            up, down = minus | ~(v | plus), plus & v
+        score = np.full(len(ids), m, np.int8)
+        eq, v, h, at_c = np.empty_like(up), np.empty_like(up), np.empty_like(up), np.empty_like(at)
+        for c in range(m):
+            np.take(masks, np.add(at, places[c], out=at_c), out=eq, mode="clip")
+            np.bitwise_or(eq, down, out=v)
+            np.bitwise_and(eq, up, out=h)
+            h += up
+            h ^= up
+            h |= eq
+            np.bitwise_and(up, h, out=eq)  # what falls
+            h |= up
+            np.invert(h, out=h)
+            h |= down  # what rises
+            score += (h & top).astype(bool).view(np.int8)
+            score -= (eq & top).astype(bool).view(np.int8)
+            h += h
+            h |= one
+            eq += eq
+            np.bitwise_and(h, v, out=down)
+            h |= v
+            np.invert(h, out=h)
+            np.bitwise_or(eq, h, out=up)
         return score
 
+    def least(self, n: int, row: np.ndarray, ids: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(d, least entry at d, entries at d, next distance) of n rows from pairs by row; NONE where there is none."""
+        first, second, entry, times = np.full(n, NONE), np.full(n, NONE), np.full(n, NONE), np.zeros(n, np.int64)
+        if len(row):
+            opens = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+            first[row[opens]] = np.minimum.reduceat(d, opens)
+            second[row[opens]] = np.minimum.reduceat(np.where(d > first[row], d, NONE), opens)
+            tied = np.unique(row[d == first[row]] * len(self.bytes) + ids[d == first[row]])
+            who, own = tied // len(self.bytes), tied % len(self.bytes)
+            entry[who[::-1]] = own[::-1]
+            times = np.bincount(who, self.times[own], n).astype(np.int64)
+        return first, entry, times, second
+
+    def by_kmers(self, q: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What :meth:`least` tells of each row of ``q`` (digits), over all entries that share a k-mer and are less than its length apart."""
+        lo, size = self.listed(q)
+        owner, parts = self.grams[3], []
+        for a, b in runs(size.sum(axis=1), PAIRS):
+            row = np.repeat(np.arange(b - a), size[a:b].sum(axis=1))
+            ids = owner[spread(lo[a:b].ravel(), size[a:b].ravel())]
+            d = self.distances(q[a:b], row, ids).astype(np.int64)
+            under = d < q.shape[1]
+            parts.append(self.least(b - a, row[under], ids[under], d[under]))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
     def best(self, q: np.ndarray) -> list[tuple]:
         """(d, least entry at d, entries at d, next distance or None) of each row of ``q``, None where no distance is below the length."""
-        row, ids = self.candidates(q)
-        d = self.distances(q, row, ids).astype(np.int64)
-        near = d < q.shape[1]
-        row, ids, d = row[near], ids[near], d[near]
-        none = np.iinfo(np.int64).max
-        first, second = np.full(len(q), none), np.full(len(q), none)
-        np.minimum.at(first, row, d)
-        np.minimum.at(second, row[d > first[row]], d[d > first[row]])
-        least = d == first[row]
-        tied = np.unique(row[least] * len(self.words) + ids[least])
-        who, entry = tied // len(self.words), tied % len(self.words)
-        opens = np.searchsorted(who, np.arange(len(q)))
-        times = np.bincount(who, self.times[entry], len(q)).astype(np.int64)
-        return [
-            (int(first[i]), self.words[entry[opens[i]]], int(times[i]), int(second[i]) if second[i] < none else None) if first[i] < none else None
-            for i in range(len(q))
-        ]
+        found = zip(*self.by_kmers(self.digits(q)), strict=True)
+        return [(int(d), self.text[int(e)].as_py(), int(t), int(n) if n < NONE else None) if d < NONE else None for d, e, t, n in found]
+
+    def search(self, q: np.ndarray) -> tuple[np.ndarray, ...]:
+        """As ``best``, in columns; a row with several entries at its least distance may lack others and the next distance, which don't count then.
+
+        Most rows are settled by entries at most NEAR edits away; only those that these leave open meet all entries that share a k-mer.
+        """
+        q = self.digits(q)
+        if q.shape[1] < 2 * NEAR:
+            return self.by_kmers(q)
+        out = self.least(len(q), *self.near(q))
+        (open_,) = np.nonzero((out[2] < 2) & (out[3] == NONE))
+        if len(open_):
+            for column, value in zip(out, self.by_kmers(q[open_]), strict=True):
+                column[open_] = value
+        return out
+
+
+def runs(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Stretches of rows that cover all, each with ``most`` in sum, or one row."""
+    upto, at, out = np.cumsum(sizes), 0, []
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, side="right")))
+        out.append((at, to))
+        at = to
+    return out
+
+
+def spread(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """lo, lo + 1, ... of each row, as many as its size."""
+    upto = np.cumsum(size)
+    return np.repeat(lo - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def _index(counted: DataFrame, k: int) -> KmerIndex:
+    """Entries of one length, collected as bytes."""
+    wl = counted.select("barcode", "times").toArrow().combine_chunks()
+    b = wl.column("barcode").combine_chunks().cast(pa.large_string())
+    data = np.frombuffer(b.buffers()[2], np.uint8)
+    lo = int(np.frombuffer(b.buffers()[1], np.int64)[b.offset])
+    width = len(b[0].as_py())
+    return KmerIndex(data[lo : lo + len(b) * width].reshape(len(b), width), wl.column("times").to_numpy(), k)
 
 
 SLOT = "bc string, d int, b string, t bigint, next int"
 
 
 def _slots(rest: DataFrame, counted: DataFrame, k: int) -> DataFrame:
-    """(bc, d, b, t, next): for each barcode the least distance to its candidates, its least entry and number of entries there, and the next distance.
+    """(bc, d, b, t, next): for each barcode the least distance to its candidates, its least entry and number of entries there, and the next distance; NULLs without candidates.
+
+    With several entries at the least distance their number may be any above 1, and the next distance is not told for certain.
 
     A barcode that is as long as no entry of the whitelist is an error, whichever way its candidates are found.
     """
@@ -140,8 +313,7 @@ def _slots(rest: DataFrame, counted: DataFrame, k: int) -> DataFrame:
     wrong = F.raise_error(F.concat(F.lit("barcode "), "bc", F.lit(f" is as long as no entry of the whitelist ({lengths})"))).cast("string")
     rest = rest.select(F.when(F.length("bc").isin(lengths), F.col("bc")).otherwise(wrong if lengths else F.col("bc")).alias("bc"))
     if 0 < shape["n"] <= SENT_ENTRIES and [shape["lo"]] == [shape["hi"]] == lengths and k <= min(8, shape["lo"]) and shape["hi"] <= 64:
-        wl = counted.toPandas()
-        shared = rest.sparkSession.sparkContext.broadcast(KmerIndex(wl["barcode"].tolist(), wl["times"].tolist(), k))
+        shared = rest.sparkSession.sparkContext.broadcast(_index(counted, k))
         width = shape["hi"]
 
         def match(batches):
@@ -149,11 +321,11 @@ def _slots(rest: DataFrame, counted: DataFrame, k: int) -> DataFrame:
                 for at in range(0, batch.num_rows, AT_ONCE):
                     bcs = batch.column("bc").slice(at, AT_ONCE)
                     plain = [b.encode("latin-1", "replace") for b in bcs.to_pylist()]
-                    q = np.frombuffer(b"".join(plain), np.uint8).reshape(len(plain), width)
-                    found = [(b, *r) for b, r in zip(bcs.to_pylist(), shared.value.best(q), strict=True) if r]
-                    kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32()]
-                    cols = list(zip(*found, strict=True)) if found else [[]] * 5
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [x.split()[0] for x in SLOT.split(", ")])
+                    d, entry, times, then = shared.value.search(np.frombuffer(b"".join(plain), np.uint8).reshape(len(plain), width))
+                    none, last = d == NONE, then == NONE
+                    b = shared.value.text.take(pa.array(entry, pa.int64(), mask=none)).cast(pa.string())
+                    cols = [bcs, pa.array(np.where(none, 0, d), pa.int32(), mask=none), b, pa.array(times, pa.int64(), mask=none), pa.array(np.where(last, 0, then), pa.int32(), mask=last)]
+                    yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in SLOT.split(", ")])
 
         # A number of parts is kept as it is: rows are few bytes but much work each.
         parts = max(rest.sparkSession.sparkContext.defaultParallelism, int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -165,7 +337,8 @@ def _slots(rest: DataFrame, counted: DataFrame, k: int) -> DataFrame:
     slots = near.groupBy("bc", "d").agg(F.min("barcode").alias("b"), F.sum("times").alias("t"))
     s = F.array_sort(F.collect_list(F.struct("d", "b", "t")))
     slots = slots.groupBy("bc").agg(s.alias("s"))
-    return slots.select("bc", F.col("s")[0]["d"].alias("d"), F.col("s")[0]["b"].alias("b"), F.col("s")[0]["t"].alias("t"), F.get("s", F.lit(1))["d"].alias("next"))
+    slots = slots.select("bc", F.col("s")[0]["d"].alias("d"), F.col("s")[0]["b"].alias("b"), F.col("s")[0]["t"].alias("t"), F.get("s", F.lit(1))["d"].alias("next"))
+    return rest.join(slots.hint("merge"), "bc", "left")
 
 
 def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_duplicates: bool = True) -> DataFrame:
@@ -183,13 +356,14 @@ def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_dup
         wl = wl.distinct()
     bcs = barcodes.select("bc").where("bc is not null").distinct()
     counted = wl.groupBy("barcode").agg(F.count("*").alias("times"))
-    marked = bcs.join(counted.select(F.col("barcode").alias("hit")), F.col("bc") == F.col("hit"), "left")
+    # Sizes are guessed from files, which hold ids in place of barcodes: the whitelist would be sent to all.
+    marked = bcs.join(counted.select(F.col("barcode").alias("hit")).hint("merge"), F.col("bc") == F.col("hit"), "left")
     exact = marked.where("hit is not null").select("bc", F.col("bc").alias("corr"), F.lit(0).alias("dist"), F.lit(None).cast("int").alias("margin"), F.lit(True).alias("exact"))
     rest = marked.where("hit is null").select("bc")
-    slots = _slots(rest, counted, k)
+    slots = _slots(rest, counted, k)  # a row for each of the rest
     length = F.length("bc")
     nxt = F.when(F.col("t") > 1, F.col("d")).otherwise(F.coalesce("next", length))
-    fuzzy = rest.join(slots, "bc", "left").select("bc", F.col("b").alias("corr"), F.coalesce("d", length).alias("dist"), F.coalesce(nxt - F.col("d"), F.lit(0)).alias("margin"), F.lit(False).alias("exact"))
+    fuzzy = slots.select("bc", F.col("b").alias("corr"), F.coalesce("d", length).alias("dist"), F.coalesce(nxt - F.col("d"), F.lit(0)).alias("margin"), F.lit(False).alias("exact"))
     return exact.unionByName(fuzzy)
 
 
@@ -228,7 +402,7 @@ def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist:
         kept = F.when((F.col("dist") == 0) | ((F.col("dist") <= max_dist[i]) & (F.col("margin") >= min_margin[i])), F.col("corr"))
         m = m.select(F.col("bc").alias(f"bc{i}"), F.struct(F.col("bc").alias("orig"), "corr", "dist", "margin", "exact", kept.alias("kept")).alias(f"p{i}"))
         some, none = out.where(F.col(f"bc{i}").isNotNull()), out.where(F.col(f"bc{i}").isNull())
-        out = some.join(m, f"bc{i}", "left").unionByName(none, allowMissingColumns=True)
+        out = some.join(m.hint("merge"), f"bc{i}", "left").unionByName(none, allowMissingColumns=True)
     return out.select("read_id", *keep, F.array(*[f"p{i}" for i in range(n)]).alias("parts"))
 
 
