@@ -71,17 +71,23 @@ def em_counts(
 # Evidence-weighted correction and collapse ---------------------------------------
 
 
-def _masks(c: str) -> Column:
-    """Each way to leave one base out of sight."""
-    i = F.sequence(F.lit(1), F.length(c))
-    return F.when(F.length(c) > 0, F.transform(i, lambda p: F.struct(p.alias("p"), F.concat(F.substring(F.col(c), F.lit(1), p - 1), F.lit("*"), F.substring(F.col(c), p + 1, F.length(c))).alias("m"))))
+def _masked(df: DataFrame, c: str, by: list[str], key: str, p: str) -> DataFrame:
+    """Each string once for each way to leave one base out of sight: what stays in sight as a number."""
+    places = df.withColumn(p, F.explode(F.when(F.length(c) > 0, F.sequence(F.lit(1), F.length(c)))))
+    seen = [F.substring(c, F.lit(1), F.col(p) - 1), F.substring(c, F.col(p) + 1, F.length(c))]
+    return places.withColumn(key, F.xxhash64(*by, p, *seen))
 
 
 def one_mismatch(left: DataFrame, right: DataFrame, a: str, b: str, by: list[str] = ()) -> DataFrame:
-    """(by, a, b, p): pairs of strings of one length that differ in exactly one base, the p-th, by an equi-join on strings with one base hidden."""
-    x = left.select(*by, a, F.explode(_masks(a)).alias("k")).select(*by, a, "k.p", "k.m")
-    y = right.select(*by, b, F.explode(_masks(b)).alias("k")).select(*by, b, "k.p", "k.m")
-    return x.join(y, [*by, "p", "m"]).where(F.col(a) != F.col(b)).select(*by, a, b, "p")
+    """(by, a, b, p): pairs of strings of one length that differ in exactly one base, the p-th, by an equi-join on what stays in sight with one base hidden.
+
+    Each string comes once for each of its bases, which sizes guessed from files don't tell, so neither side is sent to all.
+    """
+    x, y = _masked(left.select(*by, a), a, by, "_h", "p"), _masked(right.select(*by, b), b, by, "_h", "_p")
+    pairs = x.join(y.hint("merge"), ["_h", *by]).where((F.col("p") == F.col("_p")) & (F.col(a) != F.col(b)))
+    # Different strings may have one number.
+    same = (F.length(a) == F.length(b)) & (F.substring(a, F.lit(1), F.col("p") - 1) == F.substring(b, F.lit(1), F.col("p") - 1)) & (F.substring(a, F.col("p") + 1, F.length(a)) == F.substring(b, F.col("p") + 1, F.length(b)))
+    return pairs.where(same).select(*by, a, b, "p")
 
 
 def correct_by_evidence(reads: DataFrame, whitelist: DataFrame, read_id: str = "read_id", barcode: str = "bc", quality: str = "bc_qual", entry: str = "barcode", least: float = 0.975, pseudo: float = 1.0) -> DataFrame:
@@ -94,21 +100,23 @@ def correct_by_evidence(reads: DataFrame, whitelist: DataFrame, read_id: str = "
     """
     listed = whitelist.select(F.col(entry).alias("entry")).distinct()
     known = reads.where(F.col(barcode).isNotNull()).select(F.col(read_id).alias("read_id"), F.col(barcode).alias("bc"), F.col(quality).alias("q"))
-    seen = known.groupBy("bc").agg(F.count("*").alias("n"))
-    exact = seen.join(listed.withColumnRenamed("entry", "bc"), "bc", "left_semi")
-    unlisted = seen.select("bc").join(exact.select("bc"), "bc", "left_anti")
-    weighed = listed.join(exact.withColumnRenamed("bc", "entry"), "entry", "left").select("entry", (F.coalesce("n", F.lit(0)) + pseudo).alias("n"))
-    near = one_mismatch(unlisted, listed, "bc", "entry").join(weighed, "entry")
-    candidates = near.groupBy("bc").agg(F.collect_list(F.struct("entry", "p", "n")).alias("c"))
+    # Distinct barcodes, written so that reads are counted once; sizes guessed from files, which hold ids in place of barcodes, would send the whitelist to all.
+    seen = known.groupBy("bc").agg(F.count("*").alias("n")).join(listed.select(F.col("entry").alias("hit")).hint("merge"), F.col("bc") == F.col("hit"), "left")
+    seen = written(seen, "barcodes")
+    exact = seen.where("hit is not null").select("bc", "n")
+    near = one_mismatch(seen.where("hit is null").select("bc"), listed, "bc", "entry")
+    weighed = near.join(exact.withColumnRenamed("bc", "entry").hint("merge"), "entry", "left").withColumn("n", F.coalesce("n", F.lit(0)) + pseudo)
+    candidates = weighed.groupBy("bc").agg(F.collect_list(F.struct("entry", "p", "n")).alias("c"))
+    candidates = candidates.unionByName(exact.select("bc"), allowMissingColumns=True)
     # Three entries for each base at most, so the array is short.
     chance = lambda x: F.coalesce(F.pow(F.lit(10.0), -(F.ascii(F.substring(F.col("q"), x["p"], F.lit(1))) - 33) / 10), F.lit(0.1))
     odds = F.transform("c", lambda x: F.struct((x["n"] * F.when(F.length("q") >= x["p"], chance(x)).otherwise(0.1)).alias("w"), x["entry"].alias("entry")))
-    scored = known.join(candidates, "bc").withColumn("o", odds)
+    scored = known.join(candidates.hint("merge"), "bc").withColumn("o", odds)
     best = F.reduce("o", F.struct(F.lit(-1.0).alias("w"), F.lit("").alias("entry")), lambda a, x: F.when((x["w"] > a["w"]) | ((x["w"] == a["w"]) & (x["entry"] < a["entry"])), x).otherwise(a))
     total = F.reduce(F.array_sort(F.transform("o", lambda x: x["w"])), F.lit(0.0), lambda a, x: a + x)
-    scored = scored.withColumn("b", best).select("read_id", F.col("b.entry").alias("barcode"), (F.col("b.w") / total).alias("posterior")).where(F.col("posterior") >= least)
-    plain = known.join(exact.select("bc"), "bc", "left_semi").select("read_id", F.col("bc").alias("barcode"), F.lit(1.0).alias("posterior"))
-    return plain.unionByName(scored)
+    scored = scored.withColumn("b", F.when(F.col("c").isNull(), F.struct(F.lit(1.0).alias("w"), F.col("bc").alias("entry"))).otherwise(best))
+    posterior = F.when(F.col("c").isNull(), F.lit(1.0)).otherwise(F.col("b.w") / total)
+    return scored.select("read_id", F.col("b.entry").alias("barcode"), posterior.alias("posterior")).where(F.col("c").isNull() | (F.col("posterior") >= least))
 
 
 def one_gene_a_umi(reads: DataFrame, keys: list[str] = ("cell",), umi: str = "umi", gene: str = "gene") -> DataFrame:

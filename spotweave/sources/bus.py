@@ -176,10 +176,11 @@ def corrected(records: DataFrame, whitelist: DataFrame, entry: str = "barcode")
     """Records whose barcode is listed, or differs in one base from exactly one entry, which it becomes; others go."""
     listed = whitelist.select(F.col(entry).alias("to")).distinct()
     seen = records.select("barcode").distinct()
-    others = seen.join(listed.withColumnRenamed("to", "barcode"), "barcode", "left_anti")
+    # Sizes are guessed from files, which hold ids in place of barcodes: without hints the whitelist would be sent to all.
+    others = seen.join(listed.withColumnRenamed("to", "barcode").hint("merge"), "barcode", "left_anti")
     near = one_mismatch(others, listed, "barcode", "to").groupBy("barcode").agg(F.min("to").alias("to"), F.count("*").alias("n")).where("n = 1").drop("n")
     exact = listed.select(F.col("to").alias("barcode"), "to")
-    return records.join(exact.unionByName(near), "barcode").withColumn("barcode", F.col("to")).drop("to")
+    return records.join(exact.unionByName(near).hint("merge"), "barcode").withColumn("barcode", F.col("to")).drop("to")
 
 
 def sorted_records(records: DataFrame) -> DataFrame:
@@ -218,7 +219,7 @@ def molecule_genes(records: DataFrame, genes: DataFrame) -> DataFrame:
     own = records.select(F.col("barcode").alias("cell"), "umi", "ec").distinct()
     many = own.groupBy("cell", "umi").agg(F.count("*").alias("k"))
     held = own.join(genes.select("ec", "gene").distinct(), "ec").groupBy("cell", "umi", "gene").agg(F.count("*").alias("n"))
-    return held.join(many, ["cell", "umi"]).where("n = k").select("cell", "umi", "gene")
+    return held.join(many.hint("merge"), ["cell", "umi"]).where("n = k").select("cell", "umi", "gene")
 
 
 def gene_counts(molecules: DataFrame) -> DataFrame:

@@ -72,3 +72,11 @@ def test_large_whitelist_compares_few_pairs(monkeypatch):
 @pytest.mark.parametrize("name", ["barcode_correct_full", "barcode_correct_slim", "barcode_correct_joined", "barcode_correction_summary", "barcode_distance_histogram"])
 def test_whitelist_is_not_broadcast_by_a_guess(spark, name):
     assert "BroadcastHashJoin" not in plan(queries.QUERIES[name](spark, SMALL))
+
+
+@pytest.mark.parametrize("name", ["barcode_correct_by_evidence", "bus_corrected_sorted", "bus_gene_counts"])
+def test_masked_whitelist_is_not_broadcast_by_a_guess(spark, name):
+    """A whitelist with a row for each base of each entry was sent to the driver and to all executors."""
+    made = queries.QUERIES[name](spark, SMALL)
+    joins = [x for x in plan(made).splitlines() if "BroadcastHashJoin" in x]
+    assert not [x for x in joins if any(c in x for c in ("_h#", "m#", "entry#", "barcode#", "to#", "bc#"))], joins
