@@ -195,7 +195,7 @@ def spans(alignments: DataFrame) -> DataFrame:
     """(name, chrom, strand, start, end, blocks): one row an alignment that covers anything."""
     chrom, name, strand = _placed(alignments)
     found = with_blocks(alignments).where("size(blocks) > 0")
-    return found.select(name, chrom, strand, F.col("blocks")[0]["start"].alias("start"), F.element_at("blocks", -1)["end"].alias("end"), "blocks")
+    return found.select(name, chrom, strand, F.get("blocks", F.lit(0))["start"].alias("start"), F.try_element_at("blocks", F.lit(-1))["end"].alias("end"), "blocks")
 
 
 def assign_features(blocks: DataFrame, features: DataFrame, feature: str = "gene", stranded: bool = True, largest: bool = False, min_length: int = 10, max_length: int = 10_000, width: int = BIN) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotweave.operators.intervals import overlaps
 from spotweave.operators.transcripts import introns
 from spotweave.sources.scratch import drop, written
 
@@ -151,32 +150,38 @@ def count_collapsed(reads: DataFrame, keys: list[str] = ("cell",), umi: str = "u
 # Spliced, unspliced, ambiguous ------------------------------------------------------
 
 
-def splice_verdicts(reads: DataFrame, transcripts: DataFrame, exact_junctions: bool = True, width: int = 10_000) -> DataFrame:
-    """(name, gene, verdict) of the reads that lie within transcripts of exactly one gene.
+def splice_verdicts(reads: DataFrame, transcripts: DataFrame, exact_junctions: bool = True, width: int = 10_000, keep: list[str] = ()) -> DataFrame:
+    """(name, *keep, gene, verdict) of the reads that lie within transcripts of exactly one gene.
 
     ``reads`` (name, chrom, strand, start, end, blocks) holds an alignment a row.  A transcript that spans all of a read holds it as exons do, if
     each block lies in an exon and (``exact_junctions``) each gap is one of its introns, else as the unspliced transcript does.  A read is spliced if
     all transcripts of its gene that span it hold it the first way, unspliced if all hold it the second way, else
-    ambiguous.
+    ambiguous.  ``keep`` names columns of a read that are carried along, so that nothing has to be joined to the reads again.
+
+    A transcript that spans a read lies in the bin where the read starts, so reads come once, with what is compared and no more.
     """
-    t = transcripts.withColumn("introns", introns())
-    pairs = overlaps(reads, t, stranded=True, width=width).where("l.start >= r.start and l.end <= r.end")
-    inside = F.forall("l.blocks", lambda b: F.exists("r.exons", lambda e: (e["start"] <= b["start"]) & (b["end"] <= e["end"])))
+    near = ["chrom", "strand", "_bin"]
+    r = reads.select("name", *keep, "chrom", "strand", "start", "end", "blocks", F.floor(F.col("start") / width).alias("_bin"))
+    bins = F.sequence(F.floor(F.col("start") / width), F.floor(F.greatest(F.col("end") - 1, F.col("start")) / width))
+    t = transcripts.select("gene", "chrom", "strand", F.col("start").alias("_from"), F.col("end").alias("_to"), "exons", F.explode(bins).alias("_bin"))
+    spans = (F.col("start") >= F.col("_from")) & (F.col("end") <= F.col("_to")) & (F.col("start") < F.col("_to")) & (F.col("_from") < F.col("end"))
+    pairs = r.join(t.hint("merge"), near).where(spans)
+    inside = F.forall("blocks", lambda b: F.exists("exons", lambda e: (e["start"] <= b["start"]) & (b["end"] <= e["end"])))
     if exact_junctions:
-        gaps = F.expr("transform(slice(l.blocks, 1, size(l.blocks) - 1), (b, i) -> named_struct('start', b.end, 'end', l.blocks[i + 1].start))")
-        inside &= F.forall(gaps, lambda g: F.exists("r.introns", lambda x: (x["start"] == g["start"]) & (x["end"] == g["end"])))
-    held = pairs.select("l.name", "r.gene", inside.alias("whole"))
-    per = held.groupBy("name").agg(F.min("gene").alias("gene"), F.max("gene").alias("_g"), F.bool_and("whole").alias("_all"), F.bool_or("whole").alias("_any")).where("gene = _g")
+        gaps = introns("blocks")
+        inside &= F.forall(gaps, lambda g: F.exists(introns(), lambda x: (x["start"] == g["start"]) & (x["end"] == g["end"])))
+    held = pairs.select("name", *keep, "gene", inside.alias("whole"))
+    per = held.groupBy("name", *keep).agg(F.min("gene").alias("gene"), F.max("gene").alias("_g"), F.bool_and("whole").alias("_all"), F.bool_or("whole").alias("_any")).where("gene = _g")
     verdict = F.when(F.col("_all"), "spliced").when(~F.col("_any"), "unspliced").otherwise("ambiguous")
-    return per.select("name", "gene", verdict.alias("verdict"))
+    return per.select("name", *keep, "gene", verdict.alias("verdict"))
 
 
-def velocity_counts(verdicts: DataFrame, cells: DataFrame) -> DataFrame:
-    """(cell, gene, spliced, unspliced, ambiguous): UMIs by one verdict each, from (name, cell, umi) of the reads.
+def velocity_counts(verdicts: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """(cell, gene, spliced, unspliced, ambiguous): UMIs by one verdict each, from (name, cell, umi) of the reads, or from verdicts that kept cell and umi.
 
     A UMI with spliced reads and no unspliced ones is spliced, the other way round unspliced, else ambiguous.
     """
-    named = verdicts.join(cells.select("name", "cell", "umi").dropna(), "name")
+    named = verdicts.dropna(subset=["cell", "umi"]) if cells is None else verdicts.join(cells.select("name", "cell", "umi").dropna(), "name")
     has = lambda v: F.max(F.when(F.col("verdict") == v, 1).otherwise(0))
     per = named.groupBy("cell", "gene", "umi").agg(has("spliced").alias("s"), has("unspliced").alias("u"))
     one = lambda cond: F.sum(F.when(cond, 1).otherwise(0))

@@ -110,7 +110,7 @@ def derived_annotation(spark: SparkSession, d: str) -> DataFrame:
     row = lambda feature, inner: F.concat_ws("\t", "chrom", F.lit("derived"), F.lit(feature), (F.col("s") + 1 + inner).cast("string"), (F.col("e") - inner).cast("string"), F.lit("."), "strand", F.lit("."), F.concat(F.lit('gene_id "g'), F.col("g").cast("string"), F.lit('"; transcript_id "t'), F.col("t").cast("string"), F.lit('";')))
     lines = x.select(row("exon", 0).alias("value")).unionByName(x.where("m % 3 = 0").select(row("CDS", 6).alias("value")))
     path = fresh_folder(spark, "annotation")
-    lines.write.text(path)
+    lines.write.text(path, compression="gzip")
     return readers.gtf(spark, path)
 
 
@@ -126,16 +126,15 @@ def transcript_junctions(spark, d):
     return tr.junctions(tr.assemble(derived_annotation(spark, d)))
 
 
-def _spliced_reads(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """A read an exon row: within it, over the junction to the next, or out into the intron; and (name, cell, umi)."""
+def _spliced_reads(spark: SparkSession, d: str) -> DataFrame:
+    """A read an exon row, with its cell and UMI: within it, over the junction to the next, or out into the intron."""
     x = _exons(spark, d).withColumn("kind", (F.col("t") + F.col("m")) % 3).withColumn("name", F.concat_ws(":", F.col("t").cast("string"), F.col("m").cast("string")))
     block = lambda a, b: F.struct(F.expr(a).alias("start"), F.expr(b).alias("end"))
     inner = F.array(block("g * 1000 + m * 120 + 32", "g * 1000 + m * 120 + 57"))
     over = F.array(block("e - 20", "e"), block("g * 1000 + (m + 1) * 120 + j * 10", "g * 1000 + (m + 1) * 120 + j * 10 + 20"))
     out = F.array(block("g * 1000 + m * 120 + 50", "g * 1000 + m * 120 + 110"))
     r = x.withColumn("blocks", F.when(F.col("kind") == 0, inner).when(F.col("kind") == 1, over).otherwise(out))
-    reads = r.select("name", "chrom", "strand", F.col("blocks")[0]["start"].alias("start"), F.element_at("blocks", -1)["end"].alias("end"), "blocks")
-    return reads, r.select("name", (F.col("l_suppkey") % 20).alias("cell"), (F.col("l_partkey") % 97).alias("umi"))
+    return r.select("name", "chrom", "strand", F.col("blocks")[0]["start"].alias("start"), F.element_at("blocks", -1)["end"].alias("end"), "blocks", (F.col("l_suppkey") % 20).alias("cell"), (F.col("l_partkey") % 97).alias("umi"))
 
 
 @query(f"""with {EXONS}, r as (select concat(cast(t as varchar), ':', cast(m as varchar)) as name, l_suppkey % 20 as cell, l_partkey % 97 as umi, chrom, strand,
@@ -148,8 +147,8 @@ v as (select name, min(gene) as gene, bool_and(whole) as a, bool_or(whole) as o
 u as (select r.cell, v.gene, r.umi, max(case when a then 1 else 0 end) as s, max(case when not o then 1 else 0 end) as i from v join r on r.name = v.name group by 1, 2, 3)
 select cell, gene, cast(sum(case when s > i then 1 else 0 end) as bigint) as spliced, cast(sum(case when i > s then 1 else 0 end) as bigint) as unspliced, cast(sum(case when s = i then 1 else 0 end) as bigint) as ambiguous from u group by 1, 2""")
 def velocity_layers(spark, d):
-    reads, cells = _spliced_reads(spark, d)
-    return qt.velocity_counts(qt.splice_verdicts(reads, tr.assemble(derived_annotation(spark, d)), width=1000), cells)
+    verdicts = qt.splice_verdicts(_spliced_reads(spark, d), tr.assemble(derived_annotation(spark, d)), width=1000, keep=["cell", "umi"])
+    return qt.velocity_counts(verdicts)
 
 
 # Adapters with gaps ------------------------------------------------------------------

@@ -80,3 +80,11 @@ def test_masked_whitelist_is_not_broadcast_by_a_guess(spark, name):
     made = queries.QUERIES[name](spark, SMALL)
     joins = [x for x in plan(made).splitlines() if "BroadcastHashJoin" in x]
     assert not [x for x in joins if any(c in x for c in ("_h#", "m#", "entry#", "barcode#", "to#", "bc#"))], joins
+
+
+def test_reads_meet_transcripts_once(spark):
+    """Reads were joined to bins, shuffled with their columns twice, and joined by name again for their cells."""
+    text = plan(queries.QUERIES["velocity_layers"](spark, SMALL))
+    initial = text.split("Initial Plan")[-1]
+    joins = [x for x in initial.splitlines() if "Join" in x]
+    assert len(joins) == 1 and "name" not in joins[0], joins
