@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.functions import sequences as sq
+from spotweave.sources.scratch import written
 
 #: Entries of a whitelist that may be sent to every executor; a larger one is joined by k-mers instead.
 SENT_ENTRIES = 1_000_000
@@ -355,7 +356,8 @@ def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_dup
     if not keep_duplicates:
         wl = wl.distinct()
     bcs = barcodes.select("bc").where("bc is not null").distinct()
-    counted = wl.groupBy("barcode").agg(F.count("*").alias("times"))
+    # Counted, measured, sent and joined: written, so that it is made once.
+    counted = written(wl.groupBy("barcode").agg(F.count("*").alias("times")), "whitelist")
     # Sizes are guessed from files, which hold ids in place of barcodes: the whitelist would be sent to all.
     marked = bcs.join(counted.select(F.col("barcode").alias("hit")).hint("merge"), F.col("bc") == F.col("hit"), "left")
     exact = marked.where("hit is not null").select("bc", F.col("bc").alias("corr"), F.lit(0).alias("dist"), F.lit(None).cast("int").alias("margin"), F.lit(True).alias("exact"))
@@ -386,17 +388,22 @@ def check_correction(n_whitelists: int, k: int, max_dist: list[int], min_margin:
     return tuple(out)
 
 
-def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist: list[int] = (2,), min_margin: list[int] = (1,), concat: bool = False, keep: list[str] = ()) -> DataFrame:
+def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist: list[int] = (2,), min_margin: list[int] = (1,), concat: bool = False, keep: list[str] = (), stored: bool = False) -> DataFrame:
     """(read_id, *keep, parts): each part is (orig, corr before thresholds, dist, margin, exact, kept after thresholds).
 
     Distinct barcodes are corrected once each and joined back to the reads;
     reads without a barcode don't take part in the join.  ``keep`` names other
     columns of ``calls`` to carry along, so that nothing has to be joined to
-    the reads again.
+    the reads again.  Reads are needed thrice for each whitelist, and filters
+    on barcodes would be moved in front of what makes them and make them anew:
+    they are written first, unless ``calls`` are read from a table already
+    (``stored``).
     """
     n = 1 if concat else len(whitelists)
     max_dist, min_margin = check_correction(n, k, max_dist, min_margin)
     out = calls.select("read_id", *keep, *[(F.array_join("bcs", "") if concat else F.get("bcs", F.lit(i))).alias(f"bc{i}") for i in range(n)])
+    if not stored:
+        out = written(out, "reads")
     for i in range(n):
         m = best_matches(out.select(F.col(f"bc{i}").alias("bc")), whitelists[i], k)
         kept = F.when((F.col("dist") == 0) | ((F.col("dist") <= max_dist[i]) & (F.col("margin") >= min_margin[i])), F.col("corr"))

@@ -11,14 +11,17 @@ from spotweave.operators import reads as rd
 from spotweave.operators import tags as tg
 from spotweave.operators import umis as um
 from spotweave.plans.config import Recipe
+from spotweave.sources.scratch import written
 
 
 def barcodes_of(reads: DataFrame, recipe: Recipe, whitelists: list[DataFrame], enforce_thresholds: bool = False) -> DataFrame:
     """(read_id, cb, umi) of reads whose barcodes were found and corrected."""
     if recipe.internal_adapter:
         reads = rd.internal_trim(reads, [recipe.internal_adapter])
-    calls = rd.drop_missing_calls(rd.call_barcodes(reads, recipe.barcodes, recipe.umis)).withColumn("umi", F.array_join("umis", ""))
-    return bc.slim(bc.correct(calls, whitelists, max_dist=recipe.max_dist, min_margin=recipe.min_margin, concat=recipe.concat, keep=["umi"]), enforce_thresholds)
+    # Written before any are dropped: the filter would be moved in front of what makes the calls and make them anew.
+    calls = written(rd.call_barcodes(reads, recipe.barcodes, recipe.umis), "calls")
+    calls = rd.drop_missing_calls(calls).withColumn("umi", F.array_join("umis", ""))
+    return bc.slim(bc.correct(calls, whitelists, max_dist=recipe.max_dist, min_margin=recipe.min_margin, concat=recipe.concat, keep=["umi"], stored=True), enforce_thresholds)
 
 
 def long_reads(reads: DataFrame, recipe: Recipe, adapter2: str, split: str = "TTTTTTTT") -> DataFrame:
@@ -35,7 +38,8 @@ def count_reads(barcoded: DataFrame, genes: DataFrame, method: str = "exact") ->
 
 
 def annotated_matrix(counts: DataFrame, bc_map: DataFrame, annotation: DataFrame | None = None) -> mx.Matrix:
-    m = mx.place_in_space(mx.from_long(counts).keep_raw(), bc_map)
+    # Cells, genes and their summaries are all made from the counts: written, so that they and the map are made once.
+    m = mx.place_in_space(mx.from_long(written(counts, "counts")).keep_raw(), written(bc_map, "map"))
     m = m.subset(cells=mx.nonzero_cells(m.x))
     m.obs = m.obs.join(mx.cell_qc(m.x, m.obs), "cell")
     if annotation is not None:

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 
 from spotweave import plan_queries, quant_queries, queries  # noqa: F401  (these register the catalogue)
+from pyspark.sql import functions as F
 from spotweave.operators import barcodes as bc
+from spotweave.plans import config, pipeline
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -88,3 +90,38 @@ def test_reads_meet_transcripts_once(spark):
     initial = text.split("Initial Plan")[-1]
     joins = [x for x in initial.splitlines() if "Join" in x]
     assert len(joins) == 1 and "name" not in joins[0], joins
+
+
+def counted_reads(spark, n=60):
+    """Reads whose sequence is made by a function that counts its calls."""
+    made = spark.sparkContext.accumulator(0)
+
+    def sequence(i):
+        made.add(1)
+        return "".join("ACGT"[(i % 7 * k + k) % 4] for k in range(28))
+
+    reads = spark.range(0, n, 1, 4).select(F.concat(F.lit("r"), "id").alias("read_id"), F.udf(sequence)("id").alias("seq"), (F.col("id") % 3).cast("string").alias("gene"))
+    return reads, made
+
+
+def test_reads_are_made_once_for_correction(spark):
+    """They were made for their distinct barcodes, for the join and for those without a barcode."""
+    reads, made = counted_reads(spark)
+    calls = reads.select("read_id", F.array(F.when(F.col("read_id") != "r7", F.substring("seq", 1, 16))).alias("bcs"))
+    entries = spark.createDataFrame([("ACGTACGTACGTACGT",), ("AAAAAAAAAAAAAAAA",)], "barcode string")
+    assert bc.correct(calls, [entries]).count() == 60
+    assert made.value == 60
+
+
+def test_reads_are_made_once_for_a_matrix(spark):
+    """Cells, genes and summaries each made the reads anew, and dropping those without a barcode made them twice."""
+    reads, made = counted_reads(spark)
+    entries = spark.createDataFrame([("ACGTACGTACGTACGT", 1.0, 2.0), ("AAAAAAAAAAAAAAAA", 1.0, 3.0)], "barcode string, x double, y double")
+    done = pipeline.barcodes_of(reads, config.KNOWN["visium"], [entries])
+    m = pipeline.annotated_matrix(pipeline.count_reads(done, reads.select("read_id", "gene")), entries)
+    assert m.obs.count() > 0 and made.value == 60
+
+
+@pytest.mark.parametrize("name", ["annotated_run", "barcode_correct_slim", "corrected_umi_knee"])
+def test_events_are_not_read_again(spark, name):
+    assert "events.parquet" not in plan(queries.QUERIES[name](spark, SMALL))
