@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cached_property
 from itertools import combinations
 
@@ -70,18 +71,18 @@ def gram_codes(words: np.ndarray, k: int, base: int = 256) -> np.ndarray:
     return out
 
 
-def near_seeds(length: int) -> list[tuple[list[int], list[list[int]]]]:
-    """For each choice of half the pieces of a word: their places in an entry, and the places where a barcode at most ``NEAR`` edits away may show the same bases.
+def near_seeds(length: int, near: int = NEAR) -> list[tuple[list[int], list[list[int]]]]:
+    """For each choice of half the pieces of a word: their places in an entry, and the places where a barcode at most ``near`` edits away may show the same bases.
 
-    A word is cut into 2 * NEAR pieces.  An edit breaks one piece at most (an insertion between two pieces counts for either), so as many pieces as
-    ``NEAR`` stay whole.  Of equally long words 3 edits hold at most one insertion with its deletion: whole pieces that lie between these two are moved by
+    A word is cut into 2 * near pieces.  An edit breaks one piece at most (an insertion between two pieces counts for either), so as many pieces as
+    ``near`` stay whole.  Of equally long words 3 edits hold at most one insertion with its deletion: whole pieces that lie between these two are moved by
     one place, one way or the other, all others aren't.
     """
-    ends = np.linspace(0, length, 2 * NEAR + 1).astype(int).tolist()
+    ends = np.linspace(0, length, 2 * near + 1).astype(int).tolist()
     pieces = list(zip(ends, ends[1:], strict=False))
     out = []
-    for whole in combinations(range(2 * NEAR), NEAR):
-        broken = [i for i in range(2 * NEAR) if i not in whole]
+    for whole in combinations(range(2 * near), near):
+        broken = [i for i in range(2 * near) if i not in whole]
         moved = {frozenset(i for i in whole if a < i < b) for a, b in combinations(broken, 2)} | {frozenset()}
         shown = {tuple(c + (by if i in m else 0) for i in whole for c in range(*pieces[i])) for m in moved for by in (-1, 1)}
         out.append(([c for i in whole for c in range(*pieces[i])], [list(x) for x in sorted(shown)]))
@@ -126,15 +127,32 @@ class KmerIndex:
         return (out % np.uint64(BUCKETS)).astype(np.int64)
 
     @cached_property
-    def near_tables(self) -> list[tuple]:
+    def tables(self) -> dict[int, list[tuple]]:
+        return {}
+
+    def near_tables(self, near: int) -> list[tuple]:
         """(ids by bucket, where each bucket begins, places to look at in a barcode) of each seed."""
-        out = []
-        for places, shown in near_seeds(self.bytes.shape[1]):
-            at = self.bucket(self.entries, places)
-            starts = np.zeros(BUCKETS + 1, np.int32)
-            np.cumsum(np.bincount(at, minlength=BUCKETS), out=starts[1:])
-            out.append((np.argsort(at.astype(np.int32), kind="stable").astype(np.int32), starts, shown))
-        return out
+        if near not in self.tables:
+            out = []
+            for places, shown in near_seeds(self.bytes.shape[1], near):
+                at = self.bucket(self.entries, places)
+                starts = np.zeros(BUCKETS + 1, np.int32)
+                np.cumsum(np.bincount(at, minlength=BUCKETS), out=starts[1:])
+                out.append((np.argsort(at.astype(np.int32), kind="stable").astype(np.int32), starts, shown))
+            self.tables[near] = out
+        return self.tables[near]
+
+    def met(self, q: np.ndarray, near: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row of ``q``, entry, distance) of those at most ``near`` edits apart that a seed brings together, some of them twice."""
+        ids, starts, shown = self.near_tables(near)[seed]
+        at = np.concatenate([self.bucket(q, places) for places in shown])
+        lo, size = starts[at].astype(np.int64), (starts[at + 1] - starts[at]).astype(np.int64)
+        rows = np.tile(np.arange(len(q)), len(shown))
+        for a, b in runs(size, PAIRS):
+            row, entry = np.repeat(rows[a:b], size[a:b]), ids[spread(lo[a:b], size[a:b])]
+            d = self.distances(q, row, entry)
+            close = d <= near
+            yield row[close], entry[close], d[close].astype(np.int64)
 
     def share_kmer(self, q: np.ndarray, row: np.ndarray, ids: np.ndarray) -> np.ndarray:
         base = len(self.alphabet) + 1
@@ -144,26 +162,33 @@ class KmerIndex:
             out |= (a[row, i][:, None] == b).any(axis=1)
         return out
 
-    def near(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row of ``q``, entry, distance) of all that share a k-mer and are at most NEAR edits apart, each once, by row."""
-        kept = []
-        for ids, starts, shown in self.near_tables:
-            at = np.concatenate([self.bucket(q, places) for places in shown])
-            lo, size = starts[at].astype(np.int64), (starts[at + 1] - starts[at]).astype(np.int64)
-            rows = np.tile(np.arange(len(q)), len(shown))
-            for a, b in runs(size, PAIRS):
-                row, entry = np.repeat(rows[a:b], size[a:b]), ids[spread(lo[a:b], size[a:b])]
-                d = self.distances(q, row, entry)
-                close = d <= NEAR
-                kept.append((row[close] * len(self.bytes) + entry[close], d[close]))
-        pair, first = np.unique(np.concatenate([p for p, _ in kept]), return_index=True)
-        d = np.concatenate([d for _, d in kept])[first]
-        row, ids = pair // len(self.bytes), pair % len(self.bytes)
+    def sharing(self, q: np.ndarray, row: np.ndarray, ids: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """Which pairs, d edits apart, share a k-mer."""
         # d edits leave d + 1 whole stretches, one of them as long as their mean at least.
         unsure = np.ceil((q.shape[1] - d) / (d + 1)) < self.k
         ok = ~unsure
         ok[unsure] = self.share_kmer(q, row[unsure], ids[unsure])
-        return row[ok], ids[ok], d[ok].astype(np.int64)
+        return ok
+
+    def near(self, q: np.ndarray, near: int = NEAR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of ``q``, entry, distance) of all that share a k-mer and are at most ``near`` edits apart, each once, by row."""
+        kept = [x for seed in range(len(self.near_tables(near))) for x in self.met(q, near, seed)]
+        none = (np.zeros(0, np.int64),) * 3
+        row, ids, d = (np.concatenate(x) for x in zip(none, *kept, strict=True))
+        pair, first = np.unique(row * len(self.bytes) + ids, return_index=True)
+        row, ids, d = pair // len(self.bytes), pair % len(self.bytes), d[first]
+        ok = self.sharing(q, row, ids, d)
+        return row[ok], ids[ok], d[ok]
+
+    def any_at(self, q: np.ndarray, near: int) -> np.ndarray:
+        """Which rows have an entry that shares a k-mer and is exactly ``near`` edits away; a row that has one leaves, most with the first seeds."""
+        out = np.zeros(len(q), bool)
+        for seed in range(len(self.near_tables(near))):
+            (left,) = np.nonzero(~out)
+            for row, ids, d in self.met(q[left], near, seed) if len(left) else ():
+                row, ids = row[d == near], ids[d == near]
+                out[left[row[self.sharing(q[left], row, ids, np.full(len(row), near))]]] = True
+        return out
 
     # Entries that share a k-mer
 
@@ -260,13 +285,18 @@ class KmerIndex:
     def search(self, q: np.ndarray) -> tuple[np.ndarray, ...]:
         """As ``best``, in columns; a row with several entries at its least distance may lack others and the next distance, which don't count then.
 
-        Most rows are settled by entries at most NEAR edits away; only those that these leave open meet all entries that share a k-mer.
+        Entries nearer than NEAR edits come first.  A row with one nearest of them and no next need only know whether any is NEAR edits away; one without
+        meets all that are.  Only rows that these leave open meet all entries that share a k-mer.
         """
         q = self.digits(q)
         if q.shape[1] < 2 * NEAR:
             return self.by_kmers(q)
-        out = self.least(len(q), *self.near(q))
-        (open_,) = np.nonzero((out[2] < 2) & (out[3] == NONE))
+        out = first, _, times, then = self.least(len(q), *self.near(q, NEAR - 1))
+        (far,), (alone,) = np.nonzero(first == NONE), np.nonzero((times == 1) & (then == NONE))
+        then[alone[self.any_at(q[alone], NEAR)]] = NEAR
+        for column, value in zip(out, self.least(len(far), *self.near(q[far])), strict=True):
+            column[far] = value
+        (open_,) = np.nonzero((times < 2) & (then == NONE))
         if len(open_):
             for column, value in zip(out, self.by_kmers(q[open_]), strict=True):
                 column[open_] = value

@@ -42,13 +42,13 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 # Derived inputs --------------------------------------------------------------
 
 
-def dna(c: Column) -> Column:
-    return F.translate(F.md5(c.cast("binary")), "0123456789abcdef", "ACGTACGTACGTACGT")
+def dna(c: Column, n: int = 32) -> Column:
+    return F.translate(F.substring(F.md5(c.cast("binary")), 1, n), "0123456789abcdef", "ACGTACGTACGTACGT")
 
 
 def derived_reads(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
-    key = lambda p, c: dna(F.concat(F.lit(p), c.cast("string")))
+    key = lambda p, c, n=32: dna(F.concat(F.lit(p), c.cast("string")), n)
     i, true = F.col("event_id"), F.col("true_bc")
     p = (i % 16).cast("int") + 1
     rest = F.substring(true, p + 1, F.length(true))
@@ -56,14 +56,14 @@ def derived_reads(spark: SparkSession, d: str) -> DataFrame:
     gap = F.concat(F.substring(true, F.lit(1), p - 1), rest, F.lit("A"))
     return e.select(
         "event_id", F.concat(F.lit("r"), i.cast("string")).alias("read_id"), F.col("event_type").alias("gene"),
-        F.substring(key("c", F.col("user_id")), 1, 16).alias("true_bc"), F.substring(key("u", i % 50), 1, 12).alias("umi"), key("d", i).alias("cdna"),
+        key("c", F.col("user_id"), 16).alias("true_bc"), key("u", i % 50, 12).alias("umi"), key("d", i).alias("cdna"),
     ).withColumn("bc", F.when(i % 6 == 0, sub).when(i % 6 == 1, gap).otherwise(true))
 
 
 def derived_whitelist(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     return table(spark, d, "customer").select(
-        k.alias("spot"), F.substring(dna(F.concat(F.lit("c"), k.cast("string"))), 1, 16).alias("barcode"), (k % 40).cast("double").alias("x"), F.floor(k / 40).cast("double").alias("y")
+        k.alias("spot"), dna(F.concat(F.lit("c"), k.cast("string")), 16).alias("barcode"), (k % 40).cast("double").alias("x"), F.floor(k / 40).cast("double").alias("y")
     )
 
 

@@ -71,6 +71,21 @@ def test_large_whitelist_compares_few_pairs(monkeypatch):
     assert sum(made) < len(q) * len(words) / 50
 
 
+def test_rows_leave_when_their_next_distance_is_known(monkeypatch):
+    """Barcodes with one near entry met all entries three edits away, to learn that there is any."""
+    r = np.random.default_rng(4)
+    words = np.frombuffer(b"ACGT", np.uint8)[r.integers(0, 4, (900_000, 16))]
+    words = np.unique(words.view("S16").ravel()).view(np.uint8).reshape(-1, 16)
+    index = bc.KmerIndex(words, np.ones(len(words), np.int64), 5)
+    q = index.digits(words[:500])
+    q[:, 7] = (q[:, 7] + 1) % 4
+    made, real = [], bc.KmerIndex.distances
+    monkeypatch.setattr(bc.KmerIndex, "by_kmers", lambda self, q: (np.full(len(q), bc.NONE),) * 4)
+    monkeypatch.setattr(bc.KmerIndex, "distances", lambda self, q, row, ids: made.append(len(ids)) or real(self, q, row, ids))
+    index.search(np.frombuffer(b"ACGT", np.uint8)[q])
+    assert sum(made) < 600 * len(q)
+
+
 @pytest.mark.parametrize("name", ["barcode_correct_full", "barcode_correct_slim", "barcode_correct_joined", "barcode_correction_summary", "barcode_distance_histogram"])
 def test_whitelist_is_not_broadcast_by_a_guess(spark, name):
     assert "BroadcastHashJoin" not in plan(queries.QUERIES[name](spark, SMALL))
