@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from spotweave.operators.quantify import one_mismatch
+from spotweave.sources.scratch import written
 from spotweave.sources.stores import file_system, files
 
 #: Fixed layout.
@@ -29,6 +30,8 @@ BASES = np.frombuffer(b"ACGT", np.uint8)
 SCHEMA = "barcode string, umi string, ec int, count long, flags long"
 #: Records that a task reads, and those of one batch.
 SPLIT, BATCH = 1 << 21, 1 << 15
+#: Tasks a core that write records down for correction.
+RUNS = 4
 
 
 def encode(strings: pa.Array, length: int) -> np.ndarray:
@@ -174,7 +177,9 @@ def write_bus(records: DataFrame, path: str, barcode_length: int, umi_length: in
 
 def corrected(records: DataFrame, whitelist: DataFrame, entry: str = "barcode") -> DataFrame:
     """Records whose barcode is listed, or differs in one base from exactly one entry, which it becomes; others go."""
-    listed = whitelist.select(F.col(entry).alias("to")).distinct()
+    listed = written(whitelist.select(F.col(entry).alias("to")).distinct(), "whitelist")
+    # Written once, some runs of a file a task: each read of files starts Python for every run, and the driver keeps processes for each that it plans.
+    records = written(records.coalesce(RUNS * records.sparkSession.sparkContext.defaultParallelism), "records")
     seen = records.select("barcode").distinct()
     # Sizes are guessed from files, which hold ids in place of barcodes: without hints the whitelist would be sent to all.
     others = seen.join(listed.withColumnRenamed("to", "barcode").hint("merge"), "barcode", "left_anti")

@@ -140,3 +140,9 @@ def test_reads_are_made_once_for_a_matrix(spark):
 @pytest.mark.parametrize("name", ["annotated_run", "barcode_correct_slim", "corrected_umi_knee"])
 def test_events_are_not_read_again(spark, name):
     assert "events.parquet" not in plan(queries.QUERIES[name](spark, SMALL))
+
+
+@pytest.mark.parametrize("name", ["bus_corrected_sorted", "bus_gene_counts"])
+def test_bus_files_are_read_once(spark, name):
+    """They were read for their barcodes and again for their records, by two tasks a run and two plans of the driver."""
+    assert "BatchScan" not in plan(queries.QUERIES[name](spark, SMALL))
