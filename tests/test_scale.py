@@ -137,7 +137,7 @@ def test_reads_are_made_once_for_a_matrix(spark):
     assert m.obs.count() > 0 and made.value == 60
 
 
-@pytest.mark.parametrize("name", ["annotated_run", "barcode_correct_slim", "corrected_umi_knee"])
+@pytest.mark.parametrize("name", ["annotated_run", "barcode_correct_slim", "corrected_umi_knee", "barcode_correct_joined", "barcode_correction_summary", "barcode_distance_histogram"])
 def test_events_are_not_read_again(spark, name):
     assert "events.parquet" not in plan(queries.QUERIES[name](spark, SMALL))
 
