@@ -17,10 +17,10 @@ from spotweave.sources.scratch import written
 #: Entries of a whitelist that may be sent to every executor; a larger one is joined by k-mers instead.
 SENT_ENTRIES = 1_000_000
 #: Barcodes whose distances are computed at once.
-AT_ONCE = 1024
+AT_ONCE = 4096
 #: Pairs of a barcode and an entry whose distances are computed at once.
 PAIRS = 1 << 17
-#: Edits within which entries are found without k-mers, and buckets (a prime) of each of the tables for them.
+#: Edits within which entries are found without k-mers (3 at most, see KmerIndex.few), and buckets (a prime) of each of the tables for them.
 NEAR, BUCKETS = 3, 524_287
 NONE = np.iinfo(np.int64).max
 
@@ -131,29 +131,95 @@ class KmerIndex:
         return {}
 
     def near_tables(self, near: int) -> list[tuple]:
-        """(ids by bucket, where each bucket begins, places to look at in a barcode) of each seed."""
+        """(ids by bucket, where each bucket begins, places to look at in a barcode: those in place, those that are moved) of each seed."""
         if near not in self.tables:
-            out = []
+            out, own = [], np.arange(len(self.entries), dtype=np.int64)
+            bits = len(own).bit_length()
             for places, shown in near_seeds(self.bytes.shape[1], near):
                 at = self.bucket(self.entries, places)
                 starts = np.zeros(BUCKETS + 1, np.int32)
                 np.cumsum(np.bincount(at, minlength=BUCKETS), out=starts[1:])
-                out.append((np.argsort(at.astype(np.int32), kind="stable").astype(np.int32), starts, shown))
+                ids = np.sort(at << bits | own) & ((1 << bits) - 1)
+                out.append((ids.astype(np.int32), starts, ([places], [x for x in shown if x != places])))
             self.tables[near] = out
         return self.tables[near]
 
-    def met(self, q: np.ndarray, near: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(row of ``q``, entry, distance) of those at most ``near`` edits apart that a seed brings together, some of them twice."""
-        ids, starts, shown = self.near_tables(near)[seed]
-        at = np.concatenate([self.bucket(q, places) for places in shown])
+    def met(self, q: np.ndarray, packed: tuple[np.ndarray, np.ndarray] | None, near: int, seed: int, moved: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row of ``q``, entry, distance) of those at most ``near`` edits apart that a seed brings together by bases in place, or ``moved``; some of them twice."""
+        ids, starts, shown = self.near_tables(min(near, NEAR))[seed]
+        if not shown[moved]:
+            return
+        at = np.concatenate([self.bucket(q, places) for places in shown[moved]])
         lo, size = starts[at].astype(np.int64), (starts[at + 1] - starts[at]).astype(np.int64)
-        rows = np.tile(np.arange(len(q)), len(shown))
+        rows = np.tile(np.arange(len(q)), len(shown[moved]))
         for a, b in runs(size, PAIRS):
             row, entry = np.repeat(rows[a:b], size[a:b]), ids[spread(lo[a:b], size[a:b])]
-            d = self.distances(q, row, entry)
-            close = d <= near
+            d = self.distances(q, row, entry) if packed is None else self.few(packed, row, entry)
+            (close,) = np.nonzero(d <= near)
             yield row[close], entry[close], d[close].astype(np.int64)
 
+    def pack(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Digits as numbers, the lowest bits of all first, then the next ones, and bits for those in no entry; None where they are too many."""
+        m, planes = words.shape[1], max(1, (len(self.alphabet) - 1).bit_length())
+        if m * planes > 64:
+            return None
+        kind = np.uint32 if m * planes <= 32 else np.uint64
+        code, lost = np.zeros(len(words), kind), np.zeros(len(words), next(t for t in (np.uint16, np.uint32, np.uint64) if np.iinfo(t).bits >= m))
+        for c, digits in enumerate(np.ascontiguousarray(words.T)):
+            for p in range(planes):
+                code |= (digits >> p & 1).astype(kind) << kind(p * m + c)
+            lost |= (digits == len(self.alphabet)).astype(lost.dtype) << lost.dtype.type(c)
+        return code, lost
+
+    @cached_property
+    def codes(self) -> np.ndarray:
+        return self.pack(self.entries)[0]
+
+    def few(self, packed: tuple[np.ndarray, np.ndarray], row: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Levenshtein distances of packed barcodes and entries where they are 3 at most, elsewhere the number of bases that differ, from 4 on.
+
+        Equally long words at most 3 edits apart differ in as many bases, or hold one insertion, its deletion and one other base at most.  What lies
+        between these two is moved by one place, one way or the other, and what lies before and behind isn't: they lie best at the first and the last base
+        that differ, or at the second or last but one where the other base is the first or the last.
+        """
+        m, (code, lost) = self.bytes.shape[1], packed
+        kind, some = lost.dtype.type, bool(lost.any())
+        full = code.dtype.type((1 << m) - 1)
+
+        def differing(x: np.ndarray, row: np.ndarray) -> np.ndarray:
+            out = x.copy()
+            for at in range(m, max(1, (len(self.alphabet) - 1).bit_length()) * m, m):
+                out |= x >> code.dtype.type(at)
+            out &= full
+            out = out.astype(kind)
+            return out | lost[row] if some else out
+
+        def down(x: np.ndarray) -> np.ndarray:
+            for by in (1, 2, 4, 8, 16, 32):
+                if by < m:
+                    x = x | x >> kind(by)
+            return x
+
+        x, e = code[row], np.take(self.codes, ids)
+        apart = differing(x ^ e, row)
+        d = np.bitwise_count(apart)
+        (at,) = np.nonzero(d > 2)
+        x, e, row, apart = x[at], e[at], row[at], apart[at]
+        upto = down(apart)
+        rest, less = apart & (apart - kind(1)), down(apart & upto >> kind(1))
+        since, later = apart | (~apart + kind(1)), rest | (~rest + kind(1))
+        near = d[at]
+        for by, a, a2, b, b2 in (
+            (e >> code.dtype.type(1), since, later, upto >> kind(1), less >> kind(1)),
+            (e << code.dtype.type(1), since << kind(1), later << kind(1), upto, less),
+        ):
+            other = differing(x ^ by, row)
+            within = other & a & b
+            near[(np.bitwise_count(within) <= 1) | (other & a2 & b == 0) | (within & b2 == 0)] = 3
+            near[within == 0] = 2
+            d[at] = np.minimum(d[at], near)
+        return d
+
     def share_kmer(self, q: np.ndarray, row: np.ndarray, ids: np.ndarray) -> np.ndarray:
         base = len(self.alphabet) + 1
         a, b = gram_codes(q, self.k, base), gram_codes(np.take(self.entries, ids, axis=0), self.k, base)
@@ -172,7 +238,8 @@ class KmerIndex:
 
     def near(self, q: np.ndarray, near: int = NEAR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row of ``q``, entry, distance) of all that share a k-mer and are at most ``near`` edits apart, each once, by row."""
-        kept = [x for seed in range(len(self.near_tables(near))) for x in self.met(q, near, seed)]
+        packed = self.pack(q)
+        kept = [x for seed in range(len(self.near_tables(near))) for moved in (False, True) for x in self.met(q, packed, near, seed, moved)]
         none = (np.zeros(0, np.int64),) * 3
         row, ids, d = (np.concatenate(x) for x in zip(none, *kept, strict=True))
         pair, first = np.unique(row * len(self.bytes) + ids, return_index=True)
@@ -181,13 +248,18 @@ class KmerIndex:
         return row[ok], ids[ok], d[ok]
 
     def any_at(self, q: np.ndarray, near: int) -> np.ndarray:
-        """Which rows have an entry that shares a k-mer and is exactly ``near`` edits away; a row that has one leaves, most with the first seeds."""
-        out = np.zeros(len(q), bool)
-        for seed in range(len(self.near_tables(near))):
-            (left,) = np.nonzero(~out)
-            for row, ids, d in self.met(q[left], near, seed) if len(left) else ():
-                row, ids = row[d == near], ids[d == near]
-                out[left[row[self.sharing(q[left], row, ids, np.full(len(row), near))]]] = True
+        """Which rows have an entry that shares a k-mer and is exactly ``near`` edits away; a row that has one leaves, most with the first seeds and bases in place.
+
+        More than NEAR edits away not all such entries are found: those that seeds for NEAR bring together by bases in place, and that differ in ``near`` bases.
+        """
+        out, packed = np.zeros(len(q), bool), self.pack(q)
+        for moved in (False, True)[: 2 if near <= NEAR else 1]:
+            for seed in range(len(self.near_tables(min(near, NEAR)))):
+                (left,) = np.nonzero(~out)
+                own = packed and tuple(x[left] for x in packed)
+                for row, ids, d in self.met(q[left], own, near, seed, moved) if len(left) else ():
+                    row, ids = row[d == near], ids[d == near]
+                    out[left[row[self.sharing(q[left], row, ids, np.full(len(row), near))]]] = True
         return out
 
     # Entries that share a k-mer
@@ -198,13 +270,14 @@ class KmerIndex:
         codes = gram_codes(self.entries, self.k, len(self.alphabet) + 1)
         known = np.unique(np.concatenate([np.unique(c) for c in codes.T]))
         keys, starts, owner = [], [], np.empty(codes.size, np.int32)
+        own, bits = np.arange(len(codes)), len(codes).bit_length()
         for j, column in enumerate(codes.T):
-            rank = np.searchsorted(known, column).astype(np.int32)
-            by = np.argsort(rank, kind="stable")
-            owner[j * len(by) : (j + 1) * len(by)] = by
-            key, start = np.unique(rank[by], return_index=True)
-            keys.append(j * len(known) + key.astype(np.int64))
-            starts.append(j * len(by) + start)
+            ordered = np.sort(np.searchsorted(known, column) << bits | own)
+            owner[j * len(own) : (j + 1) * len(own)] = ordered & ((1 << bits) - 1)
+            rank = ordered >> bits
+            start = np.flatnonzero(np.append(True, rank[1:] != rank[:-1]))
+            keys.append(j * len(known) + rank[start])
+            starts.append(j * len(own) + start)
         return known, np.concatenate(keys), np.append(np.concatenate(starts), codes.size), owner
 
     def listed(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,7 +359,8 @@ class KmerIndex:
         """As ``best``, in columns; a row with several entries at its least distance may lack others and the next distance, which don't count then.
 
         Entries nearer than NEAR edits come first.  A row with one nearest of them and no next need only know whether any is NEAR edits away; one without
-        meets all that are.  Only rows that these leave open meet all entries that share a k-mer.
+        meets all that are.  A row with one of all these and no next leaves if an entry found one edit farther tells the next.  Only rows that these leave
+        open meet all entries that share a k-mer.
         """
         q = self.digits(q)
         if q.shape[1] < 2 * NEAR:
@@ -296,6 +370,8 @@ class KmerIndex:
         then[alone[self.any_at(q[alone], NEAR)]] = NEAR
         for column, value in zip(out, self.least(len(far), *self.near(q[far])), strict=True):
             column[far] = value
+        (alone,) = np.nonzero((times == 1) & (then == NONE))
+        then[alone[self.any_at(q[alone], NEAR + 1)]] = NEAR + 1
         (open_,) = np.nonzero((times < 2) & (then == NONE))
         if len(open_):
             for column, value in zip(out, self.by_kmers(q[open_]), strict=True):
@@ -419,7 +495,7 @@ def check_correction(n_whitelists: int, k: int, max_dist: list[int], min_margin:
 
 
 def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist: list[int] = (2,), min_margin: list[int] = (1,), concat: bool = False, keep: list[str] = (), stored: bool = False) -> DataFrame:
-    """(read_id, *keep, parts): each part is (orig, corr before thresholds, dist, margin, exact, kept after thresholds).
+    """(read_id if there is one, *keep, parts): each part is (orig, corr before thresholds, dist, margin, exact, kept after thresholds).
 
     Distinct barcodes are corrected once each and joined back to the reads;
     reads without a barcode don't take part in the join.  ``keep`` names other
@@ -431,7 +507,8 @@ def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist:
     """
     n = 1 if concat else len(whitelists)
     max_dist, min_margin = check_correction(n, k, max_dist, min_margin)
-    out = calls.select("read_id", *keep, *[(F.array_join("bcs", "") if concat else F.get("bcs", F.lit(i))).alias(f"bc{i}") for i in range(n)])
+    keep = [*(["read_id"] if "read_id" in calls.columns else []), *keep]
+    out = calls.select(*keep, *[(F.array_join("bcs", "") if concat else F.get("bcs", F.lit(i))).alias(f"bc{i}") for i in range(n)])
     if not stored:
         out = written(out, "reads")
     for i in range(n):
@@ -440,7 +517,7 @@ def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist:
         m = m.select(F.col("bc").alias(f"bc{i}"), F.struct(F.col("bc").alias("orig"), "corr", "dist", "margin", "exact", kept.alias("kept")).alias(f"p{i}"))
         some, none = out.where(F.col(f"bc{i}").isNotNull()), out.where(F.col(f"bc{i}").isNull())
         out = some.join(m.hint("merge"), f"bc{i}", "left").unionByName(none, allowMissingColumns=True)
-    return out.select("read_id", *keep, F.array(*[f"p{i}" for i in range(n)]).alias("parts"))
+    return out.select(*keep, F.array(*[f"p{i}" for i in range(n)]).alias("parts"))
 
 
 def slim(corrected: DataFrame, enforce_thresholds: bool = False) -> DataFrame:
@@ -450,25 +527,37 @@ def slim(corrected: DataFrame, enforce_thresholds: bool = False) -> DataFrame:
     return corrected.where(~F.exists(values, F.isnull)).select("read_id", F.array_join(values, "").alias("cb"), *[c for c in corrected.columns if c not in ("read_id", "parts")])
 
 
-def correction_summary(corrected: DataFrame) -> DataFrame:
-    """For each part: totals, efficiency, mean distances (0 where there are none) and mean distance of the second match."""
-    p = corrected.select("read_id", F.posexplode("parts").alias("part", "p")).where("p is not null")
+def alike(calls: DataFrame, reads: str = "reads") -> DataFrame:
+    """(bcs, and the number of reads) of calls with the same barcodes: all that summaries of corrections need."""
+    return calls.groupBy("bcs").agg(F.count("*").alias(reads))
+
+
+def correction_summary(corrected: DataFrame, reads: str | None = None) -> DataFrame:
+    """For each part: totals, efficiency, mean distances (0 where there are none) and mean distance of the second match.
+
+    A row counts as one read, or as many as the column ``reads`` tells (see :func:`alike`).
+    """
+    n = F.lit(1).cast("long") if reads is None else F.col(reads)
+    p = corrected.select(n.alias("n"), F.posexplode("parts").alias("part", "p")).where("p is not null")
     ok = F.col("p.kept").isNotNull()
-    mean = lambda value, where: F.bround(F.coalesce(F.avg(F.when(where, value)), F.lit(0.0)), 4)
-    total = F.count("*")
+    some = lambda where: F.coalesce(F.sum(F.when(where, F.col("n"))), F.lit(0).cast("long"))
+    mean = lambda value, where: F.bround(F.coalesce(F.sum(F.when(where, value * F.col("n"))) / F.sum(F.when(where & value.isNotNull(), F.col("n"))), F.lit(0.0)), 4)
+    total = F.sum("n")
     return p.groupBy("part").agg(
         total.alias("total"),
-        F.count_if(ok).alias("corrected"),
-        F.bround(100.0 * F.count_if(ok) / total, 4).alias("efficiency"),
+        some(ok).alias("corrected"),
+        F.bround(100.0 * some(ok) / total, 4).alias("efficiency"),
         mean(F.col("p.dist"), ok).alias("mean_dist_corrected"),
         mean(F.col("p.dist"), ~ok).alias("mean_dist_uncorrected"),
         mean(F.col("p.dist") + F.col("p.margin"), ~F.col("p.exact")).alias("mean_second_dist"),
     )
 
 
-def distance_histogram(corrected: DataFrame) -> DataFrame:
-    p = corrected.select(F.posexplode("parts").alias("part", "p")).where("p is not null")
-    counts = p.groupBy("part", F.col("p.dist").alias("dist")).agg(F.count("*").alias("n"))
+def distance_histogram(corrected: DataFrame, reads: str | None = None) -> DataFrame:
+    """(part, dist, n, pct): reads at each distance; a row counts as one, or as many as the column ``reads`` tells (see :func:`alike`)."""
+    n = F.lit(1).cast("long") if reads is None else F.col(reads)
+    p = corrected.select(n.alias("n"), F.posexplode("parts").alias("part", "p")).where("p is not null")
+    counts = p.groupBy("part", F.col("p.dist").alias("dist")).agg(F.sum("n").alias("n"))
     return counts.withColumn("pct", F.bround(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("part")), 2))
 
 

@@ -186,6 +186,12 @@ def _corrected(spark, d):
     return bc.correct(calls, [derived_whitelist(spark, d)])
 
 
+def _corrected_alike(spark, d):
+    """Reads with the same barcode as one row, with their number."""
+    calls = derived_reads(spark, d).select("read_id", F.array("bc").alias("bcs"))
+    return bc.correct(bc.alike(calls), [derived_whitelist(spark, d)], keep=["reads"])
+
+
 @query(f"""with {WL}, {READS}, {MATCH} select read_id, reads.bc as orig, case when dist = 0 or (dist <= 2 and margin >= 1) then corr end as corr, cast(dist as int) as dist, cast(margin as int) as margin from reads join best using (bc)""")
 def barcode_correct_full(spark, d):
     p = F.col("parts")[0]
@@ -207,7 +213,7 @@ def barcode_correction_summary(spark, d):
 @query(f"""with {WL}, {READS}, {MATCH}, g as (select dist, count(*) as n from reads join best using (bc) group by 1)
 select cast(0 as int) as part, cast(dist as int) as dist, n, round_even(100.0::double*n/sum(n) over (),2) as pct from g""")
 def barcode_distance_histogram(spark, d):
-    return bc.distance_histogram(_corrected(spark, d)).withColumn("dist", F.col("dist").cast("int"))
+    return bc.distance_histogram(_corrected_alike(spark, d), "reads").withColumn("dist", F.col("dist").cast("int"))
 
 
 @query(f"""with {WL}, {READS}, {MATCH}, u as (select corr as cell, count(distinct (gene, umi)) as n_counts, count(distinct gene) as n_genes from reads join best using (bc) where corr is not null group by 1)

@@ -86,6 +86,58 @@ def test_rows_leave_when_their_next_distance_is_known(monkeypatch):
     assert sum(made) < 600 * len(q)
 
 
+@pytest.mark.parametrize("bases, length", [("ACGT", 6), ("ACGT", 16), ("ACGTN", 16), ("ACGT", 32), ("ACGTN", 21)])
+def test_few_edits_without_recurrence(bases, length):
+    """Distances up to three edits from bits that differ, in place and moved by one place, are those of the recurrence; others are upper bounds."""
+    r = random.Random(length)
+    words = sorted({"".join(r.choices(bases, k=length)) for _ in range(150)})
+    words = sorted({edited(r, w, r.randrange(5), bases) for w in words for _ in range(4)} | set(words))
+    index = bc.KmerIndex(words, [1] * len(words), 5)
+    own = np.repeat(np.arange(len(words)), 12)
+    qs = [edited(r, words[i], r.randrange(6), "ACGTNX") for i in own]
+    q = index.digits(np.frombuffer("".join(qs).encode(), np.uint8).reshape(len(qs), length))
+    own[::4] = np.random.default_rng(1).integers(0, len(words), len(own[::4]))
+    got, want = index.few(index.pack(q), np.arange(len(qs)), own), index.distances(q, np.arange(len(qs)), own)
+    assert {0, 1, 2, 3} <= set(want.tolist()) and (np.where(want <= 3, want, 4) == np.minimum(got, 4)).all() and (got >= want).all()
+
+
+def test_near_barcodes_do_without_the_recurrence(monkeypatch):
+    """Every pair that seeds brought together went through all columns of the recurrence, and rows without an entry three edits away met all that share a k-mer."""
+    r = np.random.default_rng(5)
+    words = np.frombuffer(b"ACGT", np.uint8)[r.integers(0, 4, (300_000, 16))]
+    words = np.unique(words.view("S16").ravel()).view(np.uint8).reshape(-1, 16)
+    index = bc.KmerIndex(words, np.ones(len(words), np.int64), 5)
+    q = words[:300].copy()
+    q[:, 7] = np.where(q[:, 7] == 65, 67, 65)
+    want = index.by_kmers(index.digits(q))
+    met, open_, near, by_kmers = [], [], bc.KmerIndex.met, bc.KmerIndex.by_kmers
+
+    def no_recurrence(self, *args, **kwargs):
+        with monkeypatch.context() as m:
+            m.setattr(bc.KmerIndex, "distances", lambda *_: pytest.fail("the recurrence"))
+            found = list(near(self, *args, **kwargs))
+        met.append(len(found))
+        return found
+
+    monkeypatch.setattr(bc.KmerIndex, "met", no_recurrence)
+    monkeypatch.setattr(bc.KmerIndex, "by_kmers", lambda self, q: open_.append(len(q)) or by_kmers(self, q))
+    found, one = index.search(q), want[2] == 1
+    assert met and sum(open_) < len(q) / 10
+    assert (found[0] == want[0]).all() and ((found[2] == 1) == one).all() and all((found[i][one] == want[i][one]).all() for i in (1, 3))
+
+
+def test_calls_alike_count_as_their_reads(spark):
+    """With calls grouped, summaries of corrections stay as they are, missing barcodes and parts without a match included."""
+    entries = [spark.createDataFrame([(w,) for w in ws], "barcode string") for ws in (["ACGTACGT", "AAAATTTT", "AAAATTTG"], ["CCCCGGGG"])]
+    bcs = [("ACGTACGT", "CCCCGGGG")] * 5 + [("ACGTACGA", "CCCCGGGT")] * 3 + [("AAAATTTC", None)] * 4 + [("GGGGGGGG", "TTTTTTTT")] * 2 + [(None, None)]
+    calls = spark.createDataFrame([(f"r{i}", list(b)) for i, b in enumerate(bcs)], "read_id string, bcs array<string>")
+    each, grouped = bc.correct(calls, entries), bc.correct(bc.alike(calls), entries, keep=["reads"])
+    assert grouped.count() == 5
+    for f in (bc.correction_summary, bc.distance_histogram):
+        own = sorted(map(tuple, f(each).collect()))
+        assert own == sorted(map(tuple, f(grouped, "reads").collect())) and sum(x[1] if f is bc.correction_summary else x[2] for x in own) == 14 + 10
+
+
 @pytest.mark.parametrize("name", ["barcode_correct_full", "barcode_correct_slim", "barcode_correct_joined", "barcode_correction_summary", "barcode_distance_histogram"])
 def test_whitelist_is_not_broadcast_by_a_guess(spark, name):
     assert "BroadcastHashJoin" not in plan(queries.QUERIES[name](spark, SMALL))
