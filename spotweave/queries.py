@@ -207,7 +207,7 @@ def barcode_correct_slim(spark, d):
 select cast(0 as int) as part, count(*) as total, count(*) filter (ok) as corrected, round_even(100.0::double*count(*) filter (ok)/count(*),4) as efficiency,
 round_even(coalesce(avg(dist) filter (ok),0),4) as mean_dist_corrected, round_even(coalesce(avg(dist) filter (not ok),0),4) as mean_dist_uncorrected, round_even(coalesce(avg(dist+margin) filter (margin is not null),0),4) as mean_second_dist from k""")
 def barcode_correction_summary(spark, d):
-    return bc.correction_summary(_corrected(spark, d))
+    return bc.correction_summary(_corrected_alike(spark, d), "reads")
 
 
 @query(f"""with {WL}, {READS}, {MATCH}, g as (select dist, count(*) as n from reads join best using (bc) group by 1)

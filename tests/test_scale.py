@@ -126,6 +126,16 @@ def test_near_barcodes_do_without_the_recurrence(monkeypatch):
     assert (found[0] == want[0]).all() and ((found[2] == 1) == one).all() and all((found[i][one] == want[i][one]).all() for i in (1, 3))
 
 
+@pytest.mark.parametrize("name", ["barcode_correction_summary", "barcode_distance_histogram"])
+def test_summaries_write_no_row_a_read(spark, monkeypatch, name):
+    """Every read was written with its id, shuffled and joined, to get a few numbers."""
+    made, real = {}, bc.written
+    monkeypatch.setattr(bc, "written", lambda df, what: made.setdefault(what, real(df, what)))
+    queries.QUERIES[name](spark, SMALL)
+    assert "read_id" not in made["reads"].columns
+    assert made["reads"].count() == queries.derived_reads(spark, SMALL).select("bc").distinct().count()
+
+
 def test_calls_alike_count_as_their_reads(spark):
     """With calls grouped, summaries of corrections stay as they are, missing barcodes and parts without a match included."""
     entries = [spark.createDataFrame([(w,) for w in ws], "barcode string") for ws in (["ACGTACGT", "AAAATTTT", "AAAATTTG"], ["CCCCGGGG"])]
