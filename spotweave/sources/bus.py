@@ -1,9 +1,11 @@
 """BUS files: fixed-width records of barcode, UMI and equivalence class, read in pieces by offset, and what is counted from them.
 
 A file has a header (magic, version, lengths of barcode and UMI, length of a
-text, the text) and records of 32 bytes.  The data source cuts files into runs
-of records, so one file is read by many tasks; barcodes and UMIs are two bits a
-base, most significant base first.
+text, the text) and records of 32 bytes.  Files are cut into runs of records,
+so one file is read by many tasks; barcodes and UMIs are two bits a base, most
+significant base first.  Reading and writing run in Arrow batches of tasks: the
+driver keeps a Python process of its own for each step that it plans of a data
+source, which is there for ``spark.read.format("bus")`` alone.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
@@ -30,22 +33,24 @@ BASES = np.frombuffer(b"ACGT", np.uint8)
 SCHEMA = "barcode string, umi string, ec int, count long, flags long"
 #: Records that a task reads, and those of one batch.
 SPLIT, BATCH = 1 << 21, 1 << 15
-#: Tasks a core that write records down for correction.
+#: Tasks a core that read small runs, and that write records down for correction.
 RUNS = 4
 
 
 def encode(strings: pa.Array, length: int) -> np.ndarray:
     """Two bits a base of strings of one length over ACGT; anything else is an error."""
-    data = strings.cast(pa.string()).to_pylist()
-    flat = np.frombuffer("".join(x if x is not None else "?" for x in data).encode("ascii", "replace"), np.uint8)
-    if any(x is None or len(x) != length for x in data):
+    data, n = strings.cast(pa.large_string()), len(strings)
+    out = np.zeros(n, np.uint64)
+    if not n:
+        return out
+    at = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + n + 1]
+    if data.null_count or (np.diff(at) != length).any():
         raise ValueError(f"a sequence is missing or not {length} bases long")
     code = np.full(256, 255, np.uint8)
     code[BASES] = np.arange(4)
-    digits = code[flat].reshape(len(data), length)
+    digits = code[np.frombuffer(data.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]].reshape(n, length)
     if (digits == 255).any():
         raise ValueError("bases other than A, C, G and T can't be written")
-    out = np.zeros(len(data), np.uint64)
     for i in range(length):
         out = out << np.uint64(2) | digits[:, i].astype(np.uint64)
     return out
@@ -108,12 +113,12 @@ class BusWriter(DataSourceArrowWriter):
     """A file a task, under a hidden name until the whole write is committed, so a task that ran twice leaves one."""
 
     def __init__(self, options):
-        self.path, self.lengths = options["path"], (int(options["barcodelength"]), int(options["umilength"]))
+        self.path, self.lengths, self.id = options["path"], (int(options["barcodelength"]), int(options["umilength"])), uuid.uuid4().hex
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Done:
         system, path = file_system(self.path)
         system.create_dir(path, recursive=True)
-        held, file = f"{path}/.{uuid.uuid4().hex}.bus", None
+        held, file = f"{path}/.{self.id}-{uuid.uuid4().hex}.bus", None
         try:
             for batch in batches:
                 r = np.zeros(batch.num_rows, RECORD)
@@ -136,12 +141,14 @@ class BusWriter(DataSourceArrowWriter):
         system, path = file_system(self.path)
         for i, done in enumerate(m for m in messages if m is not None and m.held):
             system.move(done.held, f"{path}/part-{i:05d}.bus")
+        self.abort(messages)
 
     def abort(self, messages: list[Done | None]) -> None:
-        system, _ = file_system(self.path)
-        for done in messages:
-            if done is not None and done.held and system.get_file_info(done.held).is_file:
-                system.delete_file(done.held)
+        """What this write has left under hidden names goes, that of tasks which ran twice as well."""
+        system, path = file_system(self.path)
+        for f in system.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+            if f.is_file and f.base_name.startswith(f".{self.id}-"):
+                system.delete_file(f.path)
 
 
 class BusSource(DataSource):
@@ -160,16 +167,34 @@ class BusSource(DataSource):
 
 
 def read_bus(spark: SparkSession, path: str, split_records: int = SPLIT) -> DataFrame:
-    """(barcode, umi, ec, count, flags) of a BUS file or a folder of them, a task for each ``split_records``."""
-    spark.dataSource.register(BusSource)
-    return spark.read.format("bus").option("splitRecords", split_records).load(path)
+    """(barcode, umi, ec, count, flags) of a BUS file or a folder of them, a task for each ``split_records``, or for several of them where they are many and small."""
+    reader = BusReader({"path": path, "splitrecords": split_records})
+    runs = reader.partitions()
+    tasks = min(len(runs), max(RUNS * spark.sparkContext.defaultParallelism, sum(r.records for r in runs) // SPLIT))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for task in batch.column(0).to_pylist():
+                for run in runs[task::tasks]:
+                    yield from reader.read(run)
+
+    return spark.range(0, tasks, 1, max(1, tasks)).mapInArrow(read, SCHEMA)
 
 
 def write_bus(records: DataFrame, path: str, barcode_length: int, umi_length: int) -> None:
     """Records as a folder of BUS files, one a task that has any."""
-    records.sparkSession.dataSource.register(BusSource)
     typed = records.select("barcode", "umi", F.col("ec").cast("int"), F.col("count").cast("long"), F.col("flags").cast("long"))
-    typed.write.format("bus").options(barcodeLength=barcode_length, umiLength=umi_length).mode("append").save(path)
+    writer = BusWriter({"path": path, "barcodelength": barcode_length, "umilength": umi_length})
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"held": pa.array([writer.write(batches).held], pa.string())})
+
+    try:
+        done = typed.mapInArrow(write, "held string").collect()  # a name a task
+    except Exception:
+        writer.abort([])
+        raise
+    writer.commit([Done(x.held) for x in done])
 
 
 # Records -----------------------------------------------------------------------

@@ -9,6 +9,7 @@ from spotweave import plan_queries, quant_queries, queries  # noqa: F401  (these
 from pyspark.sql import functions as F
 from spotweave.operators import barcodes as bc
 from spotweave.plans import config, pipeline
+from spotweave.sources import bus
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -208,3 +209,20 @@ def test_events_are_not_read_again(spark, name):
 def test_bus_files_are_read_once(spark, name):
     """They were read for their barcodes and again for their records, by two tasks a run and two plans of the driver."""
     assert "BatchScan" not in plan(queries.QUERIES[name](spark, SMALL))
+
+
+def test_driver_plans_no_data_source_for_bus_files(spark, monkeypatch):
+    """For each step of a data source that it planned the driver kept a Python process, 367 MB of them with two reads."""
+    monkeypatch.setattr(type(spark.dataSource), "register", lambda *_: pytest.fail("a data source"))
+    assert queries.QUERIES["bus_gene_counts"](spark, SMALL).count() > 0
+
+
+def test_bus_format_and_small_runs(spark, tmp_path):
+    """The data source reads what tasks wrote; of many small runs a task reads several."""
+    rows = [("ACGT", "CA", i, 1, 0) for i in range(500)]
+    bus.write_bus(spark.createDataFrame(rows, bus.SCHEMA), f"file://{tmp_path}/out", 4, 2)
+    spark.dataSource.register(bus.BusSource)
+    assert sorted(map(tuple, spark.read.format("bus").load(f"file://{tmp_path}/out").collect())) == rows
+    small = bus.read_bus(spark, f"file://{tmp_path}/out", 2)
+    assert sorted(map(tuple, small.collect())) == rows
+    assert small.rdd.getNumPartitions() == bus.RUNS * spark.sparkContext.defaultParallelism < 250
