@@ -521,10 +521,10 @@ def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist:
 
 
 def slim(corrected: DataFrame, enforce_thresholds: bool = False) -> DataFrame:
-    """(read_id, cb, and what was kept beside): joined corrections; thresholds are ignored unless enforced."""
+    """(read_id if there is one, cb, and what was kept beside): joined corrections; thresholds are ignored unless enforced."""
     field = "kept" if enforce_thresholds else "corr"
     values = F.transform("parts", lambda p: p[field])
-    return corrected.where(~F.exists(values, F.isnull)).select("read_id", F.array_join(values, "").alias("cb"), *[c for c in corrected.columns if c not in ("read_id", "parts")])
+    return corrected.where(~F.exists(values, F.isnull)).select(*[c for c in corrected.columns if c == "read_id"], F.array_join(values, "").alias("cb"), *[c for c in corrected.columns if c not in ("read_id", "parts")])
 
 
 def alike(calls: DataFrame, reads: str = "reads") -> DataFrame:

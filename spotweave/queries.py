@@ -220,7 +220,7 @@ def barcode_distance_histogram(spark, d):
 select cell, cast(n_counts as double) as n_counts, n_genes, row_number() over (order by n_counts desc, n_genes desc, cell) as rank from u""")
 def corrected_umi_knee(spark, d):
     """The flagship: extraction, whitelist correction, UMI counts, cells ranked for a knee plot."""
-    calls = rd.call_barcodes(sequenced(spark, d), *VISIUM, keep=["gene"]).withColumn("umi", F.col("umis")[0])
+    calls = rd.call_barcodes(sequenced(spark, d), *VISIUM, keep=["gene"]).select("gene", "bcs", F.col("umis")[0].alias("umi"))
     fixed = bc.slim(bc.correct(calls, [derived_whitelist(spark, d)], keep=["gene", "umi"]))
     counts = um.count_exact(fixed.withColumnRenamed("cb", "cell"))
     return mx.knee_ranks(mx.cell_qc(counts)).select("cell", "n_counts", "n_genes", "rank")

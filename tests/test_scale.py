@@ -137,6 +137,16 @@ def test_summaries_write_no_row_a_read(spark, monkeypatch, name):
     assert made["reads"].count() == queries.derived_reads(spark, SMALL).select("bc").distinct().count()
 
 
+def test_counts_carry_no_read_ids(spark, monkeypatch):
+    """Ids of reads were written, shuffled and joined on the way to counts that don't show them."""
+    calls = spark.createDataFrame([(["ACGTACGT"],)], "bcs array<string>")
+    assert bc.slim(bc.correct(calls, [spark.createDataFrame([("ACGTACGA",)], "barcode string")])).collect() == [("ACGTACGA",)]
+    made, real = {}, bc.written
+    monkeypatch.setattr(bc, "written", lambda df, what: made.setdefault(what, real(df, what)))
+    assert queries.QUERIES["corrected_umi_knee"](spark, SMALL).count() > 0
+    assert sorted(made["reads"].columns) == ["bc0", "gene", "umi"]
+
+
 def test_calls_alike_count_as_their_reads(spark):
     """With calls grouped, summaries of corrections stay as they are, missing barcodes and parts without a match included."""
     entries = [spark.createDataFrame([(w,) for w in ws], "barcode string") for ws in (["ACGTACGT", "AAAATTTT", "AAAATTTG"], ["CCCCGGGG"])]
