@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,12 +19,12 @@ from spotweave.sources.scratch import written
 
 #: Entries of a whitelist that may be sent to every executor; a larger one is joined by k-mers instead.
 SENT_ENTRIES = 1_000_000
-#: Barcodes whose distances are computed at once.
-AT_ONCE = 4096
+#: Barcodes that are gathered before their distances are computed.
+AT_ONCE = 16384
 #: Pairs of a barcode and an entry whose distances are computed at once.
 PAIRS = 1 << 17
-#: Edits within which entries are found without k-mers (3 at most, see KmerIndex.few), and buckets (a prime) of each of the tables for them.
-NEAR, BUCKETS = 3, 524_287
+#: Edits within which entries are found without k-mers (3 at most, see KmerIndex.few), and buckets of each of the tables for them, as a power of 2 (of a prime less 1).
+NEAR, BUCKET_BITS = 3, 19
 NONE = np.iinfo(np.int64).max
 
 
@@ -97,10 +100,10 @@ class KmerIndex:
 
     def __init__(self, words: list[str] | np.ndarray, times: list[int] | np.ndarray, k: int):
         data = words if isinstance(words, np.ndarray) else np.frombuffer("".join(words).encode(), np.uint8).reshape(len(words), -1)
-        order = np.argsort(np.ascontiguousarray(data).view(f"S{data.shape[1]}").ravel(), kind="stable")
+        self.alphabet = np.flatnonzero(sum(np.bincount(c, minlength=256) for c in data.T)).astype(np.uint8)
+        order = np.argsort(self.ordered(self.digits(data)), kind="stable")
         self.k, self.bytes, self.times = k, data[order], np.asarray(times)[order]
         self.times = self.times.astype(np.min_scalar_type(self.times.max()))
-        self.alphabet = np.unique(self.bytes)
 
     def digits(self, q: np.ndarray) -> np.ndarray:
         """Bytes as digits; those in no entry share the one after the last."""
@@ -108,10 +111,25 @@ class KmerIndex:
         code[self.alphabet] = np.arange(len(self.alphabet))
         return code[q]
 
+    def ordered(self, words: np.ndarray) -> np.ndarray:
+        """Words (digits) as values with the words' order: numbers where 64 bits hold them, else bytes."""
+        base, m = len(self.alphabet) + 1, words.shape[1]
+        return gram_codes(words, m, base).ravel() if base**m < 1 << 64 else np.ascontiguousarray(words + np.uint8(1)).view(f"S{m}").ravel()
+
     @cached_property
     def entries(self) -> np.ndarray:
         return self.digits(self.bytes)
 
+    @cached_property
+    def in_order(self) -> np.ndarray:
+        return self.ordered(self.entries)
+
+    def find(self, q: np.ndarray) -> np.ndarray:
+        """The entry that each row of ``q`` (digits) is, or -1."""
+        own = self.ordered(q)
+        at = np.minimum(np.searchsorted(self.in_order, own), len(self.in_order) - 1)
+        return np.where(self.in_order[at] == own, at, -1)
+
     @cached_property
     def text(self) -> pa.Array:
         n, m = self.bytes.shape
@@ -119,37 +137,55 @@ class KmerIndex:
 
     # Entries a few edits away
 
-    def bucket(self, words: np.ndarray, places: list[int]) -> np.ndarray:
-        """Numbers below BUCKETS: equal bases have equal ones, and some others, which distances tell apart."""
-        out = np.zeros(len(words), np.uint64)
-        for c in places:
-            out = out * np.uint64(max(2, len(self.alphabet))) + words[:, c]
-        return (out % np.uint64(BUCKETS)).astype(np.int64)
+    def bucket(self, words: np.ndarray, packed: tuple[np.ndarray, np.ndarray] | None, places: list[int], shown: list[int]) -> np.ndarray:
+        """Numbers of BUCKET_BITS bits for what words show at ``shown``, as entries do at ``places``, one place apart at most: equal bases have equal ones, and some others, which distances tell apart."""
+        if packed is None:
+            out = np.zeros(len(words), np.uint64)
+            for c in shown:
+                out = out * np.uint64(max(2, len(self.alphabet))) + words[:, c]
+            return (out % np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
+        code, m = packed[0], words.shape[1]
+        kind, bits = code.dtype.type, np.iinfo(code.dtype).bits
+        out = np.zeros_like(code)
+        for by in sorted({to - c for to, c in zip(places, shown, strict=True)}):
+            mask = kind(sum(1 << p * m + c for p in range(self.planes) for to, c in zip(places, shown, strict=True) if to - c == by))
+            out |= (code & mask) << kind(by) if by > 0 else (code & mask) >> kind(-by)
+        out ^= out >> kind(bits // 2)
+        out *= kind(0x9E3779B1 if bits == 32 else 0x9E3779B97F4A7C15)
+        return (out >> kind(bits - BUCKET_BITS)).astype(np.int64)
+
+    @property
+    def planes(self) -> int:
+        """Bits of a digit."""
+        return max(1, (len(self.alphabet) - 1).bit_length())
 
     @cached_property
     def tables(self) -> dict[int, list[tuple]]:
         return {}
 
     def near_tables(self, near: int) -> list[tuple]:
-        """(ids by bucket, where each bucket begins, places to look at in a barcode: those in place, those that are moved) of each seed."""
+        """(ids by bucket, where each bucket begins, places of an entry, places to look at in a barcode: those in place, those that are moved) of each seed."""
         if near not in self.tables:
             out, own = [], np.arange(len(self.entries), dtype=np.int64)
             bits = len(own).bit_length()
             for places, shown in near_seeds(self.bytes.shape[1], near):
-                at = self.bucket(self.entries, places)
-                starts = np.zeros(BUCKETS + 1, np.int32)
-                np.cumsum(np.bincount(at, minlength=BUCKETS), out=starts[1:])
-                ids = np.sort(at << bits | own) & ((1 << bits) - 1)
-                out.append((ids.astype(np.int32), starts, ([places], [x for x in shown if x != places])))
+                at = self.bucket(self.entries, self.packed, places, places)
+                starts = np.zeros((1 << BUCKET_BITS) + 1, np.int32)
+                np.cumsum(np.bincount(at, minlength=1 << BUCKET_BITS), out=starts[1:])
+                at <<= bits
+                at |= own
+                at.sort()
+                at &= (1 << bits) - 1
+                out.append((at.astype(np.int32), starts, places, ([places], [x for x in shown if x != places])))
             self.tables[near] = out
         return self.tables[near]
 
     def met(self, q: np.ndarray, packed: tuple[np.ndarray, np.ndarray] | None, near: int, seed: int, moved: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(row of ``q``, entry, distance) of those at most ``near`` edits apart that a seed brings together by bases in place, or ``moved``; some of them twice."""
-        ids, starts, shown = self.near_tables(min(near, NEAR))[seed]
+        ids, starts, places, shown = self.near_tables(min(near, NEAR))[seed]
         if not shown[moved]:
             return
-        at = np.concatenate([self.bucket(q, places) for places in shown[moved]])
+        at = np.concatenate([self.bucket(q, packed, places, x) for x in shown[moved]])
         lo, size = starts[at].astype(np.int64), (starts[at + 1] - starts[at]).astype(np.int64)
         rows = np.tile(np.arange(len(q)), len(shown[moved]))
         for a, b in runs(size, PAIRS):
@@ -160,7 +196,7 @@ class KmerIndex:
 
     def pack(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
         """Digits as numbers, the lowest bits of all first, then the next ones, and bits for those in no entry; None where they are too many."""
-        m, planes = words.shape[1], max(1, (len(self.alphabet) - 1).bit_length())
+        m, planes = words.shape[1], self.planes
         if m * planes > 64:
             return None
         kind = np.uint32 if m * planes <= 32 else np.uint64
@@ -172,8 +208,8 @@ class KmerIndex:
         return code, lost
 
     @cached_property
-    def codes(self) -> np.ndarray:
-        return self.pack(self.entries)[0]
+    def packed(self) -> tuple[np.ndarray, np.ndarray] | None:
+        return self.pack(self.entries)
 
     def few(self, packed: tuple[np.ndarray, np.ndarray], row: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Levenshtein distances of packed barcodes and entries where they are 3 at most, elsewhere the number of bases that differ, from 4 on.
@@ -188,7 +224,7 @@ class KmerIndex:
 
         def differing(x: np.ndarray, row: np.ndarray) -> np.ndarray:
             out = x.copy()
-            for at in range(m, max(1, (len(self.alphabet) - 1).bit_length()) * m, m):
+            for at in range(m, self.planes * m, m):
                 out |= x >> code.dtype.type(at)
             out &= full
             out = out.astype(kind)
@@ -200,7 +236,7 @@ class KmerIndex:
                     x = x | x >> kind(by)
             return x
 
-        x, e = code[row], np.take(self.codes, ids)
+        x, e = code[row], np.take(self.packed[0], ids)
         apart = differing(x ^ e, row)
         d = np.bitwise_count(apart)
         (at,) = np.nonzero(d > 2)
@@ -395,48 +431,93 @@ def spread(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(lo - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
 
 
-def _index(counted: DataFrame, k: int) -> KmerIndex:
-    """Entries of one length, collected as bytes."""
-    wl = counted.select("barcode", "times").toArrow().combine_chunks()
+def _counted(whitelist: DataFrame, keep_duplicates: bool = True) -> DataFrame:
+    wl = whitelist.select("barcode").where("barcode is not null")
+    return (wl if keep_duplicates else wl.distinct()).groupBy("barcode").agg(F.count("*").alias("times"))
+
+
+Known = tuple[list[int], KmerIndex | None] | None
+
+
+def _collected(counted: DataFrame, k: int) -> Known:
+    """(lengths of entries, and their index where they are alike enough to have one) of a whitelist that may be sent; None for a larger one."""
+    wl = counted.select("barcode", "times").limit(SENT_ENTRIES + 1).toArrow().combine_chunks()
+    if wl.num_rows > SENT_ENTRIES:
+        return None
+    if not wl.num_rows:
+        return [], None
     b = wl.column("barcode").combine_chunks().cast(pa.large_string())
-    data = np.frombuffer(b.buffers()[2], np.uint8)
-    lo = int(np.frombuffer(b.buffers()[1], np.int64)[b.offset])
-    width = len(b[0].as_py())
-    return KmerIndex(data[lo : lo + len(b) * width].reshape(len(b), width), wl.column("times").to_numpy(), k)
+    lengths, ends = sorted(pc.utf8_length(b).unique().to_pylist()), pc.min_max(pc.binary_length(b)).as_py()
+    width = ends["max"]
+    if [ends["min"]] != [width] or lengths != [width] or not k <= min(8, width) or width > 64:
+        return lengths, None
+    return lengths, KmerIndex(_matrix(b, width), wl.column("times").to_numpy(), k)
+
+
+def _matrix(words: pa.Array, width: int) -> np.ndarray:
+    """Words of ``width`` letters as rows of bytes; letters beyond ASCII are in no entry and share one byte."""
+    if pc.sum(pc.binary_length(words)).as_py() == len(words) * width:
+        lo = np.frombuffer(words.buffers()[1], np.int64 if pa.types.is_large_string(words.type) else np.int32)[words.offset]
+        data = np.frombuffer(words.buffers()[2], np.uint8)[lo : lo + len(words) * width]
+    else:
+        data = np.frombuffer("".join(w if w.isascii() else "".join(c if c < "\x80" else "\xff" for c in w) for w in words.to_pylist()).encode("latin-1"), np.uint8)
+    return data.reshape(len(words), width)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str, least: int) -> Iterator[pa.Array]:
+    """A column of batches, in pieces of ``least`` rows, the last one with the rest."""
+    some, n = [], 0
+    for batch in batches:
+        some.append(batch.column(column))
+        n += batch.num_rows
+        while n >= least:
+            whole = pa.concat_arrays(some)
+            yield whole.slice(0, least)
+            some, n = [whole.slice(least)], n - least
+    if n:
+        yield pa.concat_arrays(some)
 
 
 SLOT = "bc string, d int, b string, t bigint, next int"
 
 
-def _slots(rest: DataFrame, counted: DataFrame, k: int) -> DataFrame:
+def _slots(bcs: DataFrame, counted: DataFrame, known: Known, k: int) -> DataFrame:
     """(bc, d, b, t, next): for each barcode the least distance to its candidates, its least entry and number of entries there, and the next distance; NULLs without candidates.
 
-    With several entries at the least distance their number may be any above 1, and the next distance is not told for certain.
+    An entry of the whitelist has itself, distance 0 and no next one.  With several entries at the least distance their number may be any above 1, and
+    the next distance is not told for certain.
 
     A barcode that is as long as no entry of the whitelist is an error, whichever way its candidates are found.
     """
-    shape = counted.agg(F.count("*").alias("n"), F.collect_set(F.length("barcode")).alias("lengths"), F.min(F.octet_length("barcode")).alias("lo"), F.max(F.octet_length("barcode")).alias("hi")).first()
-    lengths = sorted(shape["lengths"])
+    if known is None or known[1] is None:
+        # Measured, marked and joined: written, so that it is made once.
+        counted = written(counted, "whitelist")
+    lengths, index = known or (sorted(counted.agg(F.collect_set(F.length("barcode"))).first()[0]), None)
     wrong = F.raise_error(F.concat(F.lit("barcode "), "bc", F.lit(f" is as long as no entry of the whitelist ({lengths})"))).cast("string")
-    rest = rest.select(F.when(F.length("bc").isin(lengths), F.col("bc")).otherwise(wrong if lengths else F.col("bc")).alias("bc"))
-    if 0 < shape["n"] <= SENT_ENTRIES and [shape["lo"]] == [shape["hi"]] == lengths and k <= min(8, shape["lo"]) and shape["hi"] <= 64:
-        shared = rest.sparkSession.sparkContext.broadcast(_index(counted, k))
-        width = shape["hi"]
+    checked = F.when(F.length("bc").isin(lengths), F.col("bc")).otherwise(wrong if lengths else F.col("bc")).alias("bc")
+    if index is not None:
+        shared, width = bcs.sparkSession.sparkContext.broadcast(index), lengths[0]
 
         def match(batches):
-            for batch in batches:
-                for at in range(0, batch.num_rows, AT_ONCE):
-                    bcs = batch.column("bc").slice(at, AT_ONCE)
-                    plain = [b.encode("latin-1", "replace") for b in bcs.to_pylist()]
-                    d, entry, times, then = shared.value.search(np.frombuffer(b"".join(plain), np.uint8).reshape(len(plain), width))
-                    none, last = d == NONE, then == NONE
-                    b = shared.value.text.take(pa.array(entry, pa.int64(), mask=none)).cast(pa.string())
-                    cols = [bcs, pa.array(np.where(none, 0, d), pa.int32(), mask=none), b, pa.array(times, pa.int64(), mask=none), pa.array(np.where(last, 0, then), pa.int32(), mask=last)]
-                    yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in SLOT.split(", ")])
+            for words in gathered(batches, "bc", AT_ONCE):
+                q = _matrix(words, width)
+                entry = shared.value.find(shared.value.digits(q))
+                d, times, then = np.zeros(len(q), np.int64), np.ones(len(q), np.int64), np.full(len(q), NONE)
+                (rest,) = np.nonzero(entry < 0)
+                if len(rest):
+                    d[rest], entry[rest], times[rest], then[rest] = shared.value.search(q[rest])
+                none, last = d == NONE, then == NONE
+                b = shared.value.text.take(pa.array(entry, pa.int64(), mask=none)).cast(pa.string())
+                cols = [words, pa.array(np.where(none, 0, d), pa.int32(), mask=none), b, pa.array(times, pa.int64(), mask=none), pa.array(np.where(last, 0, then), pa.int32(), mask=last)]
+                yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in SLOT.split(", ")])
 
         # A number of parts is kept as it is: rows are few bytes but much work each.
-        parts = max(rest.sparkSession.sparkContext.defaultParallelism, int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        return rest.repartition(parts, "bc").mapInArrow(match, SLOT)
+        parts = max(bcs.sparkSession.sparkContext.defaultParallelism, int(bcs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return bcs.select(checked).repartition(parts, "bc").mapInArrow(match, SLOT)
+    # Sizes are guessed from files, which hold ids in place of barcodes: the whitelist would be sent to all.
+    marked = bcs.join(counted.select(F.col("barcode").alias("hit")).hint("merge"), F.col("bc") == F.col("hit"), "left")
+    exact = marked.where("hit is not null").select("bc", F.lit(0).alias("d"), F.col("bc").alias("b"), F.lit(1).cast("bigint").alias("t"), F.lit(None).cast("int").alias("next"))
+    rest = marked.where("hit is null").select(checked)
     grams = rest.select("bc", F.explode(F.array_distinct(sq.kmers("bc", k))).alias("gram"))
     listed = counted.select("barcode", "times", F.explode(F.array_distinct(sq.kmers("barcode", k))).alias("gram"))
     near = grams.join(listed, "gram").select("bc", "barcode", "times").distinct().withColumn("d", F.levenshtein("bc", "barcode")).where(F.col("d") < F.length("bc"))
@@ -445,7 +526,7 @@ def _slots(rest: DataFrame, counted: DataFrame, k: int) -> DataFrame:
     s = F.array_sort(F.collect_list(F.struct("d", "b", "t")))
     slots = slots.groupBy("bc").agg(s.alias("s"))
     slots = slots.select("bc", F.col("s")[0]["d"].alias("d"), F.col("s")[0]["b"].alias("b"), F.col("s")[0]["t"].alias("t"), F.get("s", F.lit(1))["d"].alias("next"))
-    return rest.join(slots.hint("merge"), "bc", "left")
+    return exact.unionByName(rest.join(slots.hint("merge"), "bc", "left"))
 
 
 def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_duplicates: bool = True) -> DataFrame:
@@ -458,21 +539,16 @@ def best_matches(barcodes: DataFrame, whitelist: DataFrame, k: int = 5, keep_dup
     Repeated whitelist entries tie with themselves unless dropped.  A barcode
     as long as no entry is an error; an empty whitelist corrects nothing.
     """
-    wl = whitelist.select("barcode")
-    if not keep_duplicates:
-        wl = wl.distinct()
-    bcs = barcodes.select("bc").where("bc is not null").distinct()
-    # Counted, measured, sent and joined: written, so that it is made once.
-    counted = written(wl.groupBy("barcode").agg(F.count("*").alias("times")), "whitelist")
-    # Sizes are guessed from files, which hold ids in place of barcodes: the whitelist would be sent to all.
-    marked = bcs.join(counted.select(F.col("barcode").alias("hit")).hint("merge"), F.col("bc") == F.col("hit"), "left")
-    exact = marked.where("hit is not null").select("bc", F.col("bc").alias("corr"), F.lit(0).alias("dist"), F.lit(None).cast("int").alias("margin"), F.lit(True).alias("exact"))
-    rest = marked.where("hit is null").select("bc")
-    slots = _slots(rest, counted, k)  # a row for each of the rest
-    length = F.length("bc")
+    counted = _counted(whitelist, keep_duplicates)
+    return _matches(barcodes, counted, _collected(counted, k), k)
+
+
+def _matches(barcodes: DataFrame, counted: DataFrame, known: Known, k: int) -> DataFrame:
+    slots = _slots(barcodes.select("bc").where("bc is not null").distinct(), counted, known, k)
+    exact, length = F.coalesce(F.col("d") == 0, F.lit(False)), F.length("bc")
     nxt = F.when(F.col("t") > 1, F.col("d")).otherwise(F.coalesce("next", length))
-    fuzzy = slots.select("bc", F.col("b").alias("corr"), F.coalesce("d", length).alias("dist"), F.coalesce(nxt - F.col("d"), F.lit(0)).alias("margin"), F.lit(False).alias("exact"))
-    return exact.unionByName(fuzzy)
+    margin = F.when(~exact, F.coalesce(nxt - F.col("d"), F.lit(0)))
+    return slots.select("bc", F.col("b").alias("corr"), F.coalesce("d", length).alias("dist"), margin.alias("margin"), exact.alias("exact"))
 
 
 def check_correction(n_whitelists: int, k: int, max_dist: list[int], min_margin: list[int]) -> tuple[list[int], list[int]]:
@@ -503,16 +579,19 @@ def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist:
     the reads again.  Reads are needed thrice for each whitelist, and filters
     on barcodes would be moved in front of what makes them and make them anew:
     they are written first, unless ``calls`` are read from a table already
-    (``stored``).
+    (``stored``).  Whitelists are collected at the same time.
     """
     n = 1 if concat else len(whitelists)
     max_dist, min_margin = check_correction(n, k, max_dist, min_margin)
     keep = [*(["read_id"] if "read_id" in calls.columns else []), *keep]
     out = calls.select(*keep, *[(F.array_join("bcs", "") if concat else F.get("bcs", F.lit(i))).alias(f"bc{i}") for i in range(n)])
-    if not stored:
-        out = written(out, "reads")
+    counted = [_counted(whitelists[i]) for i in range(n)]
+    with ThreadPoolExecutor(n) as pool:
+        known = [pool.submit(inheritable_thread_target(out.sparkSession)(_collected), c, k) for c in counted]
+        if not stored:
+            out = written(out, "reads")
     for i in range(n):
-        m = best_matches(out.select(F.col(f"bc{i}").alias("bc")), whitelists[i], k)
+        m = _matches(out.select(F.col(f"bc{i}").alias("bc")), counted[i], known[i].result(), k)
         kept = F.when((F.col("dist") == 0) | ((F.col("dist") <= max_dist[i]) & (F.col("margin") >= min_margin[i])), F.col("corr"))
         m = m.select(F.col("bc").alias(f"bc{i}"), F.struct(F.col("bc").alias("orig"), "corr", "dist", "margin", "exact", kept.alias("kept")).alias(f"p{i}"))
         some, none = out.where(F.col(f"bc{i}").isNotNull()), out.where(F.col(f"bc{i}").isNull())

@@ -1,8 +1,10 @@
 """What a larger whitelist or annotation costs, seen in plans and in pairs compared."""
 
 import random
+import threading
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spotweave import plan_queries, quant_queries, queries  # noqa: F401  (these register the catalogue)
@@ -236,3 +238,53 @@ def test_bus_format_and_small_runs(spark, tmp_path):
     small = bus.read_bus(spark, f"file://{tmp_path}/out", 2)
     assert sorted(map(tuple, small.collect())) == rows
     assert small.rdd.getNumPartitions() == bus.RUNS * spark.sparkContext.defaultParallelism < 250
+
+
+def sample_correction(spark):
+    calls = spark.range(0, 400, 1, 4).select(F.concat(F.lit("r"), "id").alias("read_id"), F.array(F.concat(F.substring(F.md5(F.col("id").cast("string").cast("binary")), 1, 11), F.lit("ACGTA"))).alias("bcs"))
+    return calls, calls.where("read_id < 'r2'").select(F.col("bcs")[0].alias("barcode"))
+
+
+def test_sent_whitelist_is_neither_written_nor_joined(spark, monkeypatch):
+    """It was written, measured and collected by jobs of its own, and joined twice to find barcodes that are entries."""
+    calls, entries = sample_correction(spark)
+    written = []
+    monkeypatch.setattr(bc, "written", lambda df, what: written.append(what) or df)
+    found = bc.best_matches(calls.select(F.col("bcs")[0].alias("bc")), entries)
+    assert "Join" not in plan(found) and not written
+    exact = entries.distinct().count()
+    assert 0 < exact == found.where("exact and dist = 0 and margin is null and corr = bc").count() == found.where("exact").count() < found.count() == 400
+
+
+@pytest.mark.parametrize("bases, length", [("ACGT", 3), ("ACGT", 16), ("ACGTN", 30), ("".join(map(chr, range(48, 112))), 20)])
+def test_entries_are_found_and_share_buckets(bases, length):
+    """Words of any width find themselves; what is shown one place apart has the bucket of the same bases in place."""
+    r = random.Random(length)
+    words = sorted({"".join(r.choices(bases, k=length)) for _ in range(300)})
+    index = bc.KmerIndex(words[::2], [1] * len(words[::2]), 3)
+    assert index.text.to_pylist() == words[::2]
+    q = index.digits(np.frombuffer("".join(words).encode(), np.uint8).reshape(len(words), length))
+    assert index.find(q).tolist() == [i // 2 if i % 2 == 0 else -1 for i in range(len(words))]
+    places, packed = list(range(1, length - 1)), index.pack(q)
+    own = index.bucket(q, packed, places, places)
+    assert len(set(own.tolist())) > len(words) * 0.8 or length == 3
+    for by in (-1, 1):
+        moved = np.roll(q, by, axis=1)
+        assert (index.bucket(moved, index.pack(moved), places, [c + by for c in places]) == own).all()
+
+
+def test_barcodes_are_gathered_and_letters_beyond_ascii_match_nothing(spark):
+    """Each batch's rest was a search of its own; a letter that Latin-1 lacks counted as a question mark."""
+    batches = [pa.RecordBatch.from_arrays([pa.array([f"{i:03}" for i in range(a, b)], pa.string())], ["bc"]) for a, b in ((0, 5), (5, 5), (5, 18), (18, 20))]
+    assert [x.to_pylist() for x in bc.gathered(iter(batches), "bc", 8)] == [[f"{i:03}" for i in range(a, min(a + 8, 20))] for a in (0, 8, 16)]
+    found = bc.best_matches(spark.createDataFrame([("ACGTAC\u0416T",), ("ACGTAC\u00e9T",), ("ACGTAC?T",)], "bc string"), spark.createDataFrame([("ACGTAC?T",), (None,)], "barcode string"))
+    assert {r["bc"]: (r["corr"], r["dist"], r["exact"]) for r in found.collect()} == {"ACGTAC\u0416T": ("ACGTAC?T", 1, False), "ACGTAC\u00e9T": ("ACGTAC?T", 1, False), "ACGTAC?T": ("ACGTAC?T", 0, True)}
+
+
+def test_whitelists_are_collected_while_reads_are_written(spark, monkeypatch):
+    """One waited for the other."""
+    calls, entries = sample_correction(spark)
+    begun, waits, real, collected = threading.Event(), [], bc.written, bc._collected
+    monkeypatch.setattr(bc, "_collected", lambda *args: begun.set() or collected(*args))
+    monkeypatch.setattr(bc, "written", lambda df, what: waits.append(begun.wait(30)) or real(df, what))
+    assert bc.correct(calls, [entries]).count() == 400 and waits == [True]
