@@ -580,6 +580,9 @@ def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist:
     on barcodes would be moved in front of what makes them and make them anew:
     they are written first, unless ``calls`` are read from a table already
     (``stored``).  Whitelists are collected at the same time.
+
+    Corrections are joined by hashing: a part of the distinct barcodes, as
+    many as there are over the shuffle's partitions, fits a task's memory.
     """
     n = 1 if concat else len(whitelists)
     max_dist, min_margin = check_correction(n, k, max_dist, min_margin)
@@ -595,7 +598,7 @@ def correct(calls: DataFrame, whitelists: list[DataFrame], k: int = 5, max_dist:
         kept = F.when((F.col("dist") == 0) | ((F.col("dist") <= max_dist[i]) & (F.col("margin") >= min_margin[i])), F.col("corr"))
         m = m.select(F.col("bc").alias(f"bc{i}"), F.struct(F.col("bc").alias("orig"), "corr", "dist", "margin", "exact", kept.alias("kept")).alias(f"p{i}"))
         some, none = out.where(F.col(f"bc{i}").isNotNull()), out.where(F.col(f"bc{i}").isNull())
-        out = some.join(m.hint("merge"), f"bc{i}", "left").unionByName(none, allowMissingColumns=True)
+        out = some.join(m.hint("shuffle_hash"), f"bc{i}", "left").unionByName(none, allowMissingColumns=True)
     return out.select(*keep, F.array(*[f"p{i}" for i in range(n)]).alias("parts"))
 
 

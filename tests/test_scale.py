@@ -281,6 +281,14 @@ def test_barcodes_are_gathered_and_letters_beyond_ascii_match_nothing(spark):
     assert {r["bc"]: (r["corr"], r["dist"], r["exact"]) for r in found.collect()} == {"ACGTAC\u0416T": ("ACGTAC?T", 1, False), "ACGTAC\u00e9T": ("ACGTAC?T", 1, False), "ACGTAC?T": ("ACGTAC?T", 0, True)}
 
 
+def test_reads_are_not_sorted_for_their_corrections(spark):
+    """All reads were sorted by barcode to meet the corrections, which are fewer."""
+    calls, entries = sample_correction(spark)
+    done = bc.correct(calls, [entries])
+    assert "SortMergeJoin" not in plan(done) and "ShuffledHashJoin" in plan(done)
+    assert done.count() == 400
+
+
 def test_whitelists_are_collected_while_reads_are_written(spark, monkeypatch):
     """One waited for the other."""
     calls, entries = sample_correction(spark)
